@@ -118,3 +118,33 @@ SELECT lpad(CAST(r_regionkey AS VARCHAR), 3, '0') AS client_slug,
        'act_' || lpad(CAST(r_regionkey AS VARCHAR), 3, '0') AS ad_account_id
 FROM region
 """
+
+
+# ---------------------------------------------------------------- drifted
+# Two tenants of one "campaigns" entity whose files disagree: customers carry
+# a numeric budget and a status; suppliers carry the budget as text and no
+# status column at all.
+
+def drifted_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.lit("cust").alias("client"), F.col("c_custkey").alias("id"),
+                    F.col("c_nationkey").alias("account_id"), F.col("c_name").alias("name"),
+                    F.col("c_mktsegment").alias("status"), F.col("c_acctbal").alias("daily_budget"),
+                    F.concat(F.col("c_name"), F.lit("#")).alias("internal_note"))
+
+
+def drifted_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.lit("supp").alias("client"), F.col("s_suppkey").alias("id"),
+                    F.col("s_nationkey").alias("account_id"), F.col("s_name").alias("name"),
+                    F.format_string("%.2f", F.col("s_acctbal")).alias("daily_budget"))
+
+
+DRIFTED_CUSTOMER_SQL = """
+SELECT 'cust' AS client, c_custkey AS id, c_nationkey AS account_id, c_name AS name,
+       c_mktsegment AS status, c_acctbal AS daily_budget, c_name || '#' AS internal_note
+FROM customer"""
+DRIFTED_SUPPLIER_SQL = """
+SELECT 'supp' AS client, s_suppkey AS id, s_nationkey AS account_id, s_name AS name,
+       printf('%.2f', s_acctbal) AS daily_budget
+FROM supplier"""
