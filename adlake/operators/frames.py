@@ -23,7 +23,7 @@ def field_allowlist(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 def normalize_name(name: str) -> str:
     """Wire name -> column name: lower case, non-word runs -> '_', and a
     leading digit gets a '_' prefix ('1d_view' -> '_1d_view')."""
-    n = re.sub(r"\W+", "_", name.strip().lower()).strip("_") or "_"
+    n = re.sub(r"\W+", "_", name.strip().lower()).rstrip("_") or "_"
     return f"_{n}" if n[0].isdigit() else n
 
 

@@ -148,3 +148,94 @@ DRIFTED_SUPPLIER_SQL = """
 SELECT 'supp' AS client, s_suppkey AS id, s_nationkey AS account_id, s_name AS name,
        printf('%.2f', s_acctbal) AS daily_budget
 FROM supplier"""
+
+
+# ---------------------------------------------------------------- nested
+# Nested insight rows (as a report page yields them) from lineitem: one row
+# per line, with action / action_value / video lists of 0-3 elements whose
+# length follows the line number, and struct columns to flatten.
+
+def _f2(c: str) -> Column:
+    return F.format_string("%.2f", F.col(c))
+
+
+def _action(kind: str, value: Column, target: Column, windows: bool = True) -> Column:
+    fields = [F.lit(kind).alias("action_type"), target.alias("action_target_id"),
+              F.lit("web").alias("action_destination"), value.alias("value")]
+    if windows:
+        fields += [_f2("l_discount").alias("1d_view"), _f2("l_tax").alias("1d_click"),
+                   F.lit(None).cast("string").alias("7d_view"),
+                   F.col("l_linenumber").cast("string").alias("7d_click")]
+    return F.struct(*fields)
+
+
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    target = (F.col("l_partkey") % 5).cast("string")
+    actions = F.slice(F.array(
+        _action("purchase", _f2("l_quantity"), target),
+        _action("add_to_cart", F.col("l_linenumber").cast("string"), target),
+        _action("view", _f2("l_extendedprice"), target)), 1, F.col("l_linenumber") % 4)
+    values = F.slice(F.array(
+        _action("purchase", _f2("l_extendedprice"), target),
+        _action("view", _f2("l_tax"), target),
+        _action("lead", _f2("l_discount"), target)), 1, (F.col("l_orderkey") % 3).cast("int"))
+    video = F.slice(F.array(F.struct(F.lit("video_view").alias("action_type"),
+                                     _f2("l_quantity").alias("value"))), 1, F.col("l_linenumber") % 2)
+    ship = F.col("l_shipdate").cast("timestamp")
+    return li.select(
+        F.concat(F.lit("li"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string")).alias("_dlt_id"),
+        F.lpad((F.col("l_suppkey") % N_TENANTS).cast("string"), 3, "0").alias("client"),
+        (F.col("l_partkey") % 50).cast("string").alias("ad_id"),
+        F.date_format(ship, "yyyy-MM-dd").alias("date_start"),
+        _f2("l_extendedprice").alias("spend"),
+        F.col("l_linenumber").cast("string").alias("clicks"),
+        F.concat(F.unix_seconds(ship).cast("string"), F.lit("."),
+                 F.lpad(F.col("l_linenumber").cast("string"), 6, "0")).alias("_dlt_load_id"),
+        F.struct(F.col("l_returnflag").alias("flag"),
+                 F.struct(F.col("l_linestatus").alias("status")).alias("line")).alias("meta"),
+        actions.alias("actions"), values.alias("action_values"),
+        video.alias("video_p25_watched_actions"),
+    )
+
+
+NESTED_PARENT_SQL = f"""
+SELECT 'li' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS _dlt_id,
+       lpad(CAST(l_suppkey % {N_TENANTS} AS VARCHAR), 3, '0') AS client,
+       CAST(l_partkey % 50 AS VARCHAR) AS ad_id,
+       strftime(l_shipdate, '%Y-%m-%d') AS date_start,
+       printf('%.2f', l_extendedprice) AS spend,
+       CAST(l_linenumber AS VARCHAR) AS clicks,
+       CAST(epoch(l_shipdate)::BIGINT AS VARCHAR) || '.' || lpad(CAST(l_linenumber AS VARCHAR), 6, '0') AS _dlt_load_id,
+       l_returnflag AS meta__flag, l_linestatus AS meta__line__status,
+       l_linenumber, l_orderkey, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax
+FROM lineitem"""
+
+
+def _child_sql(rows: list[tuple[str, str, int, str]], windows: bool, path: str) -> str:
+    """Child rows of one list, written without lists: element i exists when
+    the length expression exceeds i."""
+    parts = []
+    for kind, value, idx, length in rows:
+        w = ("printf('%.2f', l_discount) AS _1d_view, printf('%.2f', l_tax) AS _1d_click, "
+             "CAST(NULL AS VARCHAR) AS _7d_view, CAST(l_linenumber AS VARCHAR) AS _7d_click"
+             if windows else "")
+        tgt = ("CAST(l_partkey % 5 AS VARCHAR) AS action_target_id, 'web' AS action_destination, "
+               if windows or kind != 'video_view' else "")
+        parts.append(f"""SELECT md5(_dlt_id || '|{path}|{idx}') AS _dlt_id, _dlt_id AS _dlt_parent_id,
+            CAST({idx} AS BIGINT) AS _dlt_list_idx, client, '{kind}' AS action_type, {tgt}{value} AS value{', ' + w if w else ''}
+            FROM parent WHERE {length} > {idx}""")
+    return " UNION ALL ".join(parts)
+
+
+ACTIONS_SQL = _child_sql([
+    ("purchase", "printf('%.2f', l_quantity)", 0, "l_linenumber % 4"),
+    ("add_to_cart", "CAST(l_linenumber AS VARCHAR)", 1, "l_linenumber % 4"),
+    ("view", "printf('%.2f', l_extendedprice)", 2, "l_linenumber % 4")], True, "ads_insights__actions")
+ACTION_VALUES_SQL = _child_sql([
+    ("purchase", "printf('%.2f', l_extendedprice)", 0, "l_orderkey % 3"),
+    ("view", "printf('%.2f', l_tax)", 1, "l_orderkey % 3"),
+    ("lead", "printf('%.2f', l_discount)", 2, "l_orderkey % 3")], True, "ads_insights__action_values")
+VIDEO_SQL = _child_sql([("video_view", "printf('%.2f', l_quantity)", 0, "l_linenumber % 2")], False,
+                       "ads_insights__video_p25_watched_actions")
