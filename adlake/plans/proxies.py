@@ -239,3 +239,138 @@ ACTION_VALUES_SQL = _child_sql([
     ("lead", "printf('%.2f', l_discount)", 2, "l_orderkey % 3")], True, "ads_insights__action_values")
 VIDEO_SQL = _child_sql([("video_view", "printf('%.2f', l_quantity)", 0, "l_linenumber % 2")], False,
                        "ads_insights__video_p25_watched_actions")
+
+
+# ---------------------------------------------------------------- creatives
+# ODS ad_creatives rows (tenant, source_id, JSON payload) from documents:
+# the image URL is the page with the same id (none past the last page), the
+# thumbnail is missing for every third doc, German docs carry a video id and
+# every 50th payload is empty.
+
+_KIND_BY_LANG = "CASE lang WHEN 'en' THEN 'image' WHEN 'de' THEN 'thumbnail' WHEN 'fr' THEN 'video' ELSE 'image' END"
+
+
+def creatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    j = docs.join(pages, docs["doc_id"] == pages["page_id"], "left")
+    cid = F.col("doc_id").cast("string")
+    payload = F.to_json(F.struct(
+        cid.alias("creative_id"),
+        F.concat(F.lit("creative "), cid, F.lit(" "), F.col("lang")).alias("creative_name"),
+        F.col("url").alias("image_url"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.col("url"), F.lit("?thumb=1"))).alias("thumbnail_url"),
+        F.when(F.col("lang") == "de", F.concat(F.lit("v"), cid)).alias("video_id"),
+        F.upper(F.col("source")).alias("cta_type"),
+        F.col("lang").alias("media_type")), {"ignoreNullFields": "false"})
+    return j.select(
+        F.concat(F.lit("org_"), F.col("lang"), F.lit("__"), F.col("source")).alias("tenant_skey"),
+        F.concat(F.lit("org_"), F.col("lang")).alias("org_uid"),
+        F.col("source").alias("client_uid"), cid.alias("source_id"),
+        F.when(F.col("doc_id") % 50 == 0, F.lit("")).otherwise(payload).alias("payload"),
+        # response content type the download would see (proxy)
+        F.expr("CASE doc_id % 4 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/png; charset=binary' "
+               "WHEN 2 THEN NULL ELSE ' video/mp4 ' END").alias("content_type"))
+
+
+CREATIVES_SQL = """
+SELECT 'org_' || d.lang || '__' || d.source AS tenant_skey, 'org_' || d.lang AS org_uid,
+       d.source AS client_uid, CAST(d.doc_id AS VARCHAR) AS source_id,
+       CASE WHEN d.doc_id % 50 = 0 THEN '' ELSE CAST(to_json(struct_pack(
+         creative_id := CAST(d.doc_id AS VARCHAR),
+         creative_name := 'creative ' || CAST(d.doc_id AS VARCHAR) || ' ' || d.lang,
+         image_url := p.url,
+         thumbnail_url := CASE WHEN d.doc_id % 3 = 0 THEN NULL ELSE p.url || '?thumb=1' END,
+         video_id := CASE WHEN d.lang = 'de' THEN 'v' || CAST(d.doc_id AS VARCHAR) END,
+         cta_type := upper(d.source), media_type := d.lang)) AS VARCHAR) END AS payload,
+       CASE d.doc_id % 4 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/png; charset=binary'
+            WHEN 2 THEN NULL ELSE ' video/mp4 ' END AS content_type,
+       d.doc_id, d.lang, d.source, p.url
+FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id"""
+
+
+# Video id -> downloadable source, resolved for docs whose length is not a
+# multiple of five (the rest are "private" and dropped).
+def video_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.where((F.col("lang") == "de") & (F.col("n_chars") % 5 != 0)).select(
+        F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("video_id"),
+        F.concat(F.lit("https://video.example.com/"), F.col("doc_id").cast("string"), F.lit(".mp4")).alias("source"))
+
+
+VIDEO_SOURCES_SQL = """
+SELECT 'v' || CAST(doc_id AS VARCHAR) AS video_id,
+       'https://video.example.com/' || CAST(doc_id AS VARCHAR) || '.mp4' AS source
+FROM documents WHERE lang = 'de' AND n_chars % 5 <> 0"""
+
+
+# ---------------------------------------------------------------- manifest
+# Asset manifest rows from documents: three runs (dates) by doc id, kind by
+# language, bytes/digest of the text, every fourth row a skipped existing
+# object (empty digest).
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    run = (F.col("doc_id") % 3 + 1).cast("string")
+    kind = F.expr(_KIND_BY_LANG)
+    skipped = F.col("doc_id") % 4 == 0
+    return d.select(
+        (F.col("doc_id") % 400).cast("string").alias("creative_id"),
+        F.col("source").alias("client_uid"), F.concat(F.lit("org_"), F.col("lang")).alias("org_uid"),
+        kind.alias("asset_kind"),
+        F.concat(F.lit("lake://assets/client="), F.col("source"), F.lit("/asset_kind="), kind, F.lit("/"),
+                 F.col("doc_id").cast("string"), F.lit(".bin")).alias("gcs_uri"),
+        F.concat(F.lit("https://cdn.example.com/"), F.col("doc_id").cast("string")).alias("original_url"),
+        F.expr("CASE lang WHEN 'fr' THEN 'video/mp4' WHEN 'de' THEN 'image/png' ELSE 'image/jpeg' END").alias("content_type"),
+        F.octet_length("text").cast("bigint").alias("byte_size"),
+        F.when(skipped, F.lit("")).otherwise(F.sha2("text", 256)).alias("sha256"),
+        F.when(F.col("lang") == "fr", F.concat(F.lit("v"), F.col("doc_id").cast("string"))).alias("video_id"),
+        F.timestamp_seconds(F.lit(1709251200) + F.col("doc_id") * 37).alias("downloaded_at"),
+        skipped.alias("skipped_existing"),
+        F.concat(F.lit("2024-03-0"), run).alias("date"),
+        F.concat(F.lit("2024030"), run, F.lit("T0"), (F.col("doc_id") % 2).cast("string"), F.lit("0000Z")).alias("run_ts"))
+
+
+MANIFEST_SQL = f"""
+SELECT CAST(doc_id % 400 AS VARCHAR) AS creative_id, source AS client_uid, 'org_' || lang AS org_uid,
+       {_KIND_BY_LANG} AS asset_kind,
+       'lake://assets/client=' || source || '/asset_kind=' || ({_KIND_BY_LANG}) || '/' || CAST(doc_id AS VARCHAR) || '.bin' AS gcs_uri,
+       'https://cdn.example.com/' || CAST(doc_id AS VARCHAR) AS original_url,
+       CASE lang WHEN 'fr' THEN 'video/mp4' WHEN 'de' THEN 'image/png' ELSE 'image/jpeg' END AS content_type,
+       CAST(octet_length(encode(text)) AS BIGINT) AS byte_size,
+       CASE WHEN doc_id % 4 = 0 THEN '' ELSE sha256(text) END AS sha256,
+       CASE WHEN lang = 'fr' THEN 'v' || CAST(doc_id AS VARCHAR) END AS video_id,
+       make_timestamp(CAST((1709251200 + doc_id * 37) AS BIGINT) * 1000000) AS downloaded_at,
+       doc_id % 4 = 0 AS skipped_existing,
+       '2024-03-0' || CAST(doc_id % 3 + 1 AS VARCHAR) AS date,
+       '2024030' || CAST(doc_id % 3 + 1 AS VARCHAR) || 'T0' || CAST(doc_id % 2 AS VARCHAR) || '0000Z' AS run_ts
+FROM documents"""
+
+
+# ---------------------------------------------------------------- narratives
+# Creative versions with link / template / video branches (mutually
+# exclusive by language); creative id = doc id modulo 100, newest doc wins.
+
+def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    head = F.substring("text", 1, 30)
+    body = F.substring("text", 31, 60)
+    link = F.concat(F.lit("https://shop.example.com/"), F.col("source"))
+    return d.select(
+        (F.col("doc_id") % 100).cast("string").alias("creative_id"), F.col("doc_id").alias("version"),
+        F.when(F.col("lang") == "en", F.struct(head.alias("name"), body.alias("message"),
+                                               F.col("source").alias("description"), link.alias("link"))).alias("link_data"),
+        F.when(F.col("lang") == "de", F.struct(head.alias("name"), body.alias("message"),
+                                               F.lit(None).cast("string").alias("description"), link.alias("link"))).alias("template_data"),
+        F.when(F.col("lang") == "fr", F.struct(head.alias("title"), body.alias("message"),
+                                               F.col("source").alias("link_description"),
+                                               link.alias("call_to_action_link"))).alias("video_data"))
+
+
+NARRATIVES_SQL = """
+SELECT CAST(doc_id % 100 AS VARCHAR) AS creative_id, doc_id AS version, lang,
+       CASE WHEN lang IN ('en', 'de', 'fr') THEN substring(text, 1, 30) END AS headline,
+       CASE WHEN lang IN ('en', 'de', 'fr') THEN substring(text, 31, 60) END AS body,
+       CASE WHEN lang IN ('en', 'fr') THEN source END AS description,
+       CASE WHEN lang IN ('en', 'de', 'fr') THEN 'https://shop.example.com/' || source END AS destination_url
+FROM documents"""
