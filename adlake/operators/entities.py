@@ -100,3 +100,15 @@ def scd2(versions: DataFrame, key: str, attrs: Sequence[str], ts_col: str) -> Da
         key, *attrs, F.col(ts_col).alias("valid_from"),
         F.lead(ts_col).over(w).alias("valid_to"),
         F.lead(ts_col).over(w).isNull().alias("is_current"))
+
+
+def ad_creative_bridge(insights: DataFrame, ads: DataFrame, creatives: DataFrame) -> DataFrame:
+    """Performance per creative via ad -> creative: insights are summed per
+    ad first (partial aggregate), then joined twice."""
+    per_ad = insights.groupBy("ad_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("spend").alias("spend"))
+    a = ads.select(F.col("id").alias("ad_id"), F.col("creative.id").alias("creative_id"))
+    c = creatives.select(F.col("id").alias("creative_id"), "lang")
+    j = per_ad.join(a, "ad_id").join(c, "creative_id")
+    return j.groupBy("creative_id", "lang").agg(
+        F.sum("n_rows").alias("n_rows"), F.round(F.sum("spend"), 2).alias("spend"),
+        F.count(F.lit(1)).alias("n_ads"))

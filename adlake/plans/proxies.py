@@ -374,3 +374,77 @@ SELECT CAST(doc_id % 100 AS VARCHAR) AS creative_id, doc_id AS version, lang,
        CASE WHEN lang IN ('en', 'fr') THEN source END AS description,
        CASE WHEN lang IN ('en', 'de', 'fr') THEN 'https://shop.example.com/' || source END AS destination_url
 FROM documents"""
+
+
+# ---------------------------------------------------------------- insights
+# Typed ad-level daily insights from the star schema: ad = part, adset =
+# supplier, campaign = brand, account = nation, client = region, platform
+# from the line status.  Dimension sides are size-checked before broadcast.
+
+def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlake.operators.joins import sized_broadcast
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = sized_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), 10_000)
+    r = sized_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+           .join(c, F.col("o_custkey") == c["c_custkey"])
+           .join(n, F.col("c_nationkey") == n["n_nationkey"])
+           .join(r, F.col("n_regionkey") == r["r_regionkey"])
+           .join(p, li["l_partkey"] == p["p_partkey"]))
+    imp = (F.col("l_quantity") * 100).cast("bigint")
+    return j.select(
+        F.lower("r_name").alias("client"),
+        F.col("l_partkey").cast("string").alias("ad_id"),
+        F.col("l_suppkey").cast("string").alias("adset_id"),
+        F.col("p_brand").alias("campaign_id"),
+        F.col("n_name").alias("account_id"),
+        F.to_date(F.col("l_shipdate").cast("timestamp")).alias("date_start"),
+        F.when(F.col("l_linestatus") == "O", F.lit("mobile_app")).otherwise(F.lit("desktop")).alias("device_platform"),
+        imp.alias("impressions"), (imp / 2 + 1).cast("bigint").alias("reach"),
+        F.col("l_linenumber").cast("bigint").alias("clicks"),
+        F.col("l_extendedprice").alias("spend"),
+        F.concat(F.lit("li"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string")).alias("row_id"))
+
+
+INSIGHTS_SQL = """
+SELECT lower(r.r_name) AS client, CAST(l.l_partkey AS VARCHAR) AS ad_id, CAST(l.l_suppkey AS VARCHAR) AS adset_id,
+       p.p_brand AS campaign_id, n.n_name AS account_id, CAST(l.l_shipdate AS DATE) AS date_start,
+       CASE WHEN l.l_linestatus = 'O' THEN 'mobile_app' ELSE 'desktop' END AS device_platform,
+       CAST(l.l_quantity * 100 AS BIGINT) AS impressions,
+       CAST(CAST(l.l_quantity * 100 AS BIGINT) // 2 + 1 AS BIGINT) AS reach,
+       CAST(l.l_linenumber AS BIGINT) AS clicks, l.l_extendedprice AS spend,
+       'li' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS row_id
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+JOIN part p ON l.l_partkey = p.p_partkey"""
+
+
+# Ads listing (one per part) whose creative reference is missing, empty or set.
+def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    creative = (F.when(F.col("p_size") % 7 == 0, F.lit(None))
+                 .when(F.col("p_size") % 7 == 1, F.struct(F.lit("").alias("id")))
+                 .otherwise(F.struct(F.concat(F.lit("cr"), (F.col("p_partkey") % 300).cast("string")).alias("id"))))
+    return p.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
+                    creative.alias("creative"))
+
+
+ADS_SQL = """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
+       CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 7 = 1 THEN ''
+            ELSE 'cr' || CAST(p_partkey % 300 AS VARCHAR) END AS creative_id
+FROM part"""
+
+
+# Creatives listing: one per document, id 'cr<doc_id>'.
+def creative_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.concat(F.lit("cr"), F.col("doc_id").cast("string")).alias("id"),
+                    F.col("lang"), F.col("source"))
+
+
+CREATIVE_LISTING_SQL = "SELECT 'cr' || CAST(doc_id AS VARCHAR) AS id, lang, source FROM documents"
