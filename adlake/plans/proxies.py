@@ -448,3 +448,108 @@ def creative_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CREATIVE_LISTING_SQL = "SELECT 'cr' || CAST(doc_id AS VARCHAR) AS id, lang, source FROM documents"
+
+
+# ---------------------------------------------------------------- bodies
+# Landed response bodies (JSON text) built per row from conversations and
+# events: report pages (0-2 rows, some without data, some malformed),
+# multi-id maps (objects, error members, junk), job-status payloads and
+# error bodies.
+
+def _q(c: Column) -> Column:
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cv = table(spark, sf_dir, "conversations")
+    item1 = F.format_string('{"conv_id": %d, "turn": %d, "role": "%s"}', F.col("conv_id"), F.col("turn"), F.col("role"))
+    item2 = F.format_string('{"conv_id": %d, "turn": %d, "role": "echo"}', F.col("conv_id"), F.col("turn") + 1000)
+    body = (F.when(F.col("conv_id") % 7 == 0, F.lit("not json"))
+             .when(F.col("conv_id") % 5 == 0, F.lit("{}"))
+             .when(F.col("turn") % 3 == 0, F.lit('{"data": []}'))
+             .when(F.col("turn") % 3 == 1, F.concat(F.lit('{"data": ['), item1, F.lit("]}")))
+             .otherwise(F.concat(F.lit('{"data": ['), item1, F.lit(", "), item2,
+                                 F.lit('], "paging": {"next": "https://example.com/next"}}'))))
+    return cv.select(F.format_string("%d-%d", F.col("conv_id"), F.col("turn")).alias("page_key"), body.alias("body"))
+
+
+PAGE_ROWS_SQL = """
+SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS page_key, conv_id, turn, role FROM conversations
+WHERE conv_id % 7 <> 0 AND conv_id % 5 <> 0 AND turn % 3 IN (1, 2)
+UNION ALL
+SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), conv_id, turn + 1000, 'echo' FROM conversations
+WHERE conv_id % 7 <> 0 AND conv_id % 5 <> 0 AND turn % 3 = 2"""
+
+
+def multi_id_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cv = table(spark, sf_dir, "conversations")
+    k = F.format_string("%d-%d", F.col("conv_id"), F.col("turn"))
+    obj = F.concat(_q(k), F.lit(': {"id": '), _q(k), F.lit(', "role": '), _q(F.col("role")), F.lit("}"))
+    err = F.when(F.col("turn") % 2 == 0, F.concat(F.lit(", "), _q(F.concat(k, F.lit("e"))),
+                                                  F.lit(': {"error": {"code": 100}}'))).otherwise(F.lit(""))
+    junk = F.when(F.col("turn") % 3 == 0, F.concat(F.lit(", "), _q(F.concat(k, F.lit("j"))), F.lit(": [1, 2]"))) \
+            .otherwise(F.lit(""))
+    s = F.concat(F.lit(", "), _q(F.concat(k, F.lit("s"))), F.lit(': "x"'))
+    return cv.select(k.alias("body_key"), F.concat(F.lit("{"), obj, err, junk, s, F.lit("}")).alias("body"))
+
+
+MULTI_ID_KEPT_SQL = """
+SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS object_key,
+       CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, role
+FROM conversations"""
+
+_STATUS_BY_TYPE = ("CASE event_type WHEN 'click' THEN 'Job Completed' WHEN 'view' THEN 'Job Running' "
+                   "WHEN 'error' THEN 'Job Failed' WHEN 'signup' THEN 'Job Skipped' ELSE 'Job Started' END")
+
+
+def status_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    pct = (F.when(F.col("event_id") % 4 == 0, F.floor("value").cast("string"))
+            .when(F.col("event_id") % 4 == 1, F.format_string("%.2f", F.col("value")))
+            .when(F.col("event_id") % 4 == 2, _q(F.format_string("%d", F.floor("value").cast("bigint"))))
+            .otherwise(F.lit("true")))
+    title = (F.when(F.col("event_id") % 3 == 0, F.lit('""'))
+              .when(F.col("event_id") % 3 == 1, _q(F.concat(F.lit("Title "), k)))
+              .otherwise(F.lit("7")))
+    code = F.when(F.col("event_type") == "error", F.concat(F.lit(', "error_code": '), k)).otherwise(F.lit(""))
+    rid = F.when(F.col("event_id") % 10 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(', "report_run_id": "rr'), F.col("event_id").cast("string"), F.lit('"')))
+    body = F.concat(F.lit('{"async_status": '), _q(F.expr(_STATUS_BY_TYPE)), F.lit(', "async_percent_completion": '),
+                    pct, F.lit(', "error_user_title": '), title, code, rid, F.lit("}"))
+    return ev.select("event_id", body.alias("body"))
+
+
+STATUS_SQL = f"""
+SELECT event_id, {_STATUS_BY_TYPE} AS async_status,
+       CAST(CASE event_id % 4 WHEN 0 THEN floor(value) WHEN 1 THEN trunc(CAST(printf('%.2f', value) AS DOUBLE))
+            WHEN 2 THEN floor(value) ELSE 0 END AS BIGINT) AS async_percent_completion,
+       CASE WHEN event_type = 'error' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS error_code,
+       CAST(NULL AS BIGINT) AS error_subcode,
+       CASE event_id % 3 WHEN 1 THEN 'Title ' || json_extract_string(props, '$.k') END AS error_user_title,
+       CAST(NULL AS VARCHAR) AS error_user_msg,
+       event_type = 'click' AS is_success, event_type IN ('error', 'signup') AS is_failure,
+       event_type IN ('click', 'error', 'signup') AS is_terminal,
+       CASE WHEN event_id % 10 <> 0 THEN 'rr' || CAST(event_id AS VARCHAR) END AS report_run_id
+FROM events"""
+
+
+def error_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    b3 = F.concat(F.lit('{"error": {"message": "m'), k, F.lit('", "code": '), k, F.lit(', "x": 1}}'))
+    b4 = F.concat(F.lit('{"error": {"type": "OAuthException", "code": 190, "error_subcode": 463, "fbtrace_id": "t'),
+                  F.col("event_id").cast("string"),
+                  F.lit('", "is_transient": true, "error_user_msg": null, "message": "bad"}}'))
+    body = (F.when(F.col("event_id") % 5 == 0, F.lit("nope")).when(F.col("event_id") % 5 == 1, F.lit("{}"))
+             .when(F.col("event_id") % 5 == 2, F.lit('{"error": "x"}')).when(F.col("event_id") % 5 == 3, b3)
+             .otherwise(b4))
+    return ev.select("event_id", body.alias("body"))
+
+
+ERROR_BODIES_SQL = """
+SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'nope' WHEN 1 THEN '{}' WHEN 2 THEN '{"error": "x"}'
+  WHEN 3 THEN '{"error": {"message": "m' || json_extract_string(props, '$.k') || '", "code": ' || json_extract_string(props, '$.k') || ', "x": 1}}'
+  ELSE '{"error": {"type": "OAuthException", "code": 190, "error_subcode": 463, "fbtrace_id": "t' || CAST(event_id AS VARCHAR) ||
+       '", "is_transient": true, "error_user_msg": null, "message": "bad"}}' END AS body
+FROM events"""
