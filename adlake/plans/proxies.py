@@ -553,3 +553,53 @@ SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'nope' WHEN 1 THEN '{}' WHEN 2 TH
   ELSE '{"error": {"type": "OAuthException", "code": 190, "error_subcode": 463, "fbtrace_id": "t' || CAST(event_id AS VARCHAR) ||
        '", "is_transient": true, "error_user_msg": null, "message": "bad"}}' END AS body
 FROM events"""
+
+
+# ---------------------------------------------------------------- responses
+# API responses with rate-limit headers, from events: run = tenant + user
+# bucket, seq = event id; headers absent, malformed, or JSON whose numbers
+# are sometimes text, with lists holding junk elements.
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    ki = k.cast("int")
+    app = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+            .when(F.col("event_type") == "error", F.lit("{bad json"))
+            .otherwise(F.format_string('{"call_count": %s, "total_cputime": "%.2f", "total_time": %d}',
+                                       k, F.col("value"), F.floor("value") % 130)))
+    tier = F.expr("CASE CAST(get_json_object(props, '$.k') AS INT) % 3 WHEN 0 THEN 'standard_access' "
+                  "WHEN 1 THEN 'development_access' ELSE '' END")
+    acc = F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(
+        F.format_string('{"acc_id_util_pct": %.2f, "reset_time_duration": %d, "ads_api_access_tier": "%s"}',
+                        F.col("value"), ki * 10, tier))
+    eta = F.when(ki > 90, ki - 90).otherwise(F.lit(0))
+    biz = F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.format_string(
+        '{"biz%d": [{"type": "ads_management", "call_count": %d, "total_cputime": %d, "total_time": "%d", '
+        '"estimated_time_to_regain_access": %d}, 5, {"type": "ads_insights", "call_count": %.2f}], "biz9": "notalist"}',
+        F.col("user_id") % 5, ki, F.floor("value") % 60, ki % 50, eta, F.col("value")))
+    run = F.concat(F.lpad((F.col("user_id") % N_TENANTS).cast("string"), 3, "0"), F.lit("-r"),
+                   (F.col("user_id") % 3).cast("string"))
+    return ev.select(run.alias("run_id"), F.col("event_id").alias("seq"), app.alias("app_usage"),
+                     acc.alias("account_usage"), biz.alias("business_usage"))
+
+
+RESPONSES_SQL = f"""
+SELECT lpad(CAST(user_id % {N_TENANTS} AS VARCHAR), 3, '0') || '-r' || CAST(user_id % 3 AS VARCHAR) AS run_id,
+       event_id AS seq,
+       CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN '{{bad json'
+            ELSE printf('{{"call_count": %s, "total_cputime": "%.2f", "total_time": %d}}',
+                        json_extract_string(props, '$.k'), value, CAST(floor(value) AS BIGINT) % 130) END AS app_usage,
+       CASE WHEN event_id % 3 = 0 THEN NULL
+            ELSE printf('{{"acc_id_util_pct": %.2f, "reset_time_duration": %d, "ads_api_access_tier": "%s"}}',
+                        value, CAST(json_extract_string(props, '$.k') AS INTEGER) * 10,
+                        CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'standard_access'
+                             WHEN 1 THEN 'development_access' ELSE '' END) END AS account_usage,
+       CASE WHEN event_id % 4 = 0 THEN NULL
+            ELSE printf('{{"biz%d": [{{"type": "ads_management", "call_count": %d, "total_cputime": %d, "total_time": "%d", '
+                        || '"estimated_time_to_regain_access": %d}}, 5, {{"type": "ads_insights", "call_count": %.2f}}], "biz9": "notalist"}}',
+                        user_id % 5, CAST(json_extract_string(props, '$.k') AS INTEGER),
+                        CAST(floor(value) AS BIGINT) % 60, CAST(json_extract_string(props, '$.k') AS INTEGER) % 50,
+                        CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) > 90
+                             THEN CAST(json_extract_string(props, '$.k') AS INTEGER) - 90 ELSE 0 END, value) END AS business_usage
+FROM events"""
