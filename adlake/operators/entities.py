@@ -96,7 +96,8 @@ def scd2(versions: DataFrame, key: str, attrs: Sequence[str], ts_col: str) -> Da
                   .withColumn("_prev", F.lag("_h").over(w))
                   .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_h"))))
     return ch.select(
-        F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.col(ts_col).cast("string")), 256).alias("dim_skey"),
+        F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.unix_micros(F.col(ts_col)).cast("string")), 256)
+         .alias("dim_skey"),
         key, *attrs, F.col(ts_col).alias("valid_from"),
         F.lead(ts_col).over(w).alias("valid_to"),
         F.lead(ts_col).over(w).isNull().alias("is_current"))
