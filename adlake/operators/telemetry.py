@@ -2,10 +2,11 @@
 
 Input: one row per response ``(run_id, seq, app_usage, account_usage,
 business_usage)`` with the three usage headers as JSON text.  Parsing is
-per row (narrow); the per-run rollup is two hash aggregates (responses,
-buckets) whose buffers are all mergeable (max/min/max_by/bool_or/count), so
-responses of one run may be spread over any number of tasks and a hot run is
-combined map-side; the two per-run results are then joined.
+per row (narrow); response rows and bucket rows are unioned into one signal
+stream and the per-run rollup is a single aggregate whose buffers are all
+mergeable (max/min/max_by/bool_or/count): responses of one run may be spread
+over any number of tasks, a hot run is combined map-side, and the same
+expression runs as a streaming aggregation.
 """
 
 from __future__ import annotations
@@ -92,46 +93,64 @@ def business_object_count(col: Column) -> Column:
         F.filter(F.coalesce(l, F.array().cast("array<string>")), lambda e: F.ltrim(e).startswith("{")))), F.lit(0))
 
 
-def rollup(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
-    """One telemetry row per run: maxima (NULLs ignored), min reset, last
-    non-empty tier, worst bucket, throttled flag and response counters.
+_H_FIELDS = ("app_call_count", "app_total_cputime", "app_total_time", "acc_id_util_pct", "reset_time_duration",
+             "ads_api_access_tier")
+_B_FIELDS = ("business_id", "type", "call_count", "total_cputime", "total_time", "eta", "biz_pos", "pos")
+
 
-    Two partial aggregates (responses, buckets) grouped by run, then a join
-    of the two per-run results; no per-response shuffle."""
-    h = parse_headers(resp)
+def signals(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
+    """One row per response (header fields) plus one row per bucket, in one
+    schema; fields of the other kind are NULL.  Works on streams too."""
+    h = parse_headers(resp).select(
+        run_key, "seq", *_H_FIELDS,
+        (F.col("has_app") | F.col("has_account") | (business_object_count(F.col(business)) > 0)).alias("saw_header"),
+        F.lit(1).alias("is_response"))
+    b = business_buckets(resp, business, keys=(run_key, "seq")).select(
+        run_key, "seq", *_B_FIELDS, F.lit(0).alias("is_response"))
+    return h.unionByName(b, allowMissingColumns=True)
+
+
+def rollup_signals(sig: DataFrame, run_key: str = "run_id") -> DataFrame:
+    """The per-run telemetry row from ``signals`` in one aggregate.  Every
+    buffer is order-free (max/min/max_by/bool_or/count), so the same
+    expression serves batch and streaming (update/complete mode)."""
     thr = F.lit(PRESSURE_ERROR)
     tier = F.col("ads_api_access_tier")
-    saw = F.col("has_app") | F.col("has_account") | (business_object_count(F.col(business)) > 0)
-    throttled_h = ((F.col("app_call_count") >= thr) | (F.col("app_total_cputime") >= thr) |
-                   (F.col("app_total_time") >= thr) | (F.col("acc_id_util_pct") >= thr))
-    agg_h = h.groupBy(run_key).agg(
+    eta = F.coalesce(F.col("eta"), F.lit(0).cast("bigint"))
+    is_bucket = F.col("is_response") == 0
+    rank = F.when(is_bucket, F.struct(
+        (eta > 0).cast("int").alias("a"), eta.alias("e"),
+        F.greatest(*[F.coalesce(F.col(c), F.lit(0.0)) for c in ("call_count", "total_cputime", "total_time")]).alias("p"),
+        (-F.col("seq")).alias("s"), (-F.col("biz_pos")).alias("b"), (-F.col("pos")).alias("i")))
+    throttled = ((F.col("app_call_count") >= thr) | (F.col("app_total_cputime") >= thr) |
+                 (F.col("app_total_time") >= thr) | (F.col("acc_id_util_pct") >= thr) |
+                 (F.col("call_count") >= thr) | (F.col("total_cputime") >= thr) | (F.col("total_time") >= thr) |
+                 (is_bucket & (eta > 0)))
+    agg = sig.groupBy(run_key).agg(
         F.max("app_call_count").alias("max_app_call_count_pct"),
         F.max("app_total_cputime").alias("max_app_cputime_pct"),
         F.max("app_total_time").alias("max_app_total_time_pct"),
         F.max("acc_id_util_pct").alias("max_acc_util_pct"),
         F.min("reset_time_duration").alias("min_acc_reset_seconds"),
         F.max_by(tier, F.when(tier.isNotNull(), F.col("seq"))).alias("ads_api_access_tier"),
-        F.coalesce(F.bool_or(throttled_h), F.lit(False)).alias("_thr_h"),
-        F.count(F.lit(1)).alias("responses_seen"),
-        F.count_if(saw).alias("responses_with_rate_limit_headers"))
-    b = business_buckets(resp, business, keys=(run_key, "seq"))
-    eta = F.coalesce(F.col("eta"), F.lit(0).cast("bigint"))
-    rank = F.struct((eta > 0).cast("int").alias("a"), eta.alias("e"), bucket_pressure(b).alias("p"),
-                    (-F.col("seq")).alias("s"), (-F.col("biz_pos")).alias("b"), (-F.col("pos")).alias("i"))
-    throttled_b = ((F.col("call_count") >= thr) | (F.col("total_cputime") >= thr) |
-                   (F.col("total_time") >= thr) | (eta > 0))
-    agg_b = b.groupBy(run_key).agg(
         F.max("call_count").alias("max_buc_call_count_pct"),
         F.max("total_cputime").alias("max_buc_cputime_pct"),
         F.max("total_time").alias("max_buc_total_time_pct"),
         F.max("eta").alias("max_buc_eta_minutes"),
         F.max_by(F.struct("type", "business_id"), rank).alias("_w"),
-        F.bool_or(throttled_b).alias("_thr_b"))
-    j = agg_h.join(agg_b, run_key, "left")
-    return j.select(
+        F.coalesce(F.bool_or(throttled), F.lit(False)).alias("throttled_during_run"),
+        F.sum("is_response").cast("bigint").alias("responses_seen"),
+        F.count_if(F.coalesce(F.col("saw_header"), F.lit(False))).alias("responses_with_rate_limit_headers"))
+    return agg.select(
         run_key, "max_app_call_count_pct", "max_app_cputime_pct", "max_app_total_time_pct", "max_acc_util_pct",
         "min_acc_reset_seconds", "ads_api_access_tier", "max_buc_call_count_pct", "max_buc_cputime_pct",
         "max_buc_total_time_pct", "max_buc_eta_minutes",
         F.col("_w.type").alias("worst_buc_type"), F.col("_w.business_id").alias("worst_buc_business_id"),
-        (F.col("_thr_h") | F.coalesce(F.col("_thr_b"), F.lit(False))).alias("throttled_during_run"),
-        "responses_seen", "responses_with_rate_limit_headers")
+        "throttled_during_run", "responses_seen", "responses_with_rate_limit_headers")
+
+
+def rollup(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
+    """One telemetry row per run: maxima (NULLs ignored), min reset, last
+    non-empty tier, worst bucket (first seen on ties), throttled flag and
+    response counters — a single partial/final aggregate over ``signals``."""
+    return rollup_signals(signals(resp, run_key, business), run_key)
