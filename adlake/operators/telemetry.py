@@ -48,7 +48,8 @@ def business_buckets(resp: DataFrame, col: str = "business_usage", keys: Sequenc
     v = J.parse(F.col("_b"))
     b = b.where(J.is_object(v)).withColumn("_v", v)
     v = F.col("_v")
-    return b.select(*keys, "biz_pos", "pos", "business_id",
+    return b.select(*keys, F.col("biz_pos").cast("bigint").alias("biz_pos"), F.col("pos").cast("bigint").alias("pos"),
+                    "business_id",
                     J.jstr(v, "$.type").alias("type"),
                     J.jfloat(v, "$.call_count").alias("call_count"),
                     J.jfloat(v, "$.total_cputime").alias("total_cputime"),

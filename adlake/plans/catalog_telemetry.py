@@ -140,7 +140,7 @@ SELECT seq,
        coalesce(CASE WHEN {_obj('app_usage')} THEN {_jint('app_usage', '$.total_cputime')} END, 0) AS cputime_int_or_zero,
        CASE WHEN {_obj('account_usage')} THEN {_jstr('account_usage', '$.ads_api_access_tier')} END AS tier,
        CASE WHEN json_extract_string(props, '$.k') IS NOT NULL THEN
-         (CASE WHEN regexp_matches(printf('%.2f', value), '{S.NUMERIC_RE}') THEN TRY_CAST(trunc(CAST(printf('%.2f', value) AS DOUBLE)) AS BIGINT) END) END AS value_int
+         (CASE WHEN regexp_matches({P.dec2_sql('value')}, '{S.NUMERIC_RE}') THEN TRY_CAST(trunc(CAST({P.dec2_sql('value')} AS DOUBLE)) AS BIGINT) END) END AS value_int
 FROM r JOIN events e ON r.seq = e.event_id
 """)
 def q_tolerant_numeric(spark, d):
@@ -154,4 +154,4 @@ def q_tolerant_numeric(spark, d):
         F.when(a_ok, J.jint(a, "$.total_cputime")).alias("cputime_int"),
         F.coalesce(F.when(a_ok, J.jint(a, "$.total_cputime")), F.lit(0).cast("bigint")).alias("cputime_int_or_zero"),
         F.when(c_ok, J.jstr(c, "$.ads_api_access_tier")).alias("tier"),
-        C.tolerant_int(F.format_string("%.2f", F.col("value"))).alias("value_int"))
+        C.tolerant_int(P.dec2(F.col("value"))).alias("value_int"))

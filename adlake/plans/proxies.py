@@ -15,8 +15,32 @@ from pyspark.sql import functions as F
 N_TENANTS = 7  # tenants are assigned by user/customer id modulo this
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The test files are single row groups (one scan task
+    each); when such a file is over 1 MiB and yields fewer splits than the
+    cluster has cores, rows are spread round-robin so the per-row proxy work
+    runs in parallel.  On a real lake (many splits) this is a no-op."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    cores = spark.sparkContext.defaultParallelism
+    if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
+
+
+def dec2(c: Column) -> Column:
+    """Text of a 2-decimal amount ('12.30'), via DECIMAL (no formatter)."""
+    return c.cast("decimal(18,2)").cast("string")
+
+
+def dec2_sql(e: str) -> str:
+    return f"CAST(CAST({e} AS DECIMAL(18,2)) AS VARCHAR)"
 
 
 def _ts(c: str) -> Column:
@@ -51,7 +75,7 @@ def extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise((F.floor("value") % 50).cast("string")).alias("clicks"),
         F.when(F.col("event_id") % 11 == 0, F.lit("12.7"))
          .otherwise((F.floor("value") % 20).cast("string")).alias("unique_clicks"),
-        F.format_string("%.2f", F.col("value")).alias("spend"),
+        dec2(F.col("value")).alias("spend"),
         F.concat(F.lit("0."), F.lpad(k, 2, "0")).alias("ctr"),
         F.concat(k, F.lit(".5")).alias("cpm"),
         F.when(k.cast("int") % 5 == 0, F.lit(""))
@@ -82,7 +106,7 @@ SELECT
          ELSE CAST(CAST(floor(value) AS BIGINT) % 50 AS VARCHAR) END AS clicks,
     CASE WHEN event_id % 11 = 0 THEN '12.7'
          ELSE CAST(CAST(floor(value) AS BIGINT) % 20 AS VARCHAR) END AS unique_clicks,
-    printf('%.2f', value) AS spend,
+    CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS spend,
     '0.' || lpad(json_extract_string(props, '$.k'), 2, '0') AS ctr,
     json_extract_string(props, '$.k') || '.5' AS cpm,
     CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 = 0 THEN ''
@@ -137,7 +161,7 @@ def drifted_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(F.lit("supp").alias("client"), F.col("s_suppkey").alias("id"),
                     F.col("s_nationkey").alias("account_id"), F.col("s_name").alias("name"),
-                    F.format_string("%.2f", F.col("s_acctbal")).alias("daily_budget"))
+                    dec2(F.col("s_acctbal")).alias("daily_budget"))
 
 
 DRIFTED_CUSTOMER_SQL = """
@@ -146,7 +170,7 @@ SELECT 'cust' AS client, c_custkey AS id, c_nationkey AS account_id, c_name AS n
 FROM customer"""
 DRIFTED_SUPPLIER_SQL = """
 SELECT 'supp' AS client, s_suppkey AS id, s_nationkey AS account_id, s_name AS name,
-       printf('%.2f', s_acctbal) AS daily_budget
+       CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS daily_budget
 FROM supplier"""
 
 
@@ -156,7 +180,7 @@ FROM supplier"""
 # length follows the line number, and struct columns to flatten.
 
 def _f2(c: str) -> Column:
-    return F.format_string("%.2f", F.col(c))
+    return dec2(F.col(c))
 
 
 def _action(kind: str, value: Column, target: Column, windows: bool = True) -> Column:
@@ -205,7 +229,7 @@ SELECT 'li' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHA
        lpad(CAST(l_suppkey % {N_TENANTS} AS VARCHAR), 3, '0') AS client,
        CAST(l_partkey % 50 AS VARCHAR) AS ad_id,
        strftime(l_shipdate, '%Y-%m-%d') AS date_start,
-       printf('%.2f', l_extendedprice) AS spend,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS spend,
        CAST(l_linenumber AS VARCHAR) AS clicks,
        CAST(epoch(l_shipdate)::BIGINT AS VARCHAR) || '.' || lpad(CAST(l_linenumber AS VARCHAR), 6, '0') AS _dlt_load_id,
        l_returnflag AS meta__flag, l_linestatus AS meta__line__status,
@@ -218,7 +242,7 @@ def _child_sql(rows: list[tuple[str, str, int, str]], windows: bool, path: str)
     the length expression exceeds i."""
     parts = []
     for kind, value, idx, length in rows:
-        w = ("printf('%.2f', l_discount) AS _1d_view, printf('%.2f', l_tax) AS _1d_click, "
+        w = ("CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) AS _1d_view, CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) AS _1d_click, "
              "CAST(NULL AS VARCHAR) AS _7d_view, CAST(l_linenumber AS VARCHAR) AS _7d_click"
              if windows else "")
         tgt = ("CAST(l_partkey % 5 AS VARCHAR) AS action_target_id, 'web' AS action_destination, "
@@ -230,14 +254,14 @@ def _child_sql(rows: list[tuple[str, str, int, str]], windows: bool, path: str)
 
 
 ACTIONS_SQL = _child_sql([
-    ("purchase", "printf('%.2f', l_quantity)", 0, "l_linenumber % 4"),
+    ("purchase", "CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)", 0, "l_linenumber % 4"),
     ("add_to_cart", "CAST(l_linenumber AS VARCHAR)", 1, "l_linenumber % 4"),
-    ("view", "printf('%.2f', l_extendedprice)", 2, "l_linenumber % 4")], True, "ads_insights__actions")
+    ("view", "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)", 2, "l_linenumber % 4")], True, "ads_insights__actions")
 ACTION_VALUES_SQL = _child_sql([
-    ("purchase", "printf('%.2f', l_extendedprice)", 0, "l_orderkey % 3"),
-    ("view", "printf('%.2f', l_tax)", 1, "l_orderkey % 3"),
-    ("lead", "printf('%.2f', l_discount)", 2, "l_orderkey % 3")], True, "ads_insights__action_values")
-VIDEO_SQL = _child_sql([("video_view", "printf('%.2f', l_quantity)", 0, "l_linenumber % 2")], False,
+    ("purchase", "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)", 0, "l_orderkey % 3"),
+    ("view", "CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR)", 1, "l_orderkey % 3"),
+    ("lead", "CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR)", 2, "l_orderkey % 3")], True, "ads_insights__action_values")
+VIDEO_SQL = _child_sql([("video_view", "CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)", 0, "l_linenumber % 2")], False,
                        "ads_insights__video_p25_watched_actions")
 
 
@@ -462,15 +486,18 @@ def _q(c: Column) -> Column:
 
 def page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     cv = table(spark, sf_dir, "conversations")
-    item1 = F.format_string('{"conv_id": %d, "turn": %d, "role": "%s"}', F.col("conv_id"), F.col("turn"), F.col("role"))
-    item2 = F.format_string('{"conv_id": %d, "turn": %d, "role": "echo"}', F.col("conv_id"), F.col("turn") + 1000)
+    cid, turn = F.col("conv_id").cast("string"), F.col("turn").cast("string")
+    item1 = F.concat(F.lit('{"conv_id": '), cid, F.lit(', "turn": '), turn, F.lit(', "role": "'), F.col("role"),
+                     F.lit('"}'))
+    item2 = F.concat(F.lit('{"conv_id": '), cid, F.lit(', "turn": '), (F.col("turn") + 1000).cast("string"),
+                     F.lit(', "role": "echo"}'))
     body = (F.when(F.col("conv_id") % 7 == 0, F.lit("not json"))
              .when(F.col("conv_id") % 5 == 0, F.lit("{}"))
              .when(F.col("turn") % 3 == 0, F.lit('{"data": []}'))
              .when(F.col("turn") % 3 == 1, F.concat(F.lit('{"data": ['), item1, F.lit("]}")))
              .otherwise(F.concat(F.lit('{"data": ['), item1, F.lit(", "), item2,
                                  F.lit('], "paging": {"next": "https://example.com/next"}}'))))
-    return cv.select(F.format_string("%d-%d", F.col("conv_id"), F.col("turn")).alias("page_key"), body.alias("body"))
+    return cv.select(F.concat(cid, F.lit("-"), turn).alias("page_key"), body.alias("body"))
 
 
 PAGE_ROWS_SQL = """
@@ -483,7 +510,7 @@ WHERE conv_id % 7 <> 0 AND conv_id % 5 <> 0 AND turn % 3 = 2"""
 
 def multi_id_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     cv = table(spark, sf_dir, "conversations")
-    k = F.format_string("%d-%d", F.col("conv_id"), F.col("turn"))
+    k = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
     obj = F.concat(_q(k), F.lit(': {"id": '), _q(k), F.lit(', "role": '), _q(F.col("role")), F.lit("}"))
     err = F.when(F.col("turn") % 2 == 0, F.concat(F.lit(", "), _q(F.concat(k, F.lit("e"))),
                                                   F.lit(': {"error": {"code": 100}}'))).otherwise(F.lit(""))
@@ -506,8 +533,8 @@ def status_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k")
     pct = (F.when(F.col("event_id") % 4 == 0, F.floor("value").cast("string"))
-            .when(F.col("event_id") % 4 == 1, F.format_string("%.2f", F.col("value")))
-            .when(F.col("event_id") % 4 == 2, _q(F.format_string("%d", F.floor("value").cast("bigint"))))
+            .when(F.col("event_id") % 4 == 1, dec2(F.col("value")))
+            .when(F.col("event_id") % 4 == 2, _q(F.floor("value").cast("string")))
             .otherwise(F.lit("true")))
     title = (F.when(F.col("event_id") % 3 == 0, F.lit('""'))
               .when(F.col("event_id") % 3 == 1, _q(F.concat(F.lit("Title "), k)))
@@ -522,7 +549,7 @@ def status_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATUS_SQL = f"""
 SELECT event_id, {_STATUS_BY_TYPE} AS async_status,
-       CAST(CASE event_id % 4 WHEN 0 THEN floor(value) WHEN 1 THEN trunc(CAST(printf('%.2f', value) AS DOUBLE))
+       CAST(CASE event_id % 4 WHEN 0 THEN floor(value) WHEN 1 THEN trunc(CAST(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE))
             WHEN 2 THEN floor(value) ELSE 0 END AS BIGINT) AS async_percent_completion,
        CASE WHEN event_type = 'error' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS error_code,
        CAST(NULL AS BIGINT) AS error_subcode,
@@ -566,18 +593,22 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ki = k.cast("int")
     app = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
             .when(F.col("event_type") == "error", F.lit("{bad json"))
-            .otherwise(F.format_string('{"call_count": %s, "total_cputime": "%.2f", "total_time": %d}',
-                                       k, F.col("value"), F.floor("value") % 130)))
+            .otherwise(F.concat(F.lit('{"call_count": '), k, F.lit(', "total_cputime": "'), dec2(F.col("value")),
+                                F.lit('", "total_time": '), (F.floor("value") % 130).cast("string"), F.lit("}"))))
     tier = F.expr("CASE CAST(get_json_object(props, '$.k') AS INT) % 3 WHEN 0 THEN 'standard_access' "
                   "WHEN 1 THEN 'development_access' ELSE '' END")
     acc = F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(
-        F.format_string('{"acc_id_util_pct": %.2f, "reset_time_duration": %d, "ads_api_access_tier": "%s"}',
-                        F.col("value"), ki * 10, tier))
+        F.concat(F.lit('{"acc_id_util_pct": '), dec2(F.col("value")), F.lit(', "reset_time_duration": '),
+                 (ki * 10).cast("string"), F.lit(', "ads_api_access_tier": "'), tier, F.lit('"}')))
     eta = F.when(ki > 90, ki - 90).otherwise(F.lit(0))
-    biz = F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.format_string(
-        '{"biz%d": [{"type": "ads_management", "call_count": %d, "total_cputime": %d, "total_time": "%d", '
-        '"estimated_time_to_regain_access": %d}, 5, {"type": "ads_insights", "call_count": %.2f}], "biz9": "notalist"}',
-        F.col("user_id") % 5, ki, F.floor("value") % 60, ki % 50, eta, F.col("value")))
+    biz = F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat(
+        F.lit('{"biz'), (F.col("user_id") % 5).cast("string"),
+        F.lit('": [{"type": "ads_management", "call_count": '), ki.cast("string"),
+        F.lit(', "total_cputime": '), (F.floor("value") % 60).cast("string"),
+        F.lit(', "total_time": "'), (ki % 50).cast("string"),
+        F.lit('", "estimated_time_to_regain_access": '), eta.cast("string"),
+        F.lit('}, 5, {"type": "ads_insights", "call_count": '), dec2(F.col("value")),
+        F.lit('}], "biz9": "notalist"}')))
     run = F.concat(F.lpad((F.col("user_id") % N_TENANTS).cast("string"), 3, "0"), F.lit("-r"),
                    (F.col("user_id") % 3).cast("string"))
     return ev.select(run.alias("run_id"), F.col("event_id").alias("seq"), app.alias("app_usage"),
@@ -588,18 +619,22 @@ RESPONSES_SQL = f"""
 SELECT lpad(CAST(user_id % {N_TENANTS} AS VARCHAR), 3, '0') || '-r' || CAST(user_id % 3 AS VARCHAR) AS run_id,
        event_id AS seq,
        CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN '{{bad json'
-            ELSE printf('{{"call_count": %s, "total_cputime": "%.2f", "total_time": %d}}',
-                        json_extract_string(props, '$.k'), value, CAST(floor(value) AS BIGINT) % 130) END AS app_usage,
+            ELSE '{{"call_count": ' || json_extract_string(props, '$.k') || ', "total_cputime": "' || {dec2_sql('value')}
+                 || '", "total_time": ' || CAST(CAST(floor(value) AS BIGINT) % 130 AS VARCHAR) || '}}' END AS app_usage,
        CASE WHEN event_id % 3 = 0 THEN NULL
-            ELSE printf('{{"acc_id_util_pct": %.2f, "reset_time_duration": %d, "ads_api_access_tier": "%s"}}',
-                        value, CAST(json_extract_string(props, '$.k') AS INTEGER) * 10,
-                        CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'standard_access'
-                             WHEN 1 THEN 'development_access' ELSE '' END) END AS account_usage,
+            ELSE '{{"acc_id_util_pct": ' || {dec2_sql('value')} || ', "reset_time_duration": '
+                 || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) * 10 AS VARCHAR)
+                 || ', "ads_api_access_tier": "'
+                 || CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'standard_access'
+                         WHEN 1 THEN 'development_access' ELSE '' END || '"}}' END AS account_usage,
        CASE WHEN event_id % 4 = 0 THEN NULL
-            ELSE printf('{{"biz%d": [{{"type": "ads_management", "call_count": %d, "total_cputime": %d, "total_time": "%d", '
-                        || '"estimated_time_to_regain_access": %d}}, 5, {{"type": "ads_insights", "call_count": %.2f}}], "biz9": "notalist"}}',
-                        user_id % 5, CAST(json_extract_string(props, '$.k') AS INTEGER),
-                        CAST(floor(value) AS BIGINT) % 60, CAST(json_extract_string(props, '$.k') AS INTEGER) % 50,
-                        CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) > 90
-                             THEN CAST(json_extract_string(props, '$.k') AS INTEGER) - 90 ELSE 0 END, value) END AS business_usage
+            ELSE '{{"biz' || CAST(user_id % 5 AS VARCHAR) || '": [{{"type": "ads_management", "call_count": '
+                 || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR)
+                 || ', "total_cputime": ' || CAST(CAST(floor(value) AS BIGINT) % 60 AS VARCHAR)
+                 || ', "total_time": "' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 AS VARCHAR)
+                 || '", "estimated_time_to_regain_access": '
+                 || CAST(CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) > 90
+                              THEN CAST(json_extract_string(props, '$.k') AS INTEGER) - 90 ELSE 0 END AS VARCHAR)
+                 || '}}, 5, {{"type": "ads_insights", "call_count": ' || {dec2_sql('value')}
+                 || '}}], "biz9": "notalist"}}' END AS business_usage
 FROM events"""
