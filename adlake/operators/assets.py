@@ -175,6 +175,7 @@ def write_manifest(results: DataFrame, root: str, run_ts) -> bool:
     ts = F.lit(run_ts).cast("timestamp")
     (results.withColumn("run_ts", F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))
             .withColumn("date", F.date_format(ts, "yyyy-MM-dd"))
+            .hint("rebalance", "date")
             .write.mode("append").partitionBy("date").parquet(root))
     return True
 

@@ -11,6 +11,7 @@ from adlake.operators import unify as U
 from adlake.plans import proxies as P
 from adlake.plans.registry import query
 from adlake.session import scratch_dir
+from adlake.sources import lake as L
 
 _C = f"c AS ({P.CREATIVES_SQL})"
 _SPECS_SQL = """
@@ -159,7 +160,7 @@ def q_manifest_write(spark, d):
 
 def _written_manifest(spark, d):
     root = scratch_dir(spark, "manifest")
-    _manifest(spark, d).write.mode("append").partitionBy("date").parquet(root)
+    L.write_partitioned(_manifest(spark, d), root, ["date"])
     return A.read_manifest(spark, root)
 
 

@@ -136,8 +136,8 @@ def q_write_replace(spark, d):
     """Full replace, then a dynamic overwrite of the last days only."""
     root = scratch_dir(spark, "replace")
     e = P.extracts(spark, d).select("_dlt_id", F.col("date_start").alias("date"))
-    e.withColumn("version", F.lit("v0")).write.mode("overwrite").partitionBy("date").parquet(root)
-    e.withColumn("version", F.lit("v1")).write.mode("overwrite").partitionBy("date").parquet(root)
+    L.write_partitioned(e.withColumn("version", F.lit("v0")), root, ["date"], mode="overwrite")
+    L.write_partitioned(e.withColumn("version", F.lit("v1")), root, ["date"], mode="overwrite")
     L.write_replace_window(e.where(F.col("date") >= "2024-01-25").withColumn("version", F.lit("v2")),
                            root, ["date"])
     return spark.read.parquet(root).groupBy("date", "version").agg(F.count(F.lit(1)).alias("n_rows"))

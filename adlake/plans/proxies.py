@@ -180,7 +180,7 @@ FROM supplier"""
 # length follows the line number, and struct columns to flatten.
 
 def _f2(c: str) -> Column:
-    return dec2(F.col(c))
+    return F.col(f"_t_{c}")  # text of a 2-decimal column, computed once per row
 
 
 def _action(kind: str, value: Column, target: Column, windows: bool = True) -> Column:
@@ -189,16 +189,20 @@ def _action(kind: str, value: Column, target: Column, windows: bool = True) -> C
     if windows:
         fields += [_f2("l_discount").alias("1d_view"), _f2("l_tax").alias("1d_click"),
                    F.lit(None).cast("string").alias("7d_view"),
-                   F.col("l_linenumber").cast("string").alias("7d_click")]
+                   F.col("_t_l_linenumber").alias("7d_click")]
     return F.struct(*fields)
 
 
 def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    target = (F.col("l_partkey") % 5).cast("string")
+    li = li.select("*", *[dec2(F.col(c)).alias(f"_t_{c}") for c in
+                          ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+                   F.col("l_linenumber").cast("string").alias("_t_l_linenumber"),
+                   (F.col("l_partkey") % 5).cast("string").alias("_t_target"))
+    target = F.col("_t_target")
     actions = F.slice(F.array(
         _action("purchase", _f2("l_quantity"), target),
-        _action("add_to_cart", F.col("l_linenumber").cast("string"), target),
+        _action("add_to_cart", F.col("_t_l_linenumber"), target),
         _action("view", _f2("l_extendedprice"), target)), 1, F.col("l_linenumber") % 4)
     values = F.slice(F.array(
         _action("purchase", _f2("l_extendedprice"), target),
@@ -214,7 +218,7 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_partkey") % 50).cast("string").alias("ad_id"),
         F.date_format(ship, "yyyy-MM-dd").alias("date_start"),
         _f2("l_extendedprice").alias("spend"),
-        F.col("l_linenumber").cast("string").alias("clicks"),
+        F.col("_t_l_linenumber").alias("clicks"),
         F.concat(F.unix_seconds(ship).cast("string"), F.lit("."),
                  F.lpad(F.col("l_linenumber").cast("string"), 6, "0")).alias("_dlt_load_id"),
         F.struct(F.col("l_returnflag").alias("flag"),

@@ -44,9 +44,12 @@ def write_raw(df: DataFrame, root: str, entity: str, load_id: str | Column | Non
         out = out.withColumnRenamed(client_col, "client")
     if date_col != "date":
         out = out.withColumn("date", F.col(date_col).cast("string"))
-    # No repartition by the partition columns: a hot tenant-day would land in
-    # one task.  Each task writes its own files into the partitions it holds.
-    (out.write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+    # Rebalance (not repartition) by the partition columns: rows of a
+    # partition are clustered into few files, and AQE splits a hot
+    # tenant-day into advisory-size pieces instead of funnelling it into one
+    # task (and coalesces the many small ones).
+    (out.hint("rebalance", "client", "entity", "date")
+        .write.mode(mode).option("maxRecordsPerFile", 5_000_000)
         .partitionBy("client", "entity", "date").parquet(root))
 
 
@@ -92,7 +95,14 @@ def read_ods(spark: SparkSession, root: str, entity: str) -> DataFrame:
 
 def write_replace_window(df: DataFrame, root: str, partition_cols: Sequence[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_cols).parquet(root))
+
+
+def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str], mode: str = "append") -> None:
+    """Hive-partitioned write, rebalanced by the partition columns (AQE
+    splits skewed partitions, coalesces small ones)."""
+    (df.hint("rebalance", *partition_cols).write.mode(mode).option("maxRecordsPerFile", 5_000_000)
        .partitionBy(*partition_cols).parquet(root))
 
 
