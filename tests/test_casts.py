@@ -19,10 +19,10 @@ def test_cast_string_trims_all_whitespace(spark):
 
 
 def test_cast_int_vs_tolerant_int(spark):
-    rows = [("12.7",), ("12",), ("",), ("abc",), (" 7 ",)]
+    rows = [("12.7",), ("12",), ("",), ("abc",), (" 7 ",), ("12.0",), ("1e3",), ("\t+5\n",)]
     st = T.StringType()
-    assert _one(spark, rows, "s string", C.cast_int(F.col("s"), st)) == [None, 12, None, None, 7]
-    assert _one(spark, rows, "s string", C.tolerant_int(F.col("s"))) == [12, 12, None, None, 7]
+    assert _one(spark, rows, "s string", C.cast_int(F.col("s"), st)) == [None, 12, None, None, 7, None, None, 5]
+    assert _one(spark, rows, "s string", C.tolerant_int(F.col("s"))) == [12, 12, None, None, 7, 12, 1000, 5]
 
 
 def test_cast_int_truncates_numbers(spark):
