@@ -137,7 +137,7 @@ def q_cast_timestamp(spark, d):
 @query("cast_json", sql="""
 SELECT event_id,
        CASE WHEN json_valid(props) THEN CAST(json(props) AS VARCHAR) ELSE props END AS props_json,
-       to_json(struct_pack(event_type := event_type, value := value)) AS struct_json
+       CAST(to_json(struct_pack(event_type := event_type, value := value)) AS VARCHAR) AS struct_json
 FROM events
 """)
 def q_cast_json(spark, d):

@@ -51,7 +51,7 @@ def spec_select(specs: Sequence[ColSpec], present: set[str], src_alias: str = ""
 
 
 def payload_sql(aliases: Sequence[str]) -> str:
-    return "to_json(struct_pack(" + ", ".join(f"{a} := {a}" for a in aliases) + "))"
+    return "CAST(to_json(struct_pack(" + ", ".join(f"{a} := {a}" for a in aliases) + ")) AS VARCHAR)"
 
 
 def source_id_sql(keys: Sequence[str]) -> str:
