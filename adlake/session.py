@@ -87,3 +87,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def sizing_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle/scan sizing for a cluster run: enough shuffle partitions that
+    each holds about ``target_partition_bytes`` (never fewer than 2x the
+    cores); AQE then coalesces small ones and splits skewed ones at the
+    advisory size.  Scan splits are capped at 256 MiB."""
+    parts = max(2 * executor_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 256 << 20)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -64,16 +64,27 @@ def read_raw(spark: SparkSession, root: str, entity: str | None = None,
     return df
 
 
-def read_raw_groups(spark: SparkSession, root: str, entity: str) -> list[DataFrame]:
-    """One frame per distinct file schema of ``entity`` across tenants."""
+def read_raw_groups(spark: SparkSession, root: str, entity: str, probe_threads: int = 32) -> list[DataFrame]:
+    """One frame per distinct file schema of ``entity`` across tenants.
+
+    Each tenant directory's schema comes from a parquet footer (metadata
+    only); the probes run concurrently, and the number of returned plans is
+    the number of distinct schemas, not of tenants."""
+    from concurrent.futures import ThreadPoolExecutor
+
     dirs = list_dirs(spark, f"{root}/client=*/entity={entity}")
     if not dirs:
         raise MissingTableError(f"no raw partitions for entity={entity} under {root}")
+
+    def probe(d: str) -> str:
+        schema = spark.read.parquet(d).schema
+        return repr([f for f in schema.fields if f.name != "date"])
+
+    with ThreadPoolExecutor(max_workers=min(probe_threads, len(dirs))) as pool:
+        schemas = list(pool.map(probe, dirs))
     groups: dict[str, list[str]] = {}
-    for d in dirs:
-        schema = spark.read.parquet(d).schema  # footer of one file
-        data_cols = [f for f in schema.fields if f.name not in ("date",)]
-        groups.setdefault(repr(data_cols), []).append(d)
+    for d, sch in zip(dirs, schemas):
+        groups.setdefault(sch, []).append(d)
     return [spark.read.option("basePath", root).parquet(*paths) for paths in groups.values()]
 
 

@@ -52,3 +52,10 @@ def test_versioned_table_replay_is_idempotent(spark, tmp_path):
     t.commit(spark.range(5), 0)
     t.commit(spark.range(2), 1)
     assert t.versions() == [0, 1] and t.latest().count() == 2
+
+
+def test_sizing_conf():
+    from adlake.session import sizing_conf
+    c = sizing_conf(100 * (1 << 40), executor_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(sizing_conf(1 << 20, executor_cores=8)["spark.sql.shuffle.partitions"]) == 16
