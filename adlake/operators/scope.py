@@ -60,7 +60,12 @@ def dense_positions(ids: DataFrame, col: str) -> DataFrame:
                  .repartitionByRange(col).sortWithinPartitions(col)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mono", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
+    # Persist first so the reliable checkpoint writes the computed blocks
+    # instead of recomputing the distinct/range sort a second time.
+    from pyspark import StorageLevel
+    cached = ranged.persist(StorageLevel.DISK_ONLY)
+    ranged = cached.checkpoint(eager=True)
+    cached.unpersist()
     counts = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = {}, 0
     for pid, n in counts:

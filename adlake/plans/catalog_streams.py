@@ -50,11 +50,12 @@ def q_late_restatement(spark, d):
     order = [F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()]
     keys = ["tenant_skey", "ad_id", "date_start"]
 
-    def run(landing, schema, state, ckpt):
-        ST.restatement(spark, landing, schema, state, ckpt, keys, order, "date_start",
-                       INSIGHTS_STEADY_STATE_DAYS)
-
-    out = _land_and_run(spark, t, parts, run)
+    root = scratch_dir(spark, "restate")
+    landing, ckpt, state = f"{root}/landing", f"{root}/_checkpoint", f"{root}/state"
+    for cond in parts:
+        t.where(cond).write.mode("append").parquet(landing)
+        ST.restatement(spark, landing, t.schema, state, ckpt, keys, order, "date_start", INSIGHTS_STEADY_STATE_DAYS)
+    out = ST.read_restated(spark, state)
     return out.select("tenant_skey", "ad_id", "date_start", "extracted_at", F.col("_tie").alias("_dlt_id"))
 
 

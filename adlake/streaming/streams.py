@@ -1,10 +1,11 @@
 """Structured Streaming versions of the pointer sync, the late-attribution
 restatement and the rate-limit telemetry.
 
-State that is upserted (pointers, restated insights) lives in a versioned
-parquet table: each micro-batch writes version ``batch_id`` to a hidden temp
-directory and renames it into place, so a replayed batch rewrites the same
-version (idempotent) and readers never see a half-written one.  Checkpoints
+Pointer state lives in a versioned parquet table: each micro-batch writes
+version ``batch_id`` to a hidden temp directory and renames it into place, so
+a replayed batch rewrites the same version (idempotent) and readers never
+see a half-written one.  Restated insights live in a day-partitioned table
+where a batch replaces only the days it restates.  Checkpoints
 go to the shared checkpoint folder; sources are file streams with a fixed
 schema (no inference per batch).
 """
@@ -80,23 +81,50 @@ def pointer_sync(spark: SparkSession, manifest_dir: str, schema: T.StructType, s
     _run_available_now(src, batch, checkpoint)
 
 
-def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, state: VersionedTable,
+def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, state_root: str,
                 checkpoint: str, keys: Sequence[str], order: Sequence[Column], date_col: str,
                 lag_days: int) -> None:
     """Each load restates its last ``lag_days`` days: rows in that window are
     merged on ``keys`` (latest by ``order`` wins); older rows of the load are
-    ignored.  Not a watermark: old keys are updated in place, never dropped."""
+    ignored.  Not a watermark: old keys are updated in place, never dropped.
+
+    The state is a parquet table partitioned by day (``_day``).  A batch
+    reads only the days it restates (partition pruning), merges into a
+    staging table in the shared checkpoint folder and replaces just those day
+    partitions from it (dynamic overwrite): work per batch is O(window), not
+    O(state).  A
+    replayed batch re-merges the same rows, so the result is unchanged."""
     src = spark.readStream.schema(schema).parquet(landing_dir)
+    day = F.date_format(F.col(date_col), "yyyy-MM-dd")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        delta = lag_window(df, date_col, lag_days)
-        prev = state.latest()
-        base = delta.limit(0) if prev is None else prev  # first load: dedupe the load itself
-        state.commit(upsert(base, delta, keys, order), batch_id)
+        delta = lag_window(df, date_col, lag_days).withColumn("_day", day)
+        days = [r[0] for r in delta.select("_day").distinct().collect()]  # <= window length
+        if not days:
+            return
+        base = delta.limit(0)
+        if _exists(spark, state_root):
+            base = spark.read.schema(delta.schema).parquet(state_root).where(F.col("_day").isin(days))
+        # Stage the merged window as a written table (shared folder, keyed by
+        # batch id), then replace those days from it: the state is never read
+        # and overwritten by the same job.
+        staging = f"{checkpoint.rstrip('/')}/_staging/batch={batch_id}"
+        upsert(base, delta, keys, order).write.mode("overwrite").parquet(staging)
+        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("_day").parquet(state_root))
 
     _run_available_now(src, batch, checkpoint)
 
 
+def read_restated(spark: SparkSession, state_root: str) -> DataFrame:
+    return spark.read.parquet(state_root).drop("_day")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from adlake.session import exists
+    return exists(spark, path)
+
+
 def ratelimit_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, state: VersionedTable,
                      checkpoint: str, run_key: str = "run_id") -> None:
     """Streaming per-run telemetry: the order-free rollup as a stateful
