@@ -32,8 +32,12 @@ def _land_and_run(spark, df, parts, run):
 def q_stream_pointer_sync(spark, d):
     m = P.manifest(spark, d)
     parts = [F.col("date") == "2024-03-01", F.col("date") == "2024-03-02", F.col("date") == "2024-03-03"]
-    return _land_and_run(spark, m, parts,
-                         lambda landing, schema, state, ckpt: ST.pointer_sync(spark, landing, schema, state, ckpt))
+    root = scratch_dir(spark, "pointers")
+    landing, ckpt, state = f"{root}/landing", f"{root}/_checkpoint", f"{root}/state"
+    for cond in parts:
+        m.where(cond).write.mode("append").parquet(landing)
+        ST.pointer_sync(spark, landing, m.schema, state, ckpt)
+    return ST.read_pointers(spark, state)
 
 
 @query("late_restatement", sql=ORACLE["dedupe_latest"])

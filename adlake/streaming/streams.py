@@ -1,11 +1,13 @@
 """Structured Streaming versions of the pointer sync, the late-attribution
 restatement and the rate-limit telemetry.
 
-Pointer state lives in a versioned parquet table: each micro-batch writes
-version ``batch_id`` to a hidden temp directory and renames it into place, so
-a replayed batch rewrites the same version (idempotent) and readers never
-see a half-written one.  Restated insights live in a day-partitioned table
-where a batch replaces only the days it restates.  Checkpoints
+Upserted state is partitioned so a micro-batch rewrites only what it
+touches: pointer state by client, restated insights by day; each batch
+stages its merged partitions in the shared checkpoint folder and replaces
+them with a dynamic partition overwrite, so a replayed batch converges to
+the same state.  The telemetry aggregate (complete mode) is committed as a
+versioned table: version ``batch_id`` is written to a hidden temp directory
+and renamed into place.  Checkpoints
 go to the shared checkpoint folder; sources are file streams with a fixed
 schema (no inference per batch).
 """
@@ -67,20 +69,38 @@ def _run_available_now(stream: DataFrame, batch_fn: Callable[[DataFrame, int], N
         raise q.exception()
 
 
-def pointer_sync(spark: SparkSession, manifest_dir: str, schema: T.StructType, state: VersionedTable,
-                 checkpoint: str, keys: Sequence[str] = ("client_uid", "creative_id", "asset_kind")) -> None:
+def pointer_sync(spark: SparkSession, manifest_dir: str, schema: T.StructType, state_root: str,
+                 checkpoint: str, keys: Sequence[str] = ("client_uid", "creative_id", "asset_kind"),
+                 client_col: str = "client_uid") -> None:
     """New manifest files -> pointer state upsert (newest row per asset, last
-    non-empty digest carried)."""
+    non-empty digest carried).
+
+    The state is partitioned by client (``_client``); a micro-batch reads and
+    replaces only the clients it carries (manifest runs are per tenant), via
+    a staging table in the shared checkpoint folder and a dynamic overwrite.
+    A replayed batch recomputes the same pointers."""
     src = spark.readStream.schema(schema).parquet(manifest_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        prev = state.latest()
-        rows = df if prev is None else prev.unionByName(df.select(*prev.columns))
-        state.commit(pointer_state(rows, keys), batch_id)
+        clients = [r[0] for r in df.select(client_col).distinct().collect()]  # tenants in this batch
+        if not clients:
+            return
+        rows = df
+        if _exists(spark, state_root):
+            prev = (spark.read.parquet(state_root).where(F.col("_client").isin(clients)).drop("_client"))
+            rows = prev.unionByName(df.select(*prev.columns))
+        staging = f"{checkpoint.rstrip('/')}/_staging/batch={batch_id}"
+        pointer_state(rows, keys).withColumn("_client", F.col(client_col)).write.mode("overwrite").parquet(staging)
+        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("_client").parquet(state_root))
 
     _run_available_now(src, batch, checkpoint)
 
 
+def read_pointers(spark: SparkSession, state_root: str) -> DataFrame:
+    return spark.read.parquet(state_root).drop("_client")
+
+
 def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, state_root: str,
                 checkpoint: str, keys: Sequence[str], order: Sequence[Column], date_col: str,
                 lag_days: int) -> None:

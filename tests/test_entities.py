@@ -1,6 +1,5 @@
 """ConversionEvent, ratio recomputation, orphans, creative assets."""
 
-from pyspark.sql import functions as F
 
 from adlake.operators import assets as A
 from adlake.operators import entities as EN
