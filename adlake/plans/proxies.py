@@ -18,13 +18,17 @@ N_TENANTS = 7  # tenants are assigned by user/customer id modulo this
 SPREAD_MIN_BYTES = 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """A driver table.  The test files are single row groups (one scan task
     each); when such a file is over 1 MiB and yields fewer splits than the
     cluster has cores, rows are spread round-robin so the per-row proxy work
-    runs in parallel.  On a real lake (many splits) this is a no-op."""
+    runs in parallel.  On a real lake (many splits) this is a no-op.  Proxies
+    whose first step is a shuffle join pass ``spread=False`` (the join's own
+    exchange already parallelises the work)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
+    if not spread:
+        return df
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
@@ -411,12 +415,12 @@ FROM documents"""
 
 def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlake.operators.joins import sized_broadcast
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    li = table(spark, sf_dir, "lineitem", spread=False)
+    o = table(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer", spread=False).select("c_custkey", "c_nationkey")
     n = sized_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), 10_000)
     r = sized_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    p = table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_brand")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
            .join(c, F.col("o_custkey") == c["c_custkey"])
            .join(n, F.col("c_nationkey") == n["n_nationkey"])
