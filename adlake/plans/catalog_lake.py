@@ -229,3 +229,23 @@ def q_views(spark, d):
         SELECT client_uid, count(*) AS n_rows,
                count(DISTINCT get_json_object(payload, '$.ad_id')) AS n_ads
         FROM ods_ads_insights GROUP BY client_uid""")
+
+
+@query("unify_lake", sql=f"""
+WITH {_CAST_CTE},
+{P.NESTED_CTE_SQL}
+SELECT 'ads_insights' AS entity, 'parent' AS kind, CAST(count(DISTINCT client_uid) AS BIGINT) AS n_tenants,
+       CAST(count(*) AS BIGINT) AS n_rows FROM latest
+UNION ALL
+SELECT 'ads_insights__actions', 'child', CAST(count(DISTINCT client) AS BIGINT), CAST(count(*) AS BIGINT) FROM nested_actions
+""")
+def q_unify_lake(spark, d):
+    """Land insights extracts and their action children as a raw lake, then
+    run the whole-lake unify job into a fresh ODS root."""
+    from adlake.operators.normalize import normalize_nested
+    from adlake.plans.jobs import unify_lake
+    root = scratch_dir(spark, "lake")
+    L.write_raw(P.extracts(spark, d), f"{root}/raw", "ads_insights", date_col="date_start")
+    actions = normalize_nested(P.nested(spark, d), "ads_insights", 2, carry=("client",))["ads_insights__actions"]
+    L.write_raw(actions.withColumn("date", F.lit("2024-02-01")), f"{root}/raw", "ads_insights__actions")
+    return unify_lake(spark, f"{root}/raw", f"{root}/ods", LOADED_AT, roster=P.roster(spark, d))

@@ -646,3 +646,7 @@ SELECT lpad(CAST(user_id % {N_TENANTS} AS VARCHAR), 3, '0') || '-r' || CAST(user
                  || '}}, 5, {{"type": "ads_insights", "call_count": ' || {dec2_sql('value')}
                  || '}}], "biz9": "notalist"}}' END AS business_usage
 FROM events"""
+
+
+# parent rows + action children as one CTE list (for queries that need both)
+NESTED_CTE_SQL = f"parent AS ({NESTED_PARENT_SQL}), nested_actions AS ({ACTIONS_SQL})"

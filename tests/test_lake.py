@@ -59,3 +59,15 @@ def test_sizing_conf():
     c = sizing_conf(100 * (1 << 40), executor_cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(sizing_conf(1 << 20, executor_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_unify_lake_empty_root_raises(spark, tmp_path):
+    import datetime as dt
+
+    from adlake.plans.jobs import unify_lake
+    (tmp_path / "raw").mkdir()
+    try:
+        unify_lake(spark, str(tmp_path / "raw"), str(tmp_path / "ods"), dt.datetime(2024, 1, 1))
+    except MissingTableError:
+        return
+    raise AssertionError("expected MissingTableError")
