@@ -70,3 +70,25 @@ def test_manifest_write_skips_empty(spark, tmp_path):
     assert A.write_manifest(one, str(tmp_path / "m"), dt.datetime(2024, 1, 1, 2, 3, 4))
     r = A.read_manifest(spark, str(tmp_path / "m")).first()
     assert r["date"] == "2024-01-01" and r["run_ts"] == "20240101T020304Z"
+
+
+def test_build_manifest_job(spark, tmp_path):
+    from adlake.plans.jobs import build_manifest
+    p1 = json.dumps({"creative_id": "1", "image_url": "https://h/1.jpg", "video_id": "v1"})
+    p2 = json.dumps({"creative_id": "2", "image_url": "https://h/2"})
+    creatives = spark.createDataFrame([("c", "o", "1", p1), ("c", "o", "2", p2)],
+                                      "client_uid string, org_uid string, source_id string, payload string")
+    videos = spark.createDataFrame([("v1", "https://v/1.mp4")], "video_id string, source string")
+    ts = dt.datetime(2024, 3, 1)
+    listing = spark.createDataFrame([("assets/client=c/asset_kind=image/1.jpg", 7, "image/jpeg", ts)],
+                                    "object_key string, size long, content_type string, updated timestamp")
+    fetched = spark.createDataFrame(
+        [("c", "1", "video", bytearray(b"vid"), "video/mp4"), ("c", "2", "image", bytearray(b"png!"), "image/png")],
+        "client_uid string, creative_id string, asset_kind string, content binary, content_type string")
+    root = str(tmp_path / "manifest")
+    m = build_manifest(spark, creatives, videos, listing, fetched, root, dt.datetime(2024, 3, 2, 1, 2, 3)).first()
+    assert (m["n_manifested"], m["n_new"], m["n_skipped"]) == (3, 2, 1)
+    rows = {(r["creative_id"], r["asset_kind"]): r for r in A.read_manifest(spark, root).collect()}
+    assert rows[("2", "image")]["gcs_uri"].endswith("asset_kind=image/2.png")
+    assert rows[("1", "video")]["gcs_uri"].endswith("asset_kind=video/v1.mp4")
+    assert rows[("1", "image")]["sha256"] == "" and rows[("1", "image")]["byte_size"] == 7
