@@ -1,6 +1,7 @@
 """Property checks: tolerant parsing vs a Python model, orphans + kept =
 children, rollup grand total = overall sums."""
 
+import datetime as dt
 import math
 
 from hypothesis import given, settings
@@ -66,3 +67,30 @@ def test_rollup_grand_total(spark, sf_small):
     tot = i.agg(F.sum("spend").alias("s"), F.sum("clicks").alias("c")).first()
     assert math.isclose(grand["spend"], tot["s"], rel_tol=1e-9) and grand["clicks"] == tot["c"]
     assert math.isclose(grand["cpc"], tot["s"] / tot["c"], rel_tol=1e-9)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.integers(min_value=-3, max_value=400), min_size=5, max_size=20),
+       st.dates(min_value=dt.date(1970, 1, 1), max_value=dt.date(2100, 12, 31)))
+def test_chunks_tile_any_window(spark, ns, today):
+    from adlake.operators import scope as SC
+    plan = spark.createDataFrame([(str(i), n) for i, n in enumerate(ns)], "client string, history_days int")
+    ch = SC.insights_chunks(plan, today).collect()
+    for i, n in enumerate(ns):
+        rows = sorted((r["chunk_idx"], r["since"], r["until"]) for r in ch if r["client"] == str(i))
+        if n <= 0:
+            assert rows == []
+            continue
+        assert sum((u - s).days + 1 for _, s, u in rows) == n
+        assert rows[0][2] == today and rows[-1][1] == today - dt.timedelta(days=n - 1)
+        assert all(rows[k][1] == rows[k + 1][2] + dt.timedelta(days=1) for k in range(len(rows) - 1))
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.text(alphabet="abcxyz0189", min_size=0, max_size=5), min_size=1, max_size=300))
+def test_dense_positions_match_sorted_order(spark, ids):
+    from adlake.operators import scope as SC
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(5)
+    got = {r["id"]: r["pos"] for r in SC.dense_positions(df, "id").collect()}
+    want = {v: i for i, v in enumerate(sorted(set(ids)))}
+    assert got == want
