@@ -1,8 +1,9 @@
 """Queries: streaming pointer sync, late restatement, streaming telemetry.
 
-Each lands its proxy rows in three appends, runs an AvailableNow stream
-after each landing (three restarts on one checkpoint), and returns the final
-state; the oracle is the batch answer over all rows (stream = batch)."""
+Each lands its proxy rows in several appends (three, or five daily-run style
+loads for the restatement), runs an AvailableNow stream after each landing
+(restarts on one checkpoint), and returns the final state; the oracle is the
+batch answer over all rows (stream = batch)."""
 
 from __future__ import annotations
 
