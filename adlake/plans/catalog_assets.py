@@ -115,10 +115,15 @@ JOIN documents d ON k.doc_id = d.doc_id
 def q_skip_existing(spark, d):
     keyed = A.with_keys(_resolved(spark, d))
     docs = P.table(spark, d, "documents")
-    listing = (keyed.where((F.col("asset_kind") == "image") & (F.col("creative_id").cast("bigint") % 3 == 0))
-                    .join(docs, keyed["creative_id"] == docs["doc_id"].cast("string"))
-                    .select(F.col("tentative_key").alias("object_key"), (F.col("n_chars") % 5).alias("size"),
-                            F.lit("image/jpeg").alias("content_type"), F.lit(_FETCH_TS).alias("updated")))
+    # Objects already in storage: the image of every third document (size
+    # from the text length, some empty), keyed like a previous run keyed them.
+    pages = P.table(spark, d, "pages").select("page_id", "url")
+    stored = docs.where(F.col("doc_id") % 3 == 0).join(pages, docs["doc_id"] == pages["page_id"])
+    listing = stored.select(
+        A.object_key(F.col("source"), F.lit("image"), F.col("doc_id").cast("string"), F.lit(None).cast("string"),
+                     F.col("url"), None).alias("object_key"),
+        (F.col("n_chars") % 5).alias("size"), F.lit("image/jpeg").alias("content_type"),
+        F.lit(_FETCH_TS).alias("updated"))
     to_fetch, skipped = A.skip_existing(keyed, listing)
     fetched = to_fetch.join(docs.select(F.col("doc_id").cast("string").alias("creative_id"),
                                         F.col("text").alias("content")), "creative_id")
