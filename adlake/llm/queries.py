@@ -31,3 +31,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = remove_repeats(documents(spark, sf_dir), min_bytes=50)
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_ngram_jaccard_join")
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 3-word shingle sets of Jaccard similarity 0.9 or more."""
+    from adlake.llm.jaccard import exactly, ngram_jaccard_join
+
+    found = ngram_jaccard_join(documents(spark, sf_dir), k=3, similarity=exactly("0.9"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n_ngrams").alias("n_shingles"), F.col("component").alias("component_id"))
