@@ -40,3 +40,22 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = ngram_jaccard_join(documents(spark, sf_dir), k=3, similarity=exactly("0.9"))
     return found.select(F.col("id").alias("doc_id"), F.col("n_ngrams").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    from adlake.llm.packing import pack_documents
+
+    return pack_documents(documents(spark, sf_dir), TOKENIZER, 2048)
+
+
+@query("op5_length_histogram")
+def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, quantiles and truncated totals of encoded lengths for every context limit."""
+    from adlake.llm.tokens import length_histogram, token_lengths
+
+    return length_histogram(token_lengths(documents(spark, sf_dir), TOKENIZER))
