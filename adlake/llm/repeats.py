@@ -41,11 +41,11 @@ from pyspark.sql import functions as F
 
 from adlake.llm.common import U64, arrow, mix64, partitions, passes, texts_as_bytes, unpack
 
-ANCHOR, LONG_ANCHOR = 24, 44
+ANCHOR, LONG_ANCHOR = 28, 44
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _MULT = U64(0x9E3779B97F4A7C15)
 #: Bytes of strings that one suffix array holds, and beyond which one key's strings are split by window.
-SORT_BYTES, SPLIT_BYTES = 128_000, 4_000_000
+SORT_BYTES, SPLIT_BYTES = 128_000, 500_000
 
 
 def substring_hashes(data: np.ndarray, width: int) -> np.ndarray:
@@ -113,12 +113,14 @@ def _row(ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
     return mix64(ids.astype(np.int64).view(np.uint64) + tags.astype(np.uint64) * _MULT).view(np.int64)
 
 
-def _tags(texts: list[bytes]) -> np.ndarray:
+def _tags(texts: list[bytes], tagged: bool) -> np.ndarray:
+    if not tagged:
+        return np.zeros(len(texts), np.uint64)
     return np.fromiter(map(zlib.crc32, texts), np.uint64, len(texts))
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> U64(47)) % U64(buckets)).astype(np.int64)
+    return ((keys >> U64(KEY_BITS)) % U64(buckets)).astype(np.int64)
 
 
 def _slices(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -129,9 +131,13 @@ def _slices(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_values[a]), a, b
 
 
+#: Bits of a key that travel; with the bucket they only have to tell most keys
+#: apart, as strings are compared whole later.
+KEY_BITS = 40
+_MASK = U64((1 << KEY_BITS) - 1)
 PAIRS = "bucket int, docs binary, counts binary, low binary, high binary"
 ITEMS = "part int, kind int, ids binary, sizes binary, body binary"
-STRINGS = "bucket int, keys binary, sizes binary, body binary, occurrences binary, docs binary, starts binary"
+STRINGS = "bucket int, sizes binary, body binary, places binary"
 
 
 def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
@@ -142,6 +148,7 @@ def _pairs(buckets: int, width: int):
     """(key, document) pairs of each batch, packed by bucket: ids once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids, texts = _read(batch)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -156,11 +163,11 @@ def _pairs(buckets: int, width: int):
             bucket = _bucket(key, buckets)
             order = np.argsort(bucket.astype(np.uint16), kind="stable")
             bucket, key, doc = bucket[order], key[order], doc[order]
-            low, high = key.astype(np.uint32), (key >> U64(32)).astype(np.uint16) & np.uint16(0x7FFF)
+            low, high = key.astype(np.uint32), (key >> U64(32)).astype(np.uint8)
             rows = [[], [], [], [], []]
             for value, a, b in _slices(bucket):
                 at = np.flatnonzero(np.append(True, doc[a + 1 : b] != doc[a : b - 1]))
-                for column, x in zip(rows, (value, ids[doc[a:b][at]].tobytes(), np.diff(np.append(at, b - a)).astype(np.uint32).tobytes(), low[a:b].tobytes(), high[a:b].tobytes()), strict=True):
+                for column, x in zip(rows, (value, pack.compress(ids[doc[a:b][at]].tobytes()), pack.compress(np.diff(np.append(at, b - a)).astype(np.uint32).tobytes()), low[a:b].tobytes(), high[a:b].tobytes()), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])], names=["bucket", "docs", "counts", "low", "high"])
 
@@ -178,11 +185,12 @@ def _shared(parts: int, hot: int):
                 column.extend(x.to_pylist())
         if not cols[0]:
             return
-        counts = unpack(cols[2], np.uint32)
-        doc = np.repeat(unpack(cols[1], np.int64), counts)
-        key = unpack(cols[3], np.uint32).astype(np.uint64) | unpack(cols[4], np.uint16).astype(np.uint64) << U64(32)
+        unzip = zstandard.ZstdDecompressor().decompress
+        counts = unpack([unzip(x) for x in cols[2]], np.uint32)
+        doc = np.repeat(unpack([unzip(x) for x in cols[1]], np.int64), counts)
+        key = unpack(cols[3], np.uint32).astype(np.uint64) | unpack(cols[4], np.uint8).astype(np.uint64) << U64(32)
         rows = np.fromiter((len(x) // 4 for x in cols[3]), np.int64, len(cols[3]))
-        key |= np.repeat(np.array(cols[0], np.uint64), rows) << U64(47)  # the bucket keeps keys of two buckets apart here
+        key |= np.repeat(np.array(cols[0], np.uint64), rows) << U64(KEY_BITS)  # the bucket keeps keys of two buckets apart here
         del cols
         order = np.argsort(key, kind="stable")
         key, doc = key[order], doc[order]
@@ -190,7 +198,7 @@ def _shared(parts: int, hot: int):
         size = np.diff(np.append(at, len(key)))
         several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
         keep = np.repeat(several, size)
-        short = (key & U64((1 << 47) - 1)) | np.repeat(size > hot, size).astype(np.uint64) << U64(63)
+        short = (key & _MASK) | np.repeat(size > hot, size).astype(np.uint64) << U64(63)
         key, doc = short[keep], doc[keep]
         part = _part(doc, parts)
         order = np.lexsort((key, doc, part))
@@ -256,7 +264,7 @@ class _Lookup:
         return self.by_part[part]
 
 
-def _strings(buckets: int, width: int):
+def _strings(buckets: int, width: int, tagged: bool):
     """The strings under the shared runs, packed by bucket of their key."""
 
     def flush(found: dict[bytes, int], keys: list[np.ndarray], which: list[np.ndarray], docs: list[np.ndarray], starts: list[np.ndarray]) -> pa.RecordBatch | None:
@@ -279,12 +287,11 @@ def _strings(buckets: int, width: int):
         for value, a, b in _slices(bucket[order]):
             mine = [texts[i] for i in order[a:b]]
             out["bucket"].append(value)
-            out["keys"].append(key[order[a:b]].tobytes())
             out["sizes"].append(np.fromiter(map(len, mine), np.uint32, b - a).tobytes())
             out["body"].append(pack.compress(b"".join(mine)))
-            out["occurrences"].append(times[a:b].astype(np.uint32).tobytes())
-            out["docs"].append(doc[ends[a] : ends[b]].tobytes())
-            out["starts"].append(at[ends[a] : ends[b]].tobytes())
+            # Place by place: keys (32 bits tell those of a bucket apart well enough) and copies of the strings, then document and start of each copy.
+            places = (key[order[a:b]].astype(np.uint32), times[a:b].astype(np.uint32), doc[ends[a] : ends[b]], at[ends[a] : ends[b]])
+            out["places"].append(pack.compress(b"".join(x.tobytes() for x in places)))
         return arrow({k: (v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,11 +313,10 @@ def _strings(buckets: int, width: int):
                 joined, key, start, windows, text = window_runs([texts[i] for i in use], width, ANCHOR)
                 wanted = np.concatenate([keys_of[a[i] : b[i]] for i in use])
                 salt = mix64(np.arange(len(use), dtype=np.uint64) + U64(1))
-                mask = U64((1 << 47) - 1)
                 wanted_by = np.repeat(salt, b[use] - a[use])
-                mine = mix64((key & mask) ^ salt[text])
-                shared = np.isin(mine, mix64((wanted & mask) ^ wanted_by))
-                hot = np.isin(mine, mix64((wanted & mask) ^ wanted_by)[wanted >> U64(63) == U64(1)])
+                mine = mix64((key & _MASK) ^ salt[text])
+                shared = np.isin(mine, mix64((wanted & _MASK) ^ wanted_by))
+                hot = np.isin(mine, mix64((wanted & _MASK) ^ wanted_by)[wanted >> U64(63) == U64(1)])
                 key, start, windows, text, hot = (x[shared] for x in (key, start, windows, text, hot))
                 if hot.any():
                     key, start, windows, text = _split(joined, key, start, windows, text, hot, width)
@@ -319,7 +325,7 @@ def _strings(buckets: int, width: int):
                 for i, (s, e) in enumerate(zip(start.tolist(), (start + windows + width - 1).tolist(), strict=True)):
                     which[i] = found.setdefault(joined[s:e], len(found))
                 held += int(windows.sum()) + (width + 60) * len(windows)
-                for column, x in zip(lists, (key, which, names[use][text], (start - offset[text]).astype(np.uint64) | _tags([texts[i] for i in use])[text] << U64(32)), strict=True):
+                for column, x in zip(lists, (key, which, names[use][text], (start - offset[text]).astype(np.uint64) | _tags([texts[i] for i in use], tagged)[text] << U64(32)), strict=True):
                     column.append(x)
                 if held > 64 << 20:
                     if (out := flush(found, *lists)) is not None:
@@ -347,19 +353,22 @@ def _spans(parts: int, width: int):
         index: dict[bytes, int] = {}
         keys, which, docs, starts = [], [], [], []
         for batch in batches:
-            for _, key, sizes, body, times, doc, start in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for _, sizes, body, places in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 _, strings = _unpacked(b"", sizes, body)
+                places = zstandard.ZstdDecompressor().decompress(places)
+                key, times = np.frombuffer(places, np.uint32, 2 * len(strings)).reshape(2, -1)
+                doc, start = np.frombuffer(places, np.int64, offset=8 * len(strings)).reshape(2, -1)
                 own = np.fromiter((index.setdefault(x, len(index)) for x in strings), np.int64, len(strings))
-                keys.append((own, np.frombuffer(key, np.uint64)))
-                which.append(np.repeat(own, np.frombuffer(times, np.uint32)))
-                docs.append(np.frombuffer(doc, np.int64))
-                starts.append(np.frombuffer(start, np.uint64))
+                keys.append((own, key))
+                which.append(np.repeat(own, times))
+                docs.append(doc)
+                starts.append(start.view(np.uint64))
         if not index:
             return
         string, doc, start = np.concatenate(which), np.concatenate(docs), np.concatenate(starts)
         tag, start = start >> U64(32), (start & U64(0xFFFFFFFF)).astype(np.int64)
         texts = list(index)
-        key = np.zeros(len(index), np.uint64)
+        key = np.zeros(len(index), np.uint32)
         for own, k in keys:
             key[own] = k
         del index, keys, which, docs, starts
@@ -451,7 +460,7 @@ def _classes(strings: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.
             yield place[:, 0], place[:, 1], cls
 
 
-def _keep():
+def _keep(tagged: bool):
     """The documents without their spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,7 +472,7 @@ def _keep():
                     continue
                 doc_of, spans_of, _ = known.of(part)
                 names, texts = _unpacked(ids, sizes, body)
-                own = _row(names, _tags(texts))
+                own = _row(names, _tags(texts, tagged))
                 a, b = np.searchsorted(doc_of, own).tolist(), np.searchsorted(doc_of, own, side="right").tolist()
                 kept, removed, runs = [], [], []
                 for text, i, j in zip(texts, a, b, strict=True):
@@ -486,7 +495,7 @@ def _keep():
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = 10_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = 2_000) -> DataFrame:
     """(id, kept binary, n_bytes, n_removed, n_spans) of every row of ``docs``;
     see the module's text for the method and the defined results."""
     if min_bytes < LONG_ANCHOR:
@@ -496,6 +505,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = min(4 * parts, 1 << 15)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     named = rows.where("id is not null")
+    # Only where an id repeats do its rows need telling apart.
+    tagged = not named.groupBy("id").count().where("count > 1").isEmpty()
     pairs = named.mapInArrow(_pairs(buckets, min_bytes), PAIRS)
     shared = pairs.repartition(parts, "bucket").mapInArrow(_shared(4 * parts, hot), ITEMS)
     texts = named.mapInArrow(_texts(4 * parts), ITEMS)
@@ -504,9 +515,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """The packed values before the texts, by part."""
         return found.unionByName(texts).repartition(parts, "part").sortWithinPartitions("kind")
 
-    strings = beside(shared).mapInArrow(_strings(buckets, min_bytes), STRINGS)
+    strings = beside(shared).mapInArrow(_strings(buckets, min_bytes, tagged), STRINGS)
     spans = strings.repartition(parts, "bucket").mapInArrow(_spans(4 * parts, min_bytes), ITEMS)
-    done = beside(spans).mapInArrow(_keep(), "id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    done = beside(spans).mapInArrow(_keep(tagged), "id long, kept binary, n_bytes long, n_removed long, n_spans long")
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rest = rows.where("id is null").select("id", whole.alias("kept"), F.octet_length(whole).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"))
     return done.unionByName(rest)
