@@ -59,3 +59,15 @@ def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlake.llm.tokens import length_histogram, token_lengths
 
     return length_histogram(token_lengths(documents(spark, sf_dir), TOKENIZER))
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text, the base rule and the learned list's verdict."""
+    from adlake.llm.common import stage
+    from adlake.llm.quality_rules import judged, learn_rules, with_stats
+
+    stats = stage(with_stats(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "__stats.*"), "quality-stats")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    rules = learn_rules(stats.join(labels, "doc_id"), "quality")
+    return judged(stats, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
