@@ -84,3 +84,13 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         F.col("id").alias("doc_id"), (fold("id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_tokens", "n_passages", "best_place"
     )
+
+
+@query("op9_improbable_features")
+def op9_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text and its edited text, and their likenesses."""
+    from adlake.llm.fingerprint import edit_likeness, entropy_histogram, ranks
+
+    docs = documents(spark, sf_dir)
+    found = edit_likeness(docs, ranks(entropy_histogram(docs)))
+    return found.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
