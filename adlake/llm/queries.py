@@ -94,3 +94,15 @@ def op9_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = edit_likeness(docs, ranks(entropy_histogram(docs)))
     return found.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op7_warc_round_trip")
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    from adlake.llm.warc import read_archives, write_archives
+    from adlake.session import scratch_dir
+
+    path = scratch_dir(spark, "warc")
+    write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, min_bytes=0)
+    found = read_archives(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
