@@ -106,3 +106,11 @@ def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, min_bytes=0)
     found = read_archives(spark, path)
     return found.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
+@query("op1_role_repair")
+def op1_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation repaired to legal turns at the least cost, and rendered."""
+    from adlake.llm.chat import repair_conversations
+
+    return repair_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
