@@ -114,3 +114,15 @@ def op1_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlake.llm.chat import repair_conversations
 
     return repair_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op2_soft_mixing")
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posteriors and rates of every document, for the target weights of the domains."""
+    from adlake.llm.common import stage
+    from adlake.llm.mixing import TARGETS, domain_posteriors, with_rates
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = stage(domain_posteriors(documents(spark, sf_dir), labels), "mixing-posteriors")
+    found = with_rates(rows, TARGETS)
+    return found.select("doc_id", "n_tokens", "p_high", "p_low", "p_toxic", "rate")
