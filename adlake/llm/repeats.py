@@ -19,7 +19,8 @@ also starts in a document with a smaller id.  Whole texts, exact.
 
 Nothing is gathered by one document or passage: exchanges are by hash of key
 or id.  Keys with more than ``hot`` occurrences (boilerplate between differing
-contexts) are keyed anew by longer substrings, which splits them.
+contexts) are keyed anew, window by window, which splits them: equal windows
+then are one string.
 
 Defined results: null text = empty; documents shorter than ``min_bytes`` stay
 whole; rows with the same id never remove from each other, and identical rows
@@ -40,8 +41,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.common import U64, arrow, mix64, partitions, passes, texts_as_bytes, unpack
+from adlake.llm.suffix_array import window_classes
 
-ANCHOR, LONG_ANCHOR = 28, 44
+ANCHOR = 28
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _MULT = U64(0x9E3779B97F4A7C15)
 #: Bytes of strings that one suffix array holds, and beyond which one key's strings are split by window.
@@ -338,11 +340,11 @@ def _strings(buckets: int, width: int, tagged: bool):
 
 
 def _split(joined: bytes, key: np.ndarray, start: np.ndarray, windows: np.ndarray, text: np.ndarray, hot: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Runs with a hot key become runs keyed by longer substrings."""
+    """Runs with a hot key become runs of single windows, each keyed by itself."""
     cold = ~hot
     strings = [joined[s:e] for s, e in zip(start[hot].tolist(), (start[hot] + windows[hot] + width - 1).tolist(), strict=True)]
     base = np.concatenate([[0], np.cumsum([len(x) for x in strings])[:-1]]).astype(np.int64)
-    _, k, s, w, which = window_runs(strings, width, LONG_ANCHOR)
+    _, k, s, w, which = window_runs(strings, width, width)
     return tuple(np.concatenate(x) for x in ((key[cold], mix64(k)), (start[cold], start[hot][which] + s - base[which]), (windows[cold], w), (text[cold], text[hot][which])))
 
 
@@ -383,6 +385,9 @@ def _spans(parts: int, width: int):
         rows = rows[np.argsort(string[rows], kind="stable")]
         first = np.searchsorted(string[rows], np.arange(len(texts) + 1))
         order = np.argsort(key, kind="stable")
+        at = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+        times = np.diff(np.append(at, len(order)))
+        order = order[np.repeat(times > 1, times)]
         for a, b in _groups(key[order], size[order]):
             mine = order[a:b]
             for owner, offset, cls in _classes([texts[i] for i in mine], width):
@@ -423,41 +428,36 @@ def _spans(parts: int, width: int):
 
 
 def _groups(key: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of whole keys with several strings, of about ``SORT_BYTES`` bytes."""
-    begin, end, total = -1, -1, 0
+    """Ranges of whole keys, of about ``SORT_BYTES`` bytes; a larger key alone."""
+    begin, total = 0, 0
     for _, a, b in _slices(key):
-        if b - a < 2:
-            continue
-        if begin >= 0 and (total > SORT_BYTES or a != end):
-            yield begin, end
-            begin = -1
-        if begin < 0:
+        more = int(size[a:b].sum())
+        if a > begin and total + more > SORT_BYTES:
+            yield begin, a
             begin, total = a, 0
-        end, total = b, total + int(size[a:b].sum())
-    if begin >= 0:
-        yield begin, end
+        total += more
+    if len(key) > begin:
+        yield begin, len(key)
 
 
 def _classes(strings: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Window classes of the strings; more than SPLIT_BYTES of them go window by window, dealt by hash."""
-    from adlake.llm.suffix_array import window_classes
-
+    """Window classes of the strings.  More than SPLIT_BYTES under one key go
+    window by window instead, dealt by hash over rounds that bound the memory."""
     total = sum(map(len, strings))
     if total <= SPLIT_BYTES:
         yield window_classes(strings, width)
         return
-    rounds = -(-total * width // SPLIT_BYTES)
+    joined, _, start, windows, which = window_runs(strings, width, width)
+    start = np.repeat(start - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    which = np.repeat(which, windows)
+    base = np.cumsum([len(x) for x in strings]) - [len(x) for x in strings]
+    hashes = substring_hashes(np.frombuffer(joined, np.uint8), width)[start]
+    rounds = -(-len(start) // 250_000)
     for turn in range(rounds):
-        mine, at = [], []
-        for i, s in enumerate(strings):
-            h = substring_hashes(np.frombuffer(s, np.uint8), width) % U64(rounds) == U64(turn)
-            for j in np.flatnonzero(h).tolist():
-                mine.append(s[j : j + width])
-                at.append((i, j))
-        if mine:
-            owner, _, cls = window_classes(mine, width)
-            place = np.array(at, np.int64)[owner]
-            yield place[:, 0], place[:, 1], cls
+        mine = np.flatnonzero(hashes % U64(rounds) == U64(turn))
+        seen: dict[bytes, int] = {}
+        cls = np.fromiter((seen.setdefault(joined[i : i + width], len(seen)) for i in start[mine].tolist()), np.int64, len(mine))
+        yield which[mine], start[mine] - base[which[mine]], cls
 
 
 def _keep(tagged: bool):
@@ -498,8 +498,8 @@ def _keep(tagged: bool):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = 2_000) -> DataFrame:
     """(id, kept binary, n_bytes, n_removed, n_spans) of every row of ``docs``;
     see the module's text for the method and the defined results."""
-    if min_bytes < LONG_ANCHOR:
-        raise ValueError(f"strings of at least {LONG_ANCHOR} bytes")
+    if min_bytes <= ANCHOR:
+        raise ValueError(f"strings of more than {ANCHOR} bytes")
     spark = docs.sparkSession
     parts = partitions(spark)
     buckets = min(4 * parts, 1 << 15)
