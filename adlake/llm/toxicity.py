@@ -4,8 +4,8 @@
 documents under a Dirichlet prior: the prior of a token is its share of all
 labelled tokens times ``prior_tokens``.  A token counts once for a document,
 so one document's repetitions weigh little.  Tokens whose counts differ between
-the classes by a signed root of the log-likelihood ratio of at least ``min_z``
-score, if that also holds for the differing pairs of neighbours they stand
+the classes by a root of the log-likelihood ratio of at least ``min_z``, and by
+a factor of e at least, score, if that also holds for the differing pairs of neighbours they stand
 between (so that the words of one copied text do not score); all others count
 as nothing but length.  A drift is taken from every
 token so that ordinary text loses.
@@ -47,6 +47,8 @@ from pyspark.sql import functions as F
 from adlake.llm.common import arrow, stage
 
 FOLDS = 5
+#: Log-odds below which a token doesn't score, however sure they are.
+MIN_ODDS = 1.0
 
 
 def fold(id_col: str) -> Column:
@@ -178,7 +180,7 @@ def _scored(counts: DataFrame, t_all: float, o_all: float, prior_tokens: float,
     for column, share in (("toxic", t_all / (t_all + o_all)), ("other", o_all / (t_all + o_all))):
         ratio = ratio + F.when(F.col(column) > 0, F.col(column) * F.log(F.col(column) / (both * F.lit(share)))).otherwise(0.0)
     z = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
-    found = counts.where("token <> ''").select("token", "other", odds.alias("odds"), z.alias("z")).where(F.col("z") >= min_z)
+    found = counts.where("token <> ''").select("token", "other", odds.alias("odds"), z.alias("z")).where((F.col("z") >= min_z) & (F.abs("odds") >= MIN_ODDS))
     return found.orderBy(F.col("z").desc(), "token").limit(max_tokens).collect()
 
 
@@ -255,11 +257,12 @@ def _logistic(table: list[tuple[int, float, float, int]]) -> tuple[float, float,
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(text, toxic, fold) of the labelled documents that may be learned from."""
+    """(text, toxic, fold) of the labelled documents that may be learned from,
+    joined once and kept in the shared folder."""
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("toxic"))
     marks = marks.withColumn("fold", fold("__id")).where("fold <> 0")
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(marks, "__id").select("text", "toxic", "fold")
+    return stage(rows.join(marks.hint("merge"), "__id").select("text", "toxic", "fold"), "toxic-labelled")
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
