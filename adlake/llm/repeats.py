@@ -25,8 +25,9 @@ then are one string.
 Defined results: null text = empty; documents shorter than ``min_bytes`` stay
 whole; rows with the same id never remove from each other, and identical rows
 give identical results; a null id neither removes nor loses anything; an empty
-table gives an empty result; extra columns pass through untouched when asked
-for by ``keep``.
+table gives an empty result.  ``without_repeats`` puts the texts that are left
+into the documents; characters that a span cuts apart go as a whole, and all
+other columns pass through.
 """
 
 from __future__ import annotations
@@ -490,13 +491,13 @@ def _keep(tagged: bool):
                     removed.append(gone)
                     runs.append(n)
                 for c, d in passes(np.fromiter(map(len, kept), np.int64, len(kept)), 8 << 20):
-                    yield arrow({"id": (names[c:d], pa.int64()), "kept": (kept[c:d], pa.binary()), "n_bytes": ([len(x) for x in texts[c:d]], pa.int64()), "n_removed": (removed[c:d], pa.int64()), "n_spans": (runs[c:d], pa.int64())})
+                    yield arrow({"id": (names[c:d], pa.int64()), "kept": (kept[c:d], pa.binary()), "n_bytes": ([len(x) for x in texts[c:d]], pa.int64()), "n_removed": (removed[c:d], pa.int64()), "n_spans": (runs[c:d], pa.int64()), "text_crc": ([zlib.crc32(x) for x in texts[c:d]], pa.int64())})
 
     return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = 2_000) -> DataFrame:
-    """(id, kept binary, n_bytes, n_removed, n_spans) of every row of ``docs``;
+    """(id, kept binary, n_bytes, n_removed, n_spans, text_crc) of every row of ``docs``;
     see the module's text for the method and the defined results."""
     if min_bytes <= ANCHOR:
         raise ValueError(f"strings of more than {ANCHOR} bytes")
@@ -517,7 +518,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     strings = beside(shared).mapInArrow(_strings(buckets, min_bytes, tagged), STRINGS)
     spans = strings.repartition(parts, "bucket").mapInArrow(_spans(4 * parts, min_bytes), ITEMS)
-    done = beside(spans).mapInArrow(_keep(tagged), "id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    done = beside(spans).mapInArrow(_keep(tagged), "id long, kept binary, n_bytes long, n_removed long, n_spans long, text_crc long")
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rest = rows.where("id is null").select("id", whole.alias("kept"), F.octet_length(whole).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"))
+    rest = rows.where("id is null").select("id", whole.alias("kept"), F.octet_length(whole).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.crc32(whole).alias("text_crc"))
     return done.unionByName(rest)
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50) -> DataFrame:
+    """The rows of ``docs`` with what is left of their texts (null stays null)."""
+    kept = remove_repeats(docs, id_col, text_col, min_bytes).select(F.col("id").alias("__id"), "kept", "n_removed", "text_crc")
+    own = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select(*[F.col(c) for c in docs.columns if c != text_col], own.alias("__crc"), F.col(text_col).isNull().alias("__none"))
+    named = docs.where(F.col(id_col).isNotNull())
+    if not named.groupBy(id_col).count().where("count > 1").isEmpty() or not docs.where(F.col(id_col).isNull()).isEmpty():
+        kept = kept.dropDuplicates(["__id", "text_crc"])  # rows equal in both lose the same
+    found = rows.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("text_crc")))
+    # What is left of a character is no UTF-8: the replacement signs that were not in the text go.
+    whole = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit("")))
+    return found.select(*[F.when(F.col("__none"), F.lit(None)).otherwise(whole).alias(c) if c == text_col else F.col(c) for c in docs.columns])
