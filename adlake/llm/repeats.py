@@ -47,8 +47,8 @@ from adlake.llm.suffix_array import window_classes
 ANCHOR = 28
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _MULT = U64(0x9E3779B97F4A7C15)
-#: Bytes of strings that one suffix array holds, and beyond which one key's strings are split by window.
-SORT_BYTES, SPLIT_BYTES = 128_000, 500_000
+#: Bytes of strings that one suffix array holds (small enough for a core's cache), and beyond which one key's strings are split by window.
+SORT_BYTES, SPLIT_BYTES = 8_000, 500_000
 
 
 def substring_hashes(data: np.ndarray, width: int) -> np.ndarray:
