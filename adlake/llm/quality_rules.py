@@ -207,10 +207,14 @@ def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """The rows of ``docs`` that a list learned from their labelled rows keeps."""
+    """The rows of ``docs`` that a list learned from their labelled rows keeps.
+
+    Rows and statistics are written once, for learning and for the verdicts (a
+    filter straight on the statistics would be pushed below them, and compute
+    them once for each mention).
+    """
+    rows = stage(with_stats(docs, text_col).select(F.struct(*docs.columns).alias("__row"), "__stats.*"), "quality-rows")
     marked = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"))
-    known = with_stats(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__body")).join(marked, "__id"), "__body")
-    rules = learn_rules(known.select("__id", "__label", "__stats.*"), "__label", id_col="__id")
-    rows = with_stats(docs, text_col)
-    kept = judged(rows.select(F.struct(*docs.columns).alias("__row"), "__stats.*"), rules)
-    return kept.where("kept").select("__row.*")
+    known = rows.withColumn("__id", F.col(f"__row.{id_col}")).drop("__row").join(marked, "__id")
+    rules = learn_rules(known, "__label", id_col="__id")
+    return judged(rows, rules).where("kept").select("__row.*")
