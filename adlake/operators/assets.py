@@ -6,7 +6,7 @@ from __future__ import annotations
 import mimetypes
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,16 +168,31 @@ def scan_assets(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def write_manifest(results: DataFrame, root: str, run_ts) -> bool:
-    """Append a manifest run under date=YYYY-MM-DD, stamped with run_ts;
-    nothing is written when there are no rows."""
-    if results.isEmpty():
-        return False
-    ts = F.lit(run_ts).cast("timestamp")
-    (results.withColumn("run_ts", F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))
-            .withColumn("date", F.date_format(ts, "yyyy-MM-dd"))
-            .hint("rebalance", "date")
-            .write.mode("append").partitionBy("date").parquet(root))
-    return True
+    """Write a manifest run under date=YYYY-MM-DD, stamped with run_ts; nothing
+    is left when there are no rows.  ``results`` is computed once (its count is
+    observed by the write).  A run is written aside and moved into its date by
+    a name of its own, so a retry replaces it instead of adding to it."""
+    spark = results.sparkSession
+    ts = run_ts.strftime("%Y%m%dT%H%M%SZ")
+    seen = Observation(f"manifest_{ts}")
+    aside = f"{root}/_staging/{ts}"
+    (results.withColumn("run_ts", F.lit(ts)).observe(seen, F.count(F.lit(1)).alias("n"))
+            .write.mode("overwrite").parquet(aside))
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    some = seen.get["n"] > 0
+    if some:
+        day = Path(f"{root}/date={run_ts:%Y-%m-%d}")
+        fs.mkdirs(day)
+        for old in fs.globStatus(Path(f"{day.toString()}/run-{ts}-*")) or []:
+            fs.delete(old.getPath(), False)
+        for st in fs.listStatus(Path(aside)):
+            name = st.getPath().getName()
+            if name.startswith("part-"):
+                fs.rename(st.getPath(), Path(f"{day.toString()}/run-{ts}-{name}"))
+    fs.delete(Path(aside), True)
+    return some
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -186,9 +201,10 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def manifest_latest(m: DataFrame) -> DataFrame:
-    """Rows of the most recent run: max date, then max run stamp."""
-    newest = m.select(F.max(F.struct("date", "run_ts"))).scalar()
-    return m.where(F.struct("date", "run_ts") == newest)
+    """Rows of the most recent run: max date, then max run stamp.  The date is
+    filtered on its own first, so only the newest folder is read for the rows."""
+    day = m.where(F.col("date") == m.select(F.max("date")).scalar())
+    return day.where(F.col("run_ts") == day.select(F.max("run_ts")).scalar())
 
 
 def pointer_state(m: DataFrame, keys: Sequence[str] = ("client_uid", "creative_id", "asset_kind")) -> DataFrame:
@@ -241,13 +257,18 @@ def creative_assets(creatives: DataFrame, m: DataFrame, k: int = 15) -> DataFram
                          F.get_json_object(pl, "$.creative_name").alias("creative_name"),
                          F.get_json_object(pl, "$.media_type").alias("media_type"),
                          F.get_json_object(pl, "$.cta_type").alias("cta_type"))
-    mm = m.select("client_uid", "creative_id", "asset_kind", "byte_size")
-    j = c.join(mm, ["client_uid", "creative_id"], "left")
+    # Counted per kind before the join: a hot creative is one row for each kind.
+    per_kind = m.groupBy("client_uid", "creative_id", "asset_kind").agg(F.count("asset_kind").alias("_n"), F.sum("byte_size").alias("_b"))
+    per = per_kind.groupBy("client_uid", "creative_id").agg(
+        F.sum("_n").alias("_n"), F.sum("_b").alias("_b"),
+        F.sort_array(F.collect_list(F.when(F.col("asset_kind").isNotNull(), F.struct("asset_kind", "_n")))).alias("_kinds"))
+    kinds = F.array_join(F.transform("_kinds", lambda k: F.array_join(F.array_repeat(k["asset_kind"], k["_n"].cast("int")), ", ")), ", ")
+    j = c.join(per, ["client_uid", "creative_id"], "left")
     g = j.groupBy("client_uid", "creative_id", F.substring("creative_name", 1, 60).alias("creative_name"),
                   "media_type", "cta_type").agg(
-        F.count("asset_kind").alias("n_assets"),
-        F.expr("listagg(asset_kind, ', ') WITHIN GROUP (ORDER BY asset_kind)").alias("kinds_present"),
-        F.sum("byte_size").alias("total_bytes"))
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_assets"),
+        F.nullif(F.max(kinds), F.lit("")).alias("kinds_present"),
+        F.sum("_b").alias("total_bytes"))
     return g.orderBy(F.col("n_assets").desc(), F.col("total_bytes").desc_nulls_last(),
                      "client_uid", "creative_id").limit(k)
 

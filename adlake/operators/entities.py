@@ -37,13 +37,27 @@ def mark_orphans(children: DataFrame, parents: DataFrame) -> DataFrame:
                     .withColumn("kept", F.coalesce("_kept", F.lit(False))).drop("_kept"))
 
 
-def conversion_event(actions: DataFrame, values: DataFrame, how: str = "full_outer",
-                     keys: Sequence[str] = ("parent_dlt_id", "action_type")) -> DataFrame:
-    """Action counts joined to action values per (parent, action_type); each
-    side is summed to the key first.  ``full_outer`` keeps one-sided types."""
-    a = actions.groupBy(*keys).agg(F.sum("value").alias("action_count"))
-    v = values.groupBy(*keys).agg(F.sum("value").alias("action_value"))
-    return a.join(v, list(keys), how)
+def _at_parent_grain(children: DataFrame, parents: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
+                     by: Sequence[str]) -> DataFrame:
+    """Children summed per parent first, then joined to the parent's keys."""
+    per_parent = children.groupBy("parent_dlt_id", *by).agg(*aggs)
+    return per_parent.join(parents.select("parent_dlt_id", *keys), "parent_dlt_id")
+
+
+def conversion_event(actions: DataFrame, values: DataFrame, plays: DataFrame, parents: DataFrame,
+                     keys: Sequence[str]) -> DataFrame:
+    """Action counts, action values and video plays per (``keys``, action
+    type); a type that only one side has is kept with NULLs for the others.
+
+    ``parents`` are the surviving insight rows (deduped) with ``keys`` (ad,
+    day, platform); children of superseded parents drop out.  The three sides
+    are one tagged union and one aggregate, not outer joins."""
+    sides = tag_union({"n": actions, "v": values, "p": plays}, "_side")
+    sums = [F.sum(F.when(F.col("_side") == s, F.col("value"))).alias(c)
+            for s, c in (("n", "action_count"), ("v", "action_value"), ("p", "video_plays"))]
+    j = _at_parent_grain(sides.select("parent_dlt_id", "action_type", "value", "_side"), parents, keys, sums, ["action_type"])
+    return j.groupBy(*keys, "action_type").agg(
+        *[F.sum(c).alias(c) for c in ("action_count", "action_value", "video_plays")])
 
 
 def tag_union(frames: Mapping[str, DataFrame], tag_col: str) -> DataFrame:
@@ -55,16 +69,30 @@ def tag_union(frames: Mapping[str, DataFrame], tag_col: str) -> DataFrame:
     return out
 
 
-def attributed_roas(roas: DataFrame, parents: DataFrame, group_keys: Sequence[str],
-                    value_col: str = "value", spend_col: str = "spend") -> DataFrame:
-    """Return on spend per group: sum(value) / sum(spend), recomputed from
-    sums (never an average of per-row ratios)."""
-    per_parent = roas.groupBy("roas_kind", "parent_dlt_id", "action_type") \
-                     .agg(F.sum(value_col).alias("_value"))
-    j = per_parent.join(parents.select("parent_dlt_id", "ad_id", spend_col), "parent_dlt_id")
-    return j.groupBy(*group_keys).agg(
-        (F.sum("_value") / F.nullif(F.sum(spend_col), F.lit(0.0))).alias("roas"),
-        F.count(F.lit(1)).alias("n_parents"))
+def attributed_roas(roas: DataFrame, parents: DataFrame, keys: Sequence[str], by_type: bool = True,
+                    spend_col: str = "spend") -> DataFrame:
+    """Return on spend per (``keys``, roas kind[, action type]).
+
+    A ROAS child holds a ratio, so it is weighted by its parent's spend, never
+    summed.  The spend of a group is that of all its parents, each once,
+    whether or not they have a ROAS row.  ``parents`` are deduped."""
+    by = ["roas_kind", "action_type"] if by_type else ["roas_kind"]
+    ratio = roas.groupBy("parent_dlt_id", *by).agg(F.sum("value").alias("_ratio"))
+    amount = (ratio.join(parents.select("parent_dlt_id", *keys, F.col(spend_col).alias("_spend")), "parent_dlt_id")
+                   .groupBy(*keys, *by).agg(F.sum(F.col("_ratio") * F.col("_spend")).alias("_amount")))
+    spend = parents.groupBy(*keys).agg(F.sum(spend_col).alias("spend"), F.count(F.lit(1)).alias("n_parents"))
+    return amount.join(spend, list(keys)).select(
+        *keys, *by, (F.col("_amount") / F.nullif(F.col("spend"), F.lit(0.0))).alias("roas"), "spend", "n_parents")
+
+
+def cost_per_action(actions: DataFrame, parents: DataFrame, keys: Sequence[str], spend_col: str = "spend") -> DataFrame:
+    """CPA per (``keys``, action type): all spend of the group, once, over the
+    sum of the actions."""
+    j = _at_parent_grain(actions, parents, keys, [F.sum("value").alias("_n")], ["action_type"])
+    n = j.groupBy(*keys, "action_type").agg(F.sum("_n").alias("actions"))
+    spend = parents.groupBy(*keys).agg(F.sum(spend_col).alias("spend"))
+    return n.join(spend, list(keys)).select(
+        *keys, "action_type", "actions", "spend", (F.col("spend") / F.nullif(F.col("actions"), F.lit(0.0))).alias("cpa"))
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
@@ -79,28 +107,55 @@ def unpivot_flags(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
     return df.unpivot(list(ids), list(cols), name_col, value_col)
 
 
-def thin_dimension(facts: DataFrame, key: str, attrs: Sequence[str], order_col: str) -> DataFrame:
-    """Latest attributes per id from denormalised facts (max_by on the order
-    column: a partial aggregate, no window)."""
-    return facts.where(F.col(key).isNotNull()).groupBy(key).agg(
-        *[F.max_by(F.col(a), F.struct(F.col(order_col), F.col(a))).alias(a) for a in attrs],
-        F.min(order_col).alias("first_seen"), F.max(order_col).alias("last_seen"))
-
-
-def scd2(versions: DataFrame, key: str, attrs: Sequence[str], ts_col: str) -> DataFrame:
-    """Type-2 history: one row per change of ``attrs`` per key, valid from
-    the change time until the next change (NULL = current)."""
-    w = Window.partitionBy(key).orderBy(ts_col)
-    h = F.md5(F.to_json(F.struct(*[F.col(a) for a in attrs])))
-    ch = (versions.withColumn("_h", h)
-                  .withColumn("_prev", F.lag("_h").over(w))
-                  .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_h"))))
+def thin_dimensions(facts: DataFrame, tenant: str, kinds: Mapping[str, tuple[str, Sequence[str]]], order_col: str,
+                    tie_col: str) -> DataFrame:
+    """Latest attributes per (kind, tenant, id) from denormalised facts.
+
+    ``kinds`` maps a kind to its id column and its attributes.  All attributes
+    of an id come from one row, the latest by (``order_col``, ``tie_col``): a
+    max_by over one struct, in one partial aggregate over all kinds."""
+    attrs = list(dict.fromkeys(a for _, own in kinds.values() for a in own))
+    rows = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("id"),
+                              *[(F.col(a) if a in own else F.lit(None)).cast("string").alias(a) for a in attrs])
+                     for kind, (key, own) in kinds.items()])
+    long = facts.select(tenant, order_col, tie_col, F.explode(rows).alias("d")).where("d.id is not null")
+    return (long.groupBy("d.kind", tenant, "d.id")
+                .agg(F.max_by(F.struct(*[F.col(f"d.{a}").alias(a) for a in attrs]), F.struct(order_col, tie_col)).alias("_last"),
+                     F.min(order_col).alias("first_seen"), F.max(order_col).alias("last_seen"))
+                .select("kind", tenant, "id", *[F.col(f"_last.{a}").alias(a) for a in attrs], "first_seen", "last_seen"))
+
+
+def scd2(versions: DataFrame, keys: Sequence[str], attrs: Sequence[str], ts_col: str, tie_col: str) -> DataFrame:
+    """Type-2 history: one row per change of ``attrs`` per ``keys`` (tenant and
+    id), valid from the change time until the next change (NULL = current).
+
+    One version per time (the largest ``tie_col``), by partial aggregation.
+    Equal neighbours collapse within (keys, day) first, so a hot key is split
+    by day; what is left is stitched over the key."""
+    own = F.struct(*[F.col(a) for a in attrs])
+    v = versions.groupBy(*keys, ts_col).agg(F.max_by(own, F.col(tie_col)).alias("_a"))
+    v = v.select(*keys, ts_col, F.col("_a"), F.md5(F.to_json("_a")).alias("_h"), F.to_date(ts_col).alias("_day"))
+
+    def changes(df: DataFrame, w) -> DataFrame:
+        prev = df.withColumn("_first", F.row_number().over(w) == 1).withColumn("_prev", F.lag("_h").over(w))
+        return prev.where(F.col("_first") | ~F.col("_prev").eqNullSafe(F.col("_h"))).drop("_first", "_prev")
+
+    over = Window.partitionBy(*keys).orderBy(ts_col)
+    ch = changes(changes(v, Window.partitionBy(*keys, "_day").orderBy(ts_col)), over)
     return ch.select(
-        F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.unix_micros(F.col(ts_col)).cast("string")), 256)
+        F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.unix_micros(F.col(ts_col)).cast("string")), 256)
          .alias("dim_skey"),
-        key, *attrs, F.col(ts_col).alias("valid_from"),
-        F.lead(ts_col).over(w).alias("valid_to"),
-        F.lead(ts_col).over(w).isNull().alias("is_current"))
+        *keys, *[F.col(f"_a.{a}").alias(a) for a in attrs], F.col(ts_col).alias("valid_from"),
+        F.lead(ts_col).over(over).alias("valid_to"),
+        F.lead(ts_col).over(over).isNull().alias("is_current"))
+
+
+def creative_variants(creatives: DataFrame, spec_col: str, kinds: Sequence[str], id_col: str = "creative_id") -> DataFrame:
+    """(id, variant_kind, position, value) of every element of the named lists
+    of a nested asset feed spec, in one scan (a list stays in its row's task)."""
+    lists = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{spec_col}.{k}").alias("items")) for k in kinds])
+    one = creatives.select(id_col, F.explode(lists).alias("l"))
+    return one.select(id_col, F.col("l.kind").alias("variant_kind"), F.posexplode("l.items").alias("position", "value"))
 
 
 def ad_creative_bridge(insights: DataFrame, ads: DataFrame, creatives: DataFrame) -> DataFrame:

@@ -39,11 +39,38 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequen
     return both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def lag_window(delta: DataFrame, date_col: str, lag_days: int) -> DataFrame:
-    """Rows of ``delta`` within ``lag_days`` of its newest date (restated
-    window of an incremental load)."""
-    newest = delta.select(F.max(date_col)).scalar()  # scalar subquery, run once
-    return delta.where(F.col(date_col) >= F.date_sub(newest, lag_days))
+def _per_tenant(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """``df`` with the aggregate ``value`` of its rows' keys as ``_v`` (NULL keys match)."""
+    agg = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(value.alias("_v"))
+    return agg
+
+
+def _joined(df: DataFrame, agg: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(agg[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    return df.join(agg, cond, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def lag_window(delta: DataFrame, state: DataFrame, date_col: str, lag_days: int,
+               tenant_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``delta`` that an incremental merge takes: those from the stored
+    cursor less ``lag_days`` on.  The cursor is each tenant's newest stored
+    date, so a tenant that lags behind the others loses nothing; all rows of a
+    tenant without stored rows are taken."""
+    cursor = _per_tenant(state, tenant_cols, F.max(date_col))
+    j = _joined(delta, cursor, tenant_cols, "left")
+    return j.where(F.col("_v").isNull() | (F.col(date_col) >= F.date_sub(F.col("_v"), lag_days))).drop("_v")
+
+
+def load_window(df: DataFrame, date_col: str, days: int, load_cols: Sequence[str]) -> DataFrame:
+    """Rows in the last ``days`` days of their own load: ``[newest - (days -
+    1), newest]``, where newest is the load's newest date (``load_cols`` name
+    the tenant and the load)."""
+    newest = _per_tenant(df, load_cols, F.max(date_col))
+    j = _joined(df, newest, load_cols, "inner")
+    return j.where(F.col(date_col).between(F.date_sub(F.col("_v"), days - 1), F.col("_v"))).drop("_v")
 
 
 def grain_violations(df: DataFrame, grain: Sequence[str]) -> DataFrame:

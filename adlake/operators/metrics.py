@@ -41,12 +41,15 @@ def _ratio(num: Column, den: Column, scale: float) -> Column:
 
 
 def aggregate(df: DataFrame, dims: Sequence[str], measures: Sequence[Measure] = AD_MEASURES,
-              mode: str = "group") -> DataFrame:
+              mode: str = "group", day_col: str = "date_start") -> DataFrame:
     """Sum the additive measures per group (``mode``: group | rollup | cube),
     then derive every ratio from the sums.  Rollup/cube rows carry
-    ``grouping_level`` (grouping_id)."""
+    ``grouping_level`` (grouping_id).  Across days a measure that is not
+    additive over days (distinct users) is NULL, and so are its ratios."""
+    over_days = mode != "group" or day_col not in dims
+    hidden = set(non_additive(measures)) if over_days else set()
     sums = [m for m in measures if m.kind == "sum"]
-    aggs = [F.sum(m.column).alias(m.name) for m in sums]
+    aggs = [(F.lit(None).cast("bigint") if m.name in hidden else F.sum(m.column)).alias(m.name) for m in sums]
     if mode == "group":
         g = df.groupBy(*dims).agg(*aggs)
     elif mode in ("rollup", "cube"):

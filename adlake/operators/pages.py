@@ -84,7 +84,8 @@ def redact_url(url: Column, params: Sequence[str] = ("access_token",)) -> Column
 def shape_material(fields: Column, api_version: str = API_VERSION) -> Column:
     """Sorted-key JSON text identifying a report query shape (a fields array
     plus the fixed breakdown/window/increment settings)."""
-    flist = F.concat(F.lit("["), F.array_join(F.transform(fields, lambda f: F.concat(F.lit('"'), f, F.lit('"'))), ", "),
+    # Each name as JSON text, by the JSON writer (which escapes it).
+    flist = F.concat(F.lit("["), F.array_join(F.transform(fields, lambda f: F.regexp_replace(F.to_json(F.array(f)), r"^\[|\]$", "")), ", "),
                      F.lit("]"))
     return F.concat(
         F.lit(f'{{"action_attribution_windows": "{ATTRIBUTION_WINDOWS}", '

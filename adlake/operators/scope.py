@@ -13,10 +13,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.functions.casts import strip_ws
+from adlake.operators.joins import sized_broadcast
 from adlake.session import checkpoint_root
 from adlake.specs import (GRAPH_IDS_BATCH_SIZE, INITIAL_LOAD_DAYS_BY_ENV, INITIAL_LOAD_DAYS_DEFAULT,
                           INSIGHTS_CATCHUP_THRESHOLD_DAYS, INSIGHTS_CHUNK_DAYS, INSIGHTS_STEADY_STATE_DAYS)
@@ -66,13 +67,13 @@ def dense_positions(ids: DataFrame, col: str) -> DataFrame:
     cached = ranged.persist(StorageLevel.DISK_ONLY)
     ranged = cached.checkpoint(eager=True)
     cached.unpersist()
-    counts = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = {}, 0
-    for pid, n in counts:
-        offsets[pid], acc = acc, acc + n
-    off = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]) if offsets else F.create_map()
+    # Offsets: one row per partition, summed up by a window over that table.
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"))
+                     .select("_pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off")))
     local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return ranged.select(col, (F.element_at(off, F.col("_pid")) + local).cast("bigint").alias("pos"))
+    j = ranged.join(sized_broadcast(offsets), "_pid")
+    return j.select(col, (F.col("_off") + local).cast("bigint").alias("pos"))
 
 
 def id_batches(ids: DataFrame, col: str, size: int = GRAPH_IDS_BATCH_SIZE) -> DataFrame:
@@ -108,12 +109,11 @@ def resolve_history_days(coverage_min: Column, coverage_max: Column, today: Colu
     """First run -> initial; still short of the target depth -> widen toward
     it (capped at initial); stale past the threshold -> initial; behind ->
     gap + steady; caught up -> steady."""
-    gap = F.datediff(today, coverage_max)
-    return (F.when(coverage_min.isNull() | coverage_max.isNull(), initial_days)
-             .when(coverage_min > target_min, F.least(F.datediff(today, target_min), initial_days))
-             .when(gap > threshold, initial_days)
-             .when(gap > steady, gap + steady)
-             .otherwise(F.lit(steady)))
+    branch = branch_name(coverage_min, coverage_max, today, target_min, steady, threshold)
+    return (F.when(branch == "deepen", F.least(F.datediff(today, target_min), initial_days))
+             .when(branch == "catch_up", F.datediff(today, coverage_max) + steady)
+             .when(branch == "steady", F.lit(steady))
+             .otherwise(initial_days))
 
 
 def branch_name(coverage_min: Column, coverage_max: Column, today: Column, target_min: Column,
@@ -127,10 +127,11 @@ def branch_name(coverage_min: Column, coverage_max: Column, today: Column, targe
 
 
 def initial_load_days(env: Column) -> Column:
-    """Initial window by environment tier (trimmed, lower-cased); unknown or
-    missing tiers get the largest window."""
+    """Initial window by environment tier (trimmed, lower-cased); a missing
+    (NULL or empty) tier is ``dev``, an unknown name gets the largest window."""
     m = F.create_map(*[F.lit(x) for kv in INITIAL_LOAD_DAYS_BY_ENV.items() for x in kv])
-    return F.coalesce(F.element_at(m, F.lower(strip_ws(env))), F.lit(INITIAL_LOAD_DAYS_DEFAULT))
+    tier = F.coalesce(F.nullif(F.lower(strip_ws(env)), F.lit("")), F.lit("dev"))
+    return F.coalesce(F.element_at(m, tier), F.lit(INITIAL_LOAD_DAYS_DEFAULT))
 
 
 def history_override(raw: Column) -> Column:
@@ -158,7 +159,12 @@ def preset_window(preset: Column, today: Column, maximum_days: int = INITIAL_LOA
     return since, until
 
 
-def rolling_window(df: DataFrame, date_col: str, today: Column | dt.date, days: int) -> DataFrame:
-    """Rows with ``date_col`` in [today - (days-1), today]."""
+def rolling_window(df: DataFrame, date_col: str, today: Column | dt.date, days: int,
+                   partition_col: str | None = None) -> DataFrame:
+    """Rows with ``date_col`` in [today - (days-1), today].  ``partition_col``
+    names the lake's text partition (yyyy-mm-dd) of the same day: it is
+    filtered first, so only the window's folders are read."""
     t = today if isinstance(today, Column) else F.lit(today).cast("date")
+    if partition_col is not None:
+        df = df.where(F.col(partition_col).between(F.date_sub(t, days - 1).cast("string"), t.cast("string")))
     return df.where(F.col(date_col).between(F.date_sub(t, days - 1), t))

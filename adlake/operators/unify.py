@@ -131,7 +131,7 @@ def unify_parent(raw: DataFrame | Iterable[DataFrame], entity: str, loaded_at: d
     """Raw tenant extracts of one parent entity -> ODS rows (one per tenant and
     natural key, latest extraction wins; ties broken by the raw row id)."""
     specs = specs or PARENT_SPECS[entity]
-    keys = list(natural_key or PARENT_KEYS[entity].natural_key)
+    keys = list(natural_key or PARENT_KEYS[entity])
     aliases = [s.alias for s in specs]
     df = cast_tenant_frames(raw, specs, True, run_ts, client_col)
     df = tenant_tag(df, roster, default_org, client_col)

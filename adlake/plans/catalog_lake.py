@@ -46,17 +46,24 @@ def q_raw_write(spark, d):
         "client", "entity", "date", "_dlt_id", "ad_id", "spend", "_dlt_load_id")
 
 
-@query("raw_hive_scan", sql=_UNIFY_SQL)
+# Drift within tenants: tenant 000 lands numbers until the 9th and text after,
+# tenant 001 lands no objective before the 15th; the others land text.
+_DRIFT_SQL = f"""SELECT * REPLACE (CASE WHEN client = '001' AND date_start < '2024-01-15' THEN NULL ELSE objective END AS objective)
+FROM ({P.EXTRACTS_SQL})"""
+
+
+@query("raw_hive_scan", sql=_UNIFY_SQL.replace(P.EXTRACTS_SQL, _DRIFT_SQL))
 def q_raw_hive_scan(spark, d):
-    """Drifted lake: tenant 000 lands spend/impressions as numbers, the others
-    as text.  One frame per file schema, cast by the spec, then unified."""
+    """Drifted lake, read as frames of agreeing files, cast by the spec, unified."""
     root = scratch_dir(spark, "raw-drift")
     e = P.extracts(spark, d)
-    typed = (e.where(F.col("client") == "000")
-              .withColumn("spend", F.col("spend").cast("double"))
+    numbers = (F.col("client") == "000") & (F.col("date_start") < "2024-01-10")
+    early = (F.col("client") == "001") & (F.col("date_start") < "2024-01-15")
+    typed = (e.where(numbers).withColumn("spend", F.col("spend").cast("double"))
               .withColumn("impressions", F.col("impressions").cast("bigint")))
     L.write_raw(typed, root, "ads_insights", date_col="date_start")
-    L.write_raw(e.where(F.col("client") != "000"), root, "ads_insights", date_col="date_start")
+    L.write_raw(e.where(early).drop("objective"), root, "ads_insights", date_col="date_start")
+    L.write_raw(e.where(~numbers & ~early), root, "ads_insights", date_col="date_start")
     frames = L.read_raw_groups(spark, root, "ads_insights")
     return U.unify_parent(frames, "ads_insights", LOADED_AT, roster=P.roster(spark, d)).select(*_ODS_COLS)
 
@@ -89,16 +96,27 @@ def q_entity_allowlist(spark, d):
 
 
 @query("raw_inventory", sql=f"""
-WITH extracts AS ({P.EXTRACTS_SQL})
-SELECT client, 'ads_insights' AS entity, CAST(count(DISTINCT date_start) AS BIGINT) AS n_dates,
-       CAST(count(*) AS BIGINT) AS n_rows
-FROM extracts GROUP BY ALL
+WITH extracts AS ({P.EXTRACTS_SQL}),
+one AS (SELECT client, 'ads_insights' AS entity, CAST(count(DISTINCT date_start) AS BIGINT) AS n_dates, min(date_start) AS first_date,
+               max(date_start) AS last_date, CAST(count(*) AS BIGINT) AS n_rows
+        FROM extracts GROUP BY client)
+SELECT *, CAST(sum(n_dates) OVER () AS BIGINT) AS n_partitions, CAST(count(DISTINCT client) OVER () AS BIGINT) AS n_clients,
+       CAST(count(DISTINCT entity) OVER () AS BIGINT) AS n_entities
+FROM one
 """)
 def q_raw_inventory(spark, d):
+    """The files of each (client, entity): their days and rows, and the three
+    discovery totals (partitions, clients, entities) beside."""
     root = _land_raw(spark, d)
-    raw = L.read_raw(spark, root, "ads_insights")
-    return raw.groupBy("client", "entity").agg(F.count_distinct("date").alias("n_dates"),
-                                               F.count(F.lit(1)).alias("n_rows"))
+    raw = L.read_raw(spark, root, "ads_insights").select("*", F.col("_metadata.file_path").alias("_path"))
+    files = raw.groupBy("_path").agg(F.count(F.lit(1)).alias("rows")).withColumn("keys", L.path_keys(F.col("_path")))
+    files = files.select("_path", "rows", *[F.col("keys")[k].alias(k) for k in ("client", "entity", "date")])
+    per = files.groupBy("client", "entity").agg(
+        F.count_distinct("date").alias("n_dates"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.sum("rows").alias("n_rows"))
+    return per.select("*", per.agg(F.sum("n_dates")).scalar().alias("n_partitions"),
+                      per.agg(F.count_distinct("client")).scalar().alias("n_clients"),
+                      per.agg(F.count_distinct("entity")).scalar().alias("n_entities"))
 
 
 def _write_ods(spark, d):
@@ -144,12 +162,11 @@ def q_write_replace(spark, d):
 
 
 @query("sink_roundtrip", sql="""
-SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS msg FROM nation
+SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS msg FROM customer
 """)
 def q_sink_roundtrip(spark, d):
     root = scratch_dir(spark, "ping")
-    rows = P.table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"),
-                                              F.col("n_name").alias("msg"))
+    rows = P.table(spark, d, "customer").select(F.col("c_custkey").cast("bigint").alias("id"), F.col("c_name").alias("msg"))
     rows.write.mode("overwrite").parquet(root)
     return spark.read.parquet(root)
 

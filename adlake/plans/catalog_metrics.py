@@ -14,13 +14,14 @@ from adlake.plans.registry import query
 _I = f"i AS ({P.INSIGHTS_SQL})"
 
 
-def _ratios_sql(prefix=""):
+def _ratios_sql():
+    """Sums and ratios across days: distinct users (reach) don't add up over days."""
     return (f"round(sum(spend), 2) AS spend, CAST(sum(impressions) AS BIGINT) AS impressions, "
-            f"CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(reach) AS BIGINT) AS reach, "
+            f"CAST(sum(clicks) AS BIGINT) AS clicks, CAST(NULL AS BIGINT) AS reach, "
             f"round(sum(spend) / nullif(sum(clicks), 0), 6) AS cpc, "
             f"round(1000.0 * sum(spend) / nullif(sum(impressions), 0), 6) AS cpm, "
             f"round(100.0 * sum(clicks) / nullif(sum(impressions), 0), 6) AS ctr, "
-            f"round(sum(impressions) / nullif(sum(reach), 0), 6) AS frequency")
+            f"CAST(NULL AS DOUBLE) AS frequency")
 
 
 def _rounded(df):
@@ -47,45 +48,54 @@ def q_spend_ctr_by_dim(spark, d):
 
 
 @query("fact_ad_performance", sql=f"""
-WITH {_I}
-SELECT ad_id, date_start, device_platform, CAST(count(*) AS BIGINT) AS source_rows, {_ratios_sql()}
-FROM i GROUP BY ALL
+WITH {_CAST_CTE}
+SELECT tenant_skey, ad_id, date_start, round(spend, 2) AS spend, impressions, clicks, reach,
+       round(spend / nullif(clicks, 0), 6) AS cpc, round(1000.0 * spend / nullif(impressions, 0), 6) AS cpm,
+       round(100.0 * clicks / nullif(impressions, 0), 6) AS ctr, round(impressions / nullif(reach, 0), 6) AS frequency
+FROM latest
 """)
 def q_fact_ad_performance(spark, d):
-    i = P.insights(spark, d).withColumn("_one", F.lit(1))
-    measures = (M.Measure("source_rows", "sum", "_one"),) + M.AD_MEASURES
-    out = M.aggregate(i, ["ad_id", "date_start", "device_platform"], measures)
-    return _rounded(out.withColumn("source_rows", F.col("source_rows").cast("bigint")))
+    """One row per (tenant, ad, day): of repeated loads only the latest counts."""
+    from adlake.operators import unify as U
 
+    latest = U.dedupe_latest(_typed(spark, d), ["tenant_skey", "ad_id", "date_start"],
+                             [F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()])
+    return _rounded(M.aggregate(latest, ["tenant_skey", "ad_id", "date_start"]))
 
-@query("thin_dims", sql=f"""
-WITH {_I}
-SELECT ad_id, max(struct_pack(d := date_start, a := adset_id)).a AS adset_id,
-       max(struct_pack(d := date_start, a := campaign_id)).a AS campaign_id,
-       max(struct_pack(d := date_start, a := account_id)).a AS account_id,
-       min(date_start) AS first_seen, max(date_start) AS last_seen
-FROM i WHERE ad_id IS NOT NULL GROUP BY ad_id
-""")
+
+_DIMS = {"Ad": ("ad_id", ("adset_id", "campaign_id", "account_id")), "AdSet": ("adset_id", ("campaign_id", "account_id")),
+         "Campaign": ("campaign_id", ("account_id",)), "AdAccount": ("account_id", ())}
+
+
+def _dim_sql(kind):
+    key, own = _DIMS[kind]
+    cols = ", ".join(f"{a if a in own else 'NULL'}::VARCHAR AS {a}" for a in ("adset_id", "campaign_id", "account_id"))
+    return f"""SELECT '{kind}' AS kind, client, {key} AS id, {cols},
+       min(date_start) OVER (PARTITION BY client, {key}) AS first_seen,
+       max(date_start) OVER (PARTITION BY client, {key}) AS last_seen
+FROM i WHERE {key} IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY client, {key} ORDER BY date_start DESC, row_id DESC) = 1"""
+
+
+@query("thin_dims", sql=f"WITH {_I} " + " UNION ALL ".join(f"SELECT * FROM ({_dim_sql(k)})" for k in _DIMS))
 def q_thin_dims(spark, d):
-    return EN.thin_dimension(P.insights(spark, d), "ad_id", ["adset_id", "campaign_id", "account_id"], "date_start")
+    return EN.thin_dimensions(P.insights(spark, d), "client", _DIMS, "date_start", "row_id")
 
 
 @query("scd2_dim", sql=f"""
 WITH {_CAST_CTE},
-v AS (SELECT ad_id, objective, extracted_at,
-             lag(md5(CAST(to_json(struct_pack(objective := objective)) AS VARCHAR)))
-               OVER (PARTITION BY ad_id ORDER BY extracted_at) AS prev_h,
-             md5(CAST(to_json(struct_pack(objective := objective)) AS VARCHAR)) AS h
-      FROM casted WHERE extracted_at IS NOT NULL),
-ch AS (SELECT * FROM v WHERE prev_h IS NULL OR prev_h <> h)
-SELECT sha256(ad_id || '|' || CAST(epoch_us(extracted_at) AS VARCHAR)) AS dim_skey, ad_id, objective,
-       extracted_at AS valid_from, lead(extracted_at) OVER (PARTITION BY ad_id ORDER BY extracted_at) AS valid_to,
-       lead(extracted_at) OVER (PARTITION BY ad_id ORDER BY extracted_at) IS NULL AS is_current
-FROM ch
+one AS (SELECT tenant_skey, ad_id, objective, extracted_at FROM casted WHERE extracted_at IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY tenant_skey, ad_id, extracted_at ORDER BY tie DESC) = 1),
+v AS (SELECT *, lag(objective) OVER w AS prev, row_number() OVER w AS n
+      FROM one WINDOW w AS (PARTITION BY tenant_skey, ad_id ORDER BY extracted_at)),
+ch AS (SELECT * FROM v WHERE n = 1 OR prev IS DISTINCT FROM objective)
+SELECT sha256(tenant_skey || '|' || ad_id || '|' || CAST(epoch_us(extracted_at) AS VARCHAR)) AS dim_skey, tenant_skey, ad_id,
+       objective, extracted_at AS valid_from, lead(extracted_at) OVER w AS valid_to, lead(extracted_at) OVER w IS NULL AS is_current
+FROM ch WINDOW w AS (PARTITION BY tenant_skey, ad_id ORDER BY extracted_at)
 """)
 def q_scd2_dim(spark, d):
     t = _typed(spark, d).where(F.col("extracted_at").isNotNull())
-    return EN.scd2(t, "ad_id", ["objective"], "extracted_at")
+    return EN.scd2(t, ["tenant_skey", "ad_id"], ["objective"], "extracted_at", "_tie")
 
 
 # Concepts and the source tables that back them (declared semantic model).
@@ -107,7 +117,8 @@ WITH present AS (
   SELECT 'ads_insights' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
   UNION ALL SELECT 'ads_insights__actions', CAST(sum(l_linenumber % 4) AS BIGINT) FROM lineitem
   UNION ALL SELECT 'ads_insights__action_values', CAST(sum(l_orderkey % 3) AS BIGINT) FROM lineitem
-  UNION ALL SELECT 'ads_insights__video_p25_watched_actions', CAST(sum(l_linenumber % 2) AS BIGINT) FROM lineitem)
+  UNION ALL SELECT 'ads_insights__video_p25_watched_actions', CAST(sum(l_linenumber % 2) AS BIGINT) FROM lineitem
+  {" ".join(f"UNION ALL SELECT 'ads_insights__{n}', CAST(sum({length}) AS BIGINT) FROM lineitem" for n, (_, _, length) in P.ONE_ELEMENT_LISTS.items())})
 SELECT concept, source_table, p.n_rows, p.table_name IS NULL AS missing
 FROM {_CONCEPTS_SQL} LEFT JOIN present p ON cat.source_table = p.table_name
 """)
@@ -120,56 +131,42 @@ def q_concept_coverage(spark, d):
     return j.select("concept", "source_table", "n_rows", F.col("table_name").isNull().alias("missing"))
 
 
-_KIND_BY_ROLE = {"user": "bodies", "assistant": "titles", "system": "descriptions"}
-
-
-@query("creative_variants", sql="""
-SELECT CAST(conv_id AS VARCHAR) AS creative_id,
-       CASE role WHEN 'user' THEN 'bodies' WHEN 'assistant' THEN 'titles' ELSE 'descriptions' END AS variant_kind,
-       turn AS position, CAST(length(text) AS BIGINT) AS text_len
-FROM conversations WHERE role IN ('user', 'assistant', 'system')
+@query("creative_variants", sql=f"""
+WITH {P.ASSET_FEED_SQL}
+SELECT creative_id, variant_kind, CAST(unnest(range(len(l))) AS INTEGER) AS position, unnest(l) AS value FROM lists
 """)
 def q_creative_variants(spark, d):
-    cv = P.table(spark, d, "conversations")
-    frames = {kind: cv.where(F.col("role") == role).select(
-        F.col("conv_id").cast("string").alias("creative_id"), F.col("turn").alias("position"),
-        F.length("text").cast("bigint").alias("text_len")) for role, kind in _KIND_BY_ROLE.items()}
-    return EN.tag_union(frames, "variant_kind")
+    return EN.creative_variants(P.asset_feed(spark, d), "asset_feed_spec", P.FEED_KINDS)
 
 
 @query("product_refs", sql="""
-SELECT CAST(doc_id % 100 AS VARCHAR) AS creative_id, 'onsite_destination' AS ref_kind,
+SELECT CAST(doc_id // 3 AS VARCHAR) AS creative_id, 'onsite_destination' AS ref_kind,
        source || ':' || CAST(doc_id AS VARCHAR) AS product_id FROM documents
 UNION ALL
-SELECT CAST(doc_id % 100 AS VARCHAR), 'retailer_item_id', 'q' || CAST(quality AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)
+SELECT CAST(doc_id // 3 AS VARCHAR), 'retailer_item_id', 'q' || CAST(quality AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)
 FROM labels
 """)
 def q_product_refs(spark, d):
     docs = P.table(spark, d, "documents").select(
-        (F.col("doc_id") % 100).cast("string").alias("creative_id"),
+        F.expr("cast(doc_id div 3 as string)").alias("creative_id"),
         F.concat(F.col("source"), F.lit(":"), F.col("doc_id").cast("string")).alias("product_id"))
     lab = P.table(spark, d, "labels").select(
-        (F.col("doc_id") % 100).cast("string").alias("creative_id"),
+        F.expr("cast(doc_id div 3 as string)").alias("creative_id"),
         F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("product_id"))
     return EN.tag_union({"onsite_destination": docs, "retailer_item_id": lab}, "ref_kind")
 
 
-# Wide creative feature statuses: 33 columns by rule from part attributes.
-N_FLAGS = 33
-
-
 def _flag_sql(i):
-    return (f"CASE (p_size + {i}) % 3 WHEN 0 THEN 'OPT_IN' WHEN 1 THEN 'OPT_OUT' END AS feature_{i:02d}")
+    return f"CASE (n_chars + {i}) % 3 WHEN 0 THEN 'OPT_IN' WHEN 1 THEN 'OPT_OUT' END"
 
 
-@query("feature_flags", sql=f"""
-WITH w AS (SELECT CAST(p_partkey AS VARCHAR) AS creative_id, {", ".join(_flag_sql(i) for i in range(1, N_FLAGS + 1))}
-           FROM part)
-SELECT creative_id, feature_name, enroll_status FROM w
-UNPIVOT INCLUDE NULLS (enroll_status FOR feature_name IN ({", ".join(f"feature_{i:02d}" for i in range(1, N_FLAGS + 1))}))
-""")
+@query("feature_flags", sql=" UNION ALL ".join(f"""
+SELECT CAST(doc_id AS VARCHAR) AS creative_id, '{n}' AS feature_name, {_flag_sql(i)} AS enroll_status FROM documents"""
+                                              for i, n in enumerate(P.FEATURES)))
 def q_feature_flags(spark, d):
-    p = P.table(spark, d, "part")
-    cols = [F.expr(_flag_sql(i)) for i in range(1, N_FLAGS + 1)]
-    w = p.select(F.col("p_partkey").cast("string").alias("creative_id"), *cols)
-    return EN.unpivot_flags(w, ["creative_id"], [f"feature_{i:02d}" for i in range(1, N_FLAGS + 1)])
+    """Status leaves of the nested features spec: flattened, then unpivoted."""
+    flat = N.flatten_struct(P.asset_feed(spark, d).select("creative_id", "degrees_of_freedom_spec"))
+    prefix, suffix = "degrees_of_freedom_spec__creative_features_spec__", "__enroll_status"
+    names = {c: c[len(prefix):-len(suffix)] for c in flat.columns if c.startswith(prefix)}
+    wide = flat.select("creative_id", *[F.col(c).alias(n) for c, n in names.items()])
+    return EN.unpivot_flags(wide, ["creative_id"], list(names.values()))

@@ -11,7 +11,7 @@ from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
 from adlake.plans.catalog_unify import LOADED_AT
 from adlake.plans.registry import query
-from adlake.specs import CHILD_SPECS, PARENT_SPECS
+from adlake.specs import CHILD_SPEC_VIDEO, CHILD_SPECS, PARENT_SPECS
 
 _CTE = f"parent AS ({P.NESTED_PARENT_SQL})"
 
@@ -38,6 +38,7 @@ SELECT 'ads_insights' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, 9 AS n_
 UNION ALL SELECT 'ads_insights__actions', CAST(count(*) AS BIGINT), 12 FROM a
 UNION ALL SELECT 'ads_insights__action_values', CAST(count(*) AS BIGINT), 12 FROM v
 UNION ALL SELECT 'ads_insights__video_p25_watched_actions', CAST(count(*) AS BIGINT), 6 FROM w
+{" ".join(f"UNION ALL SELECT 'ads_insights__{n}', CAST(count(*) AS BIGINT), 6 FROM ({P.one_element_sql(n)})" for n in P.ONE_ELEMENT_LISTS)}
 """)
 def q_normalize_nested(spark, d):
     tables = _tables(spark, d)
@@ -81,27 +82,35 @@ def q_unify_child(spark, d):
 # Parent ODS rows of the nested insights (typed, deduped) and typed children.
 _PARENT_SPEC = PARENT_SPECS["ads_insights"]
 _PARENT_COLS = {"_dlt_id", "ad_id", "date_start", "spend", "clicks"}
+GRAIN = ["client", "ad_id", "date_start", "device_platform"]
 _TYPED_PARENT_SQL = f"""
 typed_parent AS (
-  SELECT client, {S.spec_select(_PARENT_SPEC, _PARENT_COLS, 'p')},
+  SELECT client, meta__line__status AS device_platform, {S.spec_select(_PARENT_SPEC, _PARENT_COLS, 'p')},
          {S.extracted_at_sql('p._dlt_load_id')} AS extracted_at
   FROM parent p),
 kept_parent AS (
   SELECT * FROM typed_parent
-  QUALIFY row_number() OVER (PARTITION BY client, ad_id, date_start
+  QUALIFY row_number() OVER (PARTITION BY client, ad_id, date_start, device_platform
                              ORDER BY extracted_at DESC NULLS LAST, parent_dlt_id DESC) = 1)"""
 
 
 def _typed_children(spark, d, name, tables=None):
     tables = tables or _tables(spark, d)
-    return U.apply_spec(tables[name], CHILD_SPECS[name], keep=["client"])
+    # Lists beyond the unified child tables have the video tables' columns.
+    return U.apply_spec(tables[name], CHILD_SPECS.get(name, CHILD_SPEC_VIDEO), keep=["client"])
+
+
+def _kept_parent(spark, d, tables=None):
+    """The latest row of each insight key; children of others are orphans."""
+    return U.dedupe_latest(_typed_parent(spark, d, tables), GRAIN,
+                           [F.col("extracted_at").desc_nulls_last(), F.col("parent_dlt_id").desc()])
 
 
 def _typed_parent(spark, d, tables=None):
     tables = tables or _tables(spark, d)
     p = tables["ads_insights"]
-    return U.apply_spec(p.withColumn("extracted_at", U.extracted_at(p)), _PARENT_SPEC,
-                        keep=["client", "extracted_at"])
+    p = p.withColumn("extracted_at", U.extracted_at(p)).withColumn("device_platform", F.col("meta__line__status"))
+    return U.apply_spec(p, _PARENT_SPEC, keep=["client", "device_platform", "extracted_at"])
 
 
 @query("child_parent_join", sql=f"""
@@ -126,61 +135,109 @@ FROM a
 def q_orphan_children(spark, d):
     t = _tables(spark, d)
     c = _typed_children(spark, d, "ads_insights__actions", t)
-    kept = U.dedupe_latest(_typed_parent(spark, d, t), ["client", "ad_id", "date_start"],
-                           [F.col("extracted_at").desc_nulls_last(), F.col("parent_dlt_id").desc()])
-    return EN.mark_orphans(c, kept).select("child_dlt_id", "parent_dlt_id", "kept")
+    return EN.mark_orphans(c, _kept_parent(spark, d, t)).select("child_dlt_id", "parent_dlt_id", "kept")
+
+
+_GRAIN_SQL = ", ".join(f"t.{c}" for c in GRAIN)
+_SIDES_SQL = f"""
+sides AS (
+  SELECT 'n' AS side, _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')} AS value FROM ({P.ACTIONS_SQL})
+  UNION ALL SELECT 'v', _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')} FROM ({P.ACTION_VALUES_SQL})
+  UNION ALL SELECT 'p', _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')} FROM ({P.one_element_sql('video_play_actions')}))"""
 
 
 @query("conversion_event", sql=f"""
-WITH {_CTE}, a AS ({P.ACTIONS_SQL}), v AS ({P.ACTION_VALUES_SQL}),
-ac AS (SELECT _dlt_parent_id AS parent_dlt_id, action_type, sum({S.cast_sql('value', 'FLOAT64')}) AS n
-       FROM a GROUP BY ALL),
-av AS (SELECT _dlt_parent_id AS parent_dlt_id, action_type, sum({S.cast_sql('value', 'FLOAT64')}) AS v
-       FROM v GROUP BY ALL)
-SELECT coalesce(ac.parent_dlt_id, av.parent_dlt_id) AS parent_dlt_id,
-       coalesce(ac.action_type, av.action_type) AS action_type,
-       round(ac.n, 6) AS action_count, round(av.v, 6) AS action_value
-FROM ac FULL OUTER JOIN av ON ac.parent_dlt_id = av.parent_dlt_id AND ac.action_type = av.action_type
+WITH {_CTE}, {_TYPED_PARENT_SQL}, {_SIDES_SQL}
+SELECT {_GRAIN_SQL}, s.action_type,
+       round(sum(s.value) FILTER (WHERE side = 'n'), 6) AS action_count,
+       round(sum(s.value) FILTER (WHERE side = 'v'), 6) AS action_value,
+       round(sum(s.value) FILTER (WHERE side = 'p'), 6) AS video_plays
+FROM sides s JOIN kept_parent t ON s._dlt_parent_id = t.parent_dlt_id GROUP BY ALL
 """)
 def q_conversion_event(spark, d):
     t = _tables(spark, d)
-    ev = EN.conversion_event(_typed_children(spark, d, "ads_insights__actions", t),
-                             _typed_children(spark, d, "ads_insights__action_values", t))
-    return ev.select("parent_dlt_id", "action_type", F.round("action_count", 6).alias("action_count"),
-                     F.round("action_value", 6).alias("action_value"))
+    ev = EN.conversion_event(*[_typed_children(spark, d, f"ads_insights__{n}", t)
+                               for n in ("actions", "action_values", "video_play_actions")],
+                             _kept_parent(spark, d, t), GRAIN)
+    return ev.select(*GRAIN, "action_type", *[F.round(c, 6).alias(c) for c in ("action_count", "action_value", "video_plays")])
+
+
+@query("cpa_by_action", sql=f"""
+WITH {_CTE}, {_TYPED_PARENT_SQL}, {_SIDES_SQL},
+spend AS (SELECT {", ".join(GRAIN)}, sum(spend) AS spend FROM kept_parent GROUP BY ALL),
+n AS (SELECT {_GRAIN_SQL}, s.action_type, sum(s.value) AS actions
+      FROM sides s JOIN kept_parent t ON s._dlt_parent_id = t.parent_dlt_id WHERE side = 'n' GROUP BY ALL)
+SELECT n.*, round(s.spend, 2) AS spend, round(s.spend / nullif(n.actions, 0), 6) AS cpa
+FROM n JOIN spend s USING ({", ".join(GRAIN)})
+""")
+def q_cpa_by_action(spark, d):
+    t = _tables(spark, d)
+    c = EN.cost_per_action(_typed_children(spark, d, "ads_insights__actions", t), _kept_parent(spark, d, t), GRAIN)
+    return c.withColumn("spend", F.round("spend", 2)).withColumn("cpa", F.round("cpa", 6))
 
 
+# From the definition: a group's return is the sum of ratio x spend over its
+# ROAS rows, its spend that of all of its parents, each once.
 _ROAS_SQL = f"""
-WITH {_CTE}, v AS ({P.ACTION_VALUES_SQL}), w AS ({P.VIDEO_SQL}), {_TYPED_PARENT_SQL},
-roas AS (SELECT 'purchase' AS roas_kind, _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')} AS value FROM v
+WITH {_CTE}, {_TYPED_PARENT_SQL},
+roas AS (SELECT 'purchase' AS roas_kind, _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')} AS value
+         FROM ({P.one_element_sql('purchase_roas')})
          UNION ALL
-         SELECT 'website_purchase', _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')} FROM w),
-per_parent AS (SELECT roas_kind, _dlt_parent_id, action_type, sum(value) AS value FROM roas GROUP BY ALL),
-joined AS (SELECT r.*, t.ad_id, t.spend FROM per_parent r JOIN typed_parent t ON r._dlt_parent_id = t.parent_dlt_id)"""
+         SELECT 'website_purchase', _dlt_parent_id, action_type, {S.cast_sql('value', 'FLOAT64')}
+         FROM ({P.one_element_sql('website_purchase_roas')})),
+amounts AS (SELECT t.*, r.roas_kind, r.action_type, r.value * t.spend AS amount
+            FROM roas r JOIN kept_parent t ON r._dlt_parent_id = t.parent_dlt_id)"""
+
 
+def _roas_children(spark, d, t):
+    return EN.tag_union({kind: _typed_children(spark, d, f"ads_insights__{kind}_roas", t)
+                         for kind in ("purchase", "website_purchase")}, "roas_kind")
 
-@query("attributed_roas", sql=_ROAS_SQL + """
-SELECT roas_kind, action_type, round(sum(value) / nullif(sum(spend), 0), 9) AS roas,
-       CAST(count(*) AS BIGINT) AS n_parents
-FROM joined GROUP BY ALL
+
+@query("attributed_roas", sql=_ROAS_SQL + f"""
+, spend AS (SELECT {", ".join(GRAIN)}, sum(spend) AS spend, CAST(count(*) AS BIGINT) AS n_parents FROM kept_parent GROUP BY ALL),
+ret AS (SELECT {", ".join(GRAIN)}, roas_kind, action_type, sum(amount) AS amount FROM amounts GROUP BY ALL)
+SELECT {", ".join(GRAIN)}, roas_kind, action_type, round(amount / nullif(spend, 0), 9) AS roas, round(spend, 2) AS spend, n_parents
+FROM ret JOIN spend USING ({", ".join(GRAIN)})
 """)
 def q_attributed_roas(spark, d):
     t = _tables(spark, d)
-    roas = EN.tag_union({"purchase": _typed_children(spark, d, "ads_insights__action_values", t),
-                         "website_purchase": _typed_children(spark, d, "ads_insights__video_p25_watched_actions", t)},
-                        "roas_kind")
-    return EN.attributed_roas(roas, _typed_parent(spark, d, t), ["roas_kind", "action_type"]) \
-             .withColumn("roas", F.round("roas", 9))
+    out = EN.attributed_roas(_roas_children(spark, d, t), _kept_parent(spark, d, t), GRAIN)
+    return out.withColumn("roas", F.round("roas", 9)).withColumn("spend", F.round("spend", 2))
 
 
 @query("top_roas", sql=_ROAS_SQL + """
-SELECT ad_id, round(sum(value) / nullif(sum(spend), 0), 9) AS roas
-FROM joined WHERE roas_kind = 'purchase' GROUP BY ad_id
+, spend AS (SELECT ad_id, sum(spend) AS spend FROM kept_parent GROUP BY ad_id),
+ret AS (SELECT ad_id, sum(amount) AS amount FROM amounts WHERE roas_kind = 'purchase' GROUP BY ad_id)
+SELECT ad_id, round(amount / nullif(spend, 0), 9) AS roas FROM ret JOIN spend USING (ad_id)
 ORDER BY roas DESC NULLS LAST, ad_id LIMIT 10
 """)
 def q_top_roas(spark, d):
     t = _tables(spark, d)
-    roas = EN.tag_union({"purchase": _typed_children(spark, d, "ads_insights__action_values", t)}, "roas_kind")
-    per_ad = EN.attributed_roas(roas, _typed_parent(spark, d, t), ["ad_id"]).drop("n_parents")
-    return EN.top_k(per_ad.withColumn("roas", F.round("roas", 9)), 10,
-                    [F.col("roas").desc_nulls_last(), F.col("ad_id")])
+    roas = _roas_children(spark, d, t).where("roas_kind = 'purchase'")
+    per_ad = EN.attributed_roas(roas, _kept_parent(spark, d, t), ["ad_id"], by_type=False).select("ad_id", F.round("roas", 9).alias("roas"))
+    return EN.top_k(per_ad, 10, [F.col("roas").desc_nulls_last(), F.col("ad_id")])
+
+
+def _child_query(name: str, sql: str, columns: set[str]):
+    spec = CHILD_SPECS[f"ads_insights__{name}"]
+
+    @query(f"unify_child_{name}", sql=f"""
+WITH {_CTE}, a AS ({sql}), roster AS ({P.ROSTER_SQL}),
+org_map AS (SELECT client_slug, min(org_slug) AS org FROM roster GROUP BY client_slug)
+SELECT {S.spec_select(spec, columns, 'a')},
+       coalesce(o.org, '{U.DEFAULT_ORG}') AS org_uid, a.client AS client_uid,
+       coalesce(o.org, '{U.DEFAULT_ORG}') || '__' || a.client AS tenant_skey,
+       TIMESTAMP '{LOADED_AT:%Y-%m-%d %H:%M:%S}' AS _loaded_at
+FROM a LEFT JOIN org_map o ON a.client = o.client_slug
+""")
+    def q(spark, d):
+        return U.unify_child(_tables(spark, d)[f"ads_insights__{name}"], f"ads_insights__{name}", LOADED_AT, roster=P.roster(spark, d))
+    q.__name__ = f"q_unify_child_{name}"
+
+
+_VIDEO_COLS = {"_dlt_id", "_dlt_parent_id", "_dlt_list_idx", "action_type", "value"}
+_child_query("action_values", P.ACTION_VALUES_SQL, _CHILD_COLS)
+_child_query("video_p25_watched_actions", P.VIDEO_SQL, _VIDEO_COLS)
+for _n in ("video_p50_watched_actions", "video_p75_watched_actions", "video_p100_watched_actions"):
+    _child_query(_n, P.one_element_sql(_n), _VIDEO_COLS)

@@ -147,20 +147,20 @@ def q_insights_chunks(spark, d):
     return SC.insights_chunks(_history(spark, d), TODAY).select("client", "chunk_idx", "since", "until")
 
 
-_ENV_SQL = "CASE n_nationkey % 5 WHEN 0 THEN 'dev' WHEN 1 THEN ' Staging ' WHEN 2 THEN 'PROD' WHEN 3 THEN 'qa' END"
-_OVR_SQL = "CASE n_nationkey % 4 WHEN 0 THEN '30' WHEN 1 THEN '-5' WHEN 2 THEN 'abc' END"
+_ENV_SQL = "CASE c_custkey % 6 WHEN 0 THEN 'dev' WHEN 1 THEN ' Staging ' WHEN 2 THEN 'PROD' WHEN 3 THEN 'qa' WHEN 4 THEN ' ' END"
+_OVR_SQL = "CASE c_custkey % 4 WHEN 0 THEN '30' WHEN 1 THEN '-5' WHEN 2 THEN 'abc' END"
 
 
 @query("initial_load_days", sql=f"""
-WITH t AS (SELECT n_name, {_ENV_SQL} AS env, {_OVR_SQL} AS override_raw FROM nation),
-r AS (SELECT n_name, env, override_raw,
-             coalesce(CASE lower(trim(env)) WHEN 'dev' THEN 7 WHEN 'staging' THEN 365 WHEN 'prod' THEN 1125 END, 1125) AS initial_days,
+WITH t AS (SELECT c_custkey, {_ENV_SQL} AS env, {_OVR_SQL} AS override_raw FROM customer),
+r AS (SELECT c_custkey, env, override_raw,
+             coalesce(CASE coalesce(nullif(lower(trim(env)), ''), 'dev') WHEN 'dev' THEN 7 WHEN 'staging' THEN 365 WHEN 'prod' THEN 1125 END, 1125) AS initial_days,
              CASE WHEN TRY_CAST(override_raw AS INTEGER) > 0 THEN TRY_CAST(override_raw AS INTEGER) END AS override_days
       FROM t)
 SELECT *, coalesce(override_days, initial_days) AS effective_days FROM r
 """)
 def q_initial_load_days(spark, d):
-    n = P.table(spark, d, "nation").select("n_name", F.expr(_ENV_SQL).alias("env"), F.expr(_OVR_SQL).alias("override_raw"))
+    n = P.table(spark, d, "customer").select("c_custkey", F.expr(_ENV_SQL).alias("env"), F.expr(_OVR_SQL).alias("override_raw"))
     r = n.select("*", SC.initial_load_days(F.col("env")).alias("initial_days"),
                  SC.history_override(F.col("override_raw")).alias("override_days"))
     return r.withColumn("effective_days", F.coalesce("override_days", "initial_days"))

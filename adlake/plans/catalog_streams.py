@@ -1,7 +1,7 @@
 """Queries: streaming pointer sync, late restatement, streaming telemetry.
 
-Each lands its proxy rows in several appends (three, or five daily-run style
-loads for the restatement), runs an AvailableNow stream after each landing
+Each lands its proxy rows in several appends (the restatement: overlapping
+loads with changed values), runs an AvailableNow stream after each landing
 (restarts on one checkpoint), and returns the final state; the oracle is the
 batch answer over all rows (stream = batch)."""
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import adlake.plans.catalog_assets  # noqa: F401  (registers the batch oracles reused below)
 import adlake.plans.catalog_telemetry  # noqa: F401
 from adlake.plans import proxies as P
-from adlake.plans.catalog_unify import _typed
+from adlake.plans.catalog_unify import _CAST_CTE, _typed
 from adlake.plans.registry import ORACLE, query
 from adlake.session import scratch_dir
 from adlake.specs import INSIGHTS_STEADY_STATE_DAYS
@@ -41,27 +41,43 @@ def q_stream_pointer_sync(spark, d):
     return ST.read_pointers(spark, state)
 
 
-@query("late_restatement", sql=ORACLE["dedupe_latest"])
+# Loads of ten days each; every load ends five days after the one before, and
+# restates the last seven days of its own tenant with changed spend.  Tenant
+# 000 lags four days behind the others in every load.
+_LOADS = ((1, "2024-01-08"), (2, "2024-01-13"), (3, "2024-01-18"), (4, "2024-01-23"), (5, "2024-01-28"), (6, "2024-02-02"))
+_LAG_TENANT, _LAG_DAYS, _LOAD_DAYS = "000", 4, 10
+
+
+@query("late_restatement", sql=f"""
+WITH {_CAST_CTE},
+loads(load_no, bound) AS (VALUES {", ".join(f"({n}, DATE '{b}')" for n, b in _LOADS)}),
+landed AS (
+  SELECT c.tenant_skey, c.ad_id, c.date_start, c.extracted_at, c.tie, l.load_no, c.spend + l.load_no AS spend
+  FROM casted c JOIN loads l
+    ON c.date_start <= l.bound - CASE WHEN c.client_uid = '{_LAG_TENANT}' THEN {_LAG_DAYS} ELSE 0 END
+   AND c.date_start > l.bound - CASE WHEN c.client_uid = '{_LAG_TENANT}' THEN {_LAG_DAYS} ELSE 0 END - {_LOAD_DAYS}),
+newest AS (SELECT tenant_skey, load_no, max(date_start) AS m FROM landed GROUP BY ALL),
+kept AS (SELECT l.* FROM landed l JOIN newest n ON l.tenant_skey = n.tenant_skey AND l.load_no = n.load_no
+         WHERE l.date_start BETWEEN n.m - {INSIGHTS_STEADY_STATE_DAYS - 1} AND n.m)
+SELECT tenant_skey, ad_id, date_start, load_no, round(spend, 2) AS spend, extracted_at, tie AS _dlt_id FROM kept
+QUALIFY row_number() OVER (PARTITION BY tenant_skey, ad_id, date_start
+                           ORDER BY load_no DESC, extracted_at DESC NULLS LAST, tie DESC) = 1
+""")
 def q_late_restatement(spark, d):
     t = _typed(spark, d)
-    # Five daily-run style loads of six days each; every load restates the
-    # last seven days of its own data (the steady-state window).
-    bounds = ["2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25"]
-    parts, lo = [], None
-    for b in bounds + [None]:
-        c = F.lit(True) if lo is None else (F.col("date_start") >= lo)
-        parts.append(c & (F.col("date_start") < b) if b else c)
-        lo = b
-    order = [F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()]
+    order = [F.col("load_no").desc(), F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()]
     keys = ["tenant_skey", "ad_id", "date_start"]
-
     root = scratch_dir(spark, "restate")
     landing, ckpt, state = f"{root}/landing", f"{root}/_checkpoint", f"{root}/state"
-    for cond in parts:
-        t.where(cond).write.mode("append").parquet(landing)
-        ST.restatement(spark, landing, t.schema, state, ckpt, keys, order, "date_start", INSIGHTS_STEADY_STATE_DAYS)
+    for n, bound in _LOADS:
+        end = F.date_sub(F.lit(bound).cast("date"), F.when(F.col("client_uid") == _LAG_TENANT, _LAG_DAYS).otherwise(0))
+        load = (t.where((F.col("date_start") <= end) & (F.col("date_start") > F.date_sub(end, _LOAD_DAYS)))
+                 .withColumn("load_no", F.lit(n)).withColumn("spend", F.col("spend") + n))
+        load.write.mode("append").parquet(landing)
+        ST.restatement(spark, landing, load.schema, state, ckpt, keys, order, "date_start",
+                       INSIGHTS_STEADY_STATE_DAYS, ["tenant_skey", "load_no"])
     out = ST.read_restated(spark, state)
-    return out.select("tenant_skey", "ad_id", "date_start", "extracted_at", F.col("_tie").alias("_dlt_id"))
+    return out.select(*keys, "load_no", F.round("spend", 2).alias("spend"), "extracted_at", F.col("_tie").alias("_dlt_id"))
 
 
 @query("stream_ratelimit", sql=ORACLE["ratelimit_rollup"])

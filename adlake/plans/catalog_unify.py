@@ -10,7 +10,7 @@ from adlake.operators import unify as U
 from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
 from adlake.plans.registry import query
-from adlake.specs import PARENT_SPECS
+from adlake.specs import PARENT_KEYS, PARENT_SPECS
 
 # Pinned load time (never the clock) so both engines agree.
 LOADED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -320,7 +320,9 @@ def q_merge_upsert(spark, d):
 @query("incremental_lag", sql=f"""
 WITH {_CAST_CTE},
 delta AS (SELECT * FROM casted WHERE date_start >= DATE '{_DELTA_START}'),
-lagged AS (SELECT * FROM delta WHERE date_start >= (SELECT max(date_start) FROM delta) - INTERVAL 3 DAY),
+cursors AS (SELECT tenant_skey, max(date_start) AS c FROM casted WHERE date_start <= DATE '{_BASE_END}' GROUP BY 1),
+lagged AS (SELECT d.* FROM delta d LEFT JOIN cursors k ON d.tenant_skey = k.tenant_skey
+           WHERE k.c IS NULL OR d.date_start >= k.c - 3),
 both_sides AS (
   SELECT * FROM casted WHERE date_start <= DATE '{_BASE_END}' UNION ALL SELECT * FROM lagged)
 SELECT tenant_skey, ad_id, date_start, extracted_at, tie AS _dlt_id FROM both_sides
@@ -328,7 +330,7 @@ QUALIFY row_number() OVER (PARTITION BY tenant_skey, ad_id, date_start ORDER BY
 """)
 def q_incremental_lag(spark, d):
     base, delta = _base_delta(spark, d)
-    m = FR.upsert(base, FR.lag_window(delta, "date_start", 3), ["tenant_skey", "ad_id", "date_start"],
+    m = FR.upsert(base, FR.lag_window(delta, base, "date_start", 3, ["tenant_skey"]), ["tenant_skey", "ad_id", "date_start"],
                   [F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()])
     return m.select("tenant_skey", "ad_id", "date_start", "extracted_at", F.col("_tie").alias("_dlt_id"))
 
@@ -344,3 +346,44 @@ def q_guards(spark, d):
     # Roster tenants '003'/'004' land rows; unknown slugs are reported.
     r = P.roster(spark, d)
     return FR.tenant_actions(r, P.extracts(spark, d).select("client"))
+
+
+def _parent_query(entity: str, name: str):
+    """Raw loads of one parent entity through cast, tag, dedupe, payload and hash."""
+    spec, keys = PARENT_SPECS[entity], list(PARENT_KEYS[entity])
+    raw, columns = P.entity_sql(entity)
+
+    @query(name, sql=f"""
+WITH raw AS ({raw}), roster AS ({P.ROSTER_SQL}),
+org_map AS (SELECT client_slug, min(org_slug) AS org FROM roster GROUP BY client_slug),
+casted AS (
+  SELECT {S.spec_select(spec, columns, 'e')}, {S.extracted_at_sql('e._dlt_load_id')} AS _ext, e._dlt_id AS tie,
+         coalesce(o.org, '{U.DEFAULT_ORG}') AS org_uid, e.client AS client_uid,
+         coalesce(o.org, '{U.DEFAULT_ORG}') || '__' || e.client AS tenant_skey
+  FROM raw e LEFT JOIN org_map o ON e.client = o.client_slug),
+latest AS (SELECT * FROM casted
+  QUALIFY row_number() OVER (PARTITION BY tenant_skey, {", ".join(keys)} ORDER BY _ext DESC NULLS LAST, tie DESC) = 1)
+SELECT tenant_skey, org_uid, client_uid, {S.source_id_sql(keys)} AS source_id,
+       {S.change_hash_sql(S.source_id_sql(keys), '_ext')} AS source_schema_hash, _ext AS _record_created_at, tie AS _dlt_id,
+       {", ".join(s.alias for s in spec if s.alias not in keys)}
+FROM latest
+""")
+    def q(spark, d):
+        rows = P.entity_raw(spark, d, entity)
+        out = U.unify_parent(rows, entity, LOADED_AT, roster=P.roster(spark, d))
+        # The payload is read back field by field with the spec's types.
+        types = ", ".join(f"{s.alias} {_SPARK_TYPES[s.cast]}" for s in spec)
+        body = F.from_json("payload", types)
+        latest = U.dedupe_latest(U.tenant_tag(U.cast_tenant_frames(rows, spec, True), P.roster(spark, d)), ["tenant_skey", *keys],
+                                 [F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()])
+        tie = latest.select("tenant_skey", U.source_id(keys).alias("source_id"), F.col("_tie").alias("_dlt_id"))
+        return (out.join(tie, ["tenant_skey", "source_id"])
+                   .select("tenant_skey", "org_uid", "client_uid", "source_id", "source_schema_hash", "_record_created_at", "_dlt_id",
+                           *[body[s.alias].alias(s.alias) for s in spec if s.alias not in keys]))
+    q.__name__ = f"q_{name}"
+
+
+_SPARK_TYPES = {"STRING": "string", "INT64": "bigint", "FLOAT64": "double", "DATE": "date", "TIMESTAMP": "timestamp", "JSON_STRING": "string"}
+for _entity, _name in (("ads", "unify_ads"), ("ad_sets", "unify_ad_sets"), ("ad_creatives", "unify_ad_creatives"),
+                       ("ad_creatives_asset_feed", "unify_asset_feed"), ("campaigns", "unify_campaigns")):
+    _parent_query(_entity, _name)

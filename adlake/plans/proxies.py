@@ -3,8 +3,10 @@
 The driver tables hold no ad data, so each adapter is a plain projection
 (Spark side) with an SQL twin (oracle side).  Operators never see the proxy;
 they receive DataFrames with the raw column names they expect.  Metric
-columns are text so the lenient casts do real work.  No adapter filters,
-samples or caps rows: every proxy grows with its source table.
+columns are text so the lenient casts do real work.  No adapter samples or
+caps rows, and ids come from the tables' own ids, so rows and keys grow with
+the source (``video_sources`` leaves out private videos: that is the feature).
+Tenants are few, as in the lake.
 """
 
 from __future__ import annotations
@@ -15,27 +17,9 @@ from pyspark.sql import functions as F
 N_TENANTS = 7  # tenants are assigned by user/customer id modulo this
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table.  The test files are single row groups (one scan task
-    each); when such a file is over 1 MiB and yields fewer splits than the
-    cluster has cores, rows are spread round-robin so the per-row proxy work
-    runs in parallel.  On a real lake (many splits) this is a no-op.  Proxies
-    whose first step is a shuffle join pass ``spread=False`` (the join's own
-    exchange already parallelises the work)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if not spread:
-        return df
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    cores = spark.sparkContext.defaultParallelism
-    if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dec2(c: Column) -> Column:
@@ -214,13 +198,17 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         _action("lead", _f2("l_discount"), target)), 1, (F.col("l_orderkey") % 3).cast("int"))
     video = F.slice(F.array(F.struct(F.lit("video_view").alias("action_type"),
                                      _f2("l_quantity").alias("value"))), 1, F.col("l_linenumber") % 2)
+
+    def one(kind: str, value: Column, length: Column) -> Column:
+        return F.slice(F.array(F.struct(F.lit(kind).alias("action_type"), value.alias("value"))), 1, length.cast("int"))
+
     ship = F.col("l_shipdate").cast("timestamp")
     return li.select(
         F.concat(F.lit("li"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("_dlt_id"),
         F.lpad((F.col("l_suppkey") % N_TENANTS).cast("string"), 3, "0").alias("client"),
-        (F.col("l_partkey") % 50).cast("string").alias("ad_id"),
-        F.date_format(ship, "yyyy-MM-dd").alias("date_start"),
+        F.col("l_partkey").cast("string").alias("ad_id"),
+        F.date_format(F.trunc(ship, "year"), "yyyy-MM-dd").alias("date_start"),
         _f2("l_extendedprice").alias("spend"),
         F.col("_t_l_linenumber").alias("clicks"),
         F.concat(F.unix_seconds(ship).cast("string"), F.lit("."),
@@ -229,19 +217,25 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.struct(F.col("l_linestatus").alias("status")).alias("line")).alias("meta"),
         actions.alias("actions"), values.alias("action_values"),
         video.alias("video_p25_watched_actions"),
+        one("video_view", _f2("l_discount"), F.col("l_linenumber") % 2).alias("video_p50_watched_actions"),
+        one("video_view", _f2("l_tax"), F.col("l_orderkey") % 2).alias("video_p75_watched_actions"),
+        one("video_view", F.col("_t_l_linenumber"), F.col("l_partkey") % 2).alias("video_p100_watched_actions"),
+        one("video_view", F.col("_t_l_linenumber"), F.col("l_suppkey") % 2).alias("video_play_actions"),
+        one("omni_purchase", _f2("l_tax"), F.col("l_linenumber") % 2).alias("purchase_roas"),
+        one("offsite_conversion", _f2("l_discount"), F.col("l_orderkey") % 2).alias("website_purchase_roas"),
     )
 
 
 NESTED_PARENT_SQL = f"""
 SELECT 'li' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS _dlt_id,
        lpad(CAST(l_suppkey % {N_TENANTS} AS VARCHAR), 3, '0') AS client,
-       CAST(l_partkey % 50 AS VARCHAR) AS ad_id,
-       strftime(l_shipdate, '%Y-%m-%d') AS date_start,
+       CAST(l_partkey AS VARCHAR) AS ad_id,
+       strftime(date_trunc('year', l_shipdate), '%Y-%m-%d') AS date_start,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS spend,
        CAST(l_linenumber AS VARCHAR) AS clicks,
        CAST(epoch(l_shipdate)::BIGINT AS VARCHAR) || '.' || lpad(CAST(l_linenumber AS VARCHAR), 6, '0') AS _dlt_load_id,
        l_returnflag AS meta__flag, l_linestatus AS meta__line__status,
-       l_linenumber, l_orderkey, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax
+       l_linenumber, l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax
 FROM lineitem"""
 
 
@@ -271,6 +265,23 @@ ACTION_VALUES_SQL = _child_sql([
     ("lead", "CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR)", 2, "l_orderkey % 3")], True, "ads_insights__action_values")
 VIDEO_SQL = _child_sql([("video_view", "CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)", 0, "l_linenumber % 2")], False,
                        "ads_insights__video_p25_watched_actions")
+_DEC = "CAST(CAST({} AS DECIMAL(18,2)) AS VARCHAR)".format
+#: One-element lists: table, (action type, value, length).
+ONE_ELEMENT_LISTS = {
+    "video_p50_watched_actions": ("video_view", _DEC("l_discount"), "l_linenumber % 2"),
+    "video_p75_watched_actions": ("video_view", _DEC("l_tax"), "l_orderkey % 2"),
+    "video_p100_watched_actions": ("video_view", "CAST(l_linenumber AS VARCHAR)", "l_partkey % 2"),
+    "video_play_actions": ("video_view", "CAST(l_linenumber AS VARCHAR)", "l_suppkey % 2"),
+    "purchase_roas": ("omni_purchase", _DEC("l_tax"), "l_linenumber % 2"),
+    "website_purchase_roas": ("offsite_conversion", _DEC("l_discount"), "l_orderkey % 2"),
+}
+
+
+def one_element_sql(name: str) -> str:
+    kind, value, length = ONE_ELEMENT_LISTS[name]
+    return f"""SELECT md5(_dlt_id || '|ads_insights__{name}|0') AS _dlt_id, _dlt_id AS _dlt_parent_id,
+        CAST(0 AS BIGINT) AS _dlt_list_idx, client, '{kind}' AS action_type, {value} AS value
+        FROM parent WHERE {length} > 0"""
 
 
 # ---------------------------------------------------------------- creatives
@@ -347,7 +358,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.expr(_KIND_BY_LANG)
     skipped = F.col("doc_id") % 4 == 0
     return d.select(
-        (F.col("doc_id") % 400).cast("string").alias("creative_id"),
+        F.expr("cast(doc_id div 4 as string)").alias("creative_id"),
         F.col("source").alias("client_uid"), F.concat(F.lit("org_"), F.col("lang")).alias("org_uid"),
         kind.alias("asset_kind"),
         F.concat(F.lit("lake://assets/client="), F.col("source"), F.lit("/asset_kind="), kind, F.lit("/"),
@@ -364,7 +375,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MANIFEST_SQL = f"""
-SELECT CAST(doc_id % 400 AS VARCHAR) AS creative_id, source AS client_uid, 'org_' || lang AS org_uid,
+SELECT CAST(doc_id // 4 AS VARCHAR) AS creative_id, source AS client_uid, 'org_' || lang AS org_uid,
        {_KIND_BY_LANG} AS asset_kind,
        'lake://assets/client=' || source || '/asset_kind=' || ({_KIND_BY_LANG}) || '/' || CAST(doc_id AS VARCHAR) || '.bin' AS gcs_uri,
        'https://cdn.example.com/' || CAST(doc_id AS VARCHAR) AS original_url,
@@ -381,15 +392,16 @@ FROM documents"""
 
 # ---------------------------------------------------------------- narratives
 # Creative versions with link / template / video branches (mutually
-# exclusive by language); creative id = doc id modulo 100, newest doc wins.
+# exclusive by language); three documents are versions of one creative, the
+# newest wins.  Headline: the first line of the text, body: the rest.
 
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    head = F.substring("text", 1, 30)
-    body = F.substring("text", 31, 60)
+    head = F.substring_index("text", "\n", 1)
+    body = F.expr("substring(text, length(substring_index(text, '\\n', 1)) + 2)")
     link = F.concat(F.lit("https://shop.example.com/"), F.col("source"))
     return d.select(
-        (F.col("doc_id") % 100).cast("string").alias("creative_id"), F.col("doc_id").alias("version"),
+        F.expr("cast(doc_id div 3 as string)").alias("creative_id"), F.col("doc_id").alias("version"),
         F.when(F.col("lang") == "en", F.struct(head.alias("name"), body.alias("message"),
                                                F.col("source").alias("description"), link.alias("link"))).alias("link_data"),
         F.when(F.col("lang") == "de", F.struct(head.alias("name"), body.alias("message"),
@@ -400,9 +412,9 @@ def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NARRATIVES_SQL = """
-SELECT CAST(doc_id % 100 AS VARCHAR) AS creative_id, doc_id AS version, lang,
-       CASE WHEN lang IN ('en', 'de', 'fr') THEN substring(text, 1, 30) END AS headline,
-       CASE WHEN lang IN ('en', 'de', 'fr') THEN substring(text, 31, 60) END AS body,
+SELECT CAST(doc_id // 3 AS VARCHAR) AS creative_id, doc_id AS version, lang,
+       CASE WHEN lang IN ('en', 'de', 'fr') THEN split_part(text, chr(10), 1) END AS headline,
+       CASE WHEN lang IN ('en', 'de', 'fr') THEN substr(text, length(split_part(text, chr(10), 1)) + 2) END AS body,
        CASE WHEN lang IN ('en', 'fr') THEN source END AS description,
        CASE WHEN lang IN ('en', 'de', 'fr') THEN 'https://shop.example.com/' || source END AS destination_url
 FROM documents"""
@@ -415,12 +427,12 @@ FROM documents"""
 
 def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlake.operators.joins import sized_broadcast
-    li = table(spark, sf_dir, "lineitem", spread=False)
-    o = table(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey")
-    c = table(spark, sf_dir, "customer", spread=False).select("c_custkey", "c_nationkey")
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = sized_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), 10_000)
     r = sized_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
-    p = table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_brand")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
            .join(c, F.col("o_custkey") == c["c_custkey"])
            .join(n, F.col("c_nationkey") == n["n_nationkey"])
@@ -460,7 +472,7 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     creative = (F.when(F.col("p_size") % 7 == 0, F.lit(None))
                  .when(F.col("p_size") % 7 == 1, F.struct(F.lit("").alias("id")))
-                 .otherwise(F.struct(F.concat(F.lit("cr"), (F.col("p_partkey") % 300).cast("string")).alias("id"))))
+                 .otherwise(F.struct(F.concat(F.lit("cr"), F.col("p_partkey").cast("string")).alias("id"))))
     return p.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
                     creative.alias("creative"))
 
@@ -468,7 +480,7 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 ADS_SQL = """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
        CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 7 = 1 THEN ''
-            ELSE 'cr' || CAST(p_partkey % 300 AS VARCHAR) END AS creative_id
+            ELSE 'cr' || CAST(p_partkey AS VARCHAR) END AS creative_id
 FROM part"""
 
 
@@ -650,3 +662,108 @@ FROM events"""
 
 # parent rows + action children as one CTE list (for queries that need both)
 NESTED_CTE_SQL = f"parent AS ({NESTED_PARENT_SQL}), nested_actions AS ({ACTIONS_SQL})"
+
+
+# ---------------------------------------------------------------- entities
+# Raw loads of the four other parents, several per natural key; every column
+# of the spec is text, made by rule from its name and the row.
+
+ENTITY_BASE = {  # table, key, row number, day of the load
+    "ads": ("lineitem", "l_partkey", "l_orderkey * 8 + l_linenumber", "l_shipdate"),
+    "ad_sets": ("lineitem", "l_suppkey", "l_orderkey * 8 + l_linenumber", "l_shipdate"),
+    "campaigns": ("orders", "o_custkey", "o_orderkey", "o_orderdate"),
+    "ad_creatives": ("documents", "doc_id // 3", "doc_id", None),
+    "ad_creatives_asset_feed": ("documents", "doc_id // 2", "doc_id", None),
+}
+
+
+def _entity_columns(entity: str, key: str, row: str, natural: str, engine: str) -> list[tuple[str, str]]:
+    """(source column, SQL text of its raw value): the same in both engines but for types and JSON."""
+    from adlake.specs import PARENT_SPECS
+
+    text = "STRING" if engine == "spark" else "VARCHAR"
+    out = []
+    for i, c in enumerate(PARENT_SPECS[entity]):
+        if c.alias == natural:
+            e = f"CAST({key} AS {text})"
+        elif c.cast == "INT64":
+            e = f"CASE WHEN ({row}) % 5 = {i % 5} THEN 'n/a' ELSE CAST(({row}) % 90 + {i} AS {text}) END"
+        elif c.cast == "FLOAT64":
+            e = f"CASE WHEN ({row}) % 7 = {i % 7} THEN '' ELSE CAST(({row}) % 900 + {i} AS {text}) || '.25' END"
+        elif c.cast in ("DATE", "TIMESTAMP"):
+            e = f"CASE WHEN ({row}) % 11 = {i % 11} THEN 'soon' ELSE '2024-01-' || lpad(CAST(({row}) % 28 + 1 AS {text}), 2, '0') || ' 10:00:0' || CAST(({row}) % 10 AS {text}) END"
+        elif c.cast == "JSON_STRING":
+            e = f"CASE WHEN ({row}) % 3 = 0 THEN NULL ELSE '{{\"k\":' || CAST(({row}) % 50 AS {text}) || '}}' END"
+        else:
+            e = f"CASE WHEN ({row}) % 13 = {i % 13} THEN ' ' ELSE ' {c.source} ' || CAST(({row}) % {17 + i} AS {text}) END"
+        out.append((c.source, e))
+    return out
+
+
+def _entity_parts(entity: str, engine: str) -> tuple[str, list[tuple[str, str]]]:
+    from adlake.specs import PARENT_KEYS
+
+    name, key, row, day = ENTITY_BASE[entity]
+    natural = PARENT_KEYS[entity][0]
+    text, div = ("STRING", "div") if engine == "spark" else ("VARCHAR", "//")
+    key = key.replace("//", div)
+    seconds = f"1700000000 + ({row}) % 90000" if day is None else (f"unix_seconds(CAST({day} AS TIMESTAMP))" if engine == "spark" else f"CAST(epoch({day}) AS BIGINT)")
+    columns = [
+        ("client", f"lpad(CAST(({key}) % {N_TENANTS} AS {text}), 3, '0')"),
+        *_entity_columns(entity, key, row, natural, engine),
+        ("_dlt_load_id", f"CAST({seconds} AS {text}) || '.' || lpad(CAST(({row}) % 1000 AS {text}), 6, '0')"),
+        ("_dlt_id", f"'e' || lpad(CAST({row} AS {text}), 12, '0')"),
+    ]
+    return name, columns
+
+
+def entity_raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    name, columns = _entity_parts(entity, "spark")
+    return table(spark, sf_dir, name).select(*[F.expr(e).alias(c) for c, e in columns])
+
+
+def entity_sql(entity: str) -> tuple[str, set[str]]:
+    """(SQL of the raw rows, their columns)."""
+    name, columns = _entity_parts(entity, "duckdb")
+    return f"SELECT {', '.join(f'{e} AS {c}' for c, e in columns)} FROM {name}", {c for c, _ in columns}
+
+
+# ---------------------------------------------------------------- asset feed
+# Nested asset feed specs of creatives, from documents: every line of the text
+# is a body; the other lists have 0-3 elements.
+
+FEED_KINDS = ("bodies", "titles", "descriptions", "images", "videos", "link_urls", "call_to_action_types", "ad_formats")
+
+
+def asset_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    none = "cast(array() as array<string>)"
+    lists = {
+        "bodies": r"split(text, '\n')",
+        "titles": "array(concat(source, ' title'), lang)",
+        "descriptions": f"if(lang = 'en', array(source), {none})",
+        "images": "array(concat('img', cast(doc_id as string)))",
+        "videos": f"if(lang = 'de', array(concat('v', cast(doc_id as string))), {none})",
+        "link_urls": "array(concat('https://shop.example.com/', source))",
+        "call_to_action_types": "slice(array('SHOP_NOW', 'LEARN_MORE'), 1, cast(doc_id % 3 as int))",
+        "ad_formats": "if(doc_id % 2 = 0, array('SINGLE_IMAGE'), cast(null as array<string>))",
+    }
+    # Flags of the creative's enhancements, one struct for each feature.
+    flags = F.struct(*[F.struct(F.expr(f"CASE (n_chars + {i}) % 3 WHEN 0 THEN 'OPT_IN' WHEN 1 THEN 'OPT_OUT' END").alias("enroll_status")).alias(n) for i, n in enumerate(FEATURES)])
+    return d.select(F.col("doc_id").cast("string").alias("creative_id"), F.struct(*[F.expr(e).alias(k) for k, e in lists.items()]).alias("asset_feed_spec"), F.struct(flags.alias("creative_features_spec")).alias("degrees_of_freedom_spec"))
+
+
+ASSET_FEED_SQL = """
+lists AS (
+  SELECT CAST(doc_id AS VARCHAR) AS creative_id, 'bodies' AS variant_kind, string_split(text, chr(10)) AS l FROM documents
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'titles', [source || ' title', lang] FROM documents
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'descriptions', [source] FROM documents WHERE lang = 'en'
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'images', ['img' || CAST(doc_id AS VARCHAR)] FROM documents
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'videos', ['v' || CAST(doc_id AS VARCHAR)] FROM documents WHERE lang = 'de'
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'link_urls', ['https://shop.example.com/' || source] FROM documents
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'call_to_action_types', ['SHOP_NOW', 'LEARN_MORE'][1:CAST(doc_id % 3 AS INTEGER)] FROM documents WHERE doc_id % 3 > 0
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'ad_formats', ['SINGLE_IMAGE'] FROM documents WHERE doc_id % 2 = 0)"""
+
+#: Names of the enhancement flags that the nested proxy carries.
+FEATURES = ("image_brightness_and_contrast", "image_touchups", "text_optimizations", "inline_comment",
+            "product_extensions", "site_extensions", "standard_enhancements", "video_auto_crop")

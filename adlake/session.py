@@ -8,6 +8,7 @@ when nothing is configured (local tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,14 +54,18 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (local
-    tests) creates a temp folder once and registers it as the checkpoint dir.
+    Uses ``spark.checkpoint.dir`` when the cluster names one.  Only a session
+    in a single process (master ``local``) may do without: it gets a temp
+    folder, once; on a cluster a folder of the driver's machine is of no use
+    to executors, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="adlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -76,11 +81,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/adlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for python-side existence checks in tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm

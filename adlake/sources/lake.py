@@ -4,16 +4,18 @@ Layout (raw):  <root>/client=<slug>/entity=<table>/date=<yyyy-mm-dd>/part-*.parq
 Layout (ODS):  <root>/entity=<table>/part-*.parquet   (no client, no date)
 
 Partition values are read as text (type inference off), so ``client=007``
-stays "007" and dates arrive as text.  Column types may drift between
-tenants (text in one, timestamp in another); a mixed read fails in Spark, so
-``read_raw_groups`` reads one frame per *distinct file schema* (bounded by
-the number of schemas, not tenants), for the caller to cast and union.
+stays "007" and dates arrive as text.  Column types may drift between files
+(text in one, timestamp in another, columns that come later); a mixed read
+fails in Spark, so ``read_raw_groups`` reads one frame per set of files whose
+schemas agree, for the caller to cast and union.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,43 +58,87 @@ def write_raw(df: DataFrame, root: str, entity: str, load_id: str | Column | Non
 def read_raw(spark: SparkSession, root: str, entity: str | None = None,
              entities: Sequence[str] | None = KNOWN_ENTITIES) -> DataFrame:
     """Read the raw lake (all tenants) when file schemas agree.  ``client``,
-    ``entity`` and ``date`` come from the path; unknown entities (load
-    state tables) are pruned by a partition filter."""
-    df = spark.read.option("basePath", root).parquet(f"{root}/client=*/entity={entity or '*'}")
-    if entities is not None:
-        df = df.where(F.col("entity").isin(list(entities)))
-    return df
-
-
-def read_raw_groups(spark: SparkSession, root: str, entity: str, probe_threads: int = 32) -> list[DataFrame]:
-    """One frame per distinct file schema of ``entity`` across tenants.
-
-    Each tenant directory's schema comes from a parquet footer (metadata
-    only); the probes run concurrently, and the number of returned plans is
-    the number of distinct schemas, not of tenants."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    dirs = list_dirs(spark, f"{root}/client=*/entity={entity}")
-    if not dirs:
+    ``entity`` and ``date`` come from the path.  The allow-list is part of the
+    paths: folders of unknown entities (load state tables) are neither listed
+    nor is their schema looked at."""
+    wanted = [entity] if entity is not None else list(entities or [])
+    if not wanted:
+        return spark.read.option("basePath", root).parquet(f"{root}/client=*/entity=*")
+    there = [e for e in wanted if list_dirs(spark, f"{root}/client=*/entity={e}")]
+    if not there:
+        raise MissingTableError(f"no raw partitions for {wanted} under {root}")
+    df = spark.read.option("basePath", root).parquet(*[f"{root}/client=*/entity={e}" for e in there])
+    return df.where(F.col("entity").isin(there))
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    p, fs = _fs(spark, folder)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)
+                  if s.isFile() and s.getPath().getName().endswith(".parquet"))
+
+
+def read_raw_groups(spark: SparkSession, root: str, entity: str) -> list[DataFrame]:
+    """Frames that together hold every file of ``entity``, each of files whose
+    schemas agree: a column that appears later, in any tenant or on any day,
+    is kept (NULL before), and a column whose type changes splits the files.
+
+    Footers are read on the executors (``mergeSchema`` over all folders at
+    once).  Only where schemas conflict are the folders, in (client, date)
+    order, halved and tried again, down to single files: the probes grow with
+    the number of conflicts, not of tenants or days.  Groups of one schema are
+    joined again, so the plans are bounded by the distinct schemas."""
+    days = list_dirs(spark, f"{root}/client=*/entity={entity}/date=*")
+    if not days:
         raise MissingTableError(f"no raw partitions for entity={entity} under {root}")
 
-    def probe(d: str) -> str:
-        schema = spark.read.parquet(d).schema
-        return repr([f for f in schema.fields if f.name != "date"])
-
-    with ThreadPoolExecutor(max_workers=min(probe_threads, len(dirs))) as pool:
-        schemas = list(pool.map(probe, dirs))
-    groups: dict[str, list[str]] = {}
-    for d, sch in zip(dirs, schemas):
-        groups.setdefault(sch, []).append(d)
-    return [spark.read.option("basePath", root).parquet(*paths) for paths in groups.values()]
+    def merged(paths: list[str]) -> DataFrame | None:
+        try:
+            return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
+        except PySparkException as e:
+            if "MERGE" not in f"{e.getCondition()} {e}".upper():
+                raise
+            return None
+
+    def agreeing(paths: list[str], are_files: bool) -> list[tuple[DataFrame, list[str]]]:
+        df = merged(paths)
+        if df is not None:
+            return [(df, paths)]
+        if len(paths) == 1:
+            return agreeing(_files(spark, paths[0]), True)
+        half = len(paths) // 2
+        return agreeing(paths[:half], are_files) + agreeing(paths[half:], are_files)
+
+    # Neighbouring groups may agree again: join them as long as their schemas merge.
+    groups: list[tuple[DataFrame, list[str]]] = []
+    for df, paths in agreeing(days, False):
+        for i, (_, have) in enumerate(groups):
+            both = merged(have + paths)
+            if both is not None:
+                groups[i] = (both, have + paths)
+                break
+        else:
+            groups.append((df, paths))
+    return [df for df, _ in groups]
 
 
 def write_ods(df: DataFrame, root: str, entity: str, target_file_rows: int = 5_000_000) -> str:
-    """Replace one ODS entity wholesale (no client/date partition).  Files are
-    sized by ``maxRecordsPerFile``; AQE coalesces small shuffle outputs."""
+    """Replace one ODS entity wholesale (no client/date partition).  The new
+    table is written aside and swapped in by renames when it is whole; a
+    failed write leaves the old one as it was."""
+    spark = df.sparkSession
     path = f"{root}/entity={entity}"
-    df.write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(path)
+    aside = f"{root}/_staging/{entity}-{uuid.uuid4().hex[:12]}"
+    df.write.option("maxRecordsPerFile", target_file_rows).parquet(f"{aside}/new")
+    final, fs = _fs(spark, path)
+    new, old = _fs(spark, f"{aside}/new")[0], _fs(spark, f"{aside}/old")[0]
+    had = fs.exists(final)
+    if had and not fs.rename(final, old):
+        raise RuntimeError(f"could not set the old {path} aside")
+    if not fs.rename(new, final):
+        if had:
+            fs.rename(old, final)
+        raise RuntimeError(f"could not put the new {path} in place")
+    fs.delete(_fs(spark, aside)[0], True)
     return path
 
 

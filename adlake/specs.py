@@ -17,146 +17,132 @@ class ColSpec:
     cast: str  # STRING | INT64 | FLOAT64 | DATE | TIMESTAMP | JSON_STRING
 
 
-@dataclass(frozen=True)
-class KeyConfig:
-    natural_key: tuple[str, ...]
-    is_child: bool = False
-
-
-def _specs(rows: str) -> list[ColSpec]:
-    out = []
-    for line in rows.strip().splitlines():
-        src, alias, cast = line.split()
-        out.append(ColSpec(src, alias, cast))
-    return out
-
-
 # ---------------------------------------------------------------- FIXED VALUES
 # Parent specs: source column, ODS alias, cast target (payload field order).
 PARENT_SPECS: dict[str, list[ColSpec]] = {
-    "ads": _specs("""
-        id ad_id STRING
-        adset_id adset_id STRING
-        campaign_id campaign_id STRING
-        account_id account_id STRING
-        name ad_name STRING
-        status configured_status STRING
-        effective_status effective_status STRING
-        creative__id creative_id STRING
-        created_time created_at TIMESTAMP
-        updated_time updated_at TIMESTAMP
-    """),
-    "ad_sets": _specs("""
-        id adset_id STRING
-        campaign_id campaign_id STRING
-        account_id account_id STRING
-        name adset_name STRING
-        effective_status effective_status STRING
-        bid_strategy bid_strategy STRING
-        daily_budget daily_budget FLOAT64
-        lifetime_budget lifetime_budget FLOAT64
-        targeting__age_min targeting_age_min INT64
-        targeting__age_max targeting_age_max INT64
-        start_time start_time TIMESTAMP
-        end_time end_time TIMESTAMP
-        created_time created_at TIMESTAMP
-        updated_time updated_at TIMESTAMP
-    """),
-    "ad_creatives": _specs("""
-        id creative_id STRING
-        account_id account_id STRING
-        name creative_name STRING
-        title title STRING
-        body body STRING
-        link_url link_url STRING
-        image_url image_url STRING
-        thumbnail_url thumbnail_url STRING
-        video_id video_id STRING
-        call_to_action_type cta_type STRING
-        object_type media_type STRING
-        instagram_permalink_url instagram_permalink_url STRING
-    """),
-    "ad_creatives_asset_feed": _specs("""
-        id creative_id STRING
-        account_id account_id STRING
-        asset_feed_spec asset_feed_spec_json JSON_STRING
-    """),
-    "campaigns": _specs("""
-        id campaign_id STRING
-        account_id account_id STRING
-        name campaign_name STRING
-        status configured_status STRING
-        effective_status effective_status STRING
-        objective objective STRING
-        buying_type buying_type STRING
-        bid_strategy bid_strategy STRING
-        daily_budget daily_budget FLOAT64
-        lifetime_budget lifetime_budget FLOAT64
-        budget_remaining budget_remaining FLOAT64
-        start_time start_time TIMESTAMP
-        stop_time stop_time TIMESTAMP
-        created_time created_at TIMESTAMP
-        updated_time updated_at TIMESTAMP
-    """),
-    "ads_insights": _specs("""
-        ad_id ad_id STRING
-        ad_name ad_name STRING
-        adset_id adset_id STRING
-        adset_name adset_name STRING
-        campaign_id campaign_id STRING
-        campaign_name campaign_name STRING
-        account_id account_id STRING
-        objective objective STRING
-        date_start date_start DATE
-        date_stop date_stop DATE
-        impressions impressions INT64
-        reach reach INT64
-        clicks clicks INT64
-        unique_clicks unique_clicks INT64
-        inline_link_clicks inline_link_clicks INT64
-        spend spend FLOAT64
-        cpc cpc FLOAT64
-        cpm cpm FLOAT64
-        ctr ctr FLOAT64
-        frequency frequency FLOAT64
-        quality_ranking quality_ranking STRING
-        conversion_rate_ranking conversion_rate_ranking STRING
-        engagement_rate_ranking engagement_rate_ranking STRING
-        _dlt_id parent_dlt_id STRING
-    """),
+    "ads": [
+        ColSpec("id", "ad_id", "STRING"),
+        ColSpec("adset_id", "adset_id", "STRING"),
+        ColSpec("campaign_id", "campaign_id", "STRING"),
+        ColSpec("account_id", "account_id", "STRING"),
+        ColSpec("name", "ad_name", "STRING"),
+        ColSpec("status", "configured_status", "STRING"),
+        ColSpec("effective_status", "effective_status", "STRING"),
+        ColSpec("creative__id", "creative_id", "STRING"),
+        ColSpec("created_time", "created_at", "TIMESTAMP"),
+        ColSpec("updated_time", "updated_at", "TIMESTAMP"),
+    ],
+    "ad_sets": [
+        ColSpec("id", "adset_id", "STRING"),
+        ColSpec("campaign_id", "campaign_id", "STRING"),
+        ColSpec("account_id", "account_id", "STRING"),
+        ColSpec("name", "adset_name", "STRING"),
+        ColSpec("effective_status", "effective_status", "STRING"),
+        ColSpec("bid_strategy", "bid_strategy", "STRING"),
+        ColSpec("daily_budget", "daily_budget", "FLOAT64"),
+        ColSpec("lifetime_budget", "lifetime_budget", "FLOAT64"),
+        ColSpec("targeting__age_min", "targeting_age_min", "INT64"),
+        ColSpec("targeting__age_max", "targeting_age_max", "INT64"),
+        ColSpec("start_time", "start_time", "TIMESTAMP"),
+        ColSpec("end_time", "end_time", "TIMESTAMP"),
+        ColSpec("created_time", "created_at", "TIMESTAMP"),
+        ColSpec("updated_time", "updated_at", "TIMESTAMP"),
+    ],
+    "ad_creatives": [
+        ColSpec("id", "creative_id", "STRING"),
+        ColSpec("account_id", "account_id", "STRING"),
+        ColSpec("name", "creative_name", "STRING"),
+        ColSpec("title", "title", "STRING"),
+        ColSpec("body", "body", "STRING"),
+        ColSpec("link_url", "link_url", "STRING"),
+        ColSpec("image_url", "image_url", "STRING"),
+        ColSpec("thumbnail_url", "thumbnail_url", "STRING"),
+        ColSpec("video_id", "video_id", "STRING"),
+        ColSpec("call_to_action_type", "cta_type", "STRING"),
+        ColSpec("object_type", "media_type", "STRING"),
+        ColSpec("instagram_permalink_url", "instagram_permalink_url", "STRING"),
+    ],
+    "ad_creatives_asset_feed": [
+        ColSpec("id", "creative_id", "STRING"),
+        ColSpec("account_id", "account_id", "STRING"),
+        ColSpec("asset_feed_spec", "asset_feed_spec_json", "JSON_STRING"),
+    ],
+    "campaigns": [
+        ColSpec("id", "campaign_id", "STRING"),
+        ColSpec("account_id", "account_id", "STRING"),
+        ColSpec("name", "campaign_name", "STRING"),
+        ColSpec("status", "configured_status", "STRING"),
+        ColSpec("effective_status", "effective_status", "STRING"),
+        ColSpec("objective", "objective", "STRING"),
+        ColSpec("buying_type", "buying_type", "STRING"),
+        ColSpec("bid_strategy", "bid_strategy", "STRING"),
+        ColSpec("daily_budget", "daily_budget", "FLOAT64"),
+        ColSpec("lifetime_budget", "lifetime_budget", "FLOAT64"),
+        ColSpec("budget_remaining", "budget_remaining", "FLOAT64"),
+        ColSpec("start_time", "start_time", "TIMESTAMP"),
+        ColSpec("stop_time", "stop_time", "TIMESTAMP"),
+        ColSpec("created_time", "created_at", "TIMESTAMP"),
+        ColSpec("updated_time", "updated_at", "TIMESTAMP"),
+    ],
+    "ads_insights": [
+        ColSpec("ad_id", "ad_id", "STRING"),
+        ColSpec("ad_name", "ad_name", "STRING"),
+        ColSpec("adset_id", "adset_id", "STRING"),
+        ColSpec("adset_name", "adset_name", "STRING"),
+        ColSpec("campaign_id", "campaign_id", "STRING"),
+        ColSpec("campaign_name", "campaign_name", "STRING"),
+        ColSpec("account_id", "account_id", "STRING"),
+        ColSpec("objective", "objective", "STRING"),
+        ColSpec("date_start", "date_start", "DATE"),
+        ColSpec("date_stop", "date_stop", "DATE"),
+        ColSpec("impressions", "impressions", "INT64"),
+        ColSpec("reach", "reach", "INT64"),
+        ColSpec("clicks", "clicks", "INT64"),
+        ColSpec("unique_clicks", "unique_clicks", "INT64"),
+        ColSpec("inline_link_clicks", "inline_link_clicks", "INT64"),
+        ColSpec("spend", "spend", "FLOAT64"),
+        ColSpec("cpc", "cpc", "FLOAT64"),
+        ColSpec("cpm", "cpm", "FLOAT64"),
+        ColSpec("ctr", "ctr", "FLOAT64"),
+        ColSpec("frequency", "frequency", "FLOAT64"),
+        ColSpec("quality_ranking", "quality_ranking", "STRING"),
+        ColSpec("conversion_rate_ranking", "conversion_rate_ranking", "STRING"),
+        ColSpec("engagement_rate_ranking", "engagement_rate_ranking", "STRING"),
+        ColSpec("_dlt_id", "parent_dlt_id", "STRING"),
+    ],
 }
 
-PARENT_KEYS: dict[str, KeyConfig] = {
-    "ads": KeyConfig(("ad_id",)),
-    "ad_sets": KeyConfig(("adset_id",)),
-    "ad_creatives": KeyConfig(("creative_id",)),
-    "ad_creatives_asset_feed": KeyConfig(("creative_id",)),
-    "campaigns": KeyConfig(("campaign_id",)),
-    "ads_insights": KeyConfig(("ad_id", "date_start")),
+PARENT_KEYS: dict[str, tuple[str, ...]] = {
+    "ads": ("ad_id",),
+    "ad_sets": ("adset_id",),
+    "ad_creatives": ("creative_id",),
+    "ad_creatives_asset_feed": ("creative_id",),
+    "campaigns": ("campaign_id",),
+    "ads_insights": ("ad_id", "date_start"),
 }
 
-CHILD_SPEC_ACTIONS = _specs("""
-    _dlt_id child_dlt_id STRING
-    _dlt_parent_id parent_dlt_id STRING
-    _dlt_list_idx list_idx INT64
-    action_type action_type STRING
-    action_target_id action_target_id STRING
-    action_destination action_destination STRING
-    value value FLOAT64
-    _1d_view value_1d_view FLOAT64
-    _1d_click value_1d_click FLOAT64
-    _7d_view value_7d_view FLOAT64
-    _7d_click value_7d_click FLOAT64
-""")
-CHILD_SPEC_VIDEO = _specs("""
-    _dlt_id child_dlt_id STRING
-    _dlt_parent_id parent_dlt_id STRING
-    _dlt_list_idx list_idx INT64
-    action_type action_type STRING
-    action_target_id action_target_id STRING
-    action_destination action_destination STRING
-    value value FLOAT64
-""")
+CHILD_SPEC_ACTIONS = [
+    ColSpec("_dlt_id", "child_dlt_id", "STRING"),
+    ColSpec("_dlt_parent_id", "parent_dlt_id", "STRING"),
+    ColSpec("_dlt_list_idx", "list_idx", "INT64"),
+    ColSpec("action_type", "action_type", "STRING"),
+    ColSpec("action_target_id", "action_target_id", "STRING"),
+    ColSpec("action_destination", "action_destination", "STRING"),
+    ColSpec("value", "value", "FLOAT64"),
+    ColSpec("_1d_view", "value_1d_view", "FLOAT64"),
+    ColSpec("_1d_click", "value_1d_click", "FLOAT64"),
+    ColSpec("_7d_view", "value_7d_view", "FLOAT64"),
+    ColSpec("_7d_click", "value_7d_click", "FLOAT64"),
+]
+CHILD_SPEC_VIDEO = [
+    ColSpec("_dlt_id", "child_dlt_id", "STRING"),
+    ColSpec("_dlt_parent_id", "parent_dlt_id", "STRING"),
+    ColSpec("_dlt_list_idx", "list_idx", "INT64"),
+    ColSpec("action_type", "action_type", "STRING"),
+    ColSpec("action_target_id", "action_target_id", "STRING"),
+    ColSpec("action_destination", "action_destination", "STRING"),
+    ColSpec("value", "value", "FLOAT64"),
+]
 CHILD_SPECS: dict[str, list[ColSpec]] = {
     "ads_insights__actions": CHILD_SPEC_ACTIONS,
     "ads_insights__action_values": CHILD_SPEC_ACTIONS,

@@ -22,10 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.operators.assets import pointer_state
-from adlake.operators.frames import lag_window, upsert
+from adlake.operators.frames import load_window, upsert
 from adlake.operators.telemetry import rollup_signals, signals
 
 
+#: State partition of rows without a client.
+NO_CLIENT = "__no_client__"
+
+
 class VersionedTable:
     """Parquet table with one directory per committed version ``v=<n>``."""
 
@@ -75,38 +79,53 @@ def pointer_sync(spark: SparkSession, manifest_dir: str, schema: T.StructType, s
     """New manifest files -> pointer state upsert (newest row per asset, last
     non-empty digest carried).
 
-    The state is partitioned by client (``_client``); a micro-batch reads and
-    replaces only the clients it carries (manifest runs are per tenant), via
-    a staging table in the shared checkpoint folder and a dynamic overwrite.
-    A replayed batch recomputes the same pointers."""
+    The state is partitioned by client (``_client``, a name of its own for a
+    NULL client); a micro-batch reads and replaces only the clients it carries
+    (a semi join, nothing is collected), via a staging table in the shared
+    checkpoint folder and a dynamic overwrite.  A replayed batch recomputes
+    the same pointers."""
     src = spark.readStream.schema(schema).parquet(manifest_dir)
+    client = F.coalesce(F.col(client_col), F.lit(NO_CLIENT))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        clients = [r[0] for r in df.select(client_col).distinct().collect()]  # tenants in this batch
-        if not clients:
-            return
-        rows = df
-        if _exists(spark, state_root):
-            prev = (spark.read.parquet(state_root).where(F.col("_client").isin(clients)).drop("_client"))
-            rows = prev.unionByName(df.select(*prev.columns))
-        staging = f"{checkpoint.rstrip('/')}/_staging/batch={batch_id}"
-        pointer_state(rows, keys).withColumn("_client", F.col(client_col)).write.mode("overwrite").parquet(staging)
-        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_client").parquet(state_root))
+        df = df.persist()
+        try:
+            if df.isEmpty():
+                return
+            rows = df
+            if _exists(spark, state_root):
+                prev = spark.read.parquet(state_root)
+                prev = prev.join(df.select(client.alias("_client")).distinct(), "_client", "left_semi").drop("_client")
+                rows = prev.unionByName(df.select(*prev.columns))
+            _replace(spark, pointer_state(rows, keys).withColumn("_client", client), state_root, "_client", checkpoint, batch_id)
+        finally:
+            df.unpersist()
 
     _run_available_now(src, batch, checkpoint)
 
 
+def _replace(spark: SparkSession, rows: DataFrame, state_root: str, partition: str, checkpoint: str,
+             batch_id: int) -> None:
+    """Replace the state partitions that ``rows`` has: staged in the shared
+    folder first (the state is never read and overwritten by one job), then
+    written with one file set for each partition."""
+    staging = f"{checkpoint.rstrip('/')}/_staging/batch={batch_id}"
+    rows.write.mode("overwrite").parquet(staging)
+    (spark.read.parquet(staging).hint("rebalance", partition).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(state_root))
+
+
 def read_pointers(spark: SparkSession, state_root: str) -> DataFrame:
     return spark.read.parquet(state_root).drop("_client")
 
 
 def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, state_root: str,
                 checkpoint: str, keys: Sequence[str], order: Sequence[Column], date_col: str,
-                lag_days: int) -> None:
-    """Each load restates its last ``lag_days`` days: rows in that window are
-    merged on ``keys`` (latest by ``order`` wins); older rows of the load are
-    ignored.  Not a watermark: old keys are updated in place, never dropped.
+                days: int, load_cols: Sequence[str]) -> None:
+    """Each load restates its last ``days`` days, counted from the newest day
+    of that (tenant, load), so a lagging tenant restates its own window: rows
+    there are merged on ``keys`` (latest by ``order`` wins); older rows of the
+    load are ignored.  Not a watermark: old keys are updated in place.
 
     The state is a parquet table partitioned by day (``_day``).  A batch
     reads only the days it restates (partition pruning), merges into a
@@ -118,20 +137,18 @@ def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, sta
     day = F.date_format(F.col(date_col), "yyyy-MM-dd")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        delta = lag_window(df, date_col, lag_days).withColumn("_day", day)
-        days = [r[0] for r in delta.select("_day").distinct().collect()]  # <= window length
-        if not days:
-            return
-        base = delta.limit(0)
-        if _exists(spark, state_root):
-            base = spark.read.schema(delta.schema).parquet(state_root).where(F.col("_day").isin(days))
-        # Stage the merged window as a written table (shared folder, keyed by
-        # batch id), then replace those days from it: the state is never read
-        # and overwritten by the same job.
-        staging = f"{checkpoint.rstrip('/')}/_staging/batch={batch_id}"
-        upsert(base, delta, keys, order).write.mode("overwrite").parquet(staging)
-        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_day").parquet(state_root))
+        df = df.persist()
+        try:
+            delta = load_window(df, date_col, days, load_cols).withColumn("_day", day)
+            touched = [r[0] for r in delta.select("_day").distinct().collect()]  # days of the loads' windows
+            if not touched:
+                return
+            base = delta.limit(0)
+            if _exists(spark, state_root):
+                base = spark.read.schema(delta.schema).parquet(state_root).where(F.col("_day").isin(touched))
+            _replace(spark, upsert(base, delta, keys, order), state_root, "_day", checkpoint, batch_id)
+        finally:
+            df.unpersist()
 
     _run_available_now(src, batch, checkpoint)
 

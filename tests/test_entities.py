@@ -6,11 +6,52 @@ from adlake.operators import entities as EN
 from adlake.operators import metrics as M
 
 
-def test_conversion_event_full_outer(spark):
-    a = spark.createDataFrame([("p", "purchase", 3.0)], "parent_dlt_id string, action_type string, value double")
-    v = spark.createDataFrame([("p", "purchase", 90.0), ("p", "view", 1.0)], "parent_dlt_id string, action_type string, value double")
-    out = sorted(tuple(r) for r in EN.conversion_event(a, v).collect())
-    assert out == [("p", "purchase", 3.0, 90.0), ("p", "view", None, 1.0)]
+C = "parent_dlt_id string, action_type string, value double"
+PARENT = "parent_dlt_id string, ad_id string, spend double"
+
+
+def test_conversion_event_keeps_one_sided_types_at_full_grain(spark):
+    a = spark.createDataFrame([("p", "purchase", 3.0), ("q", "purchase", 1.0), ("old", "purchase", 9.0)], C)
+    v = spark.createDataFrame([("p", "purchase", 90.0), ("p", "view", 1.0)], C)
+    w = spark.createDataFrame([("q", "video_view", 7.0)], C)
+    parents = spark.createDataFrame([("p", "1", 10.0), ("q", "1", 5.0)], PARENT)
+    out = sorted(tuple(r) for r in EN.conversion_event(a, v, w, parents, ["ad_id"]).collect())
+    assert out == [("1", "purchase", 4.0, 90.0, None), ("1", "video_view", None, None, 7.0), ("1", "view", None, 1.0, None)]
+
+
+def test_roas_counts_all_spend_once(spark):
+    roas = "roas_kind string, " + C
+    two = spark.createDataFrame([("purchase", "p", "a", 0.5), ("purchase", "p", "b", 0.5)], roas)
+    r = EN.attributed_roas(two, spark.createDataFrame([("p", "1", 10.0)], PARENT), ["ad_id"], by_type=False).first()
+    assert (r["roas"], r["spend"]) == (1.0, 10.0)
+    one = spark.createDataFrame([("purchase", "p", "a", 1.0)], roas)
+    r = EN.attributed_roas(one, spark.createDataFrame([("p", "1", 10.0), ("q", "1", 30.0)], PARENT), ["ad_id"]).first()
+    assert (r["roas"], r["spend"], r["n_parents"]) == (0.25, 40.0, 2)
+    c = EN.cost_per_action(spark.createDataFrame([("p", "buy", 4.0)], C), spark.createDataFrame([("p", "1", 10.0), ("q", "1", 30.0)], PARENT), ["ad_id"]).first()
+    assert c["cpa"] == 10.0
+
+
+def test_dimension_attributes_come_from_one_row(spark):
+    rows = [("t1", "a", "s1", "c9", 5, "r1"), ("t1", "a", "s9", "c1", 5, "r2"), ("t2", "a", "s4", "c4", 1, "r3")]
+    f = spark.createDataFrame(rows, "client string, ad string, s string, c string, day int, rid string")
+    out = {(r.kind, r.client, r.id): (r.s, r.c) for r in EN.thin_dimensions(f, "client", {"Ad": ("ad", ("s", "c")), "Set": ("s", ("c",))}, "day", "rid").collect()}
+    assert out[("Ad", "t1", "a")] == ("s9", "c1") and out[("Ad", "t2", "a")] == ("s4", "c4") and len(out) == 5
+
+
+def test_scd2_per_tenant_with_ties(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("t1", "a", "x", 1, "1"), ("t1", "a", "x", 5, "1"), ("t1", "a", "y", 90_000, "1"), ("t1", "a", "z", 90_000, "2"), ("t1", "a", None, 200_000, "1"), ("t2", "a", "z", 3, "1")]
+    v = spark.createDataFrame(rows, "t string, id string, v string, s long, tie string").withColumn("ts", F.timestamp_seconds("s"))
+    out = sorted((r.t, r.v or "-", r.is_current) for r in EN.scd2(v, ["t", "id"], ["v"], "ts", "tie").collect())
+    assert out == [("t1", "-", True), ("t1", "x", False), ("t1", "z", False), ("t2", "z", True)]
+
+
+def test_reach_is_not_added_over_days(spark):
+    df = spark.createDataFrame([("a", "d1", 1.0, 1, 10, 5), ("a", "d2", 1.0, 1, 10, 5)], "ad_id string, date_start string, spend double, clicks long, impressions long, reach long")
+    over = M.aggregate(df, ["ad_id"]).first()
+    assert over["reach"] is None and over["frequency"] is None and over["impressions"] == 20
+    assert [r["frequency"] for r in M.aggregate(df, ["ad_id", "date_start"]).collect()] == [2.0, 2.0]
 
 
 def test_ratio_recomputed_from_sums(spark):

@@ -23,6 +23,30 @@ def test_drifted_types_read_per_schema(spark, tmp_path):
     assert len(frames) == 2
 
 
+def test_drift_within_one_tenant(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    t = "client string, date string, "
+    L.write_raw(spark.createDataFrame([("a", "2024-01-01", 1.5)], t + "spend double"), root, "x")
+    L.write_raw(spark.createDataFrame([("a", "2024-01-02", "2.5", "on")], t + "spend string, status string"), root, "x")
+    L.write_raw(spark.createDataFrame([("b", "2024-01-02", 3.5, "off")], t + "spend double, status string"), root, "x")
+    frames = L.read_raw_groups(spark, root, "x")
+    got = sorted((r["client"], r["date"], str(r["spend"]), r["status"] if "status" in r else None) for f in frames for r in map(lambda x: x.asDict(), f.collect()))
+    assert got == [("a", "2024-01-01", "1.5", None), ("a", "2024-01-02", "2.5", "on"), ("b", "2024-01-02", "3.5", "off")]
+    assert len(frames) == 2
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    import pytest
+
+    root = str(tmp_path / "ods")
+    L.write_ods(spark.range(3), root, "ads")
+    with pytest.raises(Exception):
+        L.write_ods(spark.range(5).withColumn("x", F.raise_error(F.lit("no"))), root, "ads")
+    assert L.read_ods(spark, root, "ads").count() == 3
+    L.write_ods(spark.range(7), root, "ads")
+    assert L.read_ods(spark, root, "ads").count() == 7
+
+
 def test_entity_filter_is_partition_pruned(spark, tmp_path):
     root = str(tmp_path / "raw")
     L.write_raw(spark.createDataFrame([("a", "2024-01-01", 1)], "client string, date string, v int"), root, "ads_insights")

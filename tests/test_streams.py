@@ -22,11 +22,11 @@ def test_restatement_replay_is_idempotent(spark, sf_small, tmp_path):
     t = _typed(spark, sf_small)
     landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
     t.where(F.col("date_start") < "2024-01-15").write.parquet(landing)
-    ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck1"), KEYS, _order(), "date_start", 30)
+    ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck1"), KEYS, _order(), "date_start", 60, ["tenant_skey"])
     t.where(F.col("date_start") >= "2024-01-15").write.mode("append").parquet(landing)
-    ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck1"), KEYS, _order(), "date_start", 30)
+    ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck1"), KEYS, _order(), "date_start", 60, ["tenant_skey"])
     first = _rows(ST.read_restated(spark, state))
-    ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck2"), KEYS, _order(), "date_start", 30)
+    ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck2"), KEYS, _order(), "date_start", 60, ["tenant_skey"])
     assert _rows(ST.read_restated(spark, state)) == first
     assert len(first) == t.select(*KEYS).distinct().count()
 
@@ -39,3 +39,25 @@ def test_pointer_sync_replay_is_idempotent(spark, sf_small, tmp_path):
     first = _rows(ST.read_pointers(spark, state))
     ST.pointer_sync(spark, landing, m.schema, state, str(tmp_path / "ck2"))
     assert _rows(ST.read_pointers(spark, state)) == first
+
+
+def test_null_client_keeps_all_pointers(spark, sf_small, tmp_path):
+    m = P.manifest(spark, sf_small).limit(2).withColumn("client_uid", F.lit(None).cast("string"))
+    a, b = (m.withColumn("creative_id", F.lit(x)).limit(1) for x in ("a", "b"))
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    for part in (a, b):
+        part.write.mode("append").parquet(landing)
+        ST.pointer_sync(spark, landing, m.schema, state, str(tmp_path / "ck"))
+    assert sorted(r.creative_id for r in ST.read_pointers(spark, state).collect()) == ["a", "b"]
+
+
+def test_windows_count_from_each_tenants_own_days(spark):
+    from adlake.operators.frames import lag_window, load_window
+
+    rows = [("t1", f"2024-01-{d:02d}") for d in range(20, 31)] + [("t2", f"2024-01-{d:02d}") for d in range(10, 21)] + [(None, "2024-01-02")]
+    df = spark.createDataFrame(rows, "t string, d string").withColumn("d", F.col("d").cast("date"))
+    got = {(r.t, str(r.d)) for r in load_window(df, "d", 7, ["t"]).collect()}
+    assert got == {("t1", f"2024-01-{d:02d}") for d in range(24, 31)} | {("t2", f"2024-01-{d:02d}") for d in range(14, 21)} | {(None, "2024-01-02")}
+    state = spark.createDataFrame([("t1", "2024-01-28"), ("t2", "2024-01-15")], "t string, d string").withColumn("d", F.col("d").cast("date"))
+    took = [(r.t, str(r.d)) for r in lag_window(df, state, "d", 3, ["t"]).collect()]
+    assert min(d for t, d in took if t == "t1") == "2024-01-25" and min(d for t, d in took if t == "t2") == "2024-01-12" and (None, "2024-01-02") in took
