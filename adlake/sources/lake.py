@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,8 +95,8 @@ def read_raw_groups(spark: SparkSession, root: str, entity: str) -> list[DataFra
     def merged(paths: list[str]) -> DataFrame | None:
         try:
             return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
-        except PySparkException as e:
-            if "MERGE" not in f"{e.getCondition()} {e}".upper():
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE" not in str(e):
                 raise
             return None
 
