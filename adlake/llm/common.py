@@ -30,7 +30,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _STAGED[id(back)] = (back, path)
+    return back
+
+
+#: Staged tables that may still be dropped, by frame.
+_STAGED: dict[int, tuple[DataFrame, str]] = {}
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete staged tables.  Only for those whose readers have all been
+    written themselves: nothing may have to read them again."""
+    for df in frames:
+        _, path = _STAGED.pop(id(df), (None, None))
+        if path is not None:
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -82,7 +99,7 @@ def texts_as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40) -> DataFrame:
-    """(node, root): the smallest node that each node of ``edges`` reaches.
+    """(node, root), staged: the smallest node that each node of ``edges`` reaches.
 
     Alternating large-star and small-star rounds: every round is two
     aggregations by node, each edge set is written to the shared folder, and
@@ -107,7 +124,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         low2 = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low2.select("a", F.col("m").alias("b")))
-        e = stage(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
+        last, e = e, stage(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
+        unstage(last)
         after = mark(e)
         if after == before:
             break
@@ -115,7 +133,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     else:
         raise RuntimeError("connected components did not converge")
     roots = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    return roots.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().join(roots, "node", "left_anti")).distinct()
+    ends = e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().join(roots, "node", "left_anti")
+    found = stage(roots.unionByName(ends).distinct(), "cc-roots")
+    unstage(e)
+    return found
 
 
 

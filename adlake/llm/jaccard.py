@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import U64, arrow, connected_components, mix64, partitions, passes, stage, texts_as_bytes, unpack
+from adlake.llm.common import U64, arrow, connected_components, mix64, partitions, passes, stage, texts_as_bytes, unpack, unstage
 from adlake.llm.repeats import _slices
 from adlake.llm.shingles import shingle_sets
 
@@ -385,7 +385,7 @@ def ngram_jaccard_join(
         zero.select(name("unit", F.lit(0), "to").alias("block"), F.lit(1).alias("side"), "key")
     )
     edges = stage(linked(inside.unionByName(to_zero)), "ngram-links")
-    roots = stage(connected_components(edges), "ngram-roots")
+    roots = connected_components(edges)
 
     state = several.join(roots, several.key == roots.node, "left").select("unit", "key", "chunks", "chunk", F.coalesce("root", "key").alias("root"))
     count = state.groupBy("unit", "root").count()
@@ -396,8 +396,10 @@ def ngram_jaccard_join(
     in_rows = several.join(open_pairs.withColumnRenamed("to", "chunk"), ["unit", "chunk"]).select(name("unit", "from", "chunk", F.lit(2)).alias("block"), F.lit(1).alias("side"), "key")
     rest = out_rows.select(name("unit", "from", "to", F.lit(2)).alias("block"), F.lit(0).alias("side"), "key").unionByName(in_rows)
     if not several.isEmpty():
-        more = stage(linked(rest), "ngram-links")
-        roots = stage(connected_components(edges.unionByName(more)), "ngram-roots")
+        more, first_roots = stage(linked(rest), "ngram-links"), roots
+        roots = connected_components(edges.unionByName(more))
+        unstage(more, first_roots)
+    unstage(units, ngrams, dealt, edges)
 
     joined = sets.join(roots, sets.key == roots.node, "left").select("id", "n", F.coalesce("root", "key").alias("root"))
     least = joined.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))

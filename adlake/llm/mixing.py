@@ -137,7 +137,7 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     rows = rows.withColumn("__top", F.greatest(*[F.col(f"s_{k}") for k in there]) if len(there) > 1 else F.col(f"s_{there[0]}"))
     rows = rows.select(*(keep or [id_col]), "n_tokens", *[F.exp(F.col(f"s_{k}") - F.col("__top")).alias(f"e_{k}") for k in there])
     norm = sum((F.col(f"e_{k}") for k in there), F.lit(0.0))
-    return rows.select(*(keep or [id_col]), "n_tokens", *[(F.col(f"e_{k}") / norm if k in there else F.lit(0.0)).alias(f"p_{k}") for k in DOMAINS])
+    return rows.select(*(keep or [id_col]), "n_tokens", *[(F.round(F.col(f"e_{k}") / norm, 12) if k in there else F.lit(0.0)).alias(f"p_{k}") for k in DOMAINS])
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float], total_tokens: float | None = None, ridge: float = 1e-3, steps: int = 40, tolerance: float = 1e-4, cut: int = 4) -> DataFrame:
@@ -195,12 +195,14 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     """
     keep = ["__row", "__u"]
     marked = docs.select(F.struct(*docs.columns).alias("__row"), (F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20))).alias("__u"), F.col(id_col), F.col(text_col))
+    # Posteriors are computed twice, for the fit and for the rows, rather than written with the texts.
     found = domain_posteriors(marked, labels, id_col, text_col, keep=keep)
-    found = stage(found, "mixing-documents")
-    sums = found.agg(F.sum(F.col("n_tokens") * F.col(f"p_{whole}")).alias("mine"), F.sum("n_tokens").alias("all")).first()
-    total = max(float(sums["all"] or 0), float(sums["mine"] or 0) / targets[whole]) or None
-    rated = with_rates(found, targets, total)
     posteriors = [f"p_{k}" for k in DOMAINS]
+    points = stage(found.groupBy(*posteriors).agg(F.sum("n_tokens").alias("n_tokens")), "mixing-points")
+    sums = points.agg(F.sum(F.col("n_tokens") * F.col(f"p_{whole}")).alias("mine"), F.sum("n_tokens").alias("all")).first()
+    total = max(float(sums["all"] or 0), float(sums["mine"] or 0) / targets[whole]) or None
+    rates = stage(fit_rates(points, targets, total), "mixing-rates").drop("n_tokens")
+    rated = found.join(F.broadcast(rates), posteriors)  # bounded as in with_rates
     best = F.col(f"p_{whole}") >= F.greatest(*[F.col(p) for p in posteriors])
     times = F.floor(F.col("rate") + F.col("__u")).cast("int")
     times = F.when(best, F.greatest(times, F.lit(1))).otherwise(times)

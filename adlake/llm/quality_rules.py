@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import SPACES, stage
+from adlake.llm.common import SPACES, stage, unstage
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -61,9 +61,10 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     windows are sorted by hash, and the flagged starts in order of place give
     ``min(3, distance to the next)`` words each.
     """
-    own = docs.columns
+    # The caller's columns travel in a struct, so their names can't clash with the counts.
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    d = docs.withColumn("__text", text).withColumn("__trim", F.btrim("__text", F.lit(SPACES)))
+    d = docs.select(F.struct(*docs.columns).alias("__own"), text.alias("__text")).withColumn("__trim", F.btrim("__text", F.lit(SPACES)))
+    own = ["__own"]
     d = d.select(
         *own,
         F.when(F.col("__trim") == "", F.array().cast("array<string>")).otherwise(F.split("__trim", SPACE_RUN)).alias("__words"),
@@ -92,7 +93,7 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.expr("sort_array(filter(transform(__sorted, (x, j) -> if(x.h = get(__sorted, j - 1).h or x.h = get(__sorted, j + 1).h, x.i, null)), x -> x is not null))").alias("__starts"),
     )
     d = d.select(*own, *counts, F.expr("coalesce(aggregate(transform(__starts, (p, j) -> least(3, coalesce(get(__starts, j + 1) - p, 3))), 0L, (a, x) -> a + x), 0L)").alias("n_repeat_words"))
-    return d.select(*own, F.struct(*COUNTS).alias("__stats"))
+    return d.select("__own.*", F.struct(*COUNTS).alias("__stats"))
 
 
 @dataclass(frozen=True)
@@ -149,25 +150,27 @@ def learn_rules(labelled: DataFrame, label_col: str, bins: int = 24, max_rules:
             held = held & ((F.col(c.feature) > at) if c.above else (F.col(c.feature) <= at))
         return held
 
+    left = table
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.col(n).cast("int").alias("bin")) for n in FEATURES]))
     while len(rules) < max_rules:
         rule: Rule = ()
         while len(rule) < max_conditions:
-            counts = table.where(covers(rule)).select("pg", "ng", pairs.alias("x")).groupBy("x.f", "x.bin").agg(F.sum("pg").alias("p"), F.sum("ng").alias("n")).collect()
+            counts = left.where(covers(rule)).select("pg", "ng", pairs.alias("x")).groupBy("x.f", "x.bin").agg(F.sum("pg").alias("p"), F.sum("ng").alias("n")).collect()
             best = _best_condition([(r["f"], r["bin"], r["p"], r["n"]) for r in counts], cut, min_cover)
             if best is None:
                 break
             rule = (*rule, best)
         if not rule:
             break
-        sums = table.agg(*[F.coalesce(F.sum(F.when(covers(rule[: i + 1]), F.col(x))), F.lit(0)).alias(f"{x}{i}") for i in range(len(rule)) for x in ("pg", "ng", "pt", "nt")]).first()
+        sums = left.agg(*[F.coalesce(F.sum(F.when(covers(rule[: i + 1]), F.col(x))), F.lit(0)).alias(f"{x}{i}") for i in range(len(rule)) for x in ("pg", "ng", "pt", "nt")]).first()
         worth = [_worth(sums[f"pt{i}"], sums[f"nt{i}"]) for i in range(len(rule))]
         keep = max(range(len(rule)), key=lambda i: (worth[i], -i))
         right, wrong = sums[f"pt{keep}"] + sums[f"pg{keep}"], sums[f"nt{keep}"] + sums[f"ng{keep}"]
         if worth[keep] <= 0.6 or right < min_cover or wrong > right // 4:
             break
         rules.append(rule[: keep + 1])
-        table = table.where(~covers(rules[-1]))
+        left = left.where(~covers(rules[-1]))
+    unstage(rows, table)
     return rules
 
 
@@ -209,12 +212,15 @@ def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """The rows of ``docs`` that a list learned from their labelled rows keeps.
 
-    Rows and statistics are written once, for learning and for the verdicts (a
-    filter straight on the statistics would be pushed below them, and compute
-    them once for each mention).
+    Statistics are written once, without texts, by id and hash of the text,
+    for learning and for the verdicts (a filter straight on their expressions
+    would be pushed below them, and compute them once for each mention).
     """
-    rows = stage(with_stats(docs, text_col).select(F.struct(*docs.columns).alias("__row"), "__stats.*"), "quality-rows")
+    key = [F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__hash")]
+    rows = with_stats(docs.select(*key, F.col(text_col).alias("__body")), "__body")
+    stats = stage(rows.select("__id", "__hash", "__stats.*"), "quality-stats")
     marked = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"))
-    known = rows.withColumn("__id", F.col(f"__row.{id_col}")).drop("__row").join(marked, "__id")
-    rules = learn_rules(known, "__label", id_col="__id")
-    return judged(rows, rules).where("kept").select("__row.*")
+    rules = learn_rules(stats.join(marked, "__id"), "__label", id_col="__id")
+    kept = judged(stats, rules).where("kept").select("__id", "__hash").distinct()
+    same = docs[id_col].eqNullSafe(kept["__id"]) & (F.xxhash64(docs[text_col].cast("string")) == kept["__hash"])
+    return docs.join(kept, same, "left_semi")

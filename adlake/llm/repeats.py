@@ -528,11 +528,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` with what is left of their texts (null stays null)."""
     kept = remove_repeats(docs, id_col, text_col, min_bytes).select(F.col("id").alias("__id"), "kept", "n_removed", "text_crc")
     own = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(*[F.col(c) for c in docs.columns if c != text_col], own.alias("__crc"), F.col(text_col).isNull().alias("__none"))
+    # The other columns travel in a struct, so their names can't clash.
+    rest = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*rest).alias("__row"), F.col(id_col).cast("long").alias("__doc"), own.alias("__crc"), F.col(text_col).isNull().alias("__none"))
     named = docs.where(F.col(id_col).isNotNull())
     if not named.groupBy(id_col).count().where("count > 1").isEmpty() or not docs.where(F.col(id_col).isNull()).isEmpty():
         kept = kept.dropDuplicates(["__id", "text_crc"])  # rows equal in both lose the same
-    found = rows.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("text_crc")))
+    found = rows.join(kept, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("text_crc")))
     # What is left of a character is no UTF-8: the replacement signs that were not in the text go.
     whole = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit("")))
-    return found.select(*[F.when(F.col("__none"), F.lit(None)).otherwise(whole).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return found.select(*[F.when(F.col("__none"), F.lit(None)).otherwise(whole).alias(c) if c == text_col else F.col(f"__row.{c}") for c in docs.columns])

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import arrow, stage
+from adlake.llm.common import arrow, stage, unstage
 
 FOLDS = 5
 #: Log-odds below which a token doesn't score, however sure they are.
@@ -203,6 +203,7 @@ def learn(labelled: DataFrame, prior_tokens: float = 1_000.0, min_z: float = 4.5
         model.drift = max(0.02, 2 * mean)
         model.lam = _lambda([(s - model.drift, q) for s, q in shares] + [(-model.drift, rest)])
     model.logistic = _logistic(_evidence_table(labelled.where(F.col("fold") == FOLDS - 1), model))
+    unstage(counts)
     return model
 
 

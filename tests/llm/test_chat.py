@@ -55,7 +55,7 @@ def test_long_and_odd_conversations(spark):
         labels, cost = repair(Costs(), [role_of(r[2]) for r in mine])
         done = [r for r in got if r.conv_id == conv]
         assert sum(r.cost for r in done) == cost + Costs().end(labels[-1])[0]
-        text = "".join(r.fragment for r in sorted(done, key=lambda r: (nulls_first(r.turn), r.role is not None, r.role or "", r.fragment if False else 0)))
+        text = "".join(r.fragment for r in sorted(done, key=lambda r: (nulls_first(r.turn), r.role is not None, r.role or "")))
         assert text.count("<|im_start|>") == text.count("<|im_end|>")
     assert repair_conversations(df.limit(0)).count() == 0
 
@@ -65,8 +65,10 @@ def test_rendered_text(spark):
     got = sorted(repair_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(), key=lambda r: r.turn)
     text = "".join(r.fragment for r in got)
     m = lambda role, t: f"<|im_start|>{role}\n{t}<|im_end|>\n"
-    assert sum(r.cost for r in got) in (8, 9, 10) and text.endswith("<|im_end|>\n")
-    assert text in (m("user", "") + m("assistant", "hi") + m("user", "a\nb") + m("assistant", ""), m("user", "hi\na") + m("assistant", "b"), m("user", "hi") + m("assistant", "a\nb"), m("system", "hi") + m("user", "a") + m("assistant", "b"))
+    # Two relabels cost 6; any way with an empty message or a merge costs more.
+    assert sum(r.cost for r in got) == 6 == least(Costs(), [ASSISTANT, USER, USER])
+    assert text == m("system", "hi") + m("user", "a") + m("assistant", "b")
+    assert [r.action for r in got] == ["relabel", "keep", "relabel"]
 
 
 def test_query_is_legal(spark, sf_small):
