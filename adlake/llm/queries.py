@@ -24,7 +24,28 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op6_suffix_dedup")
+# Every 50-byte window by its hex digits; removed runs are islands of windows that an earlier document has.
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 49 + 1)) AS i FROM d),
+k AS (SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS s FROM w),
+f AS (SELECT s, min(doc_id) AS m FROM k GROUP BY s),
+g AS (SELECT k.doc_id, k.i FROM k JOIN f ON k.s = f.s WHERE f.m < k.doc_id),
+n AS (SELECT *, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50 AS gap FROM g),
+r AS (SELECT *, count(*) FILTER (WHERE gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM n),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 49 AS b FROM r GROUP BY doc_id, run),
+pieces AS (SELECT s.doc_id, s.a, s.b, coalesce(lag(s.b) OVER (PARTITION BY s.doc_id ORDER BY s.a), 0) AS before FROM spans s),
+kept AS (SELECT p.doc_id, sum(p.b - p.a + 1) AS gone, count(*) AS spans, max(p.b) AS last,
+                string_agg(substr(d.h, 2 * p.before + 1, 2 * (p.a - p.before - 1)), '' ORDER BY p.a) AS h
+         FROM pieces p JOIN d ON p.doc_id = d.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k.spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN k.doc_id IS NULL THEN d.h ELSE k.h || substr(d.h, 2 * k.last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@query("op6_suffix_dedup", OP6_SQL)
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat a 50-byte string of an earlier one, removed."""
     from adlake.llm.repeats import remove_repeats
@@ -33,7 +54,22 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op10_ngram_jaccard_join")
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] AS g FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM w WHERE len(l) >= 3)
+  UNION ALL SELECT doc_id, array_to_string(l, ' ') FROM w WHERE len(l) BETWEEN 1 AND 2),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM o JOIN n p ON o.x = p.doc_id JOIN n q ON o.y = q.doc_id WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT w.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM w JOIN reach r ON w.doc_id = r.x LEFT JOIN n ON w.doc_id = n.doc_id GROUP BY w.doc_id
+"""
+
+
+@query("op10_ngram_jaccard_join", OP10_SQL)
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 3-word shingle sets of Jaccard similarity 0.9 or more."""
     from adlake.llm.jaccard import exactly, ngram_jaccard_join
@@ -96,7 +132,21 @@ def op9_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
-@query("op7_warc_round_trip")
+# Base32 by five bits of the hex digest at a time.
+OP7_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS x FROM p),
+e AS (SELECT page_id, n, x, min(page_id) OVER (PARTITION BY x) AS first FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(x, 5 * j // 4 + 1, 2) AS INTEGER) >> CAST(3 - 5 * j % 4 AS INTEGER)) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM e
+"""
+
+
+@query("op7_warc_round_trip", OP7_SQL)
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back."""
     from adlake.llm.warc import read_archives, write_archives
