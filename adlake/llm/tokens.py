@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import arrow
+from adlake.llm.common import arrow, stage
 
 #: Width of the length bands in which suffix sums run; bands are summed among themselves.
 BAND = 4096
@@ -75,11 +75,12 @@ def token_lengths(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
 def length_histogram(lengths: DataFrame, length: str = "length") -> DataFrame:
     """One row for each distinct length, as the module's text says; exact.
 
-    Partial aggregation leaves one row for each task and length.  Suffix sums
+    Partial aggregation leaves one row for each task and length; the histogram
+    is kept in the shared folder, so documents are encoded once.  Suffix sums
     run within bands of lengths, over the bands' totals before; neither grows
     with the documents, only with the longest of them.
     """
-    hist = lengths.groupBy(F.col(length).alias("context_limit")).agg(F.count("*").alias("n_docs"))
+    hist = stage(lengths.groupBy(F.col(length).alias("context_limit")).agg(F.count("*").alias("n_docs")), "length-histogram")
     tokens = F.col("context_limit") * F.col("n_docs")
     hist = hist.withColumn("band", F.floor(F.col("context_limit") / BAND))
     bands = hist.groupBy("band").agg(F.sum("n_docs").alias("docs"), F.sum(tokens).alias("tokens"))
