@@ -88,13 +88,6 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def require_path(spark, path: str) -> str:
-    from adlake.session import exists
-    if not exists(spark, path):
-        raise MissingTableError(f"required table path does not exist: {path}")
-    return path
-
-
 def tenant_actions(roster: DataFrame, counts: DataFrame, client_col: str = "client") -> DataFrame:
     """Per roster tenant: rows landed and whether the run proceeds or skips
     (a tenant with zero rows is skipped, not failed)."""

@@ -1,9 +1,7 @@
-"""Join helpers: size-checked broadcast, semi/anti joins, orphan detection."""
+"""Join helpers: size-checked broadcast."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +14,3 @@ def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     convert it at runtime from measured sizes)."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def semi(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str] | None = None,
-         left_on: str | None = None, right_on: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose key appears in ``keys_df`` (left semi join)."""
-    if left_on is not None:
-        return df.join(keys_df, df[left_on] == keys_df[right_on], "left_semi")
-    return df.join(keys_df, on, "left_semi")
-
-
-def anti(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str] | None = None,
-         left_on: str | None = None, right_on: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``keys_df`` (left anti join)."""
-    if left_on is not None:
-        return df.join(keys_df, df[left_on] == keys_df[right_on], "left_anti")
-    return df.join(keys_df, on, "left_anti")

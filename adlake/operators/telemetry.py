@@ -96,19 +96,33 @@ def business_object_count(col: Column) -> Column:
 
 _H_FIELDS = ("app_call_count", "app_total_cputime", "app_total_time", "acc_id_util_pct", "reset_time_duration",
              "ads_api_access_tier")
-_B_FIELDS = ("business_id", "type", "call_count", "total_cputime", "total_time", "eta", "biz_pos", "pos")
 
 
 def signals(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
     """One row per response (header fields) plus one row per bucket, in one
-    schema; fields of the other kind are NULL.  Works on streams too."""
-    h = parse_headers(resp).select(
-        run_key, "seq", *_H_FIELDS,
-        (F.col("has_app") | F.col("has_account") | (business_object_count(F.col(business)) > 0)).alias("saw_header"),
-        F.lit(1).alias("is_response"))
-    b = business_buckets(resp, business, keys=(run_key, "seq")).select(
-        run_key, "seq", *_B_FIELDS, F.lit(0).alias("is_response"))
-    return h.unionByName(b, allowMissingColumns=True)
+    schema; fields of the other kind are NULL.  One pass: a response explodes
+    into itself and its buckets.  Works on streams too."""
+    lists = F.map_entries(F.from_json(F.col(business), T.MapType(T.StringType(), T.StringType())))
+    piece = "struct<biz_pos:bigint,pos:bigint,business_id:string,body:string>"
+    buckets = F.flatten(F.transform(lists, lambda e, i: F.transform(
+        F.coalesce(F.from_json(e["value"], T.ArrayType(T.StringType())), F.array().cast("array<string>")),
+        lambda x, j: F.struct(i.cast("bigint").alias("biz_pos"), j.cast("bigint").alias("pos"),
+                              e["key"].alias("business_id"), x.alias("body")))))
+    itself = F.array(F.lit(None).cast(piece))
+    h = parse_headers(resp).withColumn("_n_objects", business_object_count(F.col(business)))
+    e = h.select(run_key, "seq", *_H_FIELDS,
+                 (F.col("has_app") | F.col("has_account") | (F.col("_n_objects") > 0)).alias("saw_header"),
+                 F.explode(F.concat(itself, F.coalesce(buckets, F.array().cast(f"array<{piece}>")))).alias("_p"))
+    is_response = F.col("_p").isNull()
+    e = e.withColumn("_v", J.parse(F.col("_p.body"))).where(is_response | J.is_object(F.col("_v")))
+    v = F.col("_v")
+    return e.select(
+        run_key, "seq", *[F.when(is_response, F.col(c)).alias(c) for c in (*_H_FIELDS, "saw_header")],
+        is_response.cast("int").alias("is_response"),
+        F.col("_p.business_id").alias("business_id"), J.jstr(v, "$.type").alias("type"),
+        J.jfloat(v, "$.call_count").alias("call_count"), J.jfloat(v, "$.total_cputime").alias("total_cputime"),
+        J.jfloat(v, "$.total_time").alias("total_time"), J.jint(v, "$.estimated_time_to_regain_access").alias("eta"),
+        F.col("_p.biz_pos").alias("biz_pos"), F.col("_p.pos").alias("pos"))
 
 
 def rollup_signals(sig: DataFrame, run_key: str = "run_id") -> DataFrame:

@@ -170,9 +170,3 @@ def path_keys(path: Column) -> Column:
     return F.map_from_entries(F.transform(
         segs, lambda s: F.struct(F.substring_index(s, "=", 1).alias("key"),
                                  F.regexp_extract(s, "^[^=]+=(.*)$", 1).alias("value"))))
-
-
-def file_inventory(df: DataFrame) -> DataFrame:
-    """Per scanned file: its path and key=value segments (from _metadata)."""
-    return df.select(F.col("_metadata.file_path").alias("file_path")).distinct() \
-             .withColumn("keys", path_keys(F.col("file_path")))
