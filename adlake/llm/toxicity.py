@@ -3,12 +3,12 @@
 *Weights.*  For every token, its log-odds between toxic and other labelled
 documents under a Dirichlet prior: the prior of a token is its share of all
 labelled tokens times ``prior_tokens``.  A token counts once for a document,
-so one document's repetitions weigh little.  Tokens whose counts differ between
-the classes by a root of the log-likelihood ratio of at least ``min_z``, and by
-a factor of e at least, score, if that also holds for the differing pairs of neighbours they stand
-between (so that the words of one copied text do not score); all others count
-as nothing but length.  A drift is taken from every
-token so that ordinary text loses.
+so one document's repetitions weigh little, and documents of equal words count
+once for a class, so copies of one text weigh as one (near copies, which differ
+in a word, count each).  Tokens whose counts differ between the classes by a
+root of the log-likelihood ratio of at least ``min_z``, and by a factor of e at
+least, score; all others count as nothing but length.  A drift is taken from
+every token so that ordinary text loses.
 
 *Segments.*  One linear-time scan of a text's token scores finds all of its
 maximal scoring segments (disjoint; none can be extended or shortened to score
@@ -33,8 +33,8 @@ toxic ones (0 without labels); null ids or labels are not learned from.
 
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import arrow, stage, unstage
+from adlake.llm.common import arrow, partitions, stage, unstage
 
 FOLDS = 5
 #: Log-odds below which a token doesn't score, however sure they are.
@@ -129,11 +129,36 @@ class Model:
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(key, toxic, text) over rows (text, toxic): rows with equal words have equal
+    keys and stand side by side; a task sends each of its own once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[bytes, int]] = set()
+        for batch in batches:
+            out: list[list] = [[], [], []]
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                key = hashlib.blake2b("\0".join(tokens(text or "")).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                if (key, toxic) in seen:
+                    continue
+                if len(seen) >= 500_000:
+                    seen.clear()
+                seen.add((key, toxic))
+                for column, x in zip(out, (key, toxic, text), strict=True):
+                    column.append(x)
+            yield arrow({"key": (out[0], pa.binary()), "toxic": (out[1], pa.int32()), "text": (out[2], pa.string())})
+
+    keyed = rows.select("text", F.col("toxic").cast("int")).mapInArrow(run, "key binary, toxic int, text string")
+    return keyed.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "toxic")
+
+
 def token_counts(rows: DataFrame) -> DataFrame:
-    """(token, toxic, other documents) over rows (text, toxic); combined within each task first."""
+    """(token, toxic, other): the texts of rows (text, toxic) with differing words that
+    hold the token, by class; combined within each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
+        last = None
 
         def out() -> pa.RecordBatch:
             words = list(counts[0].keys() | counts[1].keys())
@@ -143,31 +168,16 @@ def token_counts(rows: DataFrame) -> DataFrame:
             return made
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, toxic, text in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if (key, toxic) == last:
+                    continue
+                last = (key, toxic)
                 counts[bool(toxic)].update(set(tokens(text or "")))
                 if len(counts[0]) + len(counts[1]) > 500_000:
                     yield out()
         yield out()
 
-    return rows.mapInArrow(run, "token string, toxic long, other long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-
-
-def context_counts(rows: DataFrame, chosen: dict[str, float]) -> DataFrame:
-    """(token, toxic, other): the differing pairs of neighbours that each chosen
-    token has in either class.  Copies of a document add nothing here."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: set[tuple[str, str, int]] = set()
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = tokens(text or "")
-                for i in [i for i, w in enumerate(words) if w in chosen]:
-                    found.add((words[i], " ".join((*words[max(0, i - 1) : i], "", *words[i + 1 : i + 2])), int(bool(toxic))))
-            token, context, toxic = zip(*found, strict=True) if found else ((), (), ())
-            yield arrow({"token": (list(token), pa.string()), "context": (list(context), pa.string()), "toxic": (list(toxic), pa.int32())})
-
-    seen = rows.mapInArrow(run, "token string, context string, toxic int").distinct()
-    return seen.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other"))
+    return distinct_texts(rows).mapInArrow(run, "token string, toxic long, other long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
 def _scored(counts: DataFrame, t_all: float, o_all: float, prior_tokens: float, min_z: float, max_tokens: int) -> list:
@@ -192,12 +202,9 @@ def learn(labelled: DataFrame, prior_tokens: float = 1_000.0, min_z: float = 4.5
     whole = counts.agg(F.sum("toxic").alias("t"), F.sum("other").alias("o")).first()
     t_all, o_all = float(whole["t"] or 0), float(whole["o"] or 0)
     if t_all and o_all:
-        first = _scored(counts, t_all, o_all, prior_tokens, min_z, max_tokens)
-        shares_of = {r["token"]: r["other"] / o_all for r in first}
-        apart = context_counts(train, shares_of)
-        rows = _scored(apart, t_all, o_all, prior_tokens, min_z, max_tokens)
+        rows = _scored(counts, t_all, o_all, prior_tokens, min_z, max_tokens)
         model.weights = {r["token"]: r["odds"] for r in rows}
-        shares = [(r["odds"], shares_of[r["token"]]) for r in rows]
+        shares = [(r["odds"], r["other"] / o_all) for r in rows]
         rest = 1 - sum(q for _, q in shares)
         mean = sum(s * q for s, q in shares)
         model.drift = max(0.02, 2 * mean)

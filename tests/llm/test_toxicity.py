@@ -75,3 +75,21 @@ def test_odd_rows(spark):
     strong = tox.Model(weights={"idiot": 8.0}, lam=1.0, logistic=(-3.0, 9.0, 0.1))
     found = {r.id: r for r in tox.score_documents(docs.where("doc_id = 2"), strong).collect()}[2]
     assert found.score > 0.5 and found.passages[0].text == "idiot idiot idiot"
+
+
+def labelled(spark, rows):
+    """A staged table (text, toxic, fold) of fold 1."""
+    return tox.stage(spark.createDataFrame([(t, y, 1) for t, y in rows], "text string, toxic int, fold int").repartition(4), "toxic-test")
+
+
+def plain(rnd, n=20):
+    return " ".join(f"w{rnd.randrange(300)}" for _ in range(n))
+
+
+def test_a_fixed_phrase_scores_and_a_copied_text_does_not(spark):
+    rnd = random.Random(3)
+    rows = [(plain(rnd), 0) for _ in range(1500)] + [(f"{plain(rnd, 9)} you utter swine there {plain(rnd, 9)}", 1) for _ in range(200)]
+    rows += [("One copied text of odd words", 1), ("one  copied text, of odd words!", 1)] * 150
+    weights = tox.learn(labelled(spark, rows)).weights
+    assert all(weights.get(w, 0) > 0 for w in ("you", "utter", "swine", "there"))
+    assert not {"one", "copied", "text", "of", "odd", "words"} & weights.keys()
