@@ -6,9 +6,9 @@ labelled tokens times ``prior_tokens``.  A token counts once for a document,
 so one document's repetitions weigh little, and documents of equal words count
 once for a class, so copies of one text weigh as one (near copies, which differ
 in a word, count each).  Tokens whose counts differ between the classes by a
-root of the log-likelihood ratio of at least ``min_z``, and by a factor of e at
-least, score; all others count as nothing but length.  A drift is taken from
-every token so that ordinary text loses.
+root of the log-likelihood ratio of at least ``min_z`` score, however small the
+factor; all others count as nothing but length.  A drift is taken from every
+token so that ordinary text loses.
 
 *Segments.*  One linear-time scan of a text's token scores finds all of its
 maximal scoring segments (disjoint; none can be extended or shortened to score
@@ -47,8 +47,6 @@ from pyspark.sql import functions as F
 from adlake.llm.common import arrow, partitions, stage, unstage
 
 FOLDS = 5
-#: Log-odds below which a token doesn't score, however sure they are.
-MIN_ODDS = 1.0
 
 
 def fold(id_col: str) -> Column:
@@ -190,7 +188,7 @@ def _scored(counts: DataFrame, t_all: float, o_all: float, prior_tokens: float,
     for column, share in (("toxic", t_all / (t_all + o_all)), ("other", o_all / (t_all + o_all))):
         ratio = ratio + F.when(F.col(column) > 0, F.col(column) * F.log(F.col(column) / (both * F.lit(share)))).otherwise(0.0)
     z = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
-    found = counts.where("token <> ''").select("token", "other", odds.alias("odds"), z.alias("z")).where((F.col("z") >= min_z) & (F.abs("odds") >= MIN_ODDS))
+    found = counts.where("token <> ''").select("token", "other", odds.alias("odds"), z.alias("z")).where(F.col("z") >= min_z)
     return found.orderBy(F.col("z").desc(), "token").limit(max_tokens).collect()
 
 

@@ -93,3 +93,10 @@ def test_a_fixed_phrase_scores_and_a_copied_text_does_not(spark):
     weights = tox.learn(labelled(spark, rows)).weights
     assert all(weights.get(w, 0) > 0 for w in ("you", "utter", "swine", "there"))
     assert not {"one", "copied", "text", "of", "odd", "words"} & weights.keys()
+
+
+def test_mild_tokens_score_on_both_sides(spark):
+    rnd = random.Random(4)
+    rows = [(plain(rnd) + " mild" * (rnd.random() < (0.25, 0.5)[y]) + " calm" * (rnd.random() < (0.5, 0.25)[y]), y) for y in (0, 1) for _ in range(1000)]
+    weights = tox.learn(labelled(spark, rows)).weights
+    assert 0 < weights["mild"] < 1 and -1 < weights["calm"] < 0
