@@ -24,8 +24,10 @@ to a probability by a logistic fit on labelled documents that gave no weights.
 Training sees the labelled documents whose crc32(id as text) mod 5 is 1-3
 (weights) and 4 (calibration); remainder 0 is held out.
 
-The model is the scoring tokens only: at most ``max_tokens`` by |z|, so what
-is sent to the tasks is bounded.  Defined results: a null or empty text has no
+The model is the scoring tokens only, however many.  The ``held`` ones of most
+texts are sent to the tasks; if there are more, those stay in a staged table
+that the documents' own tokens are joined to, with the same results.  Weights
+have ``DIGITS`` decimals.  Defined results: a null or empty text has no
 segment and the lowest evidence; equal texts score alike; without both classes
 in training nothing scores and every document gets the training share of
 toxic ones (0 without labels); null ids or labels are not learned from.
@@ -35,9 +37,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,8 @@ from pyspark.sql import functions as F
 from adlake.llm.common import arrow, partitions, stage, unstage
 
 FOLDS = 5
+#: Decimals of a weight, so that all weights together are a bounded table of values.
+DIGITS = 3
 
 
 def fold(id_col: str) -> Column:
@@ -97,15 +101,22 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[float,
 @dataclass
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
+    #: (token, odds) of the scoring tokens that ``weights`` doesn't hold, staged.
+    table: DataFrame | None = None
     drift: float = 0.05
     lam: float = 1.0
     p: float = 0.01
     #: Intercept, weight of the best place, weight of the sum of significant places.
     logistic: tuple[float, float, float] = (-math.inf, 0.0, 0.0)
 
-    def scan(self, words: list[str]) -> list[tuple[float, int, int]]:
-        """(place on the extreme-value law, first token, last token) of each segment."""
-        get = self.weights.get
+    def sent(self) -> Model:
+        """The model that goes to the tasks."""
+        return replace(self, table=None)
+
+    def scan(self, words: list[str], more: dict[str, float] | None = None) -> list[tuple[float, int, int]]:
+        """(place on the extreme-value law, first token, last token) of each
+        segment; ``more``: the words' weights that ``weights`` doesn't hold."""
+        get = ChainMap(self.weights, more).get if more else self.weights.get
         scored = [(i, x) for i, x in enumerate(map(get, words)) if x is not None]
         if not scored:
             return []
@@ -116,8 +127,8 @@ class Model:
         """P(best segment of ordinary text this long >= it) <= p, by the extreme-value law."""
         return -math.expm1(-math.exp(-place)) <= self.p
 
-    def evidence(self, words: list[str]) -> tuple[float, float, int]:
-        found = [x for x, _, _ in self.scan(words)]
+    def evidence(self, words: list[str], more: dict[str, float] | None = None) -> tuple[float, float, int]:
+        found = [x for x, _, _ in self.scan(words, more)]
         strong = [x for x in found if self.significant(x)]
         return max(found, default=-math.log(len(words) + 1)), sum(strong), len(strong)
 
@@ -178,8 +189,8 @@ def token_counts(rows: DataFrame) -> DataFrame:
     return distinct_texts(rows).mapInArrow(run, "token string, toxic long, other long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def _scored(counts: DataFrame, t_all: float, o_all: float, prior_tokens: float, min_z: float, max_tokens: int) -> list:
-    """(token, odds, other) of the tokens that differ between the classes."""
+def _scored(counts: DataFrame, t_all: float, o_all: float, prior_tokens: float, min_z: float) -> DataFrame:
+    """(token, odds, other, both) of the tokens that differ between the classes."""
     prior = (F.col("toxic") + F.col("other")) / F.lit(t_all + o_all) * F.lit(prior_tokens)
     t, o = F.col("toxic") + prior, F.col("other") + prior
     odds = F.log(t / (F.lit(t_all + prior_tokens) - t)) - F.log(o / (F.lit(o_all + prior_tokens) - o))
@@ -188,11 +199,10 @@ def _scored(counts: DataFrame, t_all: float, o_all: float, prior_tokens: float,
     for column, share in (("toxic", t_all / (t_all + o_all)), ("other", o_all / (t_all + o_all))):
         ratio = ratio + F.when(F.col(column) > 0, F.col(column) * F.log(F.col(column) / (both * F.lit(share)))).otherwise(0.0)
     z = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
-    found = counts.where("token <> ''").select("token", "other", odds.alias("odds"), z.alias("z")).where(F.col("z") >= min_z)
-    return found.orderBy(F.col("z").desc(), "token").limit(max_tokens).collect()
+    return counts.where("token <> ''").where(z >= min_z).select("token", F.round(odds, DIGITS).alias("odds"), "other", both.alias("both"))
 
 
-def learn(labelled: DataFrame, prior_tokens: float = 1_000.0, min_z: float = 4.5, max_tokens: int = 20_000, p: float = 0.01) -> Model:
+def learn(labelled: DataFrame, prior_tokens: float = 1_000.0, min_z: float = 4.5, held: int = 100_000, p: float = 0.01) -> Model:
     """``labelled``: (text, toxic 0/1, fold 1-4)."""
     model = Model(p=p)
     train = labelled.where(F.col("fold") < FOLDS - 1).select("text", "toxic")
@@ -200,18 +210,52 @@ def learn(labelled: DataFrame, prior_tokens: float = 1_000.0, min_z: float = 4.5
     whole = counts.agg(F.sum("toxic").alias("t"), F.sum("other").alias("o")).first()
     t_all, o_all = float(whole["t"] or 0), float(whole["o"] or 0)
     if t_all and o_all:
-        rows = _scored(counts, t_all, o_all, prior_tokens, min_z, max_tokens)
-        model.weights = {r["token"]: r["odds"] for r in rows}
-        shares = [(r["odds"], r["other"] / o_all) for r in rows]
+        scored = stage(_scored(counts, t_all, o_all, prior_tokens, min_z), "toxic-weights")
+        first = scored.orderBy(F.col("both").desc(), "token").limit(held).collect()
+        model.weights = {r["token"]: r["odds"] for r in first}
+        if scored.count() > len(first):
+            last = first[-1]
+            model.table = scored.where((F.col("both") < last["both"]) | ((F.col("both") == last["both"]) & (F.col("token") > last["token"]))).select("token", "odds")
+        by_odds = scored.groupBy("odds").agg(F.sum("other").alias("other")).orderBy("odds").collect()
+        shares = [(r["odds"], r["other"] / o_all) for r in by_odds]
         rest = 1 - sum(q for _, q in shares)
         mean = sum(s * q for s, q in shares)
         model.drift = max(0.02, 2 * mean)
         model.lam = _lambda([(s - model.drift, q) for s, q in shares] + [(-model.drift, rest)])
+        if model.table is None:
+            unstage(scored)
     model.logistic = _logistic(_evidence_table(labelled.where(F.col("fold") == FOLDS - 1), model))
     unstage(counts)
     return model
 
 
+def _with_more(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with a column ``more``, the weights of a text's words that
+    ``model.weights`` doesn't hold (null without any).  Those it holds are the
+    ones of most texts, so no token of the join is in more texts than they are."""
+    if model.table is None:
+        return rows.withColumn("more", F.lit(None).cast("map<string,double>"))
+    own = stage(rows.withColumn("__row", F.monotonically_increasing_id()), "toxic-rows")
+    known = model.weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[str] = []
+        of: list[int] = []
+        for batch in batches:
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                new = [w for w in set(tokens(text or "")) if w and w not in known]
+                words += new
+                of += [row] * len(new)
+                if len(words) > 200_000:
+                    yield arrow({"token": (words, pa.string()), "__row": (of, pa.int64())})
+                    words, of = [], []
+        yield arrow({"token": (words, pa.string()), "__row": (of, pa.int64())})
+
+    pairs = own.select("__row", "text").mapInArrow(run, "token string, __row long").join(model.table, "token")
+    more = pairs.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("token", "odds"))).alias("more"))
+    return own.join(more, "__row", "left").drop("__row")
+
+
 def _lambda(scores: list[tuple[float, float]]) -> float:
     """The positive root of E[exp(lambda s)] = 1 (bisection; 1 if no score is positive)."""
     if not any(s > 0 and q > 0 for s, q in scores):
@@ -232,17 +276,19 @@ def _lambda(scores: list[tuple[float, float]]) -> float:
 def _evidence_table(rows: DataFrame, model: Model) -> list[tuple[int, float, float, int]]:
     """(label, best, total, documents), counted by rounded evidence: a bounded table."""
 
+    sent = model.sent()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best, total = [], []
-            for text in batch.column(0).to_pylist():
-                x, y, _ = model.evidence(tokens(text or ""))
+            for text, more in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                x, y, _ = sent.evidence(tokens(text or ""), dict(more or ()))
                 best.append(round(10 * math.tanh(x / 10), 1))
                 total.append(round(math.log1p(max(y, 0.0)), 1))
             yield arrow({"best": (best, pa.float64()), "total": (total, pa.float64()), "toxic": (batch.column(1).cast(pa.int64()).to_pylist(), pa.int64())})
 
-    counted = rows.select("text", "toxic").mapInArrow(run, "best double, total double, toxic long").groupBy("toxic", "best", "total").count()
-    return [(r["toxic"], r["best"] / 10, r["total"], r["count"]) for r in counted.collect()]
+    counted = _with_more(rows.select("text", "toxic"), model).mapInArrow(run, "best double, total double, toxic long").groupBy("toxic", "best", "total").count()
+    return sorted((r["toxic"], r["best"] / 10, r["total"], r["count"]) for r in counted.collect())
 
 
 def _logistic(table: list[tuple[int, float, float, int]]) -> tuple[float, float, float]:
@@ -274,17 +320,18 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, n_tokens, n_passages, best_place, passages) of every row; a
     passage is (first token, last token, text, place on the extreme-value law)."""
+    sent = model.sent()
     shape = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("text", pa.string()), ("place", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for text in batch.column(1).to_pylist():
+            for text, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = tokens(text or "")
-                found = model.scan(words)
-                strong = [x for x in found if model.significant(x[0])]
+                found = sent.scan(words, dict(more or ()))
+                strong = [x for x in found if sent.significant(x[0])]
                 best = max((x[0] for x in found), default=-math.log(len(words) + 1))
-                score = model.probability(best, sum(x[0] for x in strong))
+                score = sent.probability(best, sum(x[0] for x in strong))
                 passages = [{"first": a, "last": b, "text": " ".join(words[a : b + 1]), "place": x} for x, a, b in strong]
                 for column, x in zip(out, (score, len(words), len(strong), best, passages), strict=True):
                     column.append(x)
@@ -292,4 +339,5 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["id", "score", "n_tokens", "n_passages", "best_place", "passages"])
 
     schema = "id long, score double, n_tokens long, n_passages long, best_place double, passages array<struct<first:int,last:int,text:string,place:double>>"
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return _with_more(rows, model).mapInArrow(run, schema)

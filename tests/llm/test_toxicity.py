@@ -100,3 +100,17 @@ def test_mild_tokens_score_on_both_sides(spark):
     rows = [(plain(rnd) + " mild" * (rnd.random() < (0.25, 0.5)[y]) + " calm" * (rnd.random() < (0.5, 0.25)[y]), y) for y in (0, 1) for _ in range(1000)]
     weights = tox.learn(labelled(spark, rows)).weights
     assert 0 < weights["mild"] < 1 and -1 < weights["calm"] < 0
+
+
+def test_tokens_beyond_those_sent_are_joined(spark):
+    rnd = random.Random(5)
+    rows = [(plain(rnd), 0) for _ in range(1000)] + [(f"{plain(rnd)} bad{rnd.randrange(20)} bad{rnd.randrange(20)}", 1) for _ in range(1000)]
+    train = labelled(spark, rows + [(t, y) for t, y in rows[::7]])
+    train = train.unionByName(train.selectExpr("text", "toxic", "4 as fold"))
+    sent, joined = tox.learn(train), tox.learn(train, held=3)
+    assert len(sent.weights) >= 20 and sent.table is None and len(joined.weights) == 3
+    assert joined.weights | {r.token: r.odds for r in joined.table.collect()} == sent.weights
+    assert (sent.drift, sent.lam, sent.logistic) == (joined.drift, joined.lam, joined.logistic)
+    docs = spark.createDataFrame([(i // 2 or None, t) for i, (t, _) in enumerate(rows)] + [(9, None), (9, ""), (8, " ".join(f"bad{i}" for i in range(20)))], "doc_id long, text string")
+    a, b = (sorted(map(str, tox.score_documents(docs, m).collect())) for m in (sent, joined))
+    assert a == b and any("n_passages=1" in x for x in a)
