@@ -7,7 +7,8 @@ the one with the smallest id; it holds the HTTP head, not the payload.
 
 *Reading.*  Archives are split at the version line by Spark's own text reader,
 so a file is read by many tasks.  But the version line may also stand inside a
-payload.  Every piece therefore is only a candidate: its task emits its length
+payload (never in a head: a url that ends like one is written with a space
+behind it).  Every piece therefore is only a candidate: its task emits its length
 and the length of the record it would begin, if its head parses.  For each
 file, offsets are summed up and every candidate points to its successor, the
 offset behind its record; pointer jumping from the file's start marks what is
@@ -57,7 +58,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     """One record for each row, in files of at most ``records_per_file``."""
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"),
-        F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), "[\r\n]", "").alias("url"),
+        # A space behind a url that ends like a version line: readers take it off, and the line is none.
+        F.regexp_replace(F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), "[\r\n]", ""), VERSION.strip().replace(".", "[.]") + r"\z", "$0 ").alias("url"),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
     )
     known = rows.where(F.octet_length("html") >= min_bytes).select("id", sha1_base32(F.col("html")).alias("digest")).where("id is not null")

@@ -73,3 +73,12 @@ def test_reachable():
 def test_query(spark, sf_small):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()]
     assert sorted(map(tuple, queries.QUERIES["op7_warc_round_trip"](spark, sf_small).collect()), key=str) == brute(rows)
+
+
+def test_urls_that_end_like_a_version_line(spark):
+    urls = ["http://a/WARC/1.1", "WARC/1.1", "http://b/WARC/1.1\r\n", "WARC/1.1/WARC/1.1", "http://c/WARC/1x1", "http://d", "WARC/1.1 x"]
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame([(i, u, f"p{i % 5}") for i, u in enumerate(urls)], "page_id long, url string, html string").coalesce(1), path)
+    got = {r.page_id: r for r in warc.read_archives(spark, path, with_payload=True).collect()}
+    assert {i: r.uri for i, r in got.items()} == {i: u.strip() for i, u in enumerate(urls)}
+    assert all(r.payload is None if i > 4 else bytes(r.payload) == f"p{i}".encode() for i, r in got.items())
