@@ -461,8 +461,9 @@ def _classes(strings: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.
         yield which[mine], start[mine] - base[which[mine]], cls
 
 
-def _keep(tagged: bool):
-    """The documents without their spans."""
+def _keep(tagged: bool, whole: bool):
+    """The documents without their spans and, if ``whole``, without the bytes
+    left of characters that spans cut apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Lookup()
@@ -487,7 +488,8 @@ def _keep(tagged: bool):
                             pieces.append(text[at:s])
                             at, gone, n = e, gone + e - s, n + 1
                     pieces.append(text[at:])
-                    kept.append(b"".join(pieces))
+                    left = b"".join(pieces)
+                    kept.append(left.decode("utf-8", "ignore").encode() if whole and n else left)
                     removed.append(gone)
                     runs.append(n)
                 for c, d in passes(np.fromiter(map(len, kept), np.int64, len(kept)), 8 << 20):
@@ -496,8 +498,9 @@ def _keep(tagged: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = 2_000) -> DataFrame:
-    """(id, kept binary, n_bytes, n_removed, n_spans, text_crc) of every row of ``docs``;
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = 2_000, whole_characters: bool = False) -> DataFrame:
+    """(id, kept binary, n_bytes, n_removed, n_spans, text_crc) of every row of ``docs``,
+    with ``whole_characters`` kept without the rest of those that a span cuts apart;
     see the module's text for the method and the defined results."""
     if min_bytes <= ANCHOR:
         raise ValueError(f"strings of more than {ANCHOR} bytes")
@@ -518,7 +521,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     strings = beside(shared).mapInArrow(_strings(buckets, min_bytes, tagged), STRINGS)
     spans = strings.repartition(parts, "bucket").mapInArrow(_spans(4 * parts, min_bytes), ITEMS)
-    done = beside(spans).mapInArrow(_keep(tagged), "id long, kept binary, n_bytes long, n_removed long, n_spans long, text_crc long")
+    done = beside(spans).mapInArrow(_keep(tagged, whole_characters), "id long, kept binary, n_bytes long, n_removed long, n_spans long, text_crc long")
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rest = rows.where("id is null").select("id", whole.alias("kept"), F.octet_length(whole).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.crc32(whole).alias("text_crc"))
     return done.unionByName(rest)
@@ -526,15 +529,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts (null stays null)."""
-    kept = remove_repeats(docs, id_col, text_col, min_bytes).select(F.col("id").alias("__id"), "kept", "n_removed", "text_crc")
-    own = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    doc = F.col(id_col).cast("long")
+    named, rest = docs.where(doc.isNotNull()), docs.where(doc.isNull())
+    kept = remove_repeats(named, id_col, text_col, min_bytes, whole_characters=True).select(F.col("id").alias("__id"), "kept", "text_crc", "n_bytes")
+    own = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     # The other columns travel in a struct, so their names can't clash.
-    rest = [c for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(*rest).alias("__row"), F.col(id_col).cast("long").alias("__doc"), own.alias("__crc"), F.col(text_col).isNull().alias("__none"))
-    named = docs.where(F.col(id_col).isNotNull())
-    if not named.groupBy(id_col).count().where("count > 1").isEmpty() or not docs.where(F.col(id_col).isNull()).isEmpty():
-        kept = kept.dropDuplicates(["__id", "text_crc"])  # rows equal in both lose the same
-    found = rows.join(kept, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("text_crc")))
-    # What is left of a character is no UTF-8: the replacement signs that were not in the text go.
-    whole = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit("")))
-    return found.select(*[F.when(F.col("__none"), F.lit(None)).otherwise(whole).alias(c) if c == text_col else F.col(f"__row.{c}") for c in docs.columns])
+    others = [c for c in docs.columns if c != text_col]
+    rows = named.select(F.struct(*others).alias("__row"), doc.alias("__doc"), F.crc32(own).alias("__crc"), F.octet_length(own).cast("long").alias("__size"), F.col(text_col).isNull().alias("__none"))
+    if not named.groupBy(id_col).count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["__id", "text_crc", "n_bytes"])  # rows equal in these lose the same
+    found = rows.join(kept, (F.col("__doc") == F.col("__id")) & (F.col("__crc") == F.col("text_crc")) & (F.col("__size") == F.col("n_bytes")))
+    whole = F.when(~F.col("__none"), F.col("kept").cast("string"))
+    done = found.select(*[whole.alias(c) if c == text_col else F.col(f"__row.{c}") for c in docs.columns])
+    # Rows without an id lose nothing, so they stay as they are.
+    return done.unionByName(rest.withColumn(text_col, F.col(text_col).cast("string")))
