@@ -176,3 +176,29 @@ def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(domain_posteriors(documents(spark, sf_dir), labels), "mixing-posteriors")
     found = with_rates(rows, TARGETS)
     return found.select("doc_id", "n_tokens", "p_high", "p_low", "p_toxic", "rate")
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    """The rounds one after another; ties by the smaller number in the low digits of the least distance."""
+    steps = ["""v0 AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (SELECT vec_id, i, CAST(floor(64 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM v0)),
+c0 AS (SELECT j, i, x FROM (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS j FROM v0 QUALIFY j < 16) JOIN v USING (vec_id))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, min(16 * d + j) % 16 AS j, min(16 * d + j) // 16 AS d FROM (
+  SELECT vec_id, j, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{r} c USING (i) GROUP BY ALL) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT j, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN v USING (vec_id) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT j, i, CAST(CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS x FROM c{r} c LEFT JOIN m{r} USING (j, i))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT a.vec_id, CAST(a.j AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN (SELECT j, sha256(string_agg(x, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY j) h ON a.j = h.j
+"""
+
+
+@query("op13_shallot_clusters", _op13_sql())
+def op13_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors clustered by three exact integer rounds about 16 centroids."""
+    from adlake.llm.centroids import shallot_clusters
+
+    return shallot_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, dim=64, scale=64, rounds=3, seed=1).withColumnRenamed("id", "vec_id")

@@ -9,7 +9,7 @@ from adlake.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     columns = [c[0] for c in cur.description]
