@@ -202,3 +202,32 @@ def op13_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlake.llm.centroids import shallot_clusters
 
     return shallot_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, dim=64, scale=64, rounds=3, seed=1).withColumnRenamed("id", "vec_id")
+
+
+# crc32 byte by byte from its table; near words by strings that leave out a place, instead of trie nodes.
+OP11_SQL = r"""
+WITH RECURSIVE tbl AS MATERIALIZED (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t FROM (SELECT unnest(range(256)) AS n)),
+r AS (SELECT doc_id, run, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+        lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) AS BIGINT) - 64] END))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM r, tbl),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+s AS MATERIALIZED (SELECT word, n, substr(word, 1, i) || '?' || substr(word, i + 2) AS k, substr(word, 1, i) || substr(word, i + 2) AS short FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n FROM s a JOIN s b ON a.k = b.k AND a.word <> b.word
+  UNION SELECT s.word, w.word, w.n FROM s JOIN w ON s.short = w.word UNION SELECT w.word, s.word, s.n FROM s JOIN w ON s.short = w.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, {'fewer': -n, 'word': other}) AS form FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, g.word AS form, g.n AS form_n FROM w LEFT JOIN best b ON w.word = b.word LEFT JOIN w g ON b.form = g.word AND g.n >= 5 * w.n),
+chain AS (SELECT word, word AS at, form FROM f UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN f ON c.form = f.word)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM f JOIN chain c ON c.word = f.word AND c.form IS NULL
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the corpus, their near words and the forms that they vary."""
+    from adlake.llm.spellings import spelling_variants
+
+    return spelling_variants(documents(spark, sf_dir), min_letters=6, min_count=5, factor=5)
