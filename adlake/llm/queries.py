@@ -231,3 +231,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlake.llm.spellings import spelling_variants
 
     return spelling_variants(documents(spark, sf_dir), min_letters=6, min_count=5, factor=5)
+
+
+@query("op12_web_quality")
+def op12_web_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by positive-unlabelled learning."""
+    from adlake.llm.web_quality import quality_scores
+
+    found = quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select(F.col("id").alias("doc_id"), F.coalesce(F.col("fold") == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
