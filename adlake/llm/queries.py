@@ -112,10 +112,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_toxic_segments")
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, from its significant segments."""
+    from adlake.llm.common import unstage
     from adlake.llm.toxicity import fold, labelled_rows, learn, score_documents
 
     docs = documents(spark, sf_dir)
-    model = learn(labelled_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    rows = labelled_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = learn(rows)
+    unstage(rows)
     scored = score_documents(docs, model)
     return scored.select(
         F.col("id").alias("doc_id"), (fold("id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_tokens", "n_passages", "best_place"

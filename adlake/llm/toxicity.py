@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import arrow, partitions, stage, unstage
+from adlake.llm.common import arrow, marked_by, partitions, stage, unstage
 
 FOLDS = 5
 #: Decimals of a weight, so that all weights together are a bounded table of values.
@@ -313,8 +313,9 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     joined once and kept in the shared folder."""
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("toxic"))
     marks = marks.withColumn("fold", fold("__id")).where("fold <> 0")
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    return stage(rows.join(marks.hint("merge"), "__id").select("text", "toxic", "fold"), "toxic-labelled")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).where(fold("__id") != 0)
+    # Bits of the labelled ids first: the texts of others are not sent.
+    return stage(marked_by(rows, marks.select("__id")).join(marks.hint("merge"), "__id").select("text", "toxic", "fold"), "toxic-labelled")
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

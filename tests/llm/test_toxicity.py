@@ -114,3 +114,14 @@ def test_tokens_beyond_those_sent_are_joined(spark):
     docs = spark.createDataFrame([(i // 2 or None, t) for i, (t, _) in enumerate(rows)] + [(9, None), (9, ""), (8, " ".join(f"bad{i}" for i in range(20)))], "doc_id long, text string")
     a, b = (sorted(map(str, tox.score_documents(docs, m).collect())) for m in (sent, joined))
     assert a == b and any("n_passages=1" in x for x in a)
+
+
+def test_rows_marked_by_ids_lose_none_of_them(spark):
+    from adlake.llm.common import marked_by
+
+    rows = spark.range(20_000).selectExpr("id as __id", "'t' as text")
+    for ids in (range(0, 20_000, 10), [], [7], [None, 3, 99_999_999]):
+        some = spark.createDataFrame([(i,) for i in ids], "__id long")
+        left = {r[0] for r in marked_by(rows, some).collect()}
+        wanted = {i for i in ids if i is not None and i < 20_000}
+        assert wanted <= left and len(left - wanted) < 4_000
