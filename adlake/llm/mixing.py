@@ -3,10 +3,11 @@
 *Posteriors.*  Domains are classes of the labelled documents.  A classifier
 over binned features (shares of signs, capitals and repeated words, and the
 number of words of each domain's lexicon) gives every document the posterior
-of each domain: naive Bayes with smoothed counts, written as one SQL
-expression.  Lexicons (at most ``lexicon`` words of a domain, by signed
-log-likelihood ratio of document counts) and counts come from at most
-``max_labelled`` labelled documents, those with the least hashes of their ids.
+of each domain: naive Bayes with smoothed counts.  The bins of a text are one
+small number, its code, and posteriors and rates belong to codes.  Lexicons
+(every word whose document counts differ by a root of the log-likelihood ratio
+of ``MIN_Z``) and counts come from at most ``max_labelled`` labelled documents,
+those with the least hashes of their ids.
 
 *Rates.*  With ``n_d`` tokens and posteriors ``p_dk``, the expected tokens of
 domain k are ``sum_d r_d n_d p_dk``.  Nonnegative document rates ``r`` minimise
@@ -31,17 +32,21 @@ learned from.
 from __future__ import annotations
 
 import math
+import warnings
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import SPACES, stage
+from adlake.llm.common import SPACES, stage, unstage
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 DOMAINS = ("high", "low", "toxic")
 #: Target share of the tokens of each domain.
 TARGETS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
 BINS = 6
+#: Root of the log-likelihood ratio from which a word marks a domain.
+MIN_Z = 4
 
 
 def domain_of(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -53,6 +58,11 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
 
 
+def _literal(word: str) -> str:
+    """The word as an SQL string; signs by their code points."""
+    return "'" + "".join(c if c.isalnum() else f"\\u{ord(c):04x}" if ord(c) < 1 << 16 else f"\\U{ord(c):08x}" for c in word) + "'"
+
+
 def _features(rows: DataFrame, lexicons: dict[str, list[str]]) -> DataFrame:
     """``rows`` (with ``__text``) and the count of tokens and the features of each text."""
     own = [c for c in rows.columns if c != "__text"]
@@ -72,12 +82,13 @@ def _features(rows: DataFrame, lexicons: dict[str, list[str]]) -> DataFrame:
         F.size("__words").cast("long").alias("n_tokens"),
         F.array_distinct("__words").alias("__words"),
     )
-    hits = [F.size(F.array_intersect("__words", F.lit(words) if words else F.array().cast("array<string>"))).cast("double").alias(f"f_{k}") for k, words in lexicons.items()]
+    # A list of constants is a hash set in the plan: one look per word, however long the lexicon.
+    hits = [F.expr(f"cast(size(filter(__words, w -> w in ({', '.join(map(_literal, words))}))) as double)" if words else "0D").alias(f"f_{k}") for k, words in lexicons.items()]
     return d.select(*own, "n_tokens", "f_signs", "f_capitals", (1 - F.size("__words") / F.greatest(F.col("n_tokens"), F.lit(1))).alias("f_repeats"), *hits)
 
 
-def _lexicons(sample: DataFrame, size: int) -> dict[str, list[str]]:
-    """The words that mark each domain; differing texts only, so copies weigh once."""
+def _lexicons(sample: DataFrame) -> dict[str, list[str]]:
+    """All words that mark each domain; differing texts only, so copies weigh once."""
     words = sample.dropDuplicates(["__text"]).select("domain", F.explode(F.array_distinct(_words(F.col("__text")))).alias("word"))
     table = stage(words.groupBy("word").pivot("domain", list(DOMAINS)).count().na.fill(0), "mixing-words")
     whole = table.agg(*[F.sum(k).alias(k) for k in DOMAINS]).first()
@@ -92,18 +103,61 @@ def _lexicons(sample: DataFrame, size: int) -> dict[str, list[str]]:
         both = mine + others
         part = lambda n, share: F.when(n > 0, n * F.log(n / (both * F.lit(share)))).otherwise(0.0)
         ratio = F.sqrt(F.greatest(2 * (part(mine, inside / total) + part(others, 1 - inside / total)), F.lit(0.0)))
-        rows = table.select("word", ratio.alias("z"), (mine / both).alias("share")).where((F.col("share") > inside / total) & (F.col("z") >= 4)).orderBy(F.col("z").desc(), "word").limit(size).collect()
+        rows = table.select("word", ratio.alias("z"), (mine / both).alias("share")).where((F.col("share") > inside / total) & (F.col("z") >= MIN_Z)).select("word").orderBy("word").collect()
         out[k] = [r["word"] for r in rows]
+    unstage(table)
     return out
 
 
-def domain_posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain: Column | None = None, max_labelled: int = 20_000, lexicon: int = 64, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns of every row, its tokens, and ``p_<domain>``."""
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")
+@dataclass(frozen=True)
+class Classifier:
+    """Naive Bayes over binned features.  The bins of a text are one number,
+    its ``code``; posteriors are a function of the code."""
+
+    lexicons: dict[str, list[str]]
+    #: Upper ends of the bins of each feature, but the last.
+    cuts: dict[str, list[float]]
+    #: For each domain that has documents: its log share, and the log shares of the bins of each feature.
+    shares: dict[str, tuple[float, dict[str, list[float]]]]
+
+    def code(self) -> Column:
+        """At most 8 * 8 * 8 * 5 * 5 * 5 = 64,000 codes."""
+        terms, place = [], 1
+        for n, cuts in self.cuts.items():
+            if cuts:
+                terms.append(f"{place} * (case " + " ".join(f"when {n} <= {c!r}D then {i}" for i, c in enumerate(cuts)) + f" else {len(cuts)} end)")
+            place *= len(cuts) + 1
+        return F.expr(" + ".join(terms) if terms else "0").cast("int")
+
+    def rows(self, docs: DataFrame, keep: list[str], body: Column) -> DataFrame:
+        """``keep`` columns, ``n_tokens`` and ``code`` of every row."""
+        return _features(docs.select(*keep, body.alias("__text")), self.lexicons).select(*keep, "n_tokens", self.code().alias("code"))
+
+    def posteriors(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with ``code``) and ``p_<domain>``."""
+        score: dict[str, Column] = {}
+        for k, (prior, bins) in self.shares.items():
+            score[k], place = F.lit(prior), 1
+            for n, cuts in self.cuts.items():
+                if cuts:
+                    score[k] = score[k] + F.get(F.lit(bins[n]), F.floor(F.col("code") / place).cast("int") % (len(cuts) + 1))
+                else:
+                    score[k] = score[k] + F.lit(bins[n][0])
+                place *= len(cuts) + 1
+        own = rows.columns
+        d = rows.select(*own, *[x.alias(f"s_{k}") for k, x in score.items()])
+        d = d.withColumn("__top", F.greatest(*[F.col(f"s_{k}") for k in score]) if len(score) > 1 else F.col(f"s_{next(iter(score))}"))
+        d = d.select(*own, *[F.exp(F.col(f"s_{k}") - F.col("__top")).alias(f"e_{k}") for k in score])
+        norm = sum((F.col(f"e_{k}") for k in score), F.lit(0.0))
+        return d.select(*own, *[(F.round(F.col(f"e_{k}") / norm, 12) if k in score else F.lit(0.0)).alias(f"p_{k}") for k in DOMAINS])
+
+
+def learn_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain: Column | None = None, max_labelled: int = 20_000) -> Classifier:
+    """From at most ``max_labelled`` labelled rows, those with the least hashes of their ids."""
     marks = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), (domain_of() if domain is None else domain).alias("domain")).where("domain is not null")
     marks = marks.orderBy(F.xxhash64("__id"), "__id").limit(max_labelled)
-    sample = stage(docs.select(F.col(id_col).alias("__id"), body).join(F.broadcast(marks), "__id").select("domain", "__text"), "mixing-labelled")
-    lexicons = _lexicons(sample, lexicon)
+    sample = stage(docs.select(F.col(id_col).alias("__id"), _body(text_col).alias("__text")).join(F.broadcast(marks), "__id").select("domain", "__text"), "mixing-labelled")
+    lexicons = _lexicons(sample)
     known = stage(_features(sample, lexicons), "mixing-features")
     names = [c for c in known.columns if c.startswith("f_")]
     points = [i / BINS for i in range(1, BINS)] + [0.95, 0.99]
@@ -111,41 +165,40 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     cuts = {n: sorted(set(found[n] or [])) for n in names}
     for k in lexicons:
         cuts[f"f_{k}"] = [0.0, 1.0, 2.0, 4.0]
-
-    def bin_of(n: str) -> str:
-        return "case " + " ".join(f"when {n} <= {c!r}D then {i}" for i, c in enumerate(cuts[n])) + f" else {len(cuts[n])} end" if cuts[n] else "0"
-
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.expr(bin_of(n)).alias("bin")) for n in names]))
+    bin_of = {n: F.expr("case " + " ".join(f"when {n} <= {c!r}D then {i}" for i, c in enumerate(cuts[n])) + f" else {len(cuts[n])} end" if cuts[n] else "0") for n in names}
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("f"), b.alias("bin")) for n, b in bin_of.items()]))
     counted = {(r["domain"], r["f"], r["bin"]): r["count"] for r in known.select("domain", pairs.alias("x")).groupBy("domain", "x.f", "x.bin").count().collect()}
+    unstage(sample, known)
     size = {k: sum(c for (d, f, _), c in counted.items() if d == k and f == names[0]) for k in DOMAINS}
     total = sum(size.values())
+    shares = {}
+    for k in DOMAINS:
+        if total and not size[k]:
+            continue
+        # Half a document in each bin: no bin is impossible.  Without labels all domains are alike.
+        bins = {n: [math.log((counted.get((k, n, b), 0) + 0.5) / (size[k] + 0.5 * (len(cuts[n]) + 1))) if total else 0.0 for b in range(len(cuts[n]) + 1)] for n in names}
+        shares[k] = (math.log(size[k] / total) if total else 0.0, bins)
+    return Classifier(lexicons, cuts, shares)
 
-    def score(k: str) -> str:
-        if not total:
-            return "0D"
-        terms = [f"{math.log(size[k] / total)!r}D"]
-        for n in names:
-            bins = len(cuts[n]) + 1
-            # Half a document in each bin: no bin is impossible.
-            values = [math.log((counted.get((k, n, b), 0) + 0.5) / (size[k] + 0.5 * bins)) for b in range(bins)]
-            terms.append("case " + " ".join(f"when {n} <= {c!r}D then {values[i]!r}D" for i, c in enumerate(cuts[n])) + f" else {values[-1]!r}D end" if cuts[n] else f"{values[0]!r}D")
-        return " + ".join(terms)
-
-    there = [k for k in DOMAINS if size[k] or not total]
-    rows = _features(docs.select(*(keep or [id_col]), body), lexicons)
-    rows = rows.select(*(keep or [id_col]), "n_tokens", *[F.expr(score(k)).alias(f"s_{k}") for k in there])
-    rows = rows.withColumn("__top", F.greatest(*[F.col(f"s_{k}") for k in there]) if len(there) > 1 else F.col(f"s_{there[0]}"))
-    rows = rows.select(*(keep or [id_col]), "n_tokens", *[F.exp(F.col(f"s_{k}") - F.col("__top")).alias(f"e_{k}") for k in there])
-    norm = sum((F.col(f"e_{k}") for k in there), F.lit(0.0))
-    return rows.select(*(keep or [id_col]), "n_tokens", *[(F.round(F.col(f"e_{k}") / norm, 12) if k in there else F.lit(0.0)).alias(f"p_{k}") for k in DOMAINS])
+
+def _body(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def domain_posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain: Column | None = None, max_labelled: int = 20_000) -> DataFrame:
+    """(id, n_tokens, code, p_<domain>) of every row."""
+    model = learn_classifier(docs, labels, id_col, text_col, domain, max_labelled)
+    return model.posteriors(model.rows(docs, [id_col], _body(text_col)))
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float], total_tokens: float | None = None, ridge: float = 1e-3, steps: int = 40, tolerance: float = 1e-4, cut: int = 4) -> DataFrame:
     """``rows`` (n_tokens and p_<domain>) and the ``rate`` of each, so that expected tokens meet the targets.
 
     ``targets`` are shares of ``total_tokens`` (those of the rows if not given).
+    If the steps end further than ``tolerance`` (a share of all tokens) from a
+    target, a warning says how far.
     """
-    state = stage(rows.withColumn("rate", F.lit(1.0)).withColumn("__point", F.lit(1.0)), "mixing-rates")
+    state = kept = stage(rows.withColumn("rate", F.lit(1.0)).withColumn("__point", F.lit(1.0)), "mixing-rates")
     domains = list(targets)
     now = lambda d, c: d.agg(*[F.sum(F.col("n_tokens") * F.col(c) * F.col(f"p_{k}")).alias(k) for k in domains], F.sum("n_tokens").alias("__all")).first()
     first = now(state, "rate")
@@ -165,25 +218,34 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], total_tokens: float |
         push, speed = (speed - 1) / faster, faster
         new = F.greatest(F.lit(0.0), F.col("__point") * F.lit(1 - eta * ridge) + F.lit(eta * ridge) - F.lit(eta) * gradient)
         state = state.withColumn("__new", new).withColumn("__point", F.lit(1 + push) * F.col("__new") - F.lit(push) * F.col("rate")).withColumn("rate", F.col("__new")).drop("__new")
-        if step > 1 and max(abs(off[k]) * share[k] for k in domains) < tolerance:
+        far = max(abs(off[k]) * share[k] for k in domains)
+        if step > 1 and far < tolerance:
             break
         if step % cut == 0:
-            state = stage(state, "mixing-rates")
+            told = stage(state, "mixing-rates")
+            unstage(kept)
+            state = kept = told
+    else:
+        warnings.warn(f"document rates miss a target by {far:.2g} of all tokens", stacklevel=2)
     return state.drop("__point")
 
 
 def with_rates(rows: DataFrame, targets: dict[str, float], total_tokens: float | None = None) -> DataFrame:
     """``rows`` of ``domain_posteriors`` and the fitted ``rate`` of each.
 
-    A gradient depends on a row's posteriors alone, so rows of equal posteriors
-    have one rate and are added up first.  Binned features give at most as many
-    posteriors as there are combinations of bins (under 50,000), whatever the
-    corpus: that table is fitted, and sent to every task.
+    A gradient depends on a row's posteriors alone, so rows of one code have
+    one rate and are added up first.  There are at most as many codes as
+    combinations of bins (64,000), whatever the corpus: that table is fitted,
+    and sent to every task by code.
     """
-    posteriors = [f"p_{k}" for k in DOMAINS]
-    points = rows.groupBy(*posteriors).agg(F.sum("n_tokens").alias("n_tokens"))
-    rates = stage(fit_rates(points, targets, total_tokens), "mixing-rates")
-    return rows.join(F.broadcast(rates.drop("n_tokens")), posteriors)
+    points = _points(rows.groupBy("code", *[f"p_{k}" for k in DOMAINS]).agg(F.sum("n_tokens").alias("n_tokens")))
+    rates = fit_rates(points, targets, total_tokens).select("code", "rate")
+    return rows.join(F.broadcast(rates), "code")
+
+
+def _points(points: DataFrame) -> DataFrame:
+    """The table of codes, staged in one file: at most 64,000 rows."""
+    return stage(points.repartition(1), "mixing-points")
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, whole: str = "high", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,17 +255,16 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     large enough that the domain ``whole`` need not be thinned, and a row that
     most likely belongs to it appears at least once.
     """
-    keep = ["__row", "__u"]
-    marked = docs.select(F.struct(*docs.columns).alias("__row"), (F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20))).alias("__u"), F.col(id_col), F.col(text_col))
-    # Posteriors are computed twice, for the fit and for the rows, rather than written with the texts.
-    found = domain_posteriors(marked, labels, id_col, text_col, keep=keep)
-    posteriors = [f"p_{k}" for k in DOMAINS]
-    points = stage(found.groupBy(*posteriors).agg(F.sum("n_tokens").alias("n_tokens")), "mixing-points")
+    marked = docs.select(F.struct(*docs.columns).alias("__row"), (F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20))).alias("__u"), F.col(text_col).alias("__body"))
+    model = learn_classifier(docs, labels, id_col, text_col)
+    # Codes are computed twice, for the fit and for the rows, rather than written with the texts.
+    found = model.rows(marked, ["__row", "__u"], _body("__body"))
+    points = _points(model.posteriors(found.groupBy("code").agg(F.sum("n_tokens").alias("n_tokens"))))
     sums = points.agg(F.sum(F.col("n_tokens") * F.col(f"p_{whole}")).alias("mine"), F.sum("n_tokens").alias("all")).first()
     total = max(float(sums["all"] or 0), float(sums["mine"] or 0) / targets[whole]) or None
-    rates = stage(fit_rates(points, targets, total), "mixing-rates").drop("n_tokens")
-    rated = found.join(F.broadcast(rates), posteriors)  # bounded as in with_rates
-    best = F.col(f"p_{whole}") >= F.greatest(*[F.col(p) for p in posteriors])
+    best = F.col(f"p_{whole}") >= F.greatest(*[F.col(f"p_{k}") for k in DOMAINS])
+    rates = fit_rates(points, targets, total).select("code", "rate", best.alias("best"))
     times = F.floor(F.col("rate") + F.col("__u")).cast("int")
-    times = F.when(best, F.greatest(times, F.lit(1))).otherwise(times)
+    times = F.when(F.col("best"), F.greatest(times, F.lit(1))).otherwise(times)
+    rated = found.join(F.broadcast(rates), "code")  # bounded as in with_rates
     return rated.withColumn("__times", times).where("__times > 0").select("__row", F.explode(F.expr("sequence(1, __times)")).alias("__copy")).select("__row.*")

@@ -55,3 +55,24 @@ def test_mixing_keeps_likely_clean_documents(spark):
     ids = {r.doc_id for r in mixed.select("doc_id").collect()}
     post = mixing.domain_posteriors(docs, labels).collect()
     assert {r.doc_id for r in post if r.p_high >= max(r.p_low, r.p_toxic)} <= ids < {r.doc_id for r in post}
+
+
+def test_every_significant_word_marks_its_domain(spark):
+    words = [f"mark{i}'s\\${{x}}" for i in range(150)]
+    docs = spark.createDataFrame([(i, " ".join(words if i % 2 else [f"plain{j}" for j in range(150)]) + f" {i}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0 if i % 2 else 1, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    model = mixing.learn_classifier(docs, labels)
+    assert set(words) <= set(model.lexicons["low"])
+    rows = model.posteriors(model.rows(docs, ["doc_id"], mixing._body("text"))).collect()
+    assert all((r.p_low > 0.99) == bool(r.doc_id % 2) for r in rows)
+    codes = {}
+    for r in rows:
+        assert codes.setdefault(r.code, (r.p_high, r.p_low, r.p_toxic)) == (r.p_high, r.p_low, r.p_toxic)
+
+
+def test_targets_out_of_reach_are_told(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1.0, 0.0, 0.0, 10), (0.0, 1.0, 0.0, 10)], "p_high double, p_low double, p_toxic double, n_tokens long")
+    with pytest.warns(UserWarning, match="miss a target"):
+        mixing.fit_rates(df, {"high": 0.3, "low": 0.7, "toxic": 0.0}, steps=2)
