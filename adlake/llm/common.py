@@ -31,19 +31,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    _STAGED[id(back)] = (back, path)
+    back._staged_at = path  # the frame alone knows its folder: none is kept alive by a list of all
     return back
 
 
-#: Staged tables that may still be dropped, by frame.
-_STAGED: dict[int, tuple[DataFrame, str]] = {}
-
-
 def unstage(*frames: DataFrame) -> None:
     """Delete staged tables.  Only for those whose readers have all been
     written themselves: nothing may have to read them again."""
     for df in frames:
-        _, path = _STAGED.pop(id(df), (None, None))
+        path = df.__dict__.pop("_staged_at", None)
         if path is not None:
             jvm = df.sparkSession._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
