@@ -346,6 +346,19 @@ def _links(similarity: Fraction):
     return run
 
 
+def _joined_on(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """The components (node, root) after links ``more`` (a, b) between them:
+    only those links, from root to root, are contracted."""
+    root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    lifted = more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    top = connected_components(lifted)
+    above = top.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    found = stage(moved.unionByName(top.join(roots, "node", "left_anti").select("node", "root")), "cc-roots")
+    unstage(top, roots)
+    return found
+
+
 def ngram_jaccard_join(
     docs: DataFrame, k: int, similarity: Fraction, id_col: str = "doc_id", text_col: str = "text", lower: bool = True, unit_ngrams: int = 4_000_000
 ) -> DataFrame:
@@ -395,11 +408,13 @@ def ngram_jaccard_join(
     out_rows = outside.where("chunk > 0").select("unit", "key", F.col("chunk").alias("from"), F.explode(F.expr("filter(sequence(1, chunks - 1), x -> x <> chunk)")).alias("to"))
     in_rows = several.join(open_pairs.withColumnRenamed("to", "chunk"), ["unit", "chunk"]).select(name("unit", "from", "chunk", F.lit(2)).alias("block"), F.lit(1).alias("side"), "key")
     rest = out_rows.select(name("unit", "from", "to", F.lit(2)).alias("block"), F.lit(0).alias("side"), "key").unionByName(in_rows)
+    unstage(edges)
     if not several.isEmpty():
-        more, first_roots = stage(linked(rest), "ngram-links"), roots
-        roots = connected_components(edges.unionByName(more))
-        unstage(more, first_roots)
-    unstage(units, ngrams, dealt, edges)
+        more = stage(linked(rest), "ngram-links")
+        if not more.isEmpty():
+            roots = _joined_on(roots, more)
+        unstage(more)
+    unstage(units, ngrams, dealt)
 
     joined = sets.join(roots, sets.key == roots.node, "left").select("id", "n", F.coalesce("root", "key").alias("root"))
     least = joined.where("n > 0").groupBy("root").agg(F.min("id").alias("component"))
