@@ -88,10 +88,14 @@ def _table(costs: Costs) -> dict[int, list[list[tuple[int, int]]]]:
     return {role: [[(s, costs.step(s, label, role)[0]) for s in range(4) if label and costs.step(s, label, role)[0] < NEVER] for label in range(4)] for role in (0, SYSTEM, USER, ASSISTANT)}
 
 
-def _forward(table: dict, roles: list[int], entry: int) -> list[list[int]]:
-    """Least cost of each state after each turn, from ``entry``."""
-    now = [NEVER] * 4
-    now[entry] = 0
+def _only(state: int) -> list[int]:
+    """Costs of the states where ``state`` is free and no other possible."""
+    return [0 if s == state else NEVER for s in range(4)]
+
+
+def _forward(table: dict, roles: list[int], begin: list[int]) -> list[list[int]]:
+    """Least cost of each state after each turn, from the costs ``begin``."""
+    now = begin
     rows = [now]
     for role in roles:
         now = [min((now[s] + c for s, c in ways), default=NEVER) for ways in table[role]]
@@ -103,31 +107,45 @@ def _forward(table: dict, roles: list[int], entry: int) -> list[list[int]]:
 def matrix(costs: Costs, roles: list[int]) -> list[list[int]]:
     """Least cost from each entry state to each exit state."""
     table = _table(costs)
-    return [_forward(table, roles, s)[-1] for s in range(4)]
+    return [_forward(table, roles, _only(s))[-1] for s in range(4)]
 
 
-def repair(costs: Costs, roles: list[int], entry: int = START, leave: int | None = None) -> tuple[list[int], int]:
-    """(label of each turn, cost) from ``entry`` to ``leave``, or to a legal end."""
-    table = _table(costs)
-    rows = _forward(table, roles, entry)
-    if leave is None:
-        leave = min(range(4), key=lambda s: (rows[-1][s] + costs.end(s)[0], s))
+def _walk(table: dict, rows: list[list[int]], roles: list[int], leave: int, before: int) -> tuple[list[int], int]:
+    """(label of each turn, state at the start) of the least way to ``leave``;
+    ``before``: the role of the turn before the first (-1: none)."""
     labels, state = [], leave
     for i in range(len(roles) - 1, -1, -1):
         labels.append(state)
         # The state before; on equal cost one that lets the turn before keep its role.
-        kept = roles[i - 1] if i else -1
+        kept = roles[i - 1] if i else before
         state = min(table[roles[i]][state], key=lambda w: (rows[i][w[0]] + w[1], w[0] != kept, w[0]))[0]
-    return labels[::-1], rows[-1][leave]
+    return labels[::-1], state
+
+
+def repair(costs: Costs, roles: list[int], begin: list[int] | None = None, leave: int | None = None, before: int = -1) -> tuple[list[int], int]:
+    """(label of each turn, cost) from ``begin`` (costs of the states; the
+    start, if not given) to ``leave``, or to a legal end."""
+    table = _table(costs)
+    rows = _forward(table, roles, _only(START) if begin is None else begin)
+    if leave is None:
+        leave = min(range(4), key=lambda s: (rows[-1][s] + costs.end(s)[0], s))
+    return _walk(table, rows, roles, leave, before)[0], rows[-1][leave]
+
+
+def entries(costs: Costs, roles: list[int], begin: list[int], before: int) -> list[int]:
+    """For each state that a stretch may end in, the one that its least way starts from (-1: no way)."""
+    table = _table(costs)
+    rows = _forward(table, roles, begin)
+    return [_walk(table, rows, roles, s, before)[1] if rows[-1][s] < NEVER else -1 for s in range(4)]
 
 
 def role_of(name: str | None) -> int:
     return ALIASES.get((name or "").strip().lower(), 0)
 
 
-def fragments(costs: Costs, roles: list[int], texts: list[str], entry: int, leave: int | None, last: bool) -> list[tuple[str, str, int, str]]:
+def fragments(costs: Costs, roles: list[int], texts: list[str], entry: int, leave: int | None, last: bool, begin: list[int] | None = None, before: int = -1) -> list[tuple[str, str, int, str]]:
     """(new role, action, cost, fragment) of each turn of a stretch."""
-    labels, _ = repair(costs, roles, entry, leave)
+    labels, _ = repair(costs, roles, begin, leave, before)
     out, state = [], entry
     for i, (role, text, label) in enumerate(zip(roles, texts, labels, strict=True)):
         cost, merged, inserted = costs.step(state, label, role)
@@ -158,6 +176,58 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
+@dataclass
+class Way:
+    """What a stretch has to know of the conversation around it."""
+
+    entry: int = START
+    leave: int | None = None
+    last: bool = True
+    #: Least costs of the states at its start, and the role of the turn before it.
+    begin: list[int] | None = None
+    before: int = -1
+
+
+def _ways(every: DataFrame, several: set[int | None], costs: Costs) -> dict[tuple, Way]:
+    """The ways of the stretches of the conversations in ``several``, as one
+    walk over the whole conversation takes them, ties included.
+
+    Forward: the matrices of the stretches give the costs at the start of each.
+    Backward: with these, each stretch tells for every end which start its
+    least way has (a second pass), and the ends follow from the last stretch.
+    The driver holds a few numbers for each stretch.
+    """
+
+    def told(values):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for mine in _stretches(batches):
+                if mine[0][1] in several:
+                    roles = [role_of(r[3]) for r in mine]
+                    yield pa.RecordBatch.from_arrays([pa.array([mine[0][0]], pa.int32()), pa.array([mine[0][1]], pa.int64()), pa.array([values(mine[0][:2], roles)], pa.list_(pa.int64()))], names=["range", "conv", "found"])
+
+        rows = every.mapInArrow(run, "range int, conv long, found array<long>").collect()
+        return {(r["range"], r["conv"]): r["found"] for r in rows}
+
+    stretches: dict = {}
+    for key, found in sorted(told(lambda _, roles: [*(c for row in matrix(costs, roles) for c in row), roles[-1]]).items(), key=lambda x: x[0][0]):
+        stretches.setdefault(key[1], []).append((key, [found[4 * i : 4 * i + 4] for i in range(4)], found[16]))
+    ways: dict[tuple, Way] = {}
+    ends = {}
+    for conv, mine in stretches.items():
+        now, before = _only(START), -1
+        for i, (key, m, role) in enumerate(mine):
+            ways[key] = Way(last=i == len(mine) - 1, begin=now, before=before)
+            now, before = [min(min(now[s] + m[s][t] for s in range(4)), NEVER) for t in range(4)], role
+        ends[conv] = min(range(4), key=lambda s: (now[s] + costs.end(s)[0], s))
+    starts = told(lambda key, roles: entries(costs, roles, ways[key].begin, ways[key].before))
+    for conv, mine in stretches.items():
+        state = ends[conv]
+        for key, _, _ in reversed(mine):
+            ways[key].leave = state
+            state = ways[key].entry = starts[key][state]
+    return ways
+
+
 def repair_conversations(turns: DataFrame, costs: Costs = Costs(), id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, turn, role, new_role, action, cost, fragment) of every turn."""
     spark = turns.sparkSession
@@ -170,36 +240,15 @@ def repair_conversations(turns: DataFrame, costs: Costs = Costs(), id_col: str =
     # Conversations that several ranges have a part of: one for each bound between ranges at most.
     ranges = dealt.groupBy("conv").agg(F.min("range").alias("low"), F.max("range").alias("high"))
     several = [r["conv"] for r in ranges.where("low < high").select("conv").collect()]
-    ways: dict[tuple, tuple[int, int | None, bool]] = {}
+    ways: dict[tuple, Way] = {}
     if several:
-
-        def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for mine in _stretches(batches):
-                if mine[0][1] in several_set:
-                    flat = [c for row in matrix(costs, [role_of(r[3]) for r in mine]) for c in row]
-                    yield pa.RecordBatch.from_arrays([pa.array([mine[0][0]], pa.int32()), pa.array([mine[0][1]], pa.int64()), pa.array([flat], pa.list_(pa.int64()))], names=["range", "conv", "matrix"])
-
-        several_set = set(several)
-        found: dict = {}
-        for r in sorted(every.mapInArrow(matrices, "range int, conv long, matrix array<long>").collect(), key=lambda r: r["range"]):
-            found.setdefault(r["conv"], []).append((r["range"], [r["matrix"][4 * i : 4 * i + 4] for i in range(4)]))
-        for conv, stretches in found.items():
-            best = [[NEVER] * 4]
-            best[0][START] = 0
-            for _, m in stretches:
-                best.append([min(min(best[-1][s] + m[s][t] for s in range(4)), NEVER) for t in range(4)])
-            state = min(range(4), key=lambda s: (best[-1][s] + costs.end(s)[0], s))
-            for i in range(len(stretches) - 1, -1, -1):
-                m = stretches[i][1]
-                before = min(range(4), key=lambda s: (best[i][s] + m[s][state], s))
-                ways[stretches[i][0], conv] = (before, state, i == len(stretches) - 1)
-                state = before
+        ways = _ways(every, set(several), costs)
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for mine in _stretches(batches):
-            entry, leave, last = ways.get(mine[0][:2], (START, None, True))
-            done = fragments(costs, [role_of(r[3]) for r in mine], [r[4] for r in mine], entry, leave, last)
+            way = ways.get(mine[0][:2], Way())
+            done = fragments(costs, [role_of(r[3]) for r in mine], [r[4] for r in mine], way.entry, way.leave, way.last, way.begin, way.before)
             out.extend((r[1], r[2], r[3], *x) for r, x in zip(mine, done, strict=True))
             if len(out) >= 2000:
                 yield _rendered(out)

@@ -81,3 +81,38 @@ def test_query_is_legal(spark, sf_small):
         roles = [x.split("\n", 1)[0] for x in "".join(parts).split("<|im_start|>")[1:]]
         roles = roles[1:] if roles[0] == "system" else roles
         assert roles and roles == ["user", "assistant"] * (len(roles) // 2)
+
+
+def test_labels_do_not_depend_on_ranges(spark):
+    rnd = random.Random(9)
+    rows = [(1, i, rnd.choice(["user", "assistant", "system", "x"]), "t") for i in range(700)] + [(2, i, r, "t") for i, r in enumerate(["x", "system", "assistant", "assistant"])]
+    rows += [(3, i, rnd.choice(["user", "assistant"]), "t") for i in range(200)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {}
+    for conv in (1, 2, 3):
+        labels, _ = repair(Costs(), [role_of(r[2]) for r in rows if r[0] == conv])
+        want |= {(conv, i): x for i, x in enumerate(labels)}
+    names = {SYSTEM: "system", USER: "user", ASSISTANT: "assistant"}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 5, 31):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            got = {(r.conv_id, r.turn): r.new_role for r in repair_conversations(df).collect()}
+            assert got == {k: names[x] for k, x in want.items()}, parts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_any_cut_gives_the_labels_of_the_whole():
+    from adlake.llm import chat
+
+    rnd = random.Random(10)
+    for _ in range(300):
+        c = rnd.choice([Costs(), Costs(1, 1, 1), Costs(5, 1, 1)])
+        roles = [rnd.choice([0, 1, 2, 3]) for _ in range(rnd.randint(2, 30))]
+        whole, _ = repair(c, roles)
+        at = rnd.randint(1, len(roles) - 1)
+        begin = chat._forward(chat._table(c), roles[:at], chat._only(START))[-1]
+        leave = whole[-1]
+        entry = chat.entries(c, roles[at:], begin, roles[at - 1])[leave]
+        assert repair(c, roles[:at], None, entry)[0] + repair(c, roles[at:], begin, leave, roles[at - 1])[0] == whole
