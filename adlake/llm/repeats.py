@@ -318,11 +318,13 @@ def _strings(buckets: int, width: int, tagged: bool):
                 salt = mix64(np.arange(len(use), dtype=np.uint64) + U64(1))
                 wanted_by = np.repeat(salt, b[use] - a[use])
                 mine = mix64((key & _MASK) ^ salt[text])
-                shared = np.isin(mine, mix64((wanted & _MASK) ^ wanted_by))
-                hot = np.isin(mine, mix64((wanted & _MASK) ^ wanted_by)[wanted >> U64(63) == U64(1)])
-                key, start, windows, text, hot = (x[shared] for x in (key, start, windows, text, hot))
+                names_of, is_hot = mix64((wanted & _MASK) ^ wanted_by), wanted >> U64(63) == U64(1)
+                # Bits that travel may be those of a hot and of a cold key: such a run goes both ways, so its copies are met in either.
+                hot, cold = np.isin(mine, names_of[is_hot]), np.isin(mine, names_of[~is_hot])
+                shared = hot | cold
+                key, start, windows, text, hot, cold = (x[shared] for x in (key, start, windows, text, hot, cold))
                 if hot.any():
-                    key, start, windows, text = _split(joined, key, start, windows, text, hot, width)
+                    key, start, windows, text = _split(joined, key, start, windows, text, hot, cold, width)
                 offset = np.concatenate([[0], np.cumsum([len(texts[i]) for i in use])])
                 which = np.empty(len(start), np.int64)
                 for i, (s, e) in enumerate(zip(start.tolist(), (start + windows + width - 1).tolist(), strict=True)):
@@ -340,9 +342,8 @@ def _strings(buckets: int, width: int, tagged: bool):
     return run
 
 
-def _split(joined: bytes, key: np.ndarray, start: np.ndarray, windows: np.ndarray, text: np.ndarray, hot: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Runs with a hot key become runs of single windows, each keyed by itself."""
-    cold = ~hot
+def _split(joined: bytes, key: np.ndarray, start: np.ndarray, windows: np.ndarray, text: np.ndarray, hot: np.ndarray, cold: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Runs with a hot key become runs of single windows, each keyed by itself; those with a cold key stay."""
     strings = [joined[s:e] for s, e in zip(start[hot].tolist(), (start[hot] + windows[hot] + width - 1).tolist(), strict=True)]
     base = np.concatenate([[0], np.cumsum([len(x) for x in strings])[:-1]]).astype(np.int64)
     _, k, s, w, which = window_runs(strings, width, width)
@@ -488,8 +489,10 @@ def _keep(tagged: bool, whole: bool):
                             pieces.append(text[at:s])
                             at, gone, n = e, gone + e - s, n + 1
                     pieces.append(text[at:])
-                    left = b"".join(pieces)
-                    kept.append(left.decode("utf-8", "ignore").encode() if whole and n else left)
+                    if whole and n:
+                        # Piece by piece: halves of two characters must not meet and make a third.
+                        pieces = [x.decode("utf-8", "ignore").encode() for x in pieces]
+                    kept.append(b"".join(pieces))
                     removed.append(gone)
                     runs.append(n)
                 for c, d in passes(np.fromiter(map(len, kept), np.int64, len(kept)), 8 << 20):
