@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlake.operators.frames import null_safe_join
+
 
 def child_parent_join(children: DataFrame, parents: DataFrame, how: str = "inner") -> DataFrame:
     """Children -> their parent row on ``parent_dlt_id``."""
@@ -69,29 +71,35 @@ def tag_union(frames: Mapping[str, DataFrame], tag_col: str) -> DataFrame:
     return out
 
 
+def _by_keys(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    """``aggs`` of ``df`` by ``keys``, named for ``null_safe_join``."""
+    return df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(*aggs)
+
+
 def attributed_roas(roas: DataFrame, parents: DataFrame, keys: Sequence[str], by_type: bool = True,
                     spend_col: str = "spend") -> DataFrame:
     """Return on spend per (``keys``, roas kind[, action type]).
 
     A ROAS child holds a ratio, so it is weighted by its parent's spend, never
     summed.  The spend of a group is that of all its parents, each once,
-    whether or not they have a ROAS row.  ``parents`` are deduped."""
+    whether or not they have a ROAS row; a NULL key is a group like others.
+    ``parents`` are deduped."""
     by = ["roas_kind", "action_type"] if by_type else ["roas_kind"]
     ratio = roas.groupBy("parent_dlt_id", *by).agg(F.sum("value").alias("_ratio"))
     amount = (ratio.join(parents.select("parent_dlt_id", *keys, F.col(spend_col).alias("_spend")), "parent_dlt_id")
                    .groupBy(*keys, *by).agg(F.sum(F.col("_ratio") * F.col("_spend")).alias("_amount")))
-    spend = parents.groupBy(*keys).agg(F.sum(spend_col).alias("spend"), F.count(F.lit(1)).alias("n_parents"))
-    return amount.join(spend, list(keys)).select(
+    spend = _by_keys(parents, keys, F.sum(spend_col).alias("spend"), F.count(F.lit(1)).alias("n_parents"))
+    return null_safe_join(amount, spend, keys, "inner").select(
         *keys, *by, (F.col("_amount") / F.nullif(F.col("spend"), F.lit(0.0))).alias("roas"), "spend", "n_parents")
 
 
 def cost_per_action(actions: DataFrame, parents: DataFrame, keys: Sequence[str], spend_col: str = "spend") -> DataFrame:
     """CPA per (``keys``, action type): all spend of the group, once, over the
-    sum of the actions."""
+    sum of the actions; a NULL key is a group like others."""
     j = _at_parent_grain(actions, parents, keys, [F.sum("value").alias("_n")], ["action_type"])
     n = j.groupBy(*keys, "action_type").agg(F.sum("_n").alias("actions"))
-    spend = parents.groupBy(*keys).agg(F.sum(spend_col).alias("spend"))
-    return n.join(spend, list(keys)).select(
+    spend = _by_keys(parents, keys, F.sum(spend_col).alias("spend"))
+    return null_safe_join(n, spend, keys, "inner").select(
         *keys, "action_type", "actions", "spend", (F.col("spend") / F.nullif(F.col("actions"), F.lit(0.0))).alias("cpa"))
 
 

@@ -45,7 +45,8 @@ def _per_tenant(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
     return agg
 
 
-def _joined(df: DataFrame, agg: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def null_safe_join(df: DataFrame, agg: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``df`` joined to ``agg`` on ``keys`` (there named ``_k_<key>``); NULL keys match."""
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(agg[f"_k_{k}"])
@@ -60,7 +61,7 @@ def lag_window(delta: DataFrame, state: DataFrame, date_col: str, lag_days: int,
     date, so a tenant that lags behind the others loses nothing; all rows of a
     tenant without stored rows are taken."""
     cursor = _per_tenant(state, tenant_cols, F.max(date_col))
-    j = _joined(delta, cursor, tenant_cols, "left")
+    j = null_safe_join(delta, cursor, tenant_cols, "left")
     return j.where(F.col("_v").isNull() | (F.col(date_col) >= F.date_sub(F.col("_v"), lag_days))).drop("_v")
 
 
@@ -69,7 +70,7 @@ def load_window(df: DataFrame, date_col: str, days: int, load_cols: Sequence[str
     1), newest]``, where newest is the load's newest date (``load_cols`` name
     the tenant and the load)."""
     newest = _per_tenant(df, load_cols, F.max(date_col))
-    j = _joined(df, newest, load_cols, "inner")
+    j = null_safe_join(df, newest, load_cols, "inner")
     return j.where(F.col(date_col).between(F.date_sub(F.col("_v"), days - 1), F.col("_v"))).drop("_v")
 
 

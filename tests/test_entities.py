@@ -31,6 +31,17 @@ def test_roas_counts_all_spend_once(spark):
     assert c["cpa"] == 10.0
 
 
+def test_groups_with_a_null_key_stay(spark):
+    parents = spark.createDataFrame([("p", "1", "web", 10.0), ("q", "1", None, 10.0), ("r", "1", None, 30.0)], "parent_dlt_id string, ad_id string, platform string, spend double")
+    keys = ["ad_id", "platform"]
+    roas = spark.createDataFrame([("purchase", "p", "a", 2.0), ("purchase", "q", "a", 4.0)], "roas_kind string, " + C)
+    out = {r.platform: (r.roas, r.spend, r.n_parents) for r in EN.attributed_roas(roas, parents, keys).collect()}
+    assert out == {"web": (2.0, 10.0, 1), None: (1.0, 40.0, 2)}
+    acts = spark.createDataFrame([("p", "buy", 5.0), ("q", "buy", 8.0)], C)
+    out = {r.platform: (r.actions, r.spend, r.cpa) for r in EN.cost_per_action(acts, parents, keys).collect()}
+    assert out == {"web": (5.0, 10.0, 2.0), None: (8.0, 40.0, 5.0)}
+
+
 def test_dimension_attributes_come_from_one_row(spark):
     rows = [("t1", "a", "s1", "c9", 5, "r1"), ("t1", "a", "s9", "c1", 5, "r2"), ("t2", "a", "s4", "c4", 1, "r3")]
     f = spark.createDataFrame(rows, "client string, ad string, s string, c string, day int, rid string")
