@@ -9,11 +9,14 @@ deeper than the nesting cap are kept as JSON text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.operators.frames import normalize_name
+from adlake.session import exists
 
 ID, PARENT_ID, LIST_IDX = "_dlt_id", "_dlt_parent_id", "_dlt_list_idx"
 
@@ -42,12 +45,16 @@ def flatten_struct(df: DataFrame) -> DataFrame:
     return df.select(*[c.alias(n) for n, c, _ in flat_columns(df.schema)])
 
 
-def _split(df: DataFrame, depth: int, max_nesting: int):
-    """Scalar projection of ``df`` plus the list columns to explode; lists at
-    or beyond the cap become JSON text."""
+def _is_list(t: T.DataType, depth: int, max_nesting: int) -> bool:
+    return isinstance(t, T.ArrayType) and depth < max_nesting
+
+
+def _leaves(columns: Sequence[tuple[str, Column, T.DataType]], depth: int, max_nesting: int):
+    """Scalar columns of flat ``columns``, and the list columns to explode;
+    lists at or beyond the cap become JSON text."""
     scalars, lists = [], []
-    for n, c, t in flat_columns(df.schema):
-        if isinstance(t, T.ArrayType) and depth < max_nesting:
+    for n, c, t in columns:
+        if _is_list(t, depth, max_nesting):
             lists.append((n, c, t))
         elif isinstance(t, (T.ArrayType, T.MapType)):
             scalars.append(F.to_json(c).alias(n))
@@ -56,6 +63,10 @@ def _split(df: DataFrame, depth: int, max_nesting: int):
     return scalars, lists
 
 
+def _split(df: DataFrame, depth: int, max_nesting: int):
+    return _leaves(flat_columns(df.schema), depth, max_nesting)
+
+
 def explode_children(parent: DataFrame, list_col: Column, path: str, parent_id: str = ID,
                      carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per list element: element fields (or ``value`` for scalars),
@@ -92,3 +103,64 @@ def normalize_nested(df: DataFrame, table: str, max_nesting: int = 2,
 
     walk(df, table, 0)
     return out
+
+
+def tagged_rows(df: DataFrame, table: str, max_nesting: int = 2, carry: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, T.StructType]]:
+    """All rows of all tables of ``normalize_nested`` as one stream, from one
+    read of ``df``: ``_table`` and one struct column for each table, of which
+    a row fills the one of its own table.  Also the tables' schemas, by name
+    in the order of the struct columns.
+    """
+    schemas = {name: frame.schema for name, frame in normalize_nested(df, table, max_nesting, carry).items()}
+    names = list(schemas)
+    kind = T.ArrayType(T.StructType([T.StructField("_table", T.StringType())] + [T.StructField(f"_t{i}", schemas[n]) for i, n in enumerate(names)]))
+
+    def tagged(name: str, row: Column) -> Column:
+        return F.struct(F.lit(name).alias("_table"), *[(row if n == name else F.lit(None)).cast(schemas[n]).alias(f"_t{i}") for i, n in enumerate(names)])
+
+    def whole(rows: Column) -> Column:
+        return F.coalesce(rows.cast(kind), F.array().cast(kind))
+
+    def children(name: str, lists: Sequence[tuple[str, Column, T.DataType]], parent: Column, depth: int) -> list[Column]:
+        """For each list column its rows, and those of the lists within it."""
+        out = []
+        for n, c, t in lists:
+            path = f"{name}__{n}"
+
+            def row_id(i: Column) -> Column:
+                return F.md5(F.concat_ws("|", parent, F.lit(path), i.cast("string")))
+
+            def leaves(e: Column) -> list[tuple[str, Column, T.DataType]]:
+                return flat_columns(t.elementType, e) if isinstance(t.elementType, T.StructType) else [("value", e, t.elementType)]
+
+            def row(e: Column, i: Column) -> Column:
+                scalars, _ = _leaves(leaves(e), depth + 1, max_nesting)
+                return tagged(path, F.struct(row_id(i).alias(ID), parent.alias(PARENT_ID), i.cast("bigint").alias(LIST_IDX), *scalars, *[F.col(x) for x in carry]))
+
+            out.append(whole(F.transform(c, row)))
+            if any(_is_list(x, depth + 1, max_nesting) for _, _, x in leaves(F.lit(None))):
+                def below(e: Column, i: Column) -> Column:
+                    _, lists = _leaves(leaves(e), depth + 1, max_nesting)
+                    return F.concat(*children(path, lists, row_id(i), depth + 1))
+
+                out.append(whole(F.flatten(F.transform(c, below))))
+        return out
+
+    scalars, lists = _split(df, 0, max_nesting)
+    rows = F.concat(F.array(tagged(table, F.struct(*scalars))).cast(kind), *children(table, lists, F.col(ID), 0))
+    return df.select(F.inline(rows)), schemas
+
+
+def normalize_to(df: DataFrame, root: str, table: str, max_nesting: int = 2, carry: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The tables of ``normalize_nested``, written under ``root`` by one job
+    that reads ``df`` once: every task writes its own rows of each table, no
+    shuffle.  Each frame reads its own table's files and columns only."""
+    spark = df.sparkSession
+    rows, schemas = tagged_rows(df, table, max_nesting, carry)
+    rows.write.partitionBy("_table").option("maxRecordsPerFile", 5_000_000).parquet(root)
+    out = {}
+    for i, (name, schema) in enumerate(schemas.items()):
+        path, own = f"{root}/_table={name}", T.StructType([T.StructField(f"_t{i}", schema)])
+        frame = spark.read.schema(own).parquet(path) if exists(spark, path) else spark.createDataFrame([], own)
+        out[name] = frame.select(f"_t{i}.*")
+    return out

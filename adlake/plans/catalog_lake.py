@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from adlake.functions.casts import storage_type
 from adlake.operators import frames as FR
+from adlake.operators import normalize as N
 from adlake.operators import unify as U
 from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
 from adlake.plans.catalog_unify import INSIGHT_ALIASES, LOADED_AT, _CAST_CTE
+from adlake.plans.jobs import unify_lake
 from adlake.plans.registry import query
 from adlake.session import scratch_dir
 from adlake.sources import lake as L
-from adlake.specs import FIELD_LISTS, KNOWN_ENTITIES, PARENT_SPECS
+from adlake.specs import CHILD_SPECS, FIELD_LISTS, KNOWN_ENTITIES, PARENT_KEYS, PARENT_SPECS
 
 CAMPAIGNS = PARENT_SPECS["campaigns"]
 
@@ -82,17 +86,21 @@ def q_hive_key_parse(spark, d):
 
 
 @query("entity_allowlist", sql=f"""
-WITH extracts AS ({P.EXTRACTS_SQL})
-SELECT 'ads_insights' AS entity, CAST(count(*) AS BIGINT) AS n_rows FROM extracts
+WITH extracts AS ({P.EXTRACTS_SQL}), campaigns AS ({P.entity_sql("campaigns")[0]})
+SELECT 'ads_insights' AS entity, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(ad_name) AS BIGINT) AS n_ad_names, CAST(0 AS BIGINT) AS n_budgets FROM extracts
+UNION ALL
+SELECT 'campaigns', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT), CAST(count(lifetime_budget) AS BIGINT) FROM campaigns
 """)
 def q_entity_allowlist(spark, d):
+    """Two known entities with columns of their own; a load-state table and an
+    unknown entity land next to them."""
     root = _land_raw(spark, d)
-    # A load-state table and an unknown entity land next to the data.
+    L.write_raw(P.entity_raw(spark, d, "campaigns").withColumn("date", F.lit("2024-02-01")), root, "campaigns")
     state = P.extracts(spark, d).select("client", "date_start", F.col("_dlt_load_id").alias("state"))
     L.write_raw(state, root, "_dlt_pipeline_state", date_col="date_start")
     L.write_raw(state, root, "unknown_feed", date_col="date_start")
     raw = L.read_raw(spark, root, None, KNOWN_ENTITIES)
-    return raw.groupBy("entity").agg(F.count(F.lit(1)).alias("n_rows"))
+    return raw.groupBy("entity").agg(F.count(F.lit(1)).alias("n_rows"), F.count("ad_name").alias("n_ad_names"), F.count("lifetime_budget").alias("n_budgets"))
 
 
 @query("raw_inventory", sql=f"""
@@ -248,21 +256,76 @@ def q_views(spark, d):
         FROM ods_ads_insights GROUP BY client_uid""")
 
 
-@query("unify_lake", sql=f"""
-WITH {_CAST_CTE},
-{P.NESTED_CTE_SQL}
-SELECT 'ads_insights' AS entity, 'parent' AS kind, CAST(count(DISTINCT client_uid) AS BIGINT) AS n_tenants,
-       CAST(count(*) AS BIGINT) AS n_rows FROM latest
-UNION ALL
-SELECT 'ads_insights__actions', 'child', CAST(count(DISTINCT client) AS BIGINT), CAST(count(*) AS BIGINT) FROM nested_actions
-""")
+# ------------------------------------------------------------------ the whole lake
+
+_NESTED_COLS = {"_dlt_id", "ad_id", "date_start", "spend", "clicks"}
+_CHILD_COLS = {"_dlt_id", "_dlt_parent_id", "_dlt_list_idx", "action_type", "action_target_id", "action_destination", "value", "_1d_view", "_1d_click",
+               "_7d_view", "_7d_click"}
+_VIDEO_COLS = {"_dlt_id", "_dlt_parent_id", "_dlt_list_idx", "action_type", "value"}
+
+
+def _child_rows_sql(child: str) -> str:
+    name = child.split("__", 1)[1]
+    return {"actions": P.ACTIONS_SQL, "action_values": P.ACTION_VALUES_SQL, "video_p25_watched_actions": P.VIDEO_SQL}.get(name) or P.one_element_sql(name)
+
+
+def _lake_sql() -> str:
+    """Every entity's tenants, rows, orphans and digest, from the raw rows."""
+    orgs = f"coalesce(o.org, '{U.DEFAULT_ORG}')"
+    ctes = [f"parent AS ({P.NESTED_PARENT_SQL})", f"extracts AS ({P.EXTRACTS_SQL})", f"roster AS ({P.ROSTER_SQL})",
+            "org_map AS (SELECT client_slug, min(org_slug) AS org FROM roster GROUP BY client_slug)"]
+    tables = []
+    for i, (entity, spec) in enumerate(PARENT_SPECS.items()):
+        keys = PARENT_KEYS[entity]
+        sources = [(f"(SELECT * FROM ({P.entity_sql(entity)[0]}))", P.entity_sql(entity)[1])] if entity in P.ENTITY_BASE else [("extracts", P.EXTRACTS_COLUMNS), ("parent", _NESTED_COLS)]
+        ctes.append(f"raw{i} AS (" + " UNION ALL ".join(
+            f"SELECT client, _dlt_load_id, _dlt_id AS tie, {S.spec_select(spec, set(present), 'e')} FROM {src} e" for src, present in sources) + ")")
+        ctes.append(f"""ods{i} AS (
+  SELECT *, {S.extracted_at_sql('_dlt_load_id')} AS _ext, {orgs} || '__' || client AS tenant_skey FROM raw{i} LEFT JOIN org_map o ON client = o.client_slug
+  QUALIFY row_number() OVER (PARTITION BY {orgs}, client, {", ".join(keys)} ORDER BY _ext DESC NULLS LAST, tie DESC) = 1)""")
+        sid = S.source_id_sql(keys)
+        digest = S.row_digest_sql([("tenant_skey", "STRING"), (sid, "STRING"), (S.change_hash_sql(sid, "_ext"), "STRING"), *((c.alias, c.cast) for c in spec)])
+        tables.append(f"SELECT '{entity}' AS entity, 'parent' AS kind, CAST(count(DISTINCT client) AS BIGINT) AS n_tenants, CAST(count(*) AS BIGINT) AS n_rows, "
+                      f"CAST(NULL AS BIGINT) AS n_orphans, {digest} AS digest FROM ods{i}")
+        if entity == "ads_insights":
+            ctes.append(f"surviving AS (SELECT DISTINCT parent_dlt_id AS id FROM ods{i})")
+    for i, (child, spec) in enumerate(CHILD_SPECS.items()):
+        present = _VIDEO_COLS if "video" in child else _CHILD_COLS
+        ctes.append(f"child{i} AS (SELECT c.*, {orgs} || '__' || c.client AS tenant_skey, s.id IS NULL AS is_orphan FROM "
+                    f"(SELECT client, {S.spec_select(spec, present, 'a')} FROM ({_child_rows_sql(child)}) a) c "
+                    f"LEFT JOIN org_map o ON c.client = o.client_slug LEFT JOIN surviving s ON c.parent_dlt_id = s.id)")
+        digest = S.row_digest_sql([("tenant_skey", "STRING"), *((c.alias, c.cast) for c in spec)])
+        tables.append(f"SELECT '{child}', 'child', CAST(count(DISTINCT client) AS BIGINT), CAST(count(*) AS BIGINT), CAST(count(*) FILTER (WHERE is_orphan) AS BIGINT), {digest} FROM child{i}")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(tables)
+
+
+def _ods_digest(spark, root, entity):
+    """Digest of an ODS table's rows; a parent's payload is read back field by field."""
+    rows = L.read_ods(spark, root, entity)
+    if entity in CHILD_SPECS:
+        return rows.agg(S.row_digest([(F.col("tenant_skey"), "STRING"), *((F.col(c.alias), c.cast) for c in CHILD_SPECS[entity])]).alias("digest"))
+    spec = PARENT_SPECS[entity]
+    rows = rows.withColumn("body", F.from_json("payload", T.StructType([T.StructField(c.alias, storage_type(c.cast)) for c in spec])))
+    return rows.agg(S.row_digest([*((F.col(c), "STRING") for c in ("tenant_skey", "source_id", "source_schema_hash")), *((F.col("body")[c.alias], c.cast) for c in spec)]).alias("digest"))
+
+
+@query("unify_lake", sql=_lake_sql())
 def q_unify_lake(spark, d):
-    """Land insights extracts and their action children as a raw lake, then
-    run the whole-lake unify job into a fresh ODS root."""
-    from adlake.operators.normalize import normalize_nested
-    from adlake.plans.jobs import unify_lake
+    """All twelve entities landed as a raw lake (insights from two feeds, their
+    children by one read of the nested rows), then unified into a fresh ODS
+    root, parents before children; each table's digest beside its metrics."""
     root = scratch_dir(spark, "lake")
-    L.write_raw(P.extracts(spark, d), f"{root}/raw", "ads_insights", date_col="date_start")
-    actions = normalize_nested(P.nested(spark, d), "ads_insights", 2, carry=("client",))["ads_insights__actions"]
-    L.write_raw(actions.withColumn("date", F.lit("2024-02-01")), f"{root}/raw", "ads_insights__actions")
-    return unify_lake(spark, f"{root}/raw", f"{root}/ods", LOADED_AT, roster=P.roster(spark, d))
+    raw, ods, day = f"{root}/raw", f"{root}/ods", F.lit("2024-02-01")
+    L.write_raw(P.extracts(spark, d), raw, "ads_insights", date_col="date_start")
+    tables = N.normalize_to(P.nested(spark, d), f"{root}/nested", "ads_insights", 2, carry=("client",))
+    L.write_raw(tables["ads_insights"], raw, "ads_insights", date_col="date_start")
+    for child in CHILD_SPECS:
+        L.write_raw(tables[child].withColumn("date", day), raw, child)
+    for entity in P.ENTITY_BASE:
+        L.write_raw(P.entity_raw(spark, d, entity).withColumn("date", day), raw, entity)
+    metrics = unify_lake(spark, raw, ods, LOADED_AT, roster=P.roster(spark, d))
+    digests = None
+    for entity in KNOWN_ENTITIES:
+        one = _ods_digest(spark, ods, entity).select(F.lit(entity).alias("entity"), "digest")
+        digests = one if digests is None else digests.unionByName(one)
+    return metrics.join(digests, "entity")

@@ -11,6 +11,7 @@ from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
 from adlake.plans.catalog_unify import LOADED_AT
 from adlake.plans.registry import query
+from adlake.session import scratch_dir
 from adlake.specs import CHILD_SPEC_VIDEO, CHILD_SPECS, PARENT_SPECS
 
 _CTE = f"parent AS ({P.NESTED_PARENT_SQL})"
@@ -50,6 +51,43 @@ def q_normalize_nested(spark, d):
     return out
 
 
+# A list within a list: windows with touches, their lengths by rule.
+_WINDOWS = F.expr("""transform(slice(array(0, 1), 1, cast(clicks as int) % 3), i -> named_struct('span', concat('w', i), 'touches',
+  transform(slice(array(0, 1), 1, cast((cast(ad_id as bigint) + i) % 3 as int)), j -> named_struct('pos', j, 'weight', cast(i + 2 * j as string)))))""")
+_WINDOWS_SQL = """
+windows AS (SELECT md5(_dlt_id || '|ads_insights__windows|' || i) AS _dlt_id, _dlt_id AS _dlt_parent_id, i AS _dlt_list_idx, 'w' || i AS span, l_partkey, client
+            FROM parent, (VALUES (0), (1)) v(i) WHERE l_linenumber % 3 > i),
+touches AS (SELECT md5(_dlt_id || '|ads_insights__windows__touches|' || j) AS _dlt_id, _dlt_id AS _dlt_parent_id, j AS _dlt_list_idx, j AS pos, _dlt_list_idx + 2 * j AS weight, client
+            FROM windows, (VALUES (0), (1)) v(j) WHERE (l_partkey + _dlt_list_idx) % 3 > j)"""
+_ROW = [("_dlt_id", "STRING"), ("_dlt_parent_id", "STRING"), ("_dlt_list_idx", "INT64"), ("client", "STRING")]
+_VALUE = [*_ROW, ("action_type", "STRING"), ("value", "STRING")]
+#: The columns that a table's digest takes, and its rows in SQL.
+_ONCE = {
+    "ads_insights": ([("_dlt_id", "STRING"), ("client", "STRING"), ("ad_id", "STRING"), ("spend", "STRING"), ("meta__line__status", "STRING")], "SELECT * FROM parent"),
+    "ads_insights__actions": ([*_VALUE, ("action_target_id", "STRING"), ("_1d_view", "STRING"), ("_7d_click", "STRING")], P.ACTIONS_SQL),
+    "ads_insights__action_values": (_VALUE, P.ACTION_VALUES_SQL),
+    "ads_insights__video_p25_watched_actions": (_VALUE, P.VIDEO_SQL),
+    **{f"ads_insights__{n}": (_VALUE, P.one_element_sql(n)) for n in P.ONE_ELEMENT_LISTS},
+    "ads_insights__windows": ([*_ROW, ("span", "STRING")], "SELECT * FROM windows"),
+    "ads_insights__windows__touches": ([*_ROW, ("pos", "INT64"), ("weight", "INT64")], "SELECT * FROM touches"),
+}
+
+
+@query("normalize_once", sql=f"WITH {_CTE}, {_WINDOWS_SQL}\n" + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, {S.row_digest_sql(columns)} AS digest FROM ({sql})" for name, (columns, sql) in _ONCE.items()))
+def q_normalize_once(spark, d):
+    """All tables of the nested rows, two list levels deep, written from one
+    read of the source; rows and digest of each."""
+    nested = P.nested(spark, d).withColumn("windows", _WINDOWS)
+    tables = N.normalize_to(nested, scratch_dir(spark, "nested"), "ads_insights", 2, carry=("client",))
+    out = None
+    for name, df in tables.items():
+        columns = [(F.col(c), cast) for c, cast in _ONCE[name][0]]
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), S.row_digest(columns).alias("digest")).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("nesting_cap", sql=f"""
 WITH {_CTE}
 SELECT _dlt_id, CAST(l_linenumber % 4 AS BIGINT) AS n_actions FROM parent
@@ -85,7 +123,7 @@ _PARENT_COLS = {"_dlt_id", "ad_id", "date_start", "spend", "clicks"}
 GRAIN = ["client", "ad_id", "date_start", "device_platform"]
 _TYPED_PARENT_SQL = f"""
 typed_parent AS (
-  SELECT client, meta__line__status AS device_platform, {S.spec_select(_PARENT_SPEC, _PARENT_COLS, 'p')},
+  SELECT client, nullif(meta__line__status, 'O') AS device_platform, {S.spec_select(_PARENT_SPEC, _PARENT_COLS, 'p')},
          {S.extracted_at_sql('p._dlt_load_id')} AS extracted_at
   FROM parent p),
 kept_parent AS (
@@ -109,7 +147,7 @@ def _kept_parent(spark, d, tables=None):
 def _typed_parent(spark, d, tables=None):
     tables = tables or _tables(spark, d)
     p = tables["ads_insights"]
-    p = p.withColumn("extracted_at", U.extracted_at(p)).withColumn("device_platform", F.col("meta__line__status"))
+    p = p.withColumn("extracted_at", U.extracted_at(p)).withColumn("device_platform", F.nullif("meta__line__status", F.lit("O")))
     return U.apply_spec(p, _PARENT_SPEC, keep=["client", "device_platform", "extracted_at"])
 
 
@@ -138,6 +176,10 @@ def q_orphan_children(spark, d):
     return EN.mark_orphans(c, _kept_parent(spark, d, t)).select("child_dlt_id", "parent_dlt_id", "kept")
 
 
+def _same(a: str, b: str) -> str:
+    return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in GRAIN)
+
+
 _GRAIN_SQL = ", ".join(f"t.{c}" for c in GRAIN)
 _SIDES_SQL = f"""
 sides AS (
@@ -168,7 +210,7 @@ spend AS (SELECT {", ".join(GRAIN)}, sum(spend) AS spend FROM kept_parent GROUP
 n AS (SELECT {_GRAIN_SQL}, s.action_type, sum(s.value) AS actions
       FROM sides s JOIN kept_parent t ON s._dlt_parent_id = t.parent_dlt_id WHERE side = 'n' GROUP BY ALL)
 SELECT n.*, round(s.spend, 2) AS spend, round(s.spend / nullif(n.actions, 0), 6) AS cpa
-FROM n JOIN spend s USING ({", ".join(GRAIN)})
+FROM n JOIN spend s ON {_same("n", "s")}
 """)
 def q_cpa_by_action(spark, d):
     t = _tables(spark, d)
@@ -197,8 +239,8 @@ def _roas_children(spark, d, t):
 @query("attributed_roas", sql=_ROAS_SQL + f"""
 , spend AS (SELECT {", ".join(GRAIN)}, sum(spend) AS spend, CAST(count(*) AS BIGINT) AS n_parents FROM kept_parent GROUP BY ALL),
 ret AS (SELECT {", ".join(GRAIN)}, roas_kind, action_type, sum(amount) AS amount FROM amounts GROUP BY ALL)
-SELECT {", ".join(GRAIN)}, roas_kind, action_type, round(amount / nullif(spend, 0), 9) AS roas, round(spend, 2) AS spend, n_parents
-FROM ret JOIN spend USING ({", ".join(GRAIN)})
+SELECT ret.* EXCLUDE (amount), round(amount / nullif(spend, 0), 9) AS roas, round(spend, 2) AS spend, n_parents
+FROM ret JOIN spend ON {_same("ret", "spend")}
 """)
 def q_attributed_roas(spark, d):
     t = _tables(spark, d)

@@ -6,6 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from adlake.specs import ColSpec
 
 SQL_TYPES = {"STRING": "VARCHAR", "INT64": "BIGINT", "FLOAT64": "DOUBLE", "DATE": "DATE",
@@ -64,3 +67,23 @@ def change_hash_sql(sid: str, ts: str) -> str:
 
 def extracted_at_sql(load_id: str) -> str:
     return f"make_timestamp(CAST(trunc(TRY_CAST({load_id} AS DOUBLE) * 1000000) AS BIGINT))"
+
+
+# ------------------------------------------------------------------ row digests
+# An order-free digest of a table in both engines: the exclusive or of 60 bits
+# of each row's md5, over a text of its columns that both write alike.
+
+def row_digest_sql(columns: Sequence[tuple[str, str]]) -> str:
+    """``columns``: (SQL expression, cast type)."""
+    text = {"INT64": "CAST({} AS VARCHAR)", "FLOAT64": "CAST(CAST({} AS DECIMAL(38,6)) AS VARCHAR)", "DATE": "CAST({} AS VARCHAR)",
+            "TIMESTAMP": "CAST(epoch_us({}) AS VARCHAR)"}
+    cells = ", ".join(f"coalesce({text.get(cast, '{}').format(e)}, '~')" for e, cast in columns)
+    return f"bit_xor(CAST('0x' || substr(md5(concat_ws('|', {cells})), 1, 15) AS BIGINT))"
+
+
+def row_digest(columns: Sequence[tuple[Column, str]]) -> Column:
+    """The same as a Spark aggregate."""
+    text = {"INT64": lambda c: c.cast("string"), "FLOAT64": lambda c: c.cast("decimal(38,6)").cast("string"), "DATE": lambda c: c.cast("string"),
+            "TIMESTAMP": lambda c: F.unix_micros(c).cast("string")}
+    cells = [F.coalesce(text.get(cast, lambda c: c)(c), F.lit("~")) for c, cast in columns]
+    return F.bit_xor(F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 15), 16, 10).cast("bigint"))

@@ -12,13 +12,17 @@ schemas agree, for the caller to cast and union.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlake.operators.frames import MissingTableError
 from adlake.specs import KNOWN_ENTITIES
@@ -58,18 +62,20 @@ def write_raw(df: DataFrame, root: str, entity: str, load_id: str | Column | Non
 
 def read_raw(spark: SparkSession, root: str, entity: str | None = None,
              entities: Sequence[str] | None = KNOWN_ENTITIES) -> DataFrame:
-    """Read the raw lake (all tenants) when file schemas agree.  ``client``,
-    ``entity`` and ``date`` come from the path.  The allow-list is part of the
-    paths: folders of unknown entities (load state tables) are neither listed
-    nor is their schema looked at."""
-    wanted = [entity] if entity is not None else list(entities or [])
-    if not wanted:
-        return spark.read.option("basePath", root).parquet(f"{root}/client=*/entity=*")
+    """Read the raw lake (all tenants).  ``client``, ``entity`` and ``date``
+    come from the path.  One entity's files must agree; several are read
+    each by itself, with all of their columns (``one_frame``).  The
+    allow-list is part of the paths: folders of unknown entities (load state
+    tables) are neither listed nor is their schema looked at."""
+    if entity is not None:
+        if not list_dirs(spark, f"{root}/client=*/entity={entity}"):
+            raise MissingTableError(f"no raw partitions for {entity} under {root}")
+        return spark.read.option("basePath", root).parquet(f"{root}/client=*/entity={entity}")
+    wanted = list(entities) if entities else sorted({p.rsplit("entity=", 1)[1] for p in list_dirs(spark, f"{root}/client=*/entity=*")})
     there = [e for e in wanted if list_dirs(spark, f"{root}/client=*/entity={e}")]
     if not there:
         raise MissingTableError(f"no raw partitions for {wanted} under {root}")
-    df = spark.read.option("basePath", root).parquet(*[f"{root}/client=*/entity={e}" for e in there])
-    return df.where(F.col("entity").isin(there))
+    return one_frame([f for e in there for f in read_raw_groups(spark, root, e)])
 
 
 def _files(spark: SparkSession, folder: str) -> list[str]:
@@ -78,20 +84,100 @@ def _files(spark: SparkSession, folder: str) -> list[str]:
                   if s.isFile() and s.getPath().getName().endswith(".parquet"))
 
 
+#: Where a Parquet footer keeps the schema that Spark wrote.
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+#: Types a column may widen to without text (each to the ones after it).
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def footers(spark: SparkSession, folders: Sequence[str]) -> list[tuple[str, str, str | None]]:
+    """(folder, file, schema as JSON) of every Parquet file in ``folders``, by
+    one job whose tasks list folders and read footers, no data.  Where tasks
+    can't open a folder or a footer has no Spark schema, the schema is None
+    (and the file empty, if it was not listed)."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as afs
+        from pyarrow import parquet as pq
+
+        for batch in batches:
+            out: list[tuple[str, str, str | None]] = []
+            for folder in batch.column(0).to_pylist():
+                try:
+                    if folder.startswith("file:"):
+                        store, at = afs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
+                    else:
+                        store, at = afs.FileSystem.from_uri(quote(folder, safe=":/@"))
+                    files = sorted(x.base_name for x in store.get_file_info(afs.FileSelector(at)) if x.base_name.endswith(".parquet"))
+                    for name in files:
+                        with store.open_input_file(f"{at}/{name}") as f:
+                            found = (pq.ParquetFile(f).schema_arrow.metadata or {}).get(_SPARK_SCHEMA)
+                        out.append((folder, name, found and found.decode()))
+                except (OSError, ValueError, pa.ArrowException):
+                    out.append((folder, "", None))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in range(3)], names=["folder", "file", "schema"])
+
+    n = min(len(folders), 8 * spark.sparkContext.defaultParallelism)
+    listed = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(n)
+    return sorted(tuple(r) for r in listed.mapInArrow(read, "folder string, file string, schema string").collect())
+
+
+def _merged(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """Both schemas' columns, or None if a column's types differ."""
+    types = {f.name: f.dataType for f in a.fields}
+    if any(types.get(f.name, f.dataType) != f.dataType for f in b.fields):
+        return None
+    return T.StructType(a.fields + [f for f in b.fields if f.name not in types])
+
+
+def agreeing(schemas: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Schemas (JSON) dealt into groups without conflicts, in the order given,
+    each with its merged schema.  There are as many groups at most as
+    schemas, whatever the number of files."""
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for text in dict.fromkeys(schemas):
+        own = T.StructType.fromJson(json.loads(text))
+        for i, (have, members) in enumerate(groups):
+            if (both := _merged(have, own)) is not None:
+                groups[i] = (both, [*members, text])
+                break
+        else:
+            groups.append((own, [text]))
+    return groups
+
+
 def read_raw_groups(spark: SparkSession, root: str, entity: str) -> list[DataFrame]:
     """Frames that together hold every file of ``entity``, each of files whose
     schemas agree: a column that appears later, in any tenant or on any day,
     is kept (NULL before), and a column whose type changes splits the files.
 
-    Footers are read on the executors (``mergeSchema`` over all folders at
-    once).  Only where schemas conflict are the folders, in (client, date)
-    order, halved and tried again, down to single files: the probes grow with
-    the number of conflicts, not of tenants or days.  Groups of one schema are
-    joined again, so the plans are bounded by the distinct schemas."""
+    One job maps the footers of all files; the few distinct schemas are dealt
+    into groups, and each group is read with its merged schema, so planning a
+    read looks at no file again and no merge is tried that may fail."""
     days = list_dirs(spark, f"{root}/client=*/entity={entity}/date=*")
     if not days:
         raise MissingTableError(f"no raw partitions for entity={entity} under {root}")
-
+    found = footers(spark, days)
+    if not found:
+        raise MissingTableError(f"no files for entity={entity} under {root}")
+    if any(schema is None for *_, schema in found):
+        return _probed(spark, root, days)
+    of: dict[str, set[str]] = {}
+    for folder, _, schema in found:
+        of.setdefault(folder, set()).add(schema)
+    keys = [T.StructField(k, T.StringType()) for k in ("client", "entity", "date")]
+    frames = []
+    for merged, members in agreeing([schema for *_, schema in found]):
+        # A folder of one group is read as a folder, a mixed one by its files.
+        paths = sorted({folder if of[folder] <= set(members) else f"{folder}/{file}" for folder, file, schema in found if schema in members})
+        own = T.StructType([f for f in merged.fields if f.name not in ("client", "entity", "date")] + keys)
+        frames.append(spark.read.option("basePath", root).schema(own).parquet(*paths))
+    return frames
+
+
+def _probed(spark: SparkSession, root: str, days: list[str]) -> list[DataFrame]:
+    """As ``read_raw_groups``, where tasks can't read footers: Spark merges
+    them over all folders at once, and only where schemas conflict are the
+    folders halved and tried again, down to single files."""
     def merged(paths: list[str]) -> DataFrame | None:
         try:
             return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
@@ -100,18 +186,18 @@ def read_raw_groups(spark: SparkSession, root: str, entity: str) -> list[DataFra
                 raise
             return None
 
-    def agreeing(paths: list[str], are_files: bool) -> list[tuple[DataFrame, list[str]]]:
+    def apart(paths: list[str]) -> list[tuple[DataFrame, list[str]]]:
         df = merged(paths)
         if df is not None:
             return [(df, paths)]
         if len(paths) == 1:
-            return agreeing(_files(spark, paths[0]), True)
+            return apart(_files(spark, paths[0]))
         half = len(paths) // 2
-        return agreeing(paths[:half], are_files) + agreeing(paths[half:], are_files)
+        return apart(paths[:half]) + apart(paths[half:])
 
     # Neighbouring groups may agree again: join them as long as their schemas merge.
     groups: list[tuple[DataFrame, list[str]]] = []
-    for df, paths in agreeing(days, False):
+    for df, paths in apart(days):
         for i, (_, have) in enumerate(groups):
             both = merged(have + paths)
             if both is not None:
@@ -122,6 +208,31 @@ def read_raw_groups(spark: SparkSession, root: str, entity: str) -> list[DataFra
     return [df for df, _ in groups]
 
 
+def _common(types: Sequence[T.DataType]) -> T.DataType:
+    """The type that all of ``types`` widen to: the widest number, else text."""
+    names = {t.simpleString() for t in types}
+    if len(names) == 1:
+        return types[0]
+    if names <= set(_NUMBERS):
+        return max(types, key=lambda t: _NUMBERS.index(t.simpleString()))
+    return T.StringType()
+
+
+def one_frame(frames: Sequence[DataFrame]) -> DataFrame:
+    """Frames of drifting schemas as one: columns by name, NULL where a frame
+    has none, at the type that all of a column's types widen to."""
+    types: dict[str, list[T.DataType]] = {}
+    for f in frames:
+        for x in f.schema.fields:
+            types.setdefault(x.name, []).append(x.dataType)
+    wide = {n: _common(t) for n, t in types.items()}
+    out = None
+    for f in frames:
+        f = f.select(*[F.col(f"`{c}`").cast(wide[c]).alias(c) for c in f.columns])
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def write_ods(df: DataFrame, root: str, entity: str, target_file_rows: int = 5_000_000) -> str:
     """Replace one ODS entity wholesale (no client/date partition).  The new
     table is written aside and swapped in by renames when it is whole; a
