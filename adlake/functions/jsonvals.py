@@ -7,14 +7,13 @@ everything else, exactly by the JSON type of the value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adlake.functions.casts import tolerant_float, tolerant_int
 
-_NUMERIC_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
-
-
 def parse(text: Column) -> Column:
     """JSON text -> VARIANT; malformed or empty text -> NULL."""
     return F.try_parse_json(F.nullif(text, F.lit("")))
@@ -34,18 +33,19 @@ def is_object(v: Column, path: str = "$") -> Column:
     return F.coalesce(jtype(v, path).startswith("OBJECT"), F.lit(False))
 
 
+def _text(v: Column, path: str) -> Column:
+    """The value as text.  Only a number or a numeric text reads as a number:
+    true, false, objects and lists have a text that does not."""
+    return F.try_variant_get(v, path, "string")
+
+
 def jfloat(v: Column, path: str) -> Column:
-    t = jtype(v, path)
-    return (F.when(t.rlike(_NUMERIC_TYPES), F.try_variant_get(v, path, "double"))
-             .when(t == "STRING", tolerant_float(F.variant_get(v, path, "string"))))
+    return number_of(_text(v, path))
 
 
 def jint(v: Column, path: str) -> Column:
     """Integer, or a fractional number / numeric text truncated toward zero."""
-    t = jtype(v, path)
-    return (F.when(t.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)"), F.try_variant_get(v, path, "bigint"))
-             .when(t.rlike(_NUMERIC_TYPES), F.try_variant_get(v, path, "double").try_cast("bigint"))
-             .when(t == "STRING", tolerant_int(F.variant_get(v, path, "string"))))
+    return integer_of(_text(v, path))
 
 
 def jstr(v: Column, path: str) -> Column:
@@ -53,6 +53,24 @@ def jstr(v: Column, path: str) -> Column:
     return F.when(jtype(v, path) == "STRING", F.nullif(F.variant_get(v, path, "string"), F.lit("")))
 
 
+def record(v: Column, numbers: Sequence[str], texts: Sequence[str] = ()) -> Column:
+    """The named members of a JSON object in one walk, for ``number_of``,
+    ``integer_of`` and ``text_of``; NULL if the value is no object."""
+    return F.try_variant_get(v, "$", "struct<" + ", ".join([*(f"{n}:string" for n in numbers), *(f"{t}:variant" for t in texts)]) + ">")
+
+
+def number_of(member: Column) -> Column:
+    return tolerant_float(member)
+
+
+def integer_of(member: Column) -> Column:
+    return F.coalesce(member.try_cast("bigint"), tolerant_int(member))
+
+
+def text_of(member: Column) -> Column:
+    return jstr(member, "$")
+
+
 def render(v: Column, path: str) -> Column:
     """Display text of a JSON value: strings as is, true/false as
     True/False, null as None, other values as compact JSON."""

@@ -51,7 +51,8 @@ def null_safe_join(df: DataFrame, agg: DataFrame, keys: Sequence[str], how: str)
     for k in keys:
         c = df[k].eqNullSafe(agg[f"_k_{k}"])
         cond = c if cond is None else cond & c
-    return df.join(agg, cond, how).drop(*[f"_k_{k}" for k in keys])
+    out = df.join(agg, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_k_{k}" for k in keys])
 
 
 def lag_window(delta: DataFrame, state: DataFrame, date_col: str, lag_days: int,

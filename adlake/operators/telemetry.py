@@ -15,46 +15,66 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adlake.functions import jsonvals as J
 from adlake.specs import LOW_ACCESS_TIER, PRESSURE_ERROR, PRESSURE_INFO, PRESSURE_WARNING
 
 
+_PARSED = ("_app", "_account")
+
+
+def parsed(resp: DataFrame, app: str = "app_usage", account: str = "account_usage") -> DataFrame:
+    """``resp`` and the members of its two flat headers (NULL when the header
+    is absent, malformed or not an object), each header parsed and walked
+    once: the optimizer doesn't inline these columns into every field."""
+    return resp.select("*", J.record(J.parse(F.col(app)), ["call_count", "total_cputime", "total_time"]).alias("_app"),
+                       J.record(J.parse(F.col(account)), ["acc_id_util_pct", "reset_time_duration"], ["ads_api_access_tier"]).alias("_account"))
+
+
+def _flat_fields(a: Column, c: Column) -> list[Column]:
+    return [
+        a.isNotNull().alias("has_app"), c.isNotNull().alias("has_account"),
+        J.number_of(a["call_count"]).alias("app_call_count"),
+        J.number_of(a["total_cputime"]).alias("app_total_cputime"),
+        J.number_of(a["total_time"]).alias("app_total_time"),
+        J.number_of(c["acc_id_util_pct"]).alias("acc_id_util_pct"),
+        J.integer_of(c["reset_time_duration"]).alias("reset_time_duration"),
+        J.text_of(c["ads_api_access_tier"]).alias("ads_api_access_tier")]
+
+
 def parse_headers(resp: DataFrame, app: str = "app_usage", account: str = "account_usage") -> DataFrame:
     """App and account usage fields (NULL struct when the header is absent,
     malformed or not an object)."""
-    a, c = J.parse(F.col(app)), J.parse(F.col(account))
-    a_ok, c_ok = J.is_object(a), J.is_object(c)
-    return resp.select(
-        "*",
-        a_ok.alias("has_app"), c_ok.alias("has_account"),
-        F.when(a_ok, J.jfloat(a, "$.call_count")).alias("app_call_count"),
-        F.when(a_ok, J.jfloat(a, "$.total_cputime")).alias("app_total_cputime"),
-        F.when(a_ok, J.jfloat(a, "$.total_time")).alias("app_total_time"),
-        F.when(c_ok, J.jfloat(c, "$.acc_id_util_pct")).alias("acc_id_util_pct"),
-        F.when(c_ok, J.jint(c, "$.reset_time_duration")).alias("reset_time_duration"),
-        F.when(c_ok, J.jstr(c, "$.ads_api_access_tier")).alias("ads_api_access_tier"))
+    return parsed(resp, app, account).select("*", *_flat_fields(*map(F.col, _PARSED))).drop(*_PARSED)
+
+
+_BUCKET = "struct<call_count:string, total_cputime:string, total_time:string, estimated_time_to_regain_access:string, type:variant>"
+_PIECE = f"struct<biz_pos:bigint,pos:bigint,business_id:string,body:{_BUCKET}>"
+
+
+def bucket_list(col: Column) -> Column:
+    """Per-business usage header -> array of its bucket objects, in header
+    order; one parse of the text and one walk of each object.  Members that
+    are no lists and buckets that are no objects are skipped."""
+    lists = F.map_entries(F.from_json(col, "map<string,variant>"))
+    none = F.array().cast("array<variant>")
+    every = F.flatten(F.transform(lists, lambda e, i: F.transform(
+        F.coalesce(F.try_variant_get(e["value"], "$", "array<variant>"), none),
+        lambda x, j: F.struct(i.cast("bigint").alias("biz_pos"), j.cast("bigint").alias("pos"), e["key"].alias("business_id"),
+                              F.try_variant_get(x, "$", _BUCKET).alias("body")))))
+    return F.filter(F.coalesce(every, F.array().cast(f"array<{_PIECE}>")), lambda p: p["body"].isNotNull())
+
+
+def _bucket_fields(b: Column) -> list[Column]:
+    return [J.text_of(b["type"]).alias("type"), *[J.number_of(b[n]).alias(n) for n in ("call_count", "total_cputime", "total_time")],
+            J.integer_of(b["estimated_time_to_regain_access"]).alias("eta")]
 
 
 def business_buckets(resp: DataFrame, col: str = "business_usage", keys: Sequence[str] = ("run_id", "seq")) -> DataFrame:
     """Per-business usage header -> one row per bucket object, in header
-    order (business position, bucket position); non-list members and
-    non-object buckets are skipped."""
-    m = F.from_json(F.col(col), T.MapType(T.StringType(), T.StringType()))
-    biz = resp.select(*keys, F.posexplode(m).alias("biz_pos", "business_id", "_list"))
-    lst = F.from_json(F.col("_list"), T.ArrayType(T.StringType()))
-    b = biz.select(*keys, "biz_pos", "business_id", F.posexplode(lst).alias("pos", "_b"))
-    v = J.parse(F.col("_b"))
-    b = b.where(J.is_object(v)).withColumn("_v", v)
-    v = F.col("_v")
-    return b.select(*keys, F.col("biz_pos").cast("bigint").alias("biz_pos"), F.col("pos").cast("bigint").alias("pos"),
-                    "business_id",
-                    J.jstr(v, "$.type").alias("type"),
-                    J.jfloat(v, "$.call_count").alias("call_count"),
-                    J.jfloat(v, "$.total_cputime").alias("total_cputime"),
-                    J.jfloat(v, "$.total_time").alias("total_time"),
-                    J.jint(v, "$.estimated_time_to_regain_access").alias("eta"))
+    order (business position, bucket position)."""
+    b = resp.select(*keys, F.inline(bucket_list(F.col(col))))
+    return b.select(*keys, "biz_pos", "pos", "business_id", *_bucket_fields(F.col("body")))
 
 
 def bucket_pressure(df: DataFrame) -> Column:
@@ -88,82 +108,87 @@ def worst_buckets(buckets: DataFrame, run_key: str = "run_id") -> DataFrame:
 
 def business_object_count(col: Column) -> Column:
     """Number of bucket objects in a per-business header (narrow, per row)."""
-    m = F.from_json(col, T.MapType(T.StringType(), T.StringType()))
-    lists = F.transform(F.map_values(m), lambda x: F.from_json(x, T.ArrayType(T.StringType())))
-    return F.coalesce(F.aggregate(lists, F.lit(0), lambda acc, l: acc + F.size(
-        F.filter(F.coalesce(l, F.array().cast("array<string>")), lambda e: F.ltrim(e).startswith("{")))), F.lit(0))
+    return F.size(bucket_list(col))
 
 
 _H_FIELDS = ("app_call_count", "app_total_cputime", "app_total_time", "acc_id_util_pct", "reset_time_duration",
              "ads_api_access_tier")
 
 
-def signals(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
+def signals(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage", keep: Sequence[str] = ()) -> DataFrame:
     """One row per response (header fields) plus one row per bucket, in one
-    schema; fields of the other kind are NULL.  One pass: a response explodes
-    into itself and its buckets.  Works on streams too."""
-    lists = F.map_entries(F.from_json(F.col(business), T.MapType(T.StringType(), T.StringType())))
-    piece = "struct<biz_pos:bigint,pos:bigint,business_id:string,body:string>"
-    buckets = F.flatten(F.transform(lists, lambda e, i: F.transform(
-        F.coalesce(F.from_json(e["value"], T.ArrayType(T.StringType())), F.array().cast("array<string>")),
-        lambda x, j: F.struct(i.cast("bigint").alias("biz_pos"), j.cast("bigint").alias("pos"),
-                              e["key"].alias("business_id"), x.alias("body")))))
-    itself = F.array(F.lit(None).cast(piece))
-    h = parse_headers(resp).withColumn("_n_objects", business_object_count(F.col(business)))
-    e = h.select(run_key, "seq", *_H_FIELDS,
-                 (F.col("has_app") | F.col("has_account") | (F.col("_n_objects") > 0)).alias("saw_header"),
-                 F.explode(F.concat(itself, F.coalesce(buckets, F.array().cast(f"array<{piece}>")))).alias("_p"))
+    schema; fields of the other kind are NULL.  One pass, and one parse of
+    each header: a response explodes into itself and its buckets.  Works on
+    streams too; ``keep`` columns go along."""
+    own = [run_key, *keep, "seq"]
+    h = parsed(resp).select(*own, *_PARSED, bucket_list(F.col(business)).alias("_buckets"))
+    h = h.select(*own, "_buckets", *_flat_fields(*map(F.col, _PARSED)))
+    saw = (F.col("has_app") | F.col("has_account") | (F.size("_buckets") > 0)).alias("saw_header")
+    e = h.select(*own, *_H_FIELDS, saw, F.explode(F.concat(F.array(F.lit(None).cast(_PIECE)), F.col("_buckets"))).alias("_p"))
     is_response = F.col("_p").isNull()
-    e = e.withColumn("_v", J.parse(F.col("_p.body"))).where(is_response | J.is_object(F.col("_v")))
-    v = F.col("_v")
     return e.select(
-        run_key, "seq", *[F.when(is_response, F.col(c)).alias(c) for c in (*_H_FIELDS, "saw_header")],
+        *own, *[F.when(is_response, F.col(c)).alias(c) for c in (*_H_FIELDS, "saw_header")],
         is_response.cast("int").alias("is_response"),
-        F.col("_p.business_id").alias("business_id"), J.jstr(v, "$.type").alias("type"),
-        J.jfloat(v, "$.call_count").alias("call_count"), J.jfloat(v, "$.total_cputime").alias("total_cputime"),
-        J.jfloat(v, "$.total_time").alias("total_time"), J.jint(v, "$.estimated_time_to_regain_access").alias("eta"),
+        F.col("_p.business_id").alias("business_id"), *_bucket_fields(F.col("_p.body")),
         F.col("_p.biz_pos").alias("biz_pos"), F.col("_p.pos").alias("pos"))
 
 
-def rollup_signals(sig: DataFrame, run_key: str = "run_id") -> DataFrame:
-    """The per-run telemetry row from ``signals`` in one aggregate.  Every
-    buffer is order-free (max/min/max_by/bool_or/count), so the same
-    expression serves batch and streaming (update/complete mode)."""
+_MAXIMA = {"app_call_count": "max_app_call_count_pct", "app_total_cputime": "max_app_cputime_pct", "app_total_time": "max_app_total_time_pct",
+           "acc_id_util_pct": "max_acc_util_pct", "call_count": "max_buc_call_count_pct", "total_cputime": "max_buc_cputime_pct",
+           "total_time": "max_buc_total_time_pct", "eta": "max_buc_eta_minutes"}
+
+
+def partial_rollup(sig: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mergeable telemetry of ``signals`` by ``keys``: maxima, minimum, flags
+    and counts, and as (order, value) pairs the last tier and worst bucket."""
     thr = F.lit(PRESSURE_ERROR)
     tier = F.col("ads_api_access_tier")
     eta = F.coalesce(F.col("eta"), F.lit(0).cast("bigint"))
     is_bucket = F.col("is_response") == 0
-    rank = F.when(is_bucket, F.struct(
+    worst = F.when(is_bucket, F.struct(
         (eta > 0).cast("int").alias("a"), eta.alias("e"),
         F.greatest(*[F.coalesce(F.col(c), F.lit(0.0)) for c in ("call_count", "total_cputime", "total_time")]).alias("p"),
-        (-F.col("seq")).alias("s"), (-F.col("biz_pos")).alias("b"), (-F.col("pos")).alias("i")))
+        (-F.col("seq")).alias("s"), (-F.col("biz_pos")).alias("b"), (-F.col("pos")).alias("i"), "type", "business_id"))
     throttled = ((F.col("app_call_count") >= thr) | (F.col("app_total_cputime") >= thr) |
                  (F.col("app_total_time") >= thr) | (F.col("acc_id_util_pct") >= thr) |
                  (F.col("call_count") >= thr) | (F.col("total_cputime") >= thr) | (F.col("total_time") >= thr) |
                  (is_bucket & (eta > 0)))
-    agg = sig.groupBy(run_key).agg(
-        F.max("app_call_count").alias("max_app_call_count_pct"),
-        F.max("app_total_cputime").alias("max_app_cputime_pct"),
-        F.max("app_total_time").alias("max_app_total_time_pct"),
-        F.max("acc_id_util_pct").alias("max_acc_util_pct"),
+    return sig.groupBy(*keys).agg(
+        *[F.max(c).alias(name) for c, name in _MAXIMA.items()],
         F.min("reset_time_duration").alias("min_acc_reset_seconds"),
-        F.max_by(tier, F.when(tier.isNotNull(), F.col("seq"))).alias("ads_api_access_tier"),
-        F.max("call_count").alias("max_buc_call_count_pct"),
-        F.max("total_cputime").alias("max_buc_cputime_pct"),
-        F.max("total_time").alias("max_buc_total_time_pct"),
-        F.max("eta").alias("max_buc_eta_minutes"),
-        F.max_by(F.struct("type", "business_id"), rank).alias("_w"),
+        F.max(F.when(tier.isNotNull(), F.struct("seq", tier.alias("tier")))).alias("_tier"),
+        F.max(worst).alias("_worst"),
         F.coalesce(F.bool_or(throttled), F.lit(False)).alias("throttled_during_run"),
         F.sum("is_response").cast("bigint").alias("responses_seen"),
         F.count_if(F.coalesce(F.col("saw_header"), F.lit(False))).alias("responses_with_rate_limit_headers"))
-    return agg.select(
-        run_key, "max_app_call_count_pct", "max_app_cputime_pct", "max_app_total_time_pct", "max_acc_util_pct",
-        "min_acc_reset_seconds", "ads_api_access_tier", "max_buc_call_count_pct", "max_buc_cputime_pct",
+
+
+def merged_rollup(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partials of ``partial_rollup`` merged by ``keys`` (partials again)."""
+    most = [*_MAXIMA.values(), "_tier", "_worst"]
+    return partials.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in most], F.min("min_acc_reset_seconds").alias("min_acc_reset_seconds"),
+        F.bool_or("throttled_during_run").alias("throttled_during_run"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("responses_seen", "responses_with_rate_limit_headers")])
+
+
+def finished_rollup(partials: DataFrame, run_key: str = "run_id", identity: Sequence[str] = ()) -> DataFrame:
+    """The telemetry rows of partials, one for each run already."""
+    return partials.select(
+        run_key, *identity, "max_app_call_count_pct", "max_app_cputime_pct", "max_app_total_time_pct", "max_acc_util_pct",
+        "min_acc_reset_seconds", F.col("_tier.tier").alias("ads_api_access_tier"), "max_buc_call_count_pct", "max_buc_cputime_pct",
         "max_buc_total_time_pct", "max_buc_eta_minutes",
-        F.col("_w.type").alias("worst_buc_type"), F.col("_w.business_id").alias("worst_buc_business_id"),
+        F.col("_worst.type").alias("worst_buc_type"), F.col("_worst.business_id").alias("worst_buc_business_id"),
         "throttled_during_run", "responses_seen", "responses_with_rate_limit_headers")
 
 
+def rollup_signals(sig: DataFrame, run_key: str = "run_id") -> DataFrame:
+    """The per-run telemetry row from ``signals`` in one aggregate.  Every
+    buffer is order-free, so responses of a run may come in any order and
+    from any number of tasks."""
+    return finished_rollup(partial_rollup(sig, [run_key]), run_key)
+
+
 def rollup(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
     """One telemetry row per run: maxima (NULLs ignored), min reset, last
     non-empty tier, worst bucket (first seen on ties), throttled flag and

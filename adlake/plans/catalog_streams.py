@@ -19,16 +19,6 @@ from adlake.specs import INSIGHTS_STEADY_STATE_DAYS
 from adlake.streaming import streams as ST
 
 
-def _land_and_run(spark, df, parts, run):
-    root = scratch_dir(spark, "stream")
-    landing, ckpt = f"{root}/landing", f"{root}/_checkpoint"
-    state = ST.VersionedTable(spark, f"{root}/state")
-    for cond in parts:
-        df.where(cond).write.mode("append").parquet(landing)
-        run(landing, df.schema, state, ckpt)
-    return state.latest()
-
-
 @query("stream_pointer_sync", sql=ORACLE["pointer_upsert"])
 def q_stream_pointer_sync(spark, d):
     m = P.manifest(spark, d)
@@ -76,7 +66,7 @@ def q_late_restatement(spark, d):
         load.write.mode("append").parquet(landing)
         ST.restatement(spark, landing, load.schema, state, ckpt, keys, order, "date_start",
                        INSIGHTS_STEADY_STATE_DAYS, ["tenant_skey", "load_no"])
-    out = ST.read_restated(spark, state)
+    out = ST.read_restated(spark, state, keys, "date_start")
     return out.select(*keys, "load_no", F.round("spend", 2).alias("spend"), "extracted_at", F.col("_tie").alias("_dlt_id"))
 
 
@@ -84,5 +74,9 @@ def q_late_restatement(spark, d):
 def q_stream_ratelimit(spark, d):
     r = P.responses(spark, d)
     parts = [F.col("seq") % 3 == 0, F.col("seq") % 3 == 1, F.col("seq") % 3 == 2]
-    return _land_and_run(spark, r, parts,
-                         lambda landing, schema, state, ckpt: ST.ratelimit_stream(spark, landing, schema, state, ckpt))
+    root = scratch_dir(spark, "telemetry")
+    landing, ckpt, state = f"{root}/landing", f"{root}/_checkpoint", f"{root}/state"
+    for cond in parts:
+        r.where(cond).write.mode("append").parquet(landing)
+        ST.ratelimit_stream(spark, landing, r.schema, state, ckpt)
+    return ST.read_telemetry(spark, state)

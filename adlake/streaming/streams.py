@@ -1,68 +1,27 @@
 """Structured Streaming versions of the pointer sync, the late-attribution
 restatement and the rate-limit telemetry.
 
-Upserted state is partitioned so a micro-batch rewrites only what it
-touches: pointer state by client, restated insights by day; each batch
-stages its merged partitions in the shared checkpoint folder and replaces
-them with a dynamic partition overwrite, so a replayed batch converges to
-the same state.  The telemetry aggregate (complete mode) is committed as a
-versioned table: version ``batch_id`` is written to a hidden temp directory
-and renamed into place.  Checkpoints
-go to the shared checkpoint folder; sources are file streams with a fixed
-schema (no inference per batch).
+All three keep their state in a ``SnapshotTable``: a micro-batch rewrites the
+files that may hold its keys (pointers by client, restated insights by day,
+telemetry by a bucket of the run), readers see one whole version, and old
+versions are cleaned up.  A replayed batch merges the same rows again, so it
+converges to the same state.  Checkpoints go to the shared checkpoint folder;
+sources are file streams with a fixed schema (no inference per batch).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.operators.assets import pointer_state
-from adlake.operators.frames import load_window, upsert
-from adlake.operators.telemetry import rollup_signals, signals
-
-
-#: State partition of rows without a client.
-NO_CLIENT = "__no_client__"
-
-
-class VersionedTable:
-    """Parquet table with one directory per committed version ``v=<n>``."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[int]:
-        p = self._Path(self.root)
-        if not self._fs.exists(p):
-            return []
-        out = []
-        for st in self._fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def latest(self) -> DataFrame | None:
-        v = self.versions()
-        return self.spark.read.parquet(f"{self.root}/v={v[-1]:012d}") if v else None
-
-    def commit(self, df: DataFrame, version: int) -> None:
-        tmp = f"{self.root}/_tmp-{version}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("overwrite").parquet(tmp)
-        final = self._Path(f"{self.root}/v={version:012d}")
-        if self._fs.exists(final):  # replayed batch: replace the same version
-            self._fs.delete(final, True)
-        if not self._fs.rename(self._Path(tmp), final):
-            raise RuntimeError(f"could not commit version {version} of {self.root}")
-
+from adlake.operators.frames import load_window, null_safe_join, upsert
+from adlake.operators.telemetry import finished_rollup, merged_rollup, partial_rollup, signals
+from adlake.sources.snapshots import SnapshotTable
 
 def _run_available_now(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
                        output_mode: str = "append") -> None:
@@ -73,50 +32,48 @@ def _run_available_now(stream: DataFrame, batch_fn: Callable[[DataFrame, int], N
         raise q.exception()
 
 
-def pointer_sync(spark: SparkSession, manifest_dir: str, schema: T.StructType, state_root: str,
-                 checkpoint: str, keys: Sequence[str] = ("client_uid", "creative_id", "asset_kind"),
-                 client_col: str = "client_uid") -> None:
-    """New manifest files -> pointer state upsert (newest row per asset, last
-    non-empty digest carried).
-
-    The state is partitioned by client (``_client``, a name of its own for a
-    NULL client); a micro-batch reads and replaces only the clients it carries
-    (a semi join, nothing is collected), via a staging table in the shared
-    checkpoint folder and a dynamic overwrite.  A replayed batch recomputes
-    the same pointers."""
-    src = spark.readStream.schema(schema).parquet(manifest_dir)
-    client = F.coalesce(F.col(client_col), F.lit(NO_CLIENT))
-
+def _merge_batches(stream: DataFrame, table: SnapshotTable, checkpoint: str, delta_of: Callable[[DataFrame], DataFrame],
+                   combine: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+    """Merge what each micro-batch says into ``table``; empty ones change nothing."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
+        delta = delta_of(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if df.isEmpty():
-                return
-            rows = df
-            if _exists(spark, state_root):
-                prev = spark.read.parquet(state_root)
-                prev = prev.join(df.select(client.alias("_client")).distinct(), "_client", "left_semi").drop("_client")
-                rows = prev.unionByName(df.select(*prev.columns))
-            _replace(spark, pointer_state(rows, keys).withColumn("_client", client), state_root, "_client", checkpoint, batch_id)
+            if not delta.isEmpty():
+                table.merge(delta, combine)
         finally:
-            df.unpersist()
+            delta.unpersist()
 
-    _run_available_now(src, batch, checkpoint)
+    _run_available_now(stream, batch, checkpoint)
 
 
-def _replace(spark: SparkSession, rows: DataFrame, state_root: str, partition: str, checkpoint: str,
-             batch_id: int) -> None:
-    """Replace the state partitions that ``rows`` has: staged in the shared
-    folder first (the state is never read and overwritten by one job), then
-    written with one file set for each partition."""
-    staging = f"{checkpoint.rstrip('/')}/_staging/batch={batch_id}"
-    rows.write.mode("overwrite").parquet(staging)
-    (spark.read.parquet(staging).hint("rebalance", partition).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(state_root))
+POINTER_KEYS = ("client_uid", "creative_id", "asset_kind")
+
+
+def pointer_table(spark: SparkSession, state_root: str, keys: Sequence[str] = POINTER_KEYS, client_col: str = "client_uid", pieces: int = 4) -> SnapshotTable:
+    """Pointers by client, each client in ``pieces`` by hash of its keys."""
+    return SnapshotTable(spark, state_root, keys, [client_col, F.pmod(F.xxhash64(*keys), F.lit(pieces))])
+
+
+def pointer_sync(spark: SparkSession, manifest_dir: str, schema: T.StructType, state_root: str,
+                 checkpoint: str, keys: Sequence[str] = POINTER_KEYS, client_col: str = "client_uid") -> None:
+    """New manifest files -> pointer state upsert (newest row per asset, last
+    non-empty digest carried).  A batch that touches one creative rewrites the
+    files that may hold it, not its client's others."""
+    src = spark.readStream.schema(schema).parquet(manifest_dir)
+
+    def combine(base: DataFrame | None, delta: DataFrame) -> DataFrame:
+        return pointer_state(delta if base is None else base.unionByName(delta.select(*base.columns)), keys)
+
+    _merge_batches(src, pointer_table(spark, state_root, keys, client_col), checkpoint, lambda df: df, combine)
 
 
 def read_pointers(spark: SparkSession, state_root: str) -> DataFrame:
-    return spark.read.parquet(state_root).drop("_client")
+    return pointer_table(spark, state_root).read()
+
+
+def restated_table(spark: SparkSession, state_root: str, keys: Sequence[str], date_col: str) -> SnapshotTable:
+    """Restated rows by day; within a day files are sorted by key."""
+    return SnapshotTable(spark, state_root, keys, [F.date_format(F.col(date_col), "yyyy-MM-dd")])
 
 
 def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, state_root: str,
@@ -125,51 +82,49 @@ def restatement(spark: SparkSession, landing_dir: str, schema: T.StructType, sta
     """Each load restates its last ``days`` days, counted from the newest day
     of that (tenant, load), so a lagging tenant restates its own window: rows
     there are merged on ``keys`` (latest by ``order`` wins); older rows of the
-    load are ignored.  Not a watermark: old keys are updated in place.
-
-    The state is a parquet table partitioned by day (``_day``).  A batch
-    reads only the days it restates (partition pruning), merges into a
-    staging table in the shared checkpoint folder and replaces just those day
-    partitions from it (dynamic overwrite): work per batch is O(window), not
-    O(state).  A
-    replayed batch re-merges the same rows, so the result is unchanged."""
+    load are ignored.  Not a watermark: old keys are updated in place.  A
+    batch rewrites the files of its days that may hold its keys."""
     src = spark.readStream.schema(schema).parquet(landing_dir)
-    day = F.date_format(F.col(date_col), "yyyy-MM-dd")
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            delta = load_window(df, date_col, days, load_cols).withColumn("_day", day)
-            touched = [r[0] for r in delta.select("_day").distinct().collect()]  # days of the loads' windows
-            if not touched:
-                return
-            base = delta.limit(0)
-            if _exists(spark, state_root):
-                base = spark.read.schema(delta.schema).parquet(state_root).where(F.col("_day").isin(touched))
-            _replace(spark, upsert(base, delta, keys, order), state_root, "_day", checkpoint, batch_id)
-        finally:
-            df.unpersist()
+    def combine(base: DataFrame | None, delta: DataFrame) -> DataFrame:
+        return upsert(delta.limit(0) if base is None else base, delta, keys, order)
 
-    _run_available_now(src, batch, checkpoint)
+    _merge_batches(src, restated_table(spark, state_root, keys, date_col), checkpoint, lambda df: load_window(df, date_col, days, load_cols), combine)
 
 
-def read_restated(spark: SparkSession, state_root: str) -> DataFrame:
-    return spark.read.parquet(state_root).drop("_day")
+def read_restated(spark: SparkSession, state_root: str, keys: Sequence[str], date_col: str) -> DataFrame:
+    return restated_table(spark, state_root, keys, date_col).read()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from adlake.session import exists
-    return exists(spark, path)
+#: The landed file that a partial comes from: with the run, a partial's key.
+SOURCE = "_source"
 
 
-def ratelimit_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, state: VersionedTable,
-                     checkpoint: str, run_key: str = "run_id") -> None:
-    """Streaming per-run telemetry: the order-free rollup as a stateful
-    aggregation (complete mode); each trigger commits the full result."""
-    src = spark.readStream.schema(schema).parquet(landing_dir)
-    agg = rollup_signals(signals(src, run_key), run_key)
+def telemetry_table(spark: SparkSession, state_root: str, run_key: str = "run_id", buckets: int = 16) -> SnapshotTable:
+    return SnapshotTable(spark, state_root, [run_key, SOURCE], [F.pmod(F.xxhash64(run_key), F.lit(buckets))])
+
+
+def ratelimit_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, state_root: str,
+                     checkpoint: str, run_key: str = "run_id", identity: Sequence[str] = ()) -> None:
+    """Streaming per-run telemetry.  The state holds mergeable partials by
+    (run, landed file): a trigger aggregates its own responses and merges them
+    into the files that may hold its runs, whatever number of runs there is.
+    Partials of a file replace those of the same file, so a replay, also
+    under a new checkpoint, counts no response twice."""
+    src = spark.readStream.schema(schema).parquet(landing_dir).withColumn(SOURCE, F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1))
+
+    def combine(base: DataFrame | None, delta: DataFrame) -> DataFrame:
+        if base is None:
+            return delta
+        same = delta.select(F.col(run_key).alias(f"_k_{run_key}"), F.col(SOURCE).alias(f"_k_{SOURCE}"))
+        return null_safe_join(base, same, [run_key, SOURCE], "left_anti").unionByName(delta)
+
+    def delta_of(df: DataFrame) -> DataFrame:
+        return partial_rollup(signals(df, run_key, keep=[SOURCE, *identity]), [run_key, SOURCE, *identity])
+
+    _merge_batches(src, telemetry_table(spark, state_root, run_key), checkpoint, delta_of, combine)
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        state.commit(df, batch_id)
 
-    _run_available_now(agg, batch, checkpoint, output_mode="complete")
+def read_telemetry(spark: SparkSession, state_root: str, run_key: str = "run_id", identity: Sequence[str] = ()) -> DataFrame:
+    """One row for each run, from its partials."""
+    return finished_rollup(merged_rollup(telemetry_table(spark, state_root, run_key).read(), [run_key, *identity]), run_key, identity)

@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 
 from adlake.operators.frames import MissingTableError
 from adlake.sources import lake as L
-from adlake.streaming.streams import VersionedTable
 
 
 def test_partition_values_stay_text(spark, tmp_path):
@@ -123,14 +122,6 @@ def test_path_keys(spark):
     assert m == {"client": "007", "entity": "ads", "date": "2024-01-01"}
 
 
-def test_versioned_table_replay_is_idempotent(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "state"))
-    t.commit(spark.range(3), 0)
-    t.commit(spark.range(5), 0)
-    t.commit(spark.range(2), 1)
-    assert t.versions() == [0, 1] and t.latest().count() == 2
-
-
 def test_sizing_conf():
     from adlake.session import sizing_conf
     c = sizing_conf(100 * (1 << 40), executor_cores=8000)

@@ -25,9 +25,9 @@ def test_restatement_replay_is_idempotent(spark, sf_small, tmp_path):
     ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck1"), KEYS, _order(), "date_start", 60, ["tenant_skey"])
     t.where(F.col("date_start") >= "2024-01-15").write.mode("append").parquet(landing)
     ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck1"), KEYS, _order(), "date_start", 60, ["tenant_skey"])
-    first = _rows(ST.read_restated(spark, state))
+    first = _rows(ST.read_restated(spark, state, KEYS, "date_start"))
     ST.restatement(spark, landing, t.schema, state, str(tmp_path / "ck2"), KEYS, _order(), "date_start", 60, ["tenant_skey"])
-    assert _rows(ST.read_restated(spark, state)) == first
+    assert _rows(ST.read_restated(spark, state, KEYS, "date_start")) == first
     assert len(first) == t.select(*KEYS).distinct().count()
 
 
@@ -61,3 +61,28 @@ def test_windows_count_from_each_tenants_own_days(spark):
     state = spark.createDataFrame([("t1", "2024-01-28"), ("t2", "2024-01-15")], "t string, d string").withColumn("d", F.col("d").cast("date"))
     took = [(r.t, str(r.d)) for r in lag_window(df, state, "d", 3, ["t"]).collect()]
     assert min(d for t, d in took if t == "t1") == "2024-01-25" and min(d for t, d in took if t == "t2") == "2024-01-12" and (None, "2024-01-02") in took
+
+
+def _responses(spark, rows):
+    return spark.createDataFrame([(r, i, '{"call_count": %d}' % c, None, '{"b": [{"type": "t", "call_count": %d}]}' % c) for i, (r, c) in enumerate(rows)],
+                                 "run_id string, seq long, app_usage string, account_usage string, business_usage string")
+
+
+def test_telemetry_state_follows_the_runs_of_a_trigger(spark, tmp_path):
+    from adlake.operators.telemetry import rollup
+
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    many = _responses(spark, [(f"r{i % 40}", i % 90) for i in range(400)])
+    many.coalesce(2).write.parquet(landing)
+    ST.ratelimit_stream(spark, landing, many.schema, state, str(tmp_path / "ck"))
+    table = ST.telemetry_table(spark, state)
+    before = {r.file for r in table.files().collect()}
+    more = _responses(spark, [("r7", 100), ("new", 3)]).withColumn("seq", F.col("seq") + 1000)
+    more.coalesce(1).write.mode("append").parquet(landing)
+    ST.ratelimit_stream(spark, landing, many.schema, state, str(tmp_path / "ck"))  # a restart on the same checkpoint
+    after = {r.file for r in table.files().collect()}
+    assert len(before) >= 10 and len(before - after) <= 2 and len(after - before) <= 2
+    want = sorted(map(tuple, rollup(many.unionByName(more)).collect()), key=str)
+    assert sorted(map(tuple, ST.read_telemetry(spark, state).collect()), key=str) == want
+    ST.ratelimit_stream(spark, landing, many.schema, state, str(tmp_path / "other"))  # all files once more
+    assert sorted(map(tuple, ST.read_telemetry(spark, state).collect()), key=str) == want
