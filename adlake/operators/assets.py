@@ -66,11 +66,13 @@ def specs_by_kind(specs: DataFrame) -> DataFrame:
 
 def resolve_videos(specs: DataFrame, sources: DataFrame) -> DataFrame:
     """Fill video source URLs from a (video_id, source) table, one lookup per
-    distinct id; videos without a source are dropped, other kinds pass."""
-    per_id = sources.where(_nonempty(F.col("source"))).groupBy("video_id").agg(F.min("source").alias("_src"))
-    videos = specs.where(F.col("asset_kind") == ASSET_KINDS[2])
-    resolved = videos.join(per_id, "video_id", "inner").withColumn("source_url", F.col("_src")).drop("_src")
-    return specs.where(F.col("asset_kind") != ASSET_KINDS[2]).unionByName(resolved.select(*specs.columns))
+    distinct id; videos without a source are dropped, other kinds pass.  One
+    left join whose condition only videos can meet."""
+    per_id = sources.where(_nonempty(F.col("source"))).groupBy(F.col("video_id").alias("_id")).agg(F.min("source").alias("_src"))
+    is_video = F.coalesce(F.col("asset_kind") == ASSET_KINDS[2], F.lit(False))
+    wanted = specs.withColumn("_wanted", F.when(is_video, F.col("video_id")))
+    j = wanted.join(per_id, F.col("_wanted") == F.col("_id"), "left").where(~is_video | F.col("_src").isNotNull())
+    return j.withColumn("source_url", F.when(is_video, F.col("_src")).otherwise(F.col("source_url"))).select(*specs.columns)
 
 
 def clean_content_type(ct: Column) -> Column:
@@ -106,11 +108,11 @@ def _stem(key: Column) -> Column:
     return F.regexp_replace(key, r"\.[^./]*$", "")
 
 
-def skip_existing(specs: DataFrame, listing: DataFrame, mode: str = "exact") -> tuple[DataFrame, DataFrame]:
-    """Split keyed specs into (to_fetch, skipped).  An object counts as
-    existing only with size > 0.  ``exact`` looks up the tentative key;
-    ``stem`` ignores the extension.  Skipped rows carry the listing's size,
-    type and time, an empty digest and ``skipped_existing``."""
+def with_existing(specs: DataFrame, listing: DataFrame, mode: str = "exact") -> DataFrame:
+    """Keyed specs and ``_l``, the stored object (size, content_type, updated,
+    object_key) of each, NULL if there is none.  An object counts as existing
+    only with size > 0.  ``exact`` looks up the tentative key; ``stem``
+    ignores the extension."""
     lst = listing.where(F.col("size") > 0)
     if mode == "stem":
         lst = lst.withColumn("_k", _stem(F.col("object_key")))
@@ -122,15 +124,48 @@ def skip_existing(specs: DataFrame, listing: DataFrame, mode: str = "exact") ->
         raise ValueError(mode)
     lst = lst.groupBy("_k").agg(F.max_by(F.struct("size", "content_type", "updated", "object_key"),
                                          F.col("updated")).alias("_l"))
-    j = specs.withColumn("_k", key).join(lst, "_k", "left")
+    return specs.withColumn("_k", key).join(lst, "_k", "left").drop("_k")
+
+
+def _skipped() -> list[Column]:
+    return [F.col("_l.size").cast("bigint").alias("byte_size"),
+            F.coalesce(F.col("_l.content_type"), F.lit("")).alias("manifest_content_type"),
+            F.lit("").alias("sha256"), F.col("_l.updated").alias("downloaded_at"),
+            F.lit(True).alias("skipped_existing")]
+
+
+def skip_existing(specs: DataFrame, listing: DataFrame, mode: str = "exact") -> tuple[DataFrame, DataFrame]:
+    """Split keyed specs into (to_fetch, skipped).  Skipped rows carry the
+    listing's size, type and time, an empty digest and ``skipped_existing``."""
+    j = with_existing(specs, listing, mode)
     hit = F.col("_l").isNotNull()
-    skipped = j.where(hit).select(
-        *[c for c in specs.columns if c not in ("object_key",)],
-        F.col("_l.object_key").alias("object_key"), F.col("_l.size").cast("bigint").alias("byte_size"),
-        F.coalesce(F.col("_l.content_type"), F.lit("")).alias("manifest_content_type"),
-        F.lit("").alias("sha256"), F.col("_l.updated").alias("downloaded_at"),
-        F.lit(True).alias("skipped_existing"))
-    return j.where(~hit).drop("_k", "_l"), skipped
+    skipped = j.where(hit).select(*[c for c in specs.columns if c != "object_key"], F.col("_l.object_key").alias("object_key"), *_skipped())
+    return j.where(~hit).drop("_l"), skipped
+
+
+def fetch_or_skip(specs: DataFrame, listing: DataFrame, fetched: DataFrame, on: Sequence[str], downloaded_at: Column,
+                  mode: str = "exact", content_col: str = "content", key: Column | None = None) -> DataFrame:
+    """Manifest rows of keyed specs in one pass: stored objects are skipped,
+    the others take their content from ``fetched`` (by ``on``; none there:
+    no row).  Two left joins, the second of which only misses can meet;
+    nothing is planned twice.  ``key``: the object key of a fetched row."""
+    j = with_existing(specs, listing, mode)
+    hit = F.col("_l").isNotNull()
+    got = fetched.select(*[F.col(c).alias(f"_f_{c}") for c in fetched.columns])
+    own = [F.when(~hit, F.col(c)).alias(f"_o_{c}") for c in on]
+    cond = None
+    for c in on:
+        same = F.col(f"_o_{c}") == F.col(f"_f_{c}")
+        cond = same if cond is None else cond & same
+    j = j.select("*", *own).join(got, cond, "left").where(F.col("_l").isNotNull() | F.col(f"_f_{on[0]}").isNotNull())
+    taken = [c for c in fetched.columns if c not in (*on, content_col)]
+    j = j.select(*[c for c in specs.columns if c not in taken], "_l", *[F.col(f"_f_{c}").alias(c) for c in taken], F.col(f"_f_{content_col}").alias("_content"))
+    size, sha = digest(F.col("_content"))
+    new = [size, F.coalesce(clean_content_type(F.col("content_type")), F.lit("")), sha, downloaded_at, F.lit(False)]
+    names = ["byte_size", "manifest_content_type", "sha256", "downloaded_at", "skipped_existing"]
+    keys = F.when(hit, F.col("_l.object_key")).otherwise(F.col("object_key") if key is None else key).alias("object_key")
+    return j.select(*[c for c in j.columns if c not in ("_l", "_content", "object_key")], keys,
+                    *[F.when(hit, s).otherwise(n).alias(x) for x, s, n in zip(names, _skipped(), new, strict=True)])
 
 
 def digest(content: Column) -> tuple[Column, Column]:
@@ -159,12 +194,21 @@ def to_manifest(rows: DataFrame, uri_prefix: str = "lake://") -> DataFrame:
                        F.col("downloaded_at").cast("timestamp").alias("downloaded_at"), "skipped_existing")
 
 
+def _objects(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+
+
 def scan_assets(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Objects already in storage: path, size, digest (binaryFile source)."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     size, sha = digest(F.col("content"))
-    return df.select(F.col("path"), size.alias("byte_size"), sha.alias("sha256"),
-                     F.col("modificationTime").alias("updated"))
+    return _objects(spark, path, glob).select(F.col("path"), size.alias("byte_size"), sha.alias("sha256"),
+                                              F.col("modificationTime").alias("updated"))
+
+
+def list_assets(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Objects already in storage: path, size, time.  Only what the listing
+    says; the content column is pruned, so no object is opened."""
+    return _objects(spark, path, glob).select("path", F.col("length").alias("byte_size"), F.col("modificationTime").alias("updated"))
 
 
 def write_manifest(results: DataFrame, root: str, run_ts) -> bool:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.operators.frames import null_safe_join
+from adlake.session import checkpoint_root
 
 
 def child_parent_join(children: DataFrame, parents: DataFrame, how: str = "inner") -> DataFrame:
@@ -138,24 +139,41 @@ def scd2(versions: DataFrame, keys: Sequence[str], attrs: Sequence[str], ts_col:
     id), valid from the change time until the next change (NULL = current).
 
     One version per time (the largest ``tie_col``), by partial aggregation.
-    Equal neighbours collapse within (keys, day) first, so a hot key is split
-    by day; what is left is stitched over the key."""
+    Versions are dealt into ranges of (keys, time), so a hot key spreads over
+    many tasks; changes are found inside each range.  One edge row for each
+    (key, range) then says what a range starts and ends with: a window over
+    these few rows tells which range's first version is no change, and when
+    the next change after a range comes."""
+    spark = versions.sparkSession
+    checkpoint_root(spark)
     own = F.struct(*[F.col(a) for a in attrs])
     v = versions.groupBy(*keys, ts_col).agg(F.max_by(own, F.col(tie_col)).alias("_a"))
-    v = v.select(*keys, ts_col, F.col("_a"), F.md5(F.to_json("_a")).alias("_h"), F.to_date(ts_col).alias("_day"))
-
-    def changes(df: DataFrame, w) -> DataFrame:
-        prev = df.withColumn("_first", F.row_number().over(w) == 1).withColumn("_prev", F.lag("_h").over(w))
-        return prev.where(F.col("_first") | ~F.col("_prev").eqNullSafe(F.col("_h"))).drop("_first", "_prev")
-
-    over = Window.partitionBy(*keys).orderBy(ts_col)
-    ch = changes(changes(v, Window.partitionBy(*keys, "_day").orderBy(ts_col)), over)
+    v = v.select(*keys, ts_col, F.col("_a"), F.md5(F.to_json("_a")).alias("_h"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The checkpoint fixes the ranges, which are drawn from a sample.
+    v = v.repartitionByRange(n, *keys, ts_col).withColumn("_part", F.spark_partition_id()).checkpoint()
+
+    inside = Window.partitionBy(*keys, "_part").orderBy(ts_col)
+    ch = v.withColumn("_start", F.row_number().over(inside) == 1).withColumn("_prev", F.lag("_h").over(inside))
+    ch = ch.where(F.col("_start") | ~F.col("_prev").eqNullSafe(F.col("_h"))).drop("_prev")
+    ch = ch.withColumn("_next", F.lead(ts_col).over(inside))
+
+    edges = _by_keys(ch, [*keys, "_part"],
+                     F.min(ts_col).alias("_first"), F.min_by("_h", ts_col).alias("_first_h"), F.max_by("_h", ts_col).alias("_last_h"),
+                     F.min(F.when(~F.col("_start"), F.col(ts_col))).alias("_second"))
+    along = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_k__part")
+    edges = edges.withColumn("_changed", (F.row_number().over(along) == 1) | ~F.lag("_last_h").over(along).eqNullSafe(F.col("_first_h")))
+    change = F.when(F.col("_changed"), F.col("_first")).otherwise(F.col("_second"))
+    edges = edges.withColumn("_change", change).withColumn("_later", F.min("_change").over(along.rowsBetween(1, Window.unboundedFollowing)))
+    edges = edges.select(*[f"_k_{k}" for k in (*keys, "_part")], "_changed", "_later")
+
+    ch = null_safe_join(ch, edges, [*keys, "_part"], "inner").where(~F.col("_start") | F.col("_changed"))
+    until = F.coalesce("_next", "_later")
     return ch.select(
         F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.unix_micros(F.col(ts_col)).cast("string")), 256)
          .alias("dim_skey"),
         *keys, *[F.col(f"_a.{a}").alias(a) for a in attrs], F.col(ts_col).alias("valid_from"),
-        F.lead(ts_col).over(over).alias("valid_to"),
-        F.lead(ts_col).over(over).isNull().alias("is_current"))
+        until.alias("valid_to"), until.isNull().alias("is_current"))
 
 
 def creative_variants(creatives: DataFrame, spec_col: str, kinds: Sequence[str], id_col: str = "creative_id") -> DataFrame:

@@ -168,3 +168,14 @@ def rolling_window(df: DataFrame, date_col: str, today: Column | dt.date, days:
     if partition_col is not None:
         df = df.where(F.col(partition_col).between(F.date_sub(t, days - 1).cast("string"), t.cast("string")))
     return df.where(F.col(date_col).between(F.date_sub(t, days - 1), t))
+
+
+def tenant_windows(lake: DataFrame, windows: DataFrame, client_col: str = "client", day_col: str = "date", max_windows: int = 100_000) -> DataFrame:
+    """Rows of ``lake`` (partitioned by tenant and day) in their own tenant's
+    window; ``windows``: (client, since, until).  The windows' days are joined
+    on the partition columns, so at run time only the folders of each
+    tenant's own days are read."""
+    days = windows.where(F.col("since") <= F.col("until")).select(F.col("client").alias("_c"), "since", "until", F.explode(F.sequence("since", "until")).alias("_d"))
+    days = days.where(F.col("_d").between(F.col("since"), F.col("until"))).select("_c", F.col("_d").cast("string").alias("_d")).distinct()
+    days = sized_broadcast(days, 1_000 * max_windows)
+    return lake.join(days, (F.col(client_col) == F.col("_c")) & (F.col(day_col) == F.col("_d"))).drop("_c", "_d")

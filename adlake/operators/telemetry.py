@@ -182,15 +182,16 @@ def finished_rollup(partials: DataFrame, run_key: str = "run_id", identity: Sequ
         "throttled_during_run", "responses_seen", "responses_with_rate_limit_headers")
 
 
-def rollup_signals(sig: DataFrame, run_key: str = "run_id") -> DataFrame:
+def rollup_signals(sig: DataFrame, run_key: str = "run_id", identity: Sequence[str] = ()) -> DataFrame:
     """The per-run telemetry row from ``signals`` in one aggregate.  Every
     buffer is order-free, so responses of a run may come in any order and
-    from any number of tasks."""
-    return finished_rollup(partial_rollup(sig, [run_key]), run_key)
+    from any number of tasks.  ``identity``: columns that are the same for
+    all of a run's responses (org, client, account)."""
+    return finished_rollup(partial_rollup(sig, [run_key, *identity]), run_key, identity)
 
 
-def rollup(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage") -> DataFrame:
+def rollup(resp: DataFrame, run_key: str = "run_id", business: str = "business_usage", identity: Sequence[str] = ()) -> DataFrame:
     """One telemetry row per run: maxima (NULLs ignored), min reset, last
     non-empty tier, worst bucket (first seen on ties), throttled flag and
     response counters — a single partial/final aggregate over ``signals``."""
-    return rollup_signals(signals(resp, run_key, business), run_key)
+    return rollup_signals(signals(resp, run_key, business, identity), run_key, identity)

@@ -124,10 +124,8 @@ def q_skip_existing(spark, d):
                      F.col("url"), None).alias("object_key"),
         (F.col("n_chars") % 5).alias("size"), F.lit("image/jpeg").alias("content_type"),
         F.lit(_FETCH_TS).alias("updated"))
-    to_fetch, skipped = A.skip_existing(keyed, listing)
-    fetched = to_fetch.join(docs.select(F.col("doc_id").cast("string").alias("creative_id"),
-                                        F.col("text").alias("content")), "creative_id")
-    rows = A.fetched_rows(fetched, F.lit(_FETCH_TS)).unionByName(skipped, allowMissingColumns=True)
+    fetched = docs.select(F.col("doc_id").cast("string").alias("creative_id"), F.col("text").alias("content"))
+    rows = A.fetch_or_skip(keyed, listing, fetched, ["creative_id"], F.lit(_FETCH_TS))
     return rows.select("creative_id", "asset_kind", "object_key", "skipped_existing", "byte_size", "sha256")
 
 
@@ -139,6 +137,33 @@ def q_asset_digest(spark, d):
     return P.table(spark, d, "documents").select("doc_id", size.alias("byte_size"), sha.alias("sha256"))
 
 
+# Every page an object of its own under its id, as a line of text.
+def _store_pages(spark, d):
+    root = scratch_dir(spark, "objects")
+    P.table(spark, d, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value")).write.partitionBy("page_id").text(root)
+    return root
+
+
+def _page_id():
+    return F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint").alias("page_id")
+
+
+@query("binary_scan", sql="""
+SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) + 1 AS BIGINT) AS byte_size, sha256(coalesce(html, '') || chr(10)) AS sha256 FROM pages
+""")
+def q_binary_scan(spark, d):
+    """Stored objects read as bytes: size and digest of each."""
+    return A.scan_assets(spark, _store_pages(spark, d), "*.txt").select(_page_id(), "byte_size", "sha256")
+
+
+@query("binary_sizes", sql="""
+SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) + 1 AS BIGINT) AS byte_size FROM pages
+""")
+def q_binary_sizes(spark, d):
+    """Stored objects listed with their sizes, none opened."""
+    return A.list_assets(spark, _store_pages(spark, d), "*.txt").select(_page_id(), "byte_size")
+
+
 _M = f"m AS ({P.MANIFEST_SQL})"
 
 

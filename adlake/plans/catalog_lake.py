@@ -42,12 +42,30 @@ _ODS_COLS = ["tenant_skey", "org_uid", "client_uid", "source_id", "source_schema
 
 @query("raw_write", sql=f"""
 WITH extracts AS ({P.EXTRACTS_SQL})
-SELECT client, 'ads_insights' AS entity, date_start AS date, _dlt_id, ad_id, spend, _dlt_load_id FROM extracts
+SELECT 'ads_api' AS source, client, 'ads_insights' AS entity, date_start AS date, _dlt_id, ad_id, spend, _dlt_load_id FROM extracts
 """)
 def q_raw_write(spark, d):
-    root = _land_raw(spark, d)
-    return L.read_raw(spark, root, "ads_insights").select(
-        "client", "entity", "date", "_dlt_id", "ad_id", "spend", "_dlt_load_id")
+    """Written below the level of their source, read back with all four keys."""
+    root = scratch_dir(spark, "raw")
+    L.write_raw(P.extracts(spark, d), root, "ads_insights", date_col="date_start", source="ads_api")
+    return spark.read.option("basePath", root).parquet(L.source_root(root, "ads_api")).select(
+        "source", "client", "entity", "date", "_dlt_id", "ad_id", "spend", "_dlt_load_id")
+
+
+@query("raw_file_list", sql=f"""
+WITH extracts AS ({P.EXTRACTS_SQL})
+SELECT client, 'ads_insights' AS entity, string_agg(DISTINCT date_start, ',' ORDER BY date_start) AS days, true AS in_order FROM extracts GROUP BY client
+""")
+def q_raw_file_list(spark, d):
+    """The sorted file list of each (client, entity), told by the days in its
+    order; ``in_order``: places run from 1 without a gap, as paths ascend."""
+    files = L.file_list(spark, _land_raw(spark, d), "ads_insights")
+    by_day = files.groupBy("client", "entity", "date").agg(F.min("position").alias("first"), F.max("position").alias("last"), F.count(F.lit(1)).alias("n"))
+    days = F.sort_array(F.collect_list(F.struct("first", "date", "last", "n")))
+    per = by_day.groupBy("client", "entity").agg(days.alias("l"))
+    gapless = F.forall(F.sequence(F.lit(0), F.size("l") - 1), lambda i: (F.get("l", i)["first"] == F.when(i == 0, 1).otherwise(F.get("l", i - 1)["last"] + 1)) &
+                       (F.get("l", i)["last"] - F.get("l", i)["first"] + 1 == F.get("l", i)["n"]))
+    return per.select("client", "entity", F.array_join(F.col("l.date"), ",").alias("days"), gapless.alias("in_order"))
 
 
 # Drift within tenants: tenant 000 lands numbers until the 9th and text after,
@@ -214,6 +232,30 @@ def q_field_allowlist(spark, d):
     return FR.field_allowlist(P.drifted_customer(spark, d), FIELD_LISTS["campaigns"])
 
 
+def _listed(entity: str) -> list[str]:
+    """The allow-listed fields that the raw rows of an entity have."""
+    there = P.entity_sql(entity)[1] if entity in P.ENTITY_BASE else P.EXTRACTS_COLUMNS
+    return [f for f in FIELD_LISTS[entity] if f in there]
+
+
+@query("field_allowlists", sql=f"WITH extracts AS ({P.EXTRACTS_SQL})\n" + "\nUNION ALL ".join(
+    f"SELECT '{e}' AS entity, '{','.join(_listed(e))}' AS fields, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"{S.row_digest_sql([('_dlt_id', 'STRING'), *((f, 'STRING') for f in _listed(e))])} AS digest "
+    f"FROM ({P.entity_sql(e)[0] if e in P.ENTITY_BASE else 'SELECT * FROM extracts'})" for e in FIELD_LISTS))
+def q_field_allowlists(spark, d):
+    """All six entities through their allow-lists: the fields kept, in list
+    order, and a digest of their values."""
+    out = None
+    for e, fields in FIELD_LISTS.items():
+        raw = P.entity_raw(spark, d, e) if e in P.ENTITY_BASE else P.extracts(spark, d)
+        kept = FR.field_allowlist(raw, ["_dlt_id", *fields])
+        digest = S.row_digest([(F.col(c), "STRING") for c in kept.columns])
+        one = kept.agg(F.count(F.lit(1)).alias("n_rows"), digest.alias("digest")).select(
+            F.lit(e).alias("entity"), F.lit(",".join(kept.columns[1:])).alias("fields"), "n_rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("normalize_names", sql="""
 SELECT l_orderkey AS l_orderkey, l_linenumber AS line_no, l_quantity AS _1d_view, l_discount AS _7d_click,
        l_returnflag AS action_type, l_linestatus AS action_destination

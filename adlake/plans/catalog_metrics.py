@@ -123,9 +123,8 @@ SELECT concept, source_table, p.n_rows, p.table_name IS NULL AS missing
 FROM {_CONCEPTS_SQL} LEFT JOIN present p ON cat.source_table = p.table_name
 """)
 def q_concept_coverage(spark, d):
-    tables = N.normalize_nested(P.nested(spark, d), "ads_insights", 2)
-    present = EN.tag_union({name: df.agg(F.count(F.lit(1)).alias("n_rows")) for name, df in tables.items()},
-                           "table_name")
+    rows, _ = N.tagged_rows(P.nested(spark, d), "ads_insights", 2)  # all tables' rows from one scan
+    present = rows.groupBy(F.col("_table").alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
     cat = spark.createDataFrame(CONCEPTS, "concept string, source_table string")
     j = F.broadcast(cat).join(present, cat["source_table"] == present["table_name"], "left")  # catalogue: fixed size
     return j.select("concept", "source_table", "n_rows", F.col("table_name").isNull().alias("missing"))

@@ -52,8 +52,8 @@ def q_normalize_nested(spark, d):
 
 
 # A list within a list: windows with touches, their lengths by rule.
-_WINDOWS = F.expr("""transform(slice(array(0, 1), 1, cast(clicks as int) % 3), i -> named_struct('span', concat('w', i), 'touches',
-  transform(slice(array(0, 1), 1, cast((cast(ad_id as bigint) + i) % 3 as int)), j -> named_struct('pos', j, 'weight', cast(i + 2 * j as string)))))""")
+_WINDOWS = """transform(slice(array(0, 1), 1, cast(clicks as int) % 3), i -> named_struct('span', concat('w', i), 'touches',
+  transform(slice(array(0, 1), 1, cast((cast(ad_id as bigint) + i) % 3 as int)), j -> named_struct('pos', j, 'weight', cast(i + 2 * j as string)))))"""
 _WINDOWS_SQL = """
 windows AS (SELECT md5(_dlt_id || '|ads_insights__windows|' || i) AS _dlt_id, _dlt_id AS _dlt_parent_id, i AS _dlt_list_idx, 'w' || i AS span, l_partkey, client
             FROM parent, (VALUES (0), (1)) v(i) WHERE l_linenumber % 3 > i),
@@ -78,7 +78,7 @@ _ONCE = {
 def q_normalize_once(spark, d):
     """All tables of the nested rows, two list levels deep, written from one
     read of the source; rows and digest of each."""
-    nested = P.nested(spark, d).withColumn("windows", _WINDOWS)
+    nested = P.nested(spark, d).withColumn("windows", F.expr(_WINDOWS))
     tables = N.normalize_to(nested, scratch_dir(spark, "nested"), "ads_insights", 2, carry=("client",))
     out = None
     for name, df in tables.items():

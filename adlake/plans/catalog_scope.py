@@ -10,6 +10,8 @@ from adlake.operators import scope as SC
 from adlake.plans import proxies as P
 from adlake.plans.catalog_unify import _CAST_CTE, _typed
 from adlake.plans.registry import query
+from adlake.session import scratch_dir
+from adlake.sources import lake as L
 from adlake.specs import DATE_PRESETS, INSIGHTS_STEADY_STATE_DAYS
 
 _I = f"i AS ({P.INSIGHTS_SQL})"
@@ -204,6 +206,23 @@ def q_window_filter(spark, d):
     return w.groupBy("client_uid", "date_start").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("tenant_windows", sql=f"""
+WITH extracts AS ({P.EXTRACTS_SQL}), roster AS ({P.ROSTER_SQL}),
+w AS (SELECT DISTINCT client_slug, DATE '{WINDOW_TODAY}' - 3 * CAST(CAST(client_slug AS INTEGER) AS INTEGER) AS until FROM roster)
+SELECT client, date_start AS date, CAST(count(*) AS BIGINT) AS n_rows FROM extracts JOIN w ON client = client_slug
+WHERE CAST(date_start AS DATE) BETWEEN until - 6 AND until GROUP BY ALL
+""")
+def q_tenant_windows(spark, d):
+    """Every tenant's own last seven days of the raw lake (the windows end on
+    differing days); folders are picked at run time."""
+    root = scratch_dir(spark, "windows")
+    L.write_raw(P.extracts(spark, d), root, "ads_insights", date_col="date_start")
+    until = F.date_sub(F.lit(WINDOW_TODAY), 3 * F.col("client_slug").cast("int"))
+    windows = P.roster(spark, d).select("client_slug").distinct().select(F.col("client_slug").alias("client"), F.date_sub(until, 6).alias("since"), until.alias("until"))
+    rows = SC.tenant_windows(L.read_raw(spark, root, "ads_insights"), windows)
+    return rows.groupBy("client", "date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("ad_creative_bridge", sql=f"""
 WITH {_I}, a AS ({P.ADS_SQL}), cl AS ({P.CREATIVE_LISTING_SQL}),
 per_ad AS (SELECT ad_id, count(*) AS n_rows, sum(spend) AS spend FROM i GROUP BY ad_id)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from adlake.functions import casts as C
 from adlake.functions import jsonvals as J
 from adlake.operators import telemetry as TM
+from adlake.operators import unify as U
+from adlake.operators.joins import sized_broadcast
 from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
 from adlake.plans.registry import query
@@ -118,6 +120,34 @@ def q_ratelimit_rollup(spark, d):
     return TM.rollup(P.responses(spark, d))
 
 
+# A run's identity: its tenant, the tenant's org and account, and when it started.
+_IDENTITY = ("org_uid", "client_uid", "account_id", "started_at")
+
+
+@query("ratelimit_run_row", sql=f"""
+WITH {_R}, {_H}, {_B}, roster AS ({P.ROSTER_SQL}),
+org_map AS (SELECT client_slug, min(org_slug) AS org, min(ad_account_id) AS account FROM roster GROUP BY client_slug),
+nb AS (SELECT run_id, seq, count(*) AS n FROM b GROUP BY ALL),
+agg_b AS (SELECT run_id, max(call_count) AS max_buc_call_count_pct, max(eta) AS max_buc_eta_minutes FROM b GROUP BY run_id)
+SELECT a.run_id, coalesce(o.org, '{U.DEFAULT_ORG}') AS org_uid, left(a.run_id, 3) AS client_uid, o.account AS account_id,
+       TIMESTAMP '2024-02-01 00:00:00' + to_hours(CAST(right(a.run_id, 1) AS INTEGER)) AS started_at,
+       a.max_acc_util_pct, agg_b.max_buc_call_count_pct, agg_b.max_buc_eta_minutes, a.responses_seen, a.responses_with_rate_limit_headers
+FROM (SELECT h.run_id, max(acc_id_util_pct) AS max_acc_util_pct, CAST(count(*) AS BIGINT) AS responses_seen,
+             CAST(count(*) FILTER (WHERE has_app OR has_account OR coalesce(nb.n, 0) > 0) AS BIGINT) AS responses_with_rate_limit_headers
+      FROM h LEFT JOIN nb ON h.run_id = nb.run_id AND h.seq = nb.seq GROUP BY h.run_id) a
+LEFT JOIN agg_b ON a.run_id = agg_b.run_id LEFT JOIN org_map o ON left(a.run_id, 3) = o.client_slug
+""")
+def q_ratelimit_run_row(spark, d):
+    """Telemetry rows with the identity of their runs: org, client, account, start."""
+    roster = P.roster(spark, d).groupBy("client_slug").agg(F.min("org_slug").alias("org"), F.min("ad_account_id").alias("account_id"))
+    r = P.responses(spark, d).withColumn("client_uid", F.left("run_id", F.lit(3)))
+    start = F.lit("2024-02-01 00:00:00").cast("timestamp") + F.make_interval(hours=F.right("run_id", F.lit(1)).cast("int"))
+    r = r.join(sized_broadcast(roster, 100_000), r["client_uid"] == roster["client_slug"], "left")
+    r = r.withColumn("org_uid", F.coalesce("org", F.lit(U.DEFAULT_ORG))).withColumn("started_at", start)
+    return TM.rollup(r, identity=_IDENTITY).select(
+        "run_id", *_IDENTITY, "max_acc_util_pct", "max_buc_call_count_pct", "max_buc_eta_minutes", "responses_seen", "responses_with_rate_limit_headers")
+
+
 @query("pressure_level", sql=f"""
 WITH {_R}, {_H}
 SELECT run_id, seq, acc_id_util_pct,

@@ -20,7 +20,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +41,25 @@ def list_dirs(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (st or []) if s.isDirectory())
 
 
+def source_root(root: str, source: str) -> str:
+    """The raw lake of one source, below the lake of all."""
+    return f"{root}/source={source}"
+
+
+def file_list(spark: SparkSession, root: str, entity: str | None = None) -> DataFrame:
+    """Every raw file with its keys, size and place in the sorted list of its
+    (client, entity).  From the listing alone: no file is opened."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", root).load(f"{root}/client=*/entity={entity or '*'}")
+    k = path_keys(F.col("path"))
+    files = found.select("path", F.col("length").alias("bytes"), *[k[x].alias(x) for x in ("client", "entity", "date")])
+    return files.withColumn("position", F.row_number().over(Window.partitionBy("client", "entity").orderBy("path")))
+
+
 def write_raw(df: DataFrame, root: str, entity: str, load_id: str | Column | None = None,
-              date_col: str = "date", client_col: str = "client", mode: str = "append") -> None:
-    """Append raw rows under client=/entity=/date=; rows carry the load id."""
+              date_col: str = "date", client_col: str = "client", mode: str = "append", source: str | None = None) -> None:
+    """Append raw rows under client=/entity=/date=, below source= if one is
+    named (then ``source_root`` is the root to read from); rows carry the load id."""
+    root = root if source is None else source_root(root, source)
     out = df.withColumn("entity", F.lit(entity))
     if load_id is not None and "_dlt_load_id" not in df.columns:
         out = out.withColumn("_dlt_load_id", load_id if isinstance(load_id, Column) else F.lit(load_id))

@@ -4,6 +4,8 @@ import datetime as dt
 import json
 
 
+from pyspark.sql import functions as F
+
 from adlake.operators import assets as A
 
 
@@ -92,3 +94,41 @@ def test_build_manifest_job(spark, tmp_path):
     assert rows[("2", "image")]["gcs_uri"].endswith("asset_kind=image/2.png")
     assert rows[("1", "video")]["gcs_uri"].endswith("asset_kind=video/v1.mp4")
     assert rows[("1", "image")]["sha256"] == "" and rows[("1", "image")]["byte_size"] == 7
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_listing_sizes_opens_no_object(spark, tmp_path):
+    for name in ("a.bin", "b.bin"):
+        (tmp_path / name).write_bytes(name.encode() * 5)
+    listed = A.list_assets(spark, str(tmp_path), "*.bin")
+    assert {r.path.rsplit("/", 1)[1]: r.byte_size for r in listed.collect()} == {"a.bin": 25, "b.bin": 25}
+    schema = _plan(listed).split("ReadSchema: ")[1]
+    assert "content" not in schema and "length" in schema
+    scanned = A.scan_assets(spark, str(tmp_path), "*.bin")
+    assert "content" in _plan(scanned).split("ReadSchema: ")[1] and {r.byte_size for r in scanned.collect()} == {25}
+
+
+def test_fetch_or_skip_is_the_split_in_one_pass(spark):
+    specs = spark.createDataFrame([("1", "c", "image", "p/1.jpg", "p/1.jpg"), ("2", "c", "image", "p/2.jpg", "p/2.jpg"), ("3", "c", "image", "p/3.jpg", "p/3.jpg"), ("4", "c", "image", None, "p/4.jpg")],
+                                  "creative_id string, client_uid string, asset_kind string, tentative_key string, object_key string").withColumn("content_type", F.lit("image/png; q=1"))
+    listing = spark.createDataFrame([("p/1.jpg", 9, "image/jpeg", 1), ("p/2.jpg", 0, "image/jpeg", 1), ("p/9.jpg", 4, "x", 1)], "object_key string, size long, content_type string, updated long")
+    fetched = spark.createDataFrame([("2", bytearray(b"two")), ("1", bytearray(b"one")), ("4", bytearray(b""))], "creative_id string, content binary")
+    rows = A.fetch_or_skip(specs, listing, fetched, ["creative_id"], F.lit(5).cast("long"))
+    got = {r.creative_id: (r.object_key, r.byte_size, r.skipped_existing, r.manifest_content_type, r.downloaded_at) for r in rows.collect()}
+    assert got == {"1": ("p/1.jpg", 9, True, "image/jpeg", 1), "2": ("p/2.jpg", 3, False, "image/png", 5), "4": ("p/4.jpg", 0, False, "image/png", 5)}
+    to_fetch, skipped = A.skip_existing(specs, listing)
+    split = A.fetched_rows(to_fetch.join(fetched, "creative_id"), F.lit(5).cast("long")).unionByName(skipped, allowMissingColumns=True)
+    columns = sorted(set(rows.columns) & set(split.columns))
+    assert sorted(map(str, rows.select(*columns).collect())) == sorted(map(str, split.select(*columns).collect()))
+
+
+def test_videos_are_resolved_in_one_join(spark, tmp_path):
+    specs = spark.createDataFrame([("1", "image", None, "u1"), ("2", "video", "v", "old"), ("3", "video", "w", None), ("4", "video", None, None), ("5", None, "v", "u5")], "creative_id string, asset_kind string, video_id string, source_url string")
+    specs.write.parquet(f"{tmp_path}/s")
+    sources = spark.createDataFrame([("v", "b"), ("v", "a"), ("w", ""), (None, "z")], "video_id string, source string")
+    out = A.resolve_videos(spark.read.parquet(f"{tmp_path}/s"), sources)
+    assert _plan(out).count("FileScan parquet") == 1
+    assert {r.creative_id: r.source_url for r in out.collect()} == {"1": "u1", "2": "a", "5": "u5"}

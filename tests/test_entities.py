@@ -58,6 +58,30 @@ def test_scd2_per_tenant_with_ties(spark):
     assert out == [("t1", "-", True), ("t1", "x", False), ("t1", "z", False), ("t2", "z", True)]
 
 
+def test_scd2_of_a_hot_key_spreads_and_stitches(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    rows, now = [], "x"
+    for s in range(3000):
+        now = rnd.choice("xyz") if rnd.random() < 0.01 else now  # long stretches without a change, over whole ranges
+        rows.append(("hot", s, now))
+    rows += [(k, s, rnd.choice("xy")) for k in ("a", None, "z") for s in range(20)]
+    v = spark.createDataFrame([(*r, "t") for r in rows], "id string, s long, v string, tie string").withColumn("ts", F.timestamp_seconds("s"))
+    want = []
+    for key in {r[0] for r in rows}:
+        mine = sorted((s, x) for k, s, x in rows if k == key)
+        changes = [(s, x) for i, (s, x) in enumerate(mine) if not i or mine[i - 1][1] != x]
+        want += [(key, x, s, changes[i + 1][0] if i + 1 < len(changes) else None) for i, (s, x) in enumerate(changes)]
+    out = EN.scd2(v, ["id"], ["v"], "ts", "tie")
+    got = [(r.id, r.v, int(r.valid_from.timestamp()), r.valid_to and int(r.valid_to.timestamp())) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    ranged = v.repartitionByRange(8, "id", "ts").where("id = 'hot'").select(F.spark_partition_id()).distinct().count()
+    assert ranged > 4
+
+
 def test_reach_is_not_added_over_days(spark):
     df = spark.createDataFrame([("a", "d1", 1.0, 1, 10, 5), ("a", "d2", 1.0, 1, 10, 5)], "ad_id string, date_start string, spend double, clicks long, impressions long, reach long")
     over = M.aggregate(df, ["ad_id"]).first()

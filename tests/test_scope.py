@@ -46,3 +46,30 @@ def test_initial_days_and_override(spark):
     df = spark.createDataFrame([(" PROD ", "30"), ("staging", "-5"), ("weird", "x"), (None, None)], "e string, o string")
     out = df.select(SC.initial_load_days(F.col("e")), SC.history_override(F.col("o"))).collect()
     assert [tuple(r) for r in out] == [(1125, 30), (365, None), (1125, None), (7, None)]  # missing: dev
+
+
+def test_each_tenants_own_days_are_picked_at_run_time(spark, tmp_path):
+    import datetime as dt
+
+    from adlake.sources import lake as L
+
+    root = str(tmp_path / "raw")
+    rows = [(c, f"2024-01-{d:02d}", d) for c in ("a", "b", "c") for d in range(1, 31)]
+    L.write_raw(spark.createDataFrame(rows, "client string, date string, v int"), root, "x")
+    day = lambda d: dt.date(2024, 1, d)
+    windows = spark.createDataFrame([("a", day(3), day(5)), ("b", day(28), day(30)), ("b", day(29), day(30)), ("z", day(1), day(9)), ("c", day(9), day(2))], "client string, since date, until date")
+    out = SC.tenant_windows(L.read_raw(spark, root, "x"), windows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert sorted((r.client, r.v) for r in out.collect()) == [("a", 3), ("a", 4), ("a", 5), ("b", 28), ("b", 29), ("b", 30)]
+    assert out.columns == L.read_raw(spark, root, "x").columns
+
+
+def test_file_list_is_sorted_by_client_and_entity(spark, tmp_path):
+    from adlake.sources import lake as L
+
+    root = str(tmp_path / "raw")
+    L.write_raw(spark.createDataFrame([("b", "2024-01-02", 1), ("a", "2024-01-02", 1), ("a", "2024-01-01", 1)], "client string, date string, v int"), root, "x", source="s")
+    files = L.file_list(spark, L.source_root(root, "s"))
+    assert sorted((r.client, r.entity, r.position, r.date) for r in files.collect()) == [("a", "x", 1, "2024-01-01"), ("a", "x", 2, "2024-01-02"), ("b", "x", 1, "2024-01-02")]
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
