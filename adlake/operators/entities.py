@@ -55,7 +55,13 @@ def conversion_event(actions: DataFrame, values: DataFrame, plays: DataFrame, pa
     ``parents`` are the surviving insight rows (deduped) with ``keys`` (ad,
     day, platform); children of superseded parents drop out.  The three sides
     are one tagged union and one aggregate, not outer joins."""
-    sides = tag_union({"n": actions, "v": values, "p": plays}, "_side")
+    return conversion_event_of(tag_union({"n": actions, "v": values, "p": plays}, "_side"), parents, keys)
+
+
+def conversion_event_of(sides: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``conversion_event`` of children that are one table already: ``_side``
+    says whether a row is an action count (n), a value (v) or a play (p).
+    In buckets of the parent id, only the last sums by ``keys`` shuffle."""
     sums = [F.sum(F.when(F.col("_side") == s, F.col("value"))).alias(c)
             for s, c in (("n", "action_count"), ("v", "action_value"), ("p", "video_plays"))]
     j = _at_parent_grain(sides.select("parent_dlt_id", "action_type", "value", "_side"), parents, keys, sums, ["action_type"])
@@ -77,6 +83,22 @@ def _by_keys(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     return df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(*aggs)
 
 
+def _beside_spend(amounts: DataFrame, parents: DataFrame, keys: Sequence[str], by: Sequence[str], spend_col: str) -> DataFrame:
+    """Sums of ``_v`` of ``amounts`` per (``keys``, ``by``), with ``spend`` and
+    ``n_parents``: those of all parents of the group, each once, whether or
+    not they have amounts.  One tagged aggregate and a sum over its few rows
+    of a group, no join; a NULL key is a group like others."""
+    types = {f.name: f.dataType for f in amounts.schema.fields}
+    a = amounts.select(*keys, *by, "_v", F.lit(None).cast("double").alias("_s"), F.lit(0).cast("long").alias("_p"), F.lit(False).alias("_own"))
+    s = parents.select(*keys, *[F.lit(None).cast(types[b]).alias(b) for b in by], F.lit(None).cast("double").alias("_v"),
+                       F.col(spend_col).cast("double").alias("_s"), F.lit(1).cast("long").alias("_p"), F.lit(True).alias("_own"))
+    sums = a.unionByName(s).groupBy(*keys, *by, "_own").agg(*[F.sum(c).alias(c) for c in ("_v", "_s", "_p")])
+    group = Window.partitionBy(*keys)
+    sums = sums.withColumn("spend", F.sum("_s").over(group)).withColumn("n_parents", F.sum("_p").over(group))
+    # As an inner join: amounts without a parent group can't be, they come from parents.
+    return sums.where(~F.col("_own")).drop("_s", "_p", "_own")
+
+
 def attributed_roas(roas: DataFrame, parents: DataFrame, keys: Sequence[str], by_type: bool = True,
                     spend_col: str = "spend") -> DataFrame:
     """Return on spend per (``keys``, roas kind[, action type]).
@@ -87,21 +109,17 @@ def attributed_roas(roas: DataFrame, parents: DataFrame, keys: Sequence[str], by
     ``parents`` are deduped."""
     by = ["roas_kind", "action_type"] if by_type else ["roas_kind"]
     ratio = roas.groupBy("parent_dlt_id", *by).agg(F.sum("value").alias("_ratio"))
-    amount = (ratio.join(parents.select("parent_dlt_id", *keys, F.col(spend_col).alias("_spend")), "parent_dlt_id")
-                   .groupBy(*keys, *by).agg(F.sum(F.col("_ratio") * F.col("_spend")).alias("_amount")))
-    spend = _by_keys(parents, keys, F.sum(spend_col).alias("spend"), F.count(F.lit(1)).alias("n_parents"))
-    return null_safe_join(amount, spend, keys, "inner").select(
-        *keys, *by, (F.col("_amount") / F.nullif(F.col("spend"), F.lit(0.0))).alias("roas"), "spend", "n_parents")
+    amount = ratio.join(parents.select("parent_dlt_id", *keys, F.col(spend_col).alias("_spend")), "parent_dlt_id").withColumn("_v", F.col("_ratio") * F.col("_spend"))
+    return _beside_spend(amount, parents, keys, by, spend_col).select(
+        *keys, *by, (F.col("_v") / F.nullif(F.col("spend"), F.lit(0.0))).alias("roas"), "spend", "n_parents")
 
 
 def cost_per_action(actions: DataFrame, parents: DataFrame, keys: Sequence[str], spend_col: str = "spend") -> DataFrame:
     """CPA per (``keys``, action type): all spend of the group, once, over the
     sum of the actions; a NULL key is a group like others."""
-    j = _at_parent_grain(actions, parents, keys, [F.sum("value").alias("_n")], ["action_type"])
-    n = j.groupBy(*keys, "action_type").agg(F.sum("_n").alias("actions"))
-    spend = _by_keys(parents, keys, F.sum(spend_col).alias("spend"))
-    return null_safe_join(n, spend, keys, "inner").select(
-        *keys, "action_type", "actions", "spend", (F.col("spend") / F.nullif(F.col("actions"), F.lit(0.0))).alias("cpa"))
+    j = _at_parent_grain(actions, parents, keys, [F.sum("value").alias("_v")], ["action_type"])
+    return _beside_spend(j, parents, keys, ["action_type"], spend_col).select(
+        *keys, "action_type", F.col("_v").alias("actions"), "spend", (F.col("spend") / F.nullif(F.col("_v"), F.lit(0.0))).alias("cpa"))
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlake.operators import entities as EN
 from adlake.operators import normalize as N
@@ -11,7 +12,8 @@ from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
 from adlake.plans.catalog_unify import LOADED_AT
 from adlake.plans.registry import query
-from adlake.session import scratch_dir
+from adlake.session import exists, scratch_dir
+from adlake.sources import buckets as B
 from adlake.specs import CHILD_SPEC_VIDEO, CHILD_SPECS, PARENT_SPECS
 
 _CTE = f"parent AS ({P.NESTED_PARENT_SQL})"
@@ -151,6 +153,34 @@ def _typed_parent(spark, d, tables=None):
     return U.apply_spec(p, _PARENT_SPEC, keep=["client", "device_platform", "extracted_at"])
 
 
+# Parents and their children in buckets of the parent id: joins and sums by
+# parent run where the rows lie.  All lists' rows are one table with a side.
+BUCKETS = 16
+_SIDES = {"n": "actions", "v": "action_values", "p": "video_play_actions"}
+#: Layouts by session and tables: written once, read by each query after.
+_LAYOUTS: dict[tuple[str, str], tuple[str, dict[str, T.StructType]]] = {}
+
+
+def _laid_out(spark, d):
+    """{"parents", "kept" (the latest of each insight key), "children"}: typed, in buckets."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _LAYOUTS or not all(exists(spark, f"{_LAYOUTS[key][0]}/{n}") for n in _LAYOUTS[key][1]):
+        root = scratch_dir(spark, "buckets")
+        t = N.normalize_to(P.nested(spark, d), f"{root}/nested", "ads_insights", 2, carry=("client",))
+        frames = {"parents": _typed_parent(spark, d, t), "kept": _kept_parent(spark, d, t),
+                  "children": EN.tag_union({s: _typed_children(spark, d, f"ads_insights__{n}", t) for s, n in _SIDES.items()}, "_side")}
+        for n, df in frames.items():
+            B.write_buckets(df, f"{root}/{n}", ["parent_dlt_id"], BUCKETS)
+        _LAYOUTS[key] = (root, {n: df.schema for n, df in frames.items()})
+    root, schemas = _LAYOUTS[key]
+    # A merge join, as a table sent to all tasks is an exchange too.
+    return {n: B.read_buckets(spark, f"{root}/{n}", s, ["parent_dlt_id"], BUCKETS).hint("merge") for n, s in schemas.items()}
+
+
+def _actions(t):
+    return t["children"].where("_side = 'n'").drop("_side")
+
+
 @query("child_parent_join", sql=f"""
 WITH {_CTE}, a AS ({P.ACTIONS_SQL}), {_TYPED_PARENT_SQL}
 SELECT a._dlt_id AS child_dlt_id, a.action_type, {S.cast_sql('a.value', 'FLOAT64')} AS value,
@@ -158,10 +188,8 @@ SELECT a._dlt_id AS child_dlt_id, a.action_type, {S.cast_sql('a.value', 'FLOAT64
 FROM a JOIN typed_parent t ON a._dlt_parent_id = t.parent_dlt_id
 """)
 def q_child_parent_join(spark, d):
-    t = _tables(spark, d)
-    c = _typed_children(spark, d, "ads_insights__actions", t)
-    p = _typed_parent(spark, d, t)
-    return EN.child_parent_join(c, p).select("child_dlt_id", "action_type", "value", "ad_id", "date_start", "spend")
+    t = _laid_out(spark, d)
+    return EN.child_parent_join(_actions(t).drop("client"), t["parents"]).select("child_dlt_id", "action_type", "value", "ad_id", "date_start", "spend")
 
 
 @query("orphan_children", sql=f"""
@@ -171,9 +199,8 @@ SELECT a._dlt_id AS child_dlt_id, a._dlt_parent_id AS parent_dlt_id,
 FROM a
 """)
 def q_orphan_children(spark, d):
-    t = _tables(spark, d)
-    c = _typed_children(spark, d, "ads_insights__actions", t)
-    return EN.mark_orphans(c, _kept_parent(spark, d, t)).select("child_dlt_id", "parent_dlt_id", "kept")
+    t = _laid_out(spark, d)
+    return EN.mark_orphans(_actions(t), t["kept"]).select("child_dlt_id", "parent_dlt_id", "kept")
 
 
 def _same(a: str, b: str) -> str:
@@ -197,10 +224,8 @@ SELECT {_GRAIN_SQL}, s.action_type,
 FROM sides s JOIN kept_parent t ON s._dlt_parent_id = t.parent_dlt_id GROUP BY ALL
 """)
 def q_conversion_event(spark, d):
-    t = _tables(spark, d)
-    ev = EN.conversion_event(*[_typed_children(spark, d, f"ads_insights__{n}", t)
-                               for n in ("actions", "action_values", "video_play_actions")],
-                             _kept_parent(spark, d, t), GRAIN)
+    t = _laid_out(spark, d)
+    ev = EN.conversion_event_of(t["children"], t["kept"], GRAIN)
     return ev.select(*GRAIN, "action_type", *[F.round(c, 6).alias(c) for c in ("action_count", "action_value", "video_plays")])
 
 
@@ -213,8 +238,8 @@ SELECT n.*, round(s.spend, 2) AS spend, round(s.spend / nullif(n.actions, 0), 6)
 FROM n JOIN spend s ON {_same("n", "s")}
 """)
 def q_cpa_by_action(spark, d):
-    t = _tables(spark, d)
-    c = EN.cost_per_action(_typed_children(spark, d, "ads_insights__actions", t), _kept_parent(spark, d, t), GRAIN)
+    t = _laid_out(spark, d)
+    c = EN.cost_per_action(_actions(t), t["kept"], GRAIN)
     return c.withColumn("spend", F.round("spend", 2)).withColumn("cpa", F.round("cpa", 6))
 
 
