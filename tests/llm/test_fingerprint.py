@@ -69,3 +69,75 @@ def test_odd_rows(spark):
     assert fp.edit_likeness(docs.limit(0), rank).count() == 0
     assert fp.edit_likeness(docs.where("text = 'a'"), rank).collect()[0].near_next == 1.0
     assert fp.fingerprint(docs, rank).count() == 5
+
+
+def plain_features(text, rank):
+    """By the definition, window by window; a set of the selected windows' bytes."""
+    import math
+    from collections import Counter
+
+    def entropy_class(window):
+        total = sum(round(c * math.log2(c) * (1 << 20)) for c in Counter(window).values())
+        return min(max((6 * (1 << 20) - total // 64) * 16 // (1 << 20), 0), 96)
+
+    windows = [text[i : i + 64] for i in range(len(text) - 63)]
+    ranked = [(rank[entropy_class(w)], i) for i, w in enumerate(windows)]
+    votes = Counter(min(ranked[i : i + 64])[1] for i in range(len(ranked) - 63))
+    chosen = [windows[i] for i in sorted(votes) if votes[i] >= 16]
+    short = sorted({text[i : i + 8] for i in range(len(text) - 7)}) if 8 <= len(text) < 256 else []
+    return chosen, short
+
+
+def plain_likeness(a, b):
+    """Of two chains, as lists of sets of bits."""
+    import math
+
+    if not a or not b:
+        return float(not a and not b)
+    if a == b:
+        return 1.0
+    if len(a) > len(b):
+        a, b = b, a
+    total = 0.0
+    for x in a:
+        best = 0.0
+        for y in b:
+            most = min(len(x), len(y))
+            chance = len(x) * len(y) / 2048
+            chance = min(chance + 3 * math.sqrt(chance * (1 - len(y) / 2048)), most - 1)
+            best = max(best, min(max((len(x & y) - chance) / (most - chance), 0.0), 1.0))
+        total += best
+    return total / len(a)
+
+
+def test_digests_and_likeness_against_brute_force():
+    import random
+
+    import numpy as np
+    from adlake.llm import fingerprint as fp
+    from adlake.llm.common import U64, mix64
+    from adlake.llm.repeats import substring_hashes
+
+    rnd = random.Random(11)
+    words = ["lorem", "ipsum", "DOLOR", "sit!!", "amet", "éà", "0123456789", "aaaa", "zq|x"]
+    make = lambda n: " ".join(rnd.choice(words) + str(rnd.randrange(99)) for _ in range(n)).encode()
+    texts = [make(n) for n in (1, 3, 12, 20, 40, 120, 400, 4000)] + [b"", b"x", b"a" * 700, bytes(rnd.randrange(256) for _ in range(900)), b"ab" * 100]
+    texts.append(texts[6][: len(texts[6]) // 2] + texts[5])
+    rank = fp.ranks(np.array([(i * 37) % 101 for i in range(fp.CLASSES)], np.int64))
+    chains = []
+    for text, got in zip(texts, fp.features(texts, rank), strict=True):
+        chosen, short = plain_features(text, rank.tolist())
+        own = [int(mix64(substring_hashes(np.frombuffer(w, np.uint8), 64))[0]) for w in chosen]
+        own += sorted({int(mix64(substring_hashes(np.frombuffer(w, np.uint8), 8) + U64(256))[0]) for w in short})
+        if own or not text:
+            assert got.tolist() == own, text[:40]
+        else:
+            assert len(got) == 1
+        chain = [{(h >> 11 * i) & 2047 for h in got.tolist()[a : a + 160] for i in range(5)} for a in range(0, len(got), 160)]
+        parsed = fp.parse(fp.digest(got)) if len(got) else np.zeros((0, 256), np.uint8)
+        assert [set(np.flatnonzero(np.unpackbits(row)).tolist()) for row in parsed] == chain
+        chains.append((parsed, chain))
+    assert max(len(c) for _, c in chains) > 1
+    for a, x in chains:
+        for b, y in chains:
+            assert abs(fp.likeness(a, b) - plain_likeness(x, y)) < 1e-9
