@@ -11,11 +11,12 @@ from adlake.operators import normalize as N
 from adlake.operators import unify as U
 from adlake.plans import proxies as P
 from adlake.plans import sqlgen as S
-from adlake.plans.catalog_unify import INSIGHT_ALIASES, LOADED_AT, _CAST_CTE
+from adlake.plans.catalog_unify import INSIGHT_ALIASES, LOADED_AT, _CAST_CTE, _base_delta
 from adlake.plans.jobs import unify_lake
-from adlake.plans.registry import query
+from adlake.plans.registry import ORACLE, query
 from adlake.session import scratch_dir
 from adlake.sources import lake as L
+from adlake.sources.snapshots import SnapshotTable
 from adlake.specs import CHILD_SPECS, FIELD_LISTS, KNOWN_ENTITIES, PARENT_KEYS, PARENT_SPECS
 
 CAMPAIGNS = PARENT_SPECS["campaigns"]
@@ -187,6 +188,20 @@ def q_write_replace(spark, d):
     return spark.read.parquet(root).groupBy("date", "version").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("merge_snapshot", sql=ORACLE["merge_upsert"])
+def q_merge_snapshot(spark, d):
+    """The merge of ``merge_upsert`` on a stored table: the delta rewrites the
+    files of its days that may hold its keys, all others stay as they are."""
+    root = scratch_dir(spark, "merge")
+    keys = ["tenant_skey", "ad_id", "date_start"]
+    order = [F.col("extracted_at").desc_nulls_last(), F.col("_tie").desc()]
+    table = SnapshotTable(spark, f"{root}/table", keys, [F.date_format("date_start", "yyyy-MM-dd")])
+    for n, side in zip(("base", "delta"), _base_delta(spark, d), strict=True):
+        side.write.parquet(f"{root}/{n}")
+        table.merge(spark.read.parquet(f"{root}/{n}"), lambda base, delta: FR.upsert(delta.limit(0) if base is None else base, delta, keys, order))
+    return table.read().select(*keys, "extracted_at", F.col("_tie").alias("_dlt_id"))
+
+
 @query("sink_roundtrip", sql="""
 SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS msg FROM customer
 """)
