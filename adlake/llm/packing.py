@@ -21,6 +21,12 @@ step handles all equal gaps or equal items at once, so its size is bounded by
 the capacity and not by the corpus.  Ranks come from a window over (length,
 salt) with the counts of the salts before, so no task holds all pieces of one
 length.
+
+Defined results: a null or empty text is one piece of the closing id alone; a
+very long one is as many pieces as it needs; repeated rows, also of one id or
+none, are pieces of their own (which of several equal pieces stands where is
+not fixed); lengths that tie are taken in any order; an empty table gives an
+empty result; extra columns are not read.
 """
 
 from __future__ import annotations

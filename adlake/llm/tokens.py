@@ -11,6 +11,11 @@ documents and tokens there are of at least ``L``, how many tokens are left if
 every document is cut at ``L`` (``sum(min(length, L))``), and the quantile of
 ``L``.  A limit between two lengths has the row of the next lower one, plus
 ``n_longer`` tokens for each token above it.
+
+Defined results: a null or empty text has length 0 and counts as a document;
+repeated rows, also of one id or none, count each; an empty table gives an
+empty histogram (no quantile, totals of 0); very long texts are encoded
+whole; extra columns are not read.
 """
 
 from __future__ import annotations
