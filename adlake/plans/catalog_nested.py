@@ -44,13 +44,11 @@ UNION ALL SELECT 'ads_insights__video_p25_watched_actions', CAST(count(*) AS BIG
 {" ".join(f"UNION ALL SELECT 'ads_insights__{n}', CAST(count(*) AS BIGINT), 6 FROM ({P.one_element_sql(n)})" for n in P.ONE_ELEMENT_LISTS)}
 """)
 def q_normalize_nested(spark, d):
-    tables = _tables(spark, d)
-    out = None
-    for name, df in tables.items():
-        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_cols"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Rows and columns of every table, counted on one scan of the nested rows."""
+    rows, schemas = N.tagged_rows(P.nested(spark, d), "ads_insights", 2, carry=("client",))
+    counts = rows.groupBy(F.col("_table").alias("table_name")).agg(F.count(F.lit(1)).alias("n"))
+    names = spark.createDataFrame([(n, len(s)) for n, s in schemas.items()], "table_name string, n_cols int")
+    return F.broadcast(names).join(counts, "table_name", "left").select("table_name", F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"), "n_cols")
 
 
 # A list within a list: windows with touches, their lengths by rule.
