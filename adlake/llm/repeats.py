@@ -212,7 +212,7 @@ def _shared(parts: int, hot: int):
             out["part"].append(value)
             out["ids"].append(doc[a:b][first].tobytes())
             out["sizes"].append(np.diff(np.append(first, b - a)).astype(np.uint32).tobytes())
-            out["body"].append(key[a:b].tobytes())
+            out["body"].append(_planes(key[a:b]))
         n = len(out["part"])
         yield arrow({"part": (out["part"], pa.int32()), "kind": ([0] * n, pa.int32()), "ids": (out["ids"], pa.binary()), "sizes": (out["sizes"], pa.binary()), "body": (out["body"], pa.binary())})
 
@@ -246,6 +246,16 @@ def _unpacked(ids: bytes, sizes: bytes, body: bytes) -> tuple[np.ndarray, list[b
     return np.frombuffer(ids, np.int64), [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of 8-byte values: all first ones, then all second ones, and so
+    on.  High bytes that hardly differ then take next to no room in a shuffle."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(blob: bytes, dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, len(blob) // 8).T).view(dtype).ravel()
+
+
 class _Lookup:
     """Packed per-document values that came before the texts."""
 
@@ -261,7 +271,7 @@ class _Lookup:
         if part not in self.by_part:
             got = self.packed.pop(part, [])
             doc = np.repeat(unpack([x[0] for x in got], np.int64), unpack([x[1] for x in got], np.uint32))
-            value = unpack([x[2] for x in got], np.uint64)
+            value = np.concatenate([np.zeros(0, np.uint64), *(_from_planes(x[2], np.uint64) for x in got)])
             order = np.argsort(doc, kind="stable")
             self.by_part[part] = doc[order], value[order], order
         return self.by_part[part]
@@ -293,8 +303,8 @@ def _strings(buckets: int, width: int, tagged: bool):
             out["sizes"].append(np.fromiter(map(len, mine), np.uint32, b - a).tobytes())
             out["body"].append(pack.compress(b"".join(mine)))
             # Place by place: keys (32 bits tell those of a bucket apart well enough) and copies of the strings, then document and start of each copy.
-            places = (key[order[a:b]].astype(np.uint32), times[a:b].astype(np.uint32), doc[ends[a] : ends[b]], at[ends[a] : ends[b]])
-            out["places"].append(pack.compress(b"".join(x.tobytes() for x in places)))
+            places = (key[order[a:b]].astype(np.uint32).tobytes(), times[a:b].astype(np.uint32).tobytes(), _planes(doc[ends[a] : ends[b]]), _planes(at[ends[a] : ends[b]]))
+            out["places"].append(pack.compress(b"".join(places)))
         return arrow({k: (v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +371,8 @@ def _spans(parts: int, width: int):
                 _, strings = _unpacked(b"", sizes, body)
                 places = zstandard.ZstdDecompressor().decompress(places)
                 key, times = np.frombuffer(places, np.uint32, 2 * len(strings)).reshape(2, -1)
-                doc, start = np.frombuffer(places, np.int64, offset=8 * len(strings)).reshape(2, -1)
+                half = (len(places) - 8 * len(strings)) // 2
+                doc, start = (_from_planes(places[i : i + half], np.int64) for i in (8 * len(strings), 8 * len(strings) + half))
                 own = np.fromiter((index.setdefault(x, len(index)) for x in strings), np.int64, len(strings))
                 keys.append((own, key))
                 which.append(np.repeat(own, times))
@@ -422,7 +433,7 @@ def _spans(parts: int, width: int):
             out["part"].append(p)
             out["ids"].append(doc[a:b][at].tobytes())
             out["sizes"].append(np.diff(np.append(at, b - a)).astype(np.uint32).tobytes())
-            out["body"].append(value[a:b].tobytes())
+            out["body"].append(_planes(value[a:b]))
         n = len(out["part"])
         yield arrow({"part": (out["part"], pa.int32()), "kind": ([0] * n, pa.int32()), "ids": (out["ids"], pa.binary()), "sizes": (out["sizes"], pa.binary()), "body": (out["body"], pa.binary())})
 
