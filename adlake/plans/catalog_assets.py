@@ -140,7 +140,9 @@ def q_asset_digest(spark, d):
 # Every page an object of its own under its id, as a line of text.
 def _store_pages(spark, d):
     root = scratch_dir(spark, "objects")
-    P.table(spark, d, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value")).write.partitionBy("page_id").text(root)
+    objects = P.table(spark, d, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
+    # Tasks put their own objects in place; else the driver renames one after another.
+    objects.write.partitionBy("page_id").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
     return root
 
 
