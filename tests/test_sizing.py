@@ -33,7 +33,7 @@ def test_tables_share_columns_and_writers(spark):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     own = spark.conf.get(key, None)
     with SE.open_writers(spark, 3):
-        assert spark.conf.get(key) == "3"
+        assert spark.conf.get(key) == "4"
     assert spark.conf.get(key, None) == own
 
 
