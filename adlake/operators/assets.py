@@ -4,8 +4,12 @@ digests, the manifest and its pointer state, and the manifest reports."""
 from __future__ import annotations
 
 import mimetypes
-from collections.abc import Sequence
+import os
+import shutil
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -194,6 +198,51 @@ def to_manifest(rows: DataFrame, uri_prefix: str = "lake://") -> DataFrame:
                        F.col("downloaded_at").cast("timestamp").alias("downloaded_at"), "skipped_existing")
 
 
+def store_objects(rows: DataFrame, root: str, key: str, text: str = "value") -> None:
+    """Put the rows into storage as text objects: each task one for every
+    ``key`` that it meets, a line for each of the key's rows.
+
+    Where storage is a mounted folder, tasks write their objects themselves
+    (``<root>/part=<task>/<key>=<value>.txt``) into a folder aside, which one
+    rename puts in place; a task that runs again finds its place taken and
+    leaves it.  Elsewhere Spark's writer does it (``<root>/<key>=<value>/``):
+    on a mounted folder it takes tens of milliseconds for each object, as it
+    starts a process for every file and folder to set its mode."""
+    spark = rows.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    place = fs.makeQualified(p).toUri()
+    if place.getScheme() != "file":
+        # Tasks put their own objects in place; else the driver renames one after another.
+        rows.select(key, text).write.partitionBy(key).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
+        return
+    fs.mkdirs(p)
+    folder = place.getPath()
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        here, aside, n = f"{folder}/part={task.partitionId()}", f"{folder}/_part={task.partitionId()}-{task.taskAttemptId()}", 0
+        for batch in batches:
+            os.makedirs(aside, exist_ok=True)
+            for k, line in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                name = "__HIVE_DEFAULT_PARTITION__" if k is None else quote(str(k), safe="")
+                with open(f"{aside}/{key}={name}.txt", "ab") as f:
+                    f.writelines((line.as_buffer() or b"", b"\n"))
+            n += batch.num_rows
+        if n:
+            try:
+                os.rename(aside, here)
+            except OSError:
+                if not os.path.isdir(here):
+                    raise
+                shutil.rmtree(aside)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    rows.select(key, text).mapInArrow(put, "n long").agg(F.sum("n")).collect()
+
+
 def _objects(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
 

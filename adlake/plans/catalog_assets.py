@@ -141,13 +141,12 @@ def q_asset_digest(spark, d):
 def _store_pages(spark, d):
     root = scratch_dir(spark, "objects")
     objects = P.table(spark, d, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
-    # Tasks put their own objects in place; else the driver renames one after another.
-    objects.write.partitionBy("page_id").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
+    A.store_objects(objects, root, "page_id")
     return root
 
 
 def _page_id():
-    return F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint").alias("page_id")
+    return F.regexp_extract("path", "page_id=([0-9]+)[./]", 1).cast("bigint").alias("page_id")
 
 
 @query("binary_scan", sql="""

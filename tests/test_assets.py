@@ -2,11 +2,12 @@
 
 import datetime as dt
 import json
-
+import os
 
 from pyspark.sql import functions as F
 
 from adlake.operators import assets as A
+from adlake.plans import catalog_assets
 
 
 def _creatives(spark, payloads):
@@ -132,3 +133,32 @@ def test_videos_are_resolved_in_one_join(spark, tmp_path):
     out = A.resolve_videos(spark.read.parquet(f"{tmp_path}/s"), sources)
     assert _plan(out).count("FileScan parquet") == 1
     assert {r.creative_id: r.source_url for r in out.collect()} == {"1": "u1", "2": "a", "5": "u5"}
+
+
+def _pages(spark, tmp_path):
+    rows = [(i, f"<p>page {i}</p>") for i in range(40)] + [(7, "again"), (41, None)]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(2).write.parquet(f"{tmp_path}/t/pages.parquet")
+    return f"{tmp_path}/t"
+
+
+def test_objects_lie_in_a_folder_of_their_task(spark, tmp_path):
+    root = catalog_assets._store_pages(spark, _pages(spark, tmp_path)).removeprefix("file:")
+    folders = [x for x in os.listdir(root) if os.path.isdir(f"{root}/{x}")]
+    assert 1 <= len(folders) <= 2  # not one for each of 41 ids
+    # A key's rows in a task are lines of one object.
+    found = {x: open(f"{root}/{f}/{x}").read() for f in folders for x in os.listdir(f"{root}/{f}")}
+    assert found["page_id=3.txt"] == "<p>page 3</p>\n" and found["page_id=41.txt"] == "\n"
+    assert len(found) == 41 and sum(x.count("\n") for x in found.values()) >= 41
+
+
+def test_objects_by_scheme_and_again(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, None)], "k long, value string").coalesce(1)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.objects.link./at", f"file://{tmp_path}")
+    for root in (f"{tmp_path}/own", "viewfs://objects/at/spark"):
+        A.store_objects(df, root, "k")
+        got = A.scan_assets(spark, root, "*.txt").select(F.regexp_extract("path", "k=([^./]*)[./]", 1).alias("k"), "byte_size")
+        assert sorted(map(tuple, got.collect())) == [("1", 4), ("2", 1), ("__HIVE_DEFAULT_PARTITION__", 2)]
+    # A task that runs again leaves what is in place.
+    A.store_objects(df, f"{tmp_path}/own", "k")
+    assert os.listdir(f"{tmp_path}/own") == ["part=0"] and A.list_assets(spark, f"{tmp_path}/own", "*.txt").count() == 3
