@@ -18,7 +18,8 @@ bound that their sizes set for the similarity.
 3. *Products.*  A task multiplies tiles of its rows, accumulating overlaps
    over column blocks, and drops a tile's pairs as soon as the overlap so far
    and the entries left cannot reach the size bound.  It returns a spanning
-   forest of the links, never the pairs.
+   forest of the links, never the pairs.  Tasks are run in up to ``ROUNDS``
+   rounds, so that the sets on their way to them are never all on disk at once.
 4. *Components* of the links by star contraction, in the shared folder.
 
 Every link between differing sets is found or both ends are connected through
@@ -31,18 +32,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import U64, arrow, connected_components, mix64, partitions, passes, stage, texts_as_bytes, unpack, unstage
+from adlake.llm.common import U64, arrow, connected_components, drop_shuffles, marked_by, mix64, partitions, passes, stage, texts_as_bytes, unpack, unstage
 from adlake.llm.repeats import _slices
 from adlake.llm.shingles import shingle_sets
 
 MAX_SIZE = 1 << 31
 TILE, COLUMNS = 512, 1024
+#: Products run in a round for each so many bytes of n-grams that are sent, and in so many at most.
+ROUND_BYTES, ROUNDS = 64 << 20, 6
 
 
 class Bounds:
@@ -370,6 +374,7 @@ def ngram_jaccard_join(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     named = rows.where("id is not null")
     found = stage(named.mapInArrow(_rows(buckets, k, lower, similarity), PACKED).repartition(parts, "bucket").mapInArrow(_agreeing(), FOUND), "ngram-blocks")
+    drop_shuffles(spark)
     sets = found.where("kind = 0").select("id", "n", "key")
 
     blocks = found.where("kind = 1").select("block", "members")
@@ -379,16 +384,29 @@ def ngram_jaccard_join(
     units = stage(member.join(unit, "block").select("unit", "key").distinct(), "ngram-units")
 
     chosen = units.select("key").distinct()
+    drop_shuffles(spark)
     first = sets.join(chosen, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
     ngrams = stage(named.join(first.select("id").distinct(), "id", "left_semi").select("text").mapInArrow(_sets(k, lower), "key long, n long, ngrams binary"), "ngram-sets")
     sized = units.join(ngrams.select("key", "n"), "key")
     chunks = sized.groupBy("unit").agg(F.ceil(F.sum("n") / F.lit(unit_ngrams)).cast("int").alias("chunks"), F.count("*").alias("rows")).where("rows > 1")
     dealt = stage(sized.join(chunks, "unit").select("unit", "key", "chunks", F.pmod(F.xxhash64("key", F.lit(7)), F.col("chunks")).cast("int").alias("chunk")), "ngram-chunks")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """``pairs``: (block, side, key)."""
-        task = pairs.join(ngrams.select("key", "ngrams"), "key").select("block", "side", "key", "ngrams")
-        return task.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_links(similarity), "a long, b long")
+    def linked(pairs: DataFrame) -> list[DataFrame]:
+        """Links of ``pairs`` (block, side, key), staged by rounds of blocks; a
+        round's shuffle files go before the next one's are written."""
+        sent = pairs.join(ngrams.select("key", "n"), "key").agg(F.sum("n")).first()[0] or 0
+        rounds = max(1, min(ROUNDS, -(-8 * int(sent) // ROUND_BYTES)))
+        out = []
+        for i in range(rounds):
+            mine, sets = pairs, ngrams.select("key", "ngrams")
+            if rounds > 1:
+                mine = pairs.where(F.pmod("block", F.lit(rounds)) == i)
+                sets = marked_by(sets, mine.select("key").distinct(), "key")
+            task = mine.join(sets, "key").select("block", "side", "key", "ngrams")
+            drop_shuffles(spark)
+            out.append(stage(task.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_links(similarity), "a long, b long"), "ngram-links"))
+        drop_shuffles(spark)
+        return out
 
     name = F.xxhash64
     inside = dealt.select(name("unit", "chunk", "chunk").alias("block"), F.lit(0).alias("side"), "key")
@@ -397,8 +415,8 @@ def ngram_jaccard_join(
     to_zero = several.where("chunk > 0").select(name("unit", F.lit(0), "chunk").alias("block"), F.lit(0).alias("side"), "key").unionByName(
         zero.select(name("unit", F.lit(0), "to").alias("block"), F.lit(1).alias("side"), "key")
     )
-    edges = stage(linked(inside.unionByName(to_zero)), "ngram-links")
-    roots = connected_components(edges)
+    edges = linked(inside.unionByName(to_zero))
+    roots = connected_components(reduce(DataFrame.unionByName, edges))
 
     state = several.join(roots, several.key == roots.node, "left").select("unit", "key", "chunks", "chunk", F.coalesce("root", "key").alias("root"))
     count = state.groupBy("unit", "root").count()
@@ -408,12 +426,13 @@ def ngram_jaccard_join(
     out_rows = outside.where("chunk > 0").select("unit", "key", F.col("chunk").alias("from"), F.explode(F.expr("filter(sequence(1, chunks - 1), x -> x <> chunk)")).alias("to"))
     in_rows = several.join(open_pairs.withColumnRenamed("to", "chunk"), ["unit", "chunk"]).select(name("unit", "from", "chunk", F.lit(2)).alias("block"), F.lit(1).alias("side"), "key")
     rest = out_rows.select(name("unit", "from", "to", F.lit(2)).alias("block"), F.lit(0).alias("side"), "key").unionByName(in_rows)
-    unstage(edges)
+    unstage(*edges)
     if not several.isEmpty():
-        more = stage(linked(rest), "ngram-links")
+        rounds = linked(rest)
+        more = reduce(DataFrame.unionByName, rounds)
         if not more.isEmpty():
             roots = _joined_on(roots, more)
-        unstage(more)
+        unstage(*rounds)
     unstage(units, ngrams, dealt)
 
     joined = sets.join(roots, sets.key == roots.node, "left").select("id", "n", F.coalesce("root", "key").alias("root"))

@@ -82,3 +82,18 @@ def test_bounds_never_lose_a_pair():
                 continue
             digest, row = jaccard.block_digests(np.concatenate([np.sort(a), np.sort(b)]), np.array([len(a), len(b)]), bounds)
             assert np.intersect1d(digest[row == 0], digest[row == 1]).size
+
+
+def test_rounds_of_products_find_the_same(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(10 * g + c, " ".join(words[g * 7 + (c > 3) : g * 7 + 60])) for g in range(8) for c in range(6)]
+    docs = spark.createDataFrame([*rows, (999, None), (None, "w1 w2")], "doc_id long, text string")
+    sent, own = [], jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", lambda df, name: (sent.append(name), own(df, name))[1])
+    found = []
+    for bytes_of_round in (1 << 30, 1):
+        monkeypatch.setattr(jaccard, "ROUND_BYTES", bytes_of_round)
+        monkeypatch.setattr(jaccard, "ROUNDS", 3)
+        sent.clear()
+        found.append((sorted(map(str, jaccard.ngram_jaccard_join(docs, 3, jaccard.exactly("0.8")).collect())), sent.count("ngram-links")))
+    assert found[0][0] == found[1][0] and [x[1] for x in found] == [1, 3]
